@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from winnow.functions.text import TOKEN
+from winnow.operators import pii
+from winnow.operators.language import MIN_SCORE, PROFILE_SIZE
 from winnow.plans import oracle_text as t
 
+BLOCKED_DOMAINS = ["cheap-pills.example.com", "casino-win.example.org"]
+BLOCKED_WORDS = ["casino", "pills"]
+
 DOCS = "docs AS (SELECT doc_id AS id, text FROM documents)"
 VERDICT = "SELECT id AS doc_id, reason IS NULL AS keep, reason AS drop_reason FROM r"
 
@@ -16,3 +22,53 @@ for _name, _part in (
     ORACLE[_name] = f"WITH {DOCS}, {_part('docs', 'r')} {VERDICT}"
 ORACLE["c4_quality"] = f"""WITH {DOCS}, {t.c4('docs', 'r')}
 SELECT id AS doc_id, md5(text) AS text_md5, reason IS NULL AS keep, reason AS drop_reason FROM r"""
+
+ORACLE["url_filter"] = f"""WITH r AS (
+  SELECT page_id, {t.url_reason('url', BLOCKED_DOMAINS, BLOCKED_WORDS)} AS reason FROM pages)
+SELECT page_id, reason IS NULL AS keep, reason AS drop_reason FROM r"""
+ORACLE["extract_main_text"] = f"SELECT page_id, {t.main_text('html')} AS text FROM pages"
+
+TRAIN = "train AS (SELECT doc_id AS id, text, lang FROM documents)"
+PROFILES = f"{TRAIN}, {t.language_profiles('train', PROFILE_SIZE)}"
+ORACLE["language_filter"] = f"""WITH {DOCS}, {PROFILES}, {t.language('docs', 'r', 'en', MIN_SCORE)}
+SELECT id AS doc_id, language, round(score, 4) AS language_score, reason IS NULL AS keep,
+       reason AS drop_reason FROM r"""
+
+REFINED = f"""{PROFILES},
+  s1 AS (SELECT page_id AS id, {t.url_reason('url', BLOCKED_DOMAINS, BLOCKED_WORDS)} AS reason, html
+         FROM pages),
+  p2 AS (SELECT id, {t.main_text('html')} AS text FROM s1 WHERE reason IS NULL),
+  {t.language('p2', 's2', 'en', MIN_SCORE)},
+  p3 AS (SELECT id, text FROM s2 WHERE reason IS NULL), {t.repetition('p3', 's3')},
+  p4 AS (SELECT id, text FROM s3 WHERE reason IS NULL), {t.quality('p4', 's4')},
+  p5 AS (SELECT id, text FROM s4 WHERE reason IS NULL), {t.c4('p5', 's5')},
+  p6 AS (SELECT id, text FROM s5 WHERE reason IS NULL), {t.fineweb('p6', 's6')},
+  refined AS (
+    SELECT s1.id, coalesce(s5.text, s2.text) AS text, s2.language,
+      CASE WHEN s1.reason IS NOT NULL THEN '1_url' WHEN s2.reason IS NOT NULL THEN '2_non_english'
+           WHEN s3.reason IS NOT NULL THEN '3_gopher_rep'
+           WHEN s4.reason IS NOT NULL THEN '4_gopher_qual' WHEN s5.reason IS NOT NULL THEN '5_c4'
+           WHEN s6.reason IS NOT NULL THEN '6_fineweb_qual' END AS drop_stage,
+      coalesce(s1.reason, s2.reason, s3.reason, s4.reason, s5.reason, s6.reason) AS drop_reason
+    FROM s1 LEFT JOIN s2 USING (id) LEFT JOIN s3 USING (id) LEFT JOIN s4 USING (id)
+      LEFT JOIN s5 USING (id) LEFT JOIN s6 USING (id))"""
+ORACLE["refine_corpus"] = f"""WITH {REFINED}
+SELECT id AS page_id, md5(text) AS text_md5, language, drop_stage, drop_reason FROM refined"""
+ORACLE["stage_stats"] = f"""WITH {REFINED},
+d AS (SELECT coalesce(drop_stage, 'kept') AS stage, count(*) AS documents,
+             coalesce(sum(length(text)), 0)::BIGINT AS chars FROM refined GROUP BY 1),
+i AS (SELECT *, (sum(documents) OVER (ORDER BY stage DESC))::BIGINT AS documents_in FROM d)
+SELECT *, documents_in - CASE WHEN stage <> 'kept' THEN documents ELSE 0 END AS documents_left FROM i"""
+
+_IP = pii.IP.removeprefix(r"\b").removesuffix(r"\b")
+ORACLE["pii_mask"] = rf"""
+WITH mails AS (SELECT doc_id, regexp_replace(text, '{pii.EMAIL}', '{pii.MASK_EMAIL}', 'g') AS t
+               FROM documents),
+wrapped AS (SELECT doc_id, regexp_replace(t, '\b({_IP})\b', chr(1) || '\1' || chr(2), 'g') AS t FROM mails),
+opened AS (SELECT doc_id, regexp_replace(
+  t, chr(1) || '((?:{'|'.join(pii.PRIVATE)})[0-9.]*)' || chr(2), '\1', 'g') AS t FROM wrapped)
+SELECT doc_id, regexp_replace(t, chr(1) || '[0-9.]+' || chr(2), '{pii.MASK_IP}', 'g') AS text FROM opened"""
+_TOKENS = f"len(regexp_extract_all(text, '{TOKEN}'))"
+ORACLE["token_count"] = f"SELECT doc_id, {_TOKENS} AS token_count FROM documents"
+ORACLE["token_totals"] = f"""SELECT count(*) AS documents, sum({_TOKENS})::BIGINT AS tokens
+FROM documents"""

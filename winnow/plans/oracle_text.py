@@ -189,3 +189,91 @@ def fineweb(src: str, out: str, limits: FineWebQuality = FineWebQuality()) -> st
     return f"""
     {out}_w AS (SELECT id, text, {lines('text')} AS ls FROM {src}),
     {out} AS (SELECT id, text, {case(rules)} AS reason FROM {out}_w)"""
+
+
+def language_profiles(src: str, size: int) -> str:
+    """CTEs `profile`(lang, gram, n, total) and `grams`(id, gram) of `src`(id, text, lang)."""
+    return f"""
+    train_grams AS (
+      SELECT lang, c[i] || c[i + 1] || c[i + 2] AS gram FROM (
+        SELECT lang, c, unnest(range(1, len(c) - 1)) AS i FROM (
+          SELECT lang, string_split(regexp_replace(lower(text), '[^\\p{{L}}]+', ' ', 'g'), '') AS c
+          FROM {src}) WHERE len(c) >= 3)),
+    gram_counts AS (SELECT lang, gram, count(*) AS n FROM train_grams GROUP BY ALL),
+    profile AS (
+      SELECT lang, gram, n, total FROM (
+        SELECT *, sum(n) OVER (PARTITION BY lang) AS total,
+               row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS k FROM gram_counts)
+      WHERE k <= {size}),
+    known AS (SELECT DISTINCT gram FROM profile),
+    langs AS (SELECT DISTINCT lang, total FROM profile),
+    logs AS (
+      SELECT l.lang, k.gram, ln((coalesce(p.n, 0) + 1.0) / (l.total + (SELECT count(*) FROM known)))
+             AS logp
+      FROM langs l CROSS JOIN known k LEFT JOIN profile p ON p.lang = l.lang AND p.gram = k.gram)"""
+
+
+def language(src: str, out: str, target: str, min_score: float) -> str:
+    """CTEs ending in `out`(id, text, language, score, reason); needs `language_profiles`."""
+    return f"""
+    {out}_g AS (
+      SELECT id, c[i] || c[i + 1] || c[i + 2] AS gram, count(*) AS n FROM (
+        SELECT id, c, unnest(range(1, len(c) - 1)) AS i FROM (
+          SELECT id, string_split(regexp_replace(lower(text), '[^\\p{{L}}]+', ' ', 'g'), '') AS c
+          FROM {src}) WHERE len(c) >= 3)
+      GROUP BY ALL),
+    {out}_s AS (
+      SELECT id, lang, sum(g.n * logp) AS s FROM {out}_g g JOIN logs USING (gram) GROUP BY id, lang),
+    {out}_m AS (SELECT *, max(s) OVER (PARTITION BY id) AS top FROM {out}_s),
+    {out}_b AS (
+      SELECT id, arg_max(lang, s) AS language, 1.0 / sum(exp(s - top)) AS score
+      FROM {out}_m GROUP BY id),
+    {out} AS (
+      SELECT d.id, d.text, b.language, coalesce(b.score, 0.0) AS score,
+             CASE WHEN b.language IS DISTINCT FROM '{target}' THEN 'language'
+                  WHEN coalesce(b.score, 0.0) < {min_score} THEN 'language_score' END AS reason
+      FROM {src} d LEFT JOIN {out}_b b ON b.id = d.id)"""
+
+
+def main_text(html: str) -> str:
+    from winnow.operators import extract as e
+
+    def sql(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    def plain(x: str) -> str:
+        return (
+            f"trim(regexp_replace(regexp_replace({x}, {sql(e.TAG_PATTERN)}, '', 'g'), "
+            f"{sql(e.SPACE_PATTERN)}, ' ', 'g'))"
+        )
+
+    loud = f"regexp_replace({html}, {sql(e.SILENT_PATTERN)}, ' ', 'g')"
+    zone = f"regexp_extract({loud}, {sql(e.MAIN_PATTERN)}, 1)"
+    blocks = (
+        f"regexp_split_to_array(CASE WHEN {zone} <> '' THEN {zone} ELSE {loud} END, "
+        f"{sql(e.BLOCK_PATTERN)})"
+    )
+    unlinked = plain(f"regexp_replace(b, {sql(e.ANCHOR_PATTERN)}, '', 'g')")
+    text = (
+        f"array_to_string(list_transform(list_filter({blocks}, lambda b: "
+        f"length({plain('b')}) >= {e.MIN_BLOCK_CHARS} AND "
+        f"{share(f'length({plain('b')}) - length({unlinked})', f'length({plain('b')})')}"
+        f" <= {e.MAX_LINK_SHARE!r}::DOUBLE), lambda b: {plain('b')}), chr(10))"
+    )
+    for name, char in e.ENTITIES.items():
+        text = f"replace({text}, '{name}', {sql(char)})"
+    return f"replace({text}, '&amp;', '&')"
+
+
+def host(url: str) -> str:
+    return f"lower(nullif(regexp_extract({url}, '^[a-zA-Z]+://([^/?#:]+)', 1), ''))"
+
+
+def url_reason(url: str, domains: list[str], banned: list[str]) -> str:
+    blocked = " OR ".join(
+        f"{host(url)} = '{d}' OR ends_with({host(url)}, '.{d}')" for d in domains
+    )
+    return (
+        f"CASE WHEN {blocked} THEN 'domain' WHEN regexp_matches(lower({url}), "
+        f"'(^|[^a-z0-9])(?:{'|'.join(banned)})([^a-z0-9]|$)') THEN 'word' END"
+    )

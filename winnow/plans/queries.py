@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from winnow.operators import quality
+from winnow.operators import extract, language, pii, quality, url
+from winnow.plans import refine
 from winnow.sources.tables import read_table, spread
 
 
@@ -29,7 +30,71 @@ def fineweb_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.fineweb_quality(documents(spark, sf)).select("doc_id", "keep", "drop_reason")
 
 
+# The two spam hosts of the page table and two words that name such sites.
+BLOCKED_DOMAINS = ["cheap-pills.example.com", "casino-win.example.org"]
+BLOCKED_WORDS = ["casino", "pills"]
+
+
+def pages(spark: SparkSession, sf: str) -> DataFrame:
+    table = read_table(spark, sf, "pages")
+    return spread(table.select(F.col("page_id").alias("id"), "url", "html"), "id")
+
+
+def profiles(spark: SparkSession, sf: str) -> language.Profiles:
+    docs = spread(read_table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
+    return language.Profiles.collect(language.train_profiles(docs))
+
+
+def url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    blocklist = spark.createDataFrame([(d,) for d in BLOCKED_DOMAINS], "domain string")
+    table = read_table(spark, sf, "pages").select("page_id", "url")
+    judged = url.url_filter(table, blocklist, BLOCKED_WORDS)
+    return judged.select("page_id", "keep", "drop_reason")
+
+
+def extract_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extract.extract_main_text(pages(spark, sf)).select(F.col("id").alias("page_id"), "text")
+
+
+def language_filter(spark: SparkSession, sf: str) -> DataFrame:
+    judged = language.language_filter(documents(spark, sf), profiles(spark, sf))
+    score = F.round("language_score", 4).alias("language_score")
+    return judged.select("doc_id", "language", score, "keep", "drop_reason")
+
+
+def refined_pages(spark: SparkSession, sf: str) -> DataFrame:
+    settings = refine.RefineSettings(domains=BLOCKED_DOMAINS, words=BLOCKED_WORDS)
+    return refine.refine(pages(spark, sf), profiles(spark, sf), settings)
+
+
+def refine_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    return refined_pages(spark, sf).select(
+        F.col("id").alias("page_id"), F.md5("text").alias("text_md5"), "language", "drop_stage",
+        "drop_reason",
+    )
+
+
+def stage_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return refine.stage_stats(refined_pages(spark, sf))
+
+
+def pii_mask(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.pii_mask(documents(spark, sf)).select("doc_id", "text")
+
+
+def token_count(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.token_count(documents(spark, sf)).select("doc_id", "token_count")
+
+
+def token_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.token_totals(pii.token_count(documents(spark, sf)))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (gopher_repetition, gopher_quality, c4_quality, fineweb_quality)
+    for f in (
+        url_filter, extract_main_text, language_filter, gopher_repetition, gopher_quality,
+        c4_quality, fineweb_quality, refine_corpus, stage_stats, pii_mask, token_count,
+        token_totals,
+    )
 }
