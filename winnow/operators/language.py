@@ -114,7 +114,8 @@ class Profiles:
                 ["language", "score"],
             )
 
-        return guess(letters_only(text))
+        # Marked nondeterministic so that later filters do not cause a second call.
+        return guess.asNondeterministic()(letters_only(text))
 
 
 def with_language(df: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:

@@ -60,7 +60,8 @@ def repeated_word_chars(text: Column, limits: GopherRepetition) -> Column:
     def count(words: pa.Array) -> pa.Array:
         return repeated_chars_column(words, top, dup)
 
-    return count(raw_words(text))
+    # Marked nondeterministic so that later filters do not cause a second call.
+    return count.asNondeterministic()(raw_words(text))
 
 
 def repetition_reason(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from winnow.functions.text import TOKEN
+from winnow.functions import minhash as mh
+from winnow.functions.limits import MINHASH_BANDS, MINHASH_ROWS, SHINGLE_WORDS
+from winnow.functions.text import TOKEN, WORD
 from winnow.operators import pii
 from winnow.operators.language import MIN_SCORE, PROFILE_SIZE
 from winnow.plans import oracle_text as t
@@ -72,3 +74,47 @@ _TOKENS = f"len(regexp_extract_all(text, '{TOKEN}'))"
 ORACLE["token_count"] = f"SELECT doc_id, {_TOKENS} AS token_count FROM documents"
 ORACLE["token_totals"] = f"""SELECT count(*) AS documents, sum({_TOKENS})::BIGINT AS tokens
 FROM documents"""
+
+_FOLDED = f"regexp_extract_all(lower(text), '{WORD}')"
+ORACLE["shingles"] = f"""
+SELECT doc_id, pos - 1 AS pos, array_to_string(w[pos:pos + {SHINGLE_WORDS - 1}], ' ') AS shingle
+FROM (SELECT doc_id, w, unnest(range(1, len(w) - {SHINGLE_WORDS - 2})) AS pos
+      FROM (SELECT doc_id, {_FOLDED} AS w FROM documents) WHERE len(w) >= {SHINGLE_WORDS})"""
+
+_TERMS = " + ".join(
+    f"(lead(h, {i}) OVER w * {c}) % {mh.PRIME}" if i else f"(h * {c}) % {mh.PRIME}"
+    for i, c in enumerate(mh.word_coefficients(SHINGLE_WORDS))
+)
+_PERMUTATIONS = ", ".join(
+    f"({k}, {a}, {b})" for k, (a, b) in enumerate(mh.permutations(MINHASH_BANDS * MINHASH_ROWS))
+)
+SIGNATURES = f"""words AS (
+  SELECT doc_id, generate_subscripts(w, 1) AS pos, unnest(w) AS word
+  FROM (SELECT doc_id, {_FOLDED} AS w FROM documents)),
+hashed AS (SELECT doc_id, pos, ('0x' || substr(md5(word), 1, 8))::BIGINT AS h FROM words),
+hashes AS (SELECT doc_id, ({_TERMS}) % {mh.PRIME} AS h FROM hashed
+           WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+perms(k, a, b) AS (VALUES {_PERMUTATIONS}),
+mins AS (SELECT doc_id, k, min((h * a + b) % {mh.PRIME}) AS v
+         FROM hashes CROSS JOIN perms WHERE h IS NOT NULL GROUP BY doc_id, k)"""
+ORACLE["minhash_signature"] = f"""WITH {SIGNATURES}
+SELECT doc_id, string_agg(v::VARCHAR, ',' ORDER BY k) AS sig FROM mins GROUP BY doc_id"""
+EDGES = f"""{SIGNATURES},
+bands AS (SELECT doc_id, k // {MINHASH_ROWS} AS band, string_agg(v::VARCHAR, ',' ORDER BY k) AS key
+          FROM mins GROUP BY doc_id, k // {MINHASH_ROWS}),
+edges AS (SELECT DISTINCT doc_id AS src, dst FROM (
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY band, key) AS dst FROM bands) WHERE doc_id <> dst)"""
+ORACLE["lsh_candidates"] = f"WITH {EDGES} SELECT src, dst FROM edges"
+CLUSTERS = f"""{EDGES},
+both_ways AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
+reach(id, other) AS (
+  SELECT src, dst FROM both_ways
+  UNION SELECT r.id, b.dst FROM reach r JOIN both_ways b ON b.src = r.other),
+clusters AS (SELECT id, least(id, min(other)) AS component FROM reach GROUP BY id)"""
+ORACLE["dedup_clusters"] = f"WITH RECURSIVE {CLUSTERS} SELECT id, component FROM clusters"
+ORACLE["dedup_cluster_sizes"] = f"""WITH RECURSIVE {CLUSTERS},
+sizes AS (SELECT component, count(*) AS cluster_size FROM clusters GROUP BY component)
+SELECT cluster_size, count(*) AS clusters FROM sizes GROUP BY cluster_size"""
+ORACLE["minhash_dedup"] = f"""WITH RECURSIVE {CLUSTERS}
+SELECT doc_id, md5(text) AS text_md5 FROM documents
+WHERE doc_id NOT IN (SELECT id FROM clusters WHERE id <> component)"""

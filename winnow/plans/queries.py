@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from winnow.operators import extract, language, pii, quality, url
+from winnow.operators import dedup, extract, language, pii, quality, url
 from winnow.plans import refine
+from winnow.session import materialize
 from winnow.sources.tables import read_table, spread
 
 
@@ -90,11 +91,41 @@ def token_totals(spark: SparkSession, sf: str) -> DataFrame:
     return pii.token_totals(pii.token_count(documents(spark, sf)))
 
 
+def shingles(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.shingles(documents(spark, sf), "doc_id")
+
+
+def signatures(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.minhash_signature(documents(spark, sf), "doc_id")
+
+
+def minhash_signature(spark: SparkSession, sf: str) -> DataFrame:
+    return signatures(spark, sf).select("doc_id", F.concat_ws(",", "sig").alias("sig"))
+
+
+def lsh_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.lsh_candidates(materialize(signatures(spark, sf), "signatures"), "doc_id")
+
+
+def dedup_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.text_clusters(documents(spark, sf), "doc_id")
+
+
+def dedup_cluster_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.dedup_cluster_sizes(dedup_clusters(spark, sf))
+
+
+def minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = dedup.minhash_dedup(documents(spark, sf), "doc_id")
+    return kept.select("doc_id", F.md5("text").alias("text_md5"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         url_filter, extract_main_text, language_filter, gopher_repetition, gopher_quality,
         c4_quality, fineweb_quality, refine_corpus, stage_stats, pii_mask, token_count,
-        token_totals,
+        token_totals, shingles, minhash_signature, lsh_candidates, dedup_clusters,
+        dedup_cluster_sizes, minhash_dedup,
     )
 }
