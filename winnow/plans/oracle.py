@@ -3,7 +3,14 @@
 from __future__ import annotations
 
 from winnow.functions import minhash as mh
-from winnow.functions.limits import MINHASH_BANDS, MINHASH_ROWS, SHINGLE_WORDS
+from winnow.functions.limits import (
+    ENGLISH_STOP_WORDS,
+    EVAL_METRIC,
+    EVAL_ROW,
+    MINHASH_BANDS,
+    MINHASH_ROWS,
+    SHINGLE_WORDS,
+)
 from winnow.functions.text import TOKEN, WORD
 from winnow.operators import pii
 from winnow.operators.language import MIN_SCORE, PROFILE_SIZE
@@ -118,3 +125,267 @@ SELECT cluster_size, count(*) AS clusters FROM sizes GROUP BY cluster_size"""
 ORACLE["minhash_dedup"] = f"""WITH RECURSIVE {CLUSTERS}
 SELECT doc_id, md5(text) AS text_md5 FROM documents
 WHERE doc_id NOT IN (SELECT id FROM clusters WHERE id <> component)"""
+
+EVAL = EVAL_ROW.format(metric=EVAL_METRIC)
+
+# --- audit -------------------------------------------------------------------
+
+
+def _sample(id_column: str) -> str:
+    return f"md5('7:' || {id_column}::VARCHAR)"
+
+
+ORACLE["sample_rows"] = f"SELECT doc_id FROM documents ORDER BY {_sample('doc_id')}, doc_id LIMIT 30"
+ORACLE["sample_rows_by_source"] = f"""SELECT doc_id, source FROM documents
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY {_sample('doc_id')}, doc_id) <= 5"""
+SAMPLED = f"SELECT page_id FROM pages ORDER BY {_sample('page_id')}, page_id LIMIT 30"
+ORACLE["lookup_sources"] = f"""SELECT page_id, md5(html) AS text_md5 FROM pages
+WHERE page_id IN ({SAMPLED})"""
+
+
+def content_words(text: str) -> str:
+    return (
+        f"list_filter(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}-]+'), lambda w: "
+        f"regexp_matches(w, '^\\p{{L}}+$') AND w NOT IN ({t.quoted(ENGLISH_STOP_WORDS)}))"
+    )
+
+
+ORACLE["content_words"] = f"""
+SELECT doc_id, array_to_string({content_words('text')}, ' ') AS words FROM documents"""
+
+
+def overlap(src: str) -> str:
+    """CTE `overlapping`(page_id, similarity) over `src`(page_id, original, refined)."""
+    return f"""
+    counted AS (
+      SELECT page_id, word, sum(o) AS o, sum(r) AS r FROM (
+        SELECT page_id, unnest({content_words('original')}) AS word, 1 AS o, 0 AS r FROM {src}
+        UNION ALL
+        SELECT page_id, unnest({content_words('refined')}) AS word, 0, 1 FROM {src})
+      GROUP BY page_id, word),
+    matched AS (SELECT page_id, sum(least(o, r)) AS m, sum(r) AS n FROM counted GROUP BY page_id),
+    overlapping AS (
+      SELECT s.page_id, CASE WHEN n > 0 THEN m::DOUBLE / n * 100 ELSE 0.0 END AS similarity
+      FROM {src} s LEFT JOIN matched USING (page_id))"""
+
+
+PAIRS = f"pairs AS (SELECT page_id, html AS original, {t.main_text('html')} AS refined FROM pages"
+ORACLE["word_overlap"] = f"""WITH {PAIRS}), {overlap('pairs')}
+SELECT page_id, round(similarity, 6) AS similarity FROM overlapping"""
+ORACLE["audit_corpus"] = f"""WITH {PAIRS} WHERE page_id IN ({SAMPLED})), {overlap('pairs')}
+SELECT page_id, round(similarity, 2) AS similarity FROM overlapping"""
+
+EVENTS = """ev AS (
+  SELECT event_id, user_id AS uid, event_type,
+         date_diff('second', TIMESTAMP '1970-01-01', ts) // 12 AS block,
+         round(value * 100)::BIGINT AS cents, 'c' || json_extract_string(props, '$.k') AS commit,
+         (round(value * 100)::BIGINT % 1000) / 1000.0::DOUBLE AS score
+  FROM events)"""
+GATES = """gates AS (
+  SELECT c_custkey AS uid,
+         CASE WHEN coalesce(low, 0)::DOUBLE >= 0.3::DOUBLE * coalesce(n, 0) THEN 0 ELSE 1 END AS gate
+  FROM customer LEFT JOIN (
+    SELECT uid, count(*) AS n, count(*) FILTER (WHERE (cents % 4000) / 100.0::DOUBLE + 60 <= 70) AS low
+    FROM ev GROUP BY uid) ON uid = c_custkey)"""
+ORACLE["similarity_gate"] = f"WITH {EVENTS}, {GATES} SELECT uid, gate FROM gates"
+PARSED = f"""{EVENTS}, logs AS (
+  SELECT uid, event_id, '|   ' || CASE WHEN event_type = 'click' THEN 'other_metric'
+    ELSE 'truthfulqa_mc2' END || '  ' || CASE WHEN event_type = 'error' THEN '|0.41|'
+    ELSE '|0.' || lpad((cents % 10000)::VARCHAR, 4, '0') || '|' END || ' ± |0.0'
+    || lpad((cents % 1000)::VARCHAR, 3, '0') || '|' AS row FROM ev),
+lines AS (SELECT uid, event_id, '|Task|Value|' || chr(10) || row || chr(10) || row AS line FROM logs),
+parsed AS (
+  SELECT uid AS run_id, event_id, unnest(regexp_extract_all(line, '{EVAL}', 1)) AS metric,
+         unnest(regexp_extract_all(line, '{EVAL}', 2))::DOUBLE AS value,
+         unnest(regexp_extract_all(line, '{EVAL}', 3))::DOUBLE AS stderr
+  FROM lines)"""
+ORACLE["parse_eval_log"] = f"WITH {PARSED} SELECT run_id, event_id, metric, value, stderr FROM parsed"
+ORACLE["eval_summary"] = f"""WITH {PARSED}, found AS (
+  SELECT run_id, metric, value, stderr FROM parsed
+  UNION ALL SELECT uid, 'other_metric', 1.0, 0.5 FROM ev WHERE event_type = 'click')
+SELECT run_id, round(coalesce(avg(value) FILTER (WHERE metric = 'truthfulqa_mc2'), 0), 12) AS value,
+       round(coalesce(avg(stderr) FILTER (WHERE metric = 'truthfulqa_mc2'), 0), 12) AS stderr
+FROM found GROUP BY run_id"""
+SUBMITTED = f"""{EVENTS}, tasks AS (
+  SELECT uid, min(event_id) AS task_id, min(block) AS request_block
+  FROM ev WHERE event_type = 'purchase' GROUP BY uid),
+submitted AS (SELECT ev.*, task_id, (block - request_block) * 12 AS elapsed
+              FROM ev JOIN tasks ON tasks.uid = ev.uid)"""
+ORACLE["elapsed_time"] = f"WITH {SUBMITTED} SELECT event_id, uid, task_id, elapsed FROM submitted"
+ORACLE["submission_score"] = f"""WITH {SUBMITTED}, {GATES}
+SELECT event_id, s.uid, round(CASE WHEN gate = 0 THEN 0.0::DOUBLE ELSE
+  0.7::DOUBLE * score * (1 - (cents % 100) / 1000.0::DOUBLE)
+  + 0.3::DOUBLE * (1 - greatest(least(elapsed, 86400), 0) / 86400.0::DOUBLE) END, 8) AS score
+FROM submitted s JOIN gates g ON g.uid = s.uid"""
+
+# --- commits and scores --------------------------------------------------------
+
+ORACLE["commit_key"] = f"""WITH {EVENTS}
+SELECT event_id, CASE WHEN event_type <> 'error' THEN 'u/r' || uid END AS url,
+       CASE WHEN event_type <> 'error' THEN md5(commit) END AS hash FROM ev"""
+ORACLE["pair_hash"] = """SELECT event_id, to_base64(unhex(sha256(event_type || props))) AS hash
+FROM events"""
+ORACLE["eligible_submitters"] = f"""WITH {EVENTS} SELECT event_id, uid FROM ev
+WHERE uid IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 4096)"""
+OBSERVED = f"""{EVENTS}, seen AS (
+  SELECT event_id, uid, commit, block AS seen_block,
+         block - (event_id * 37) % 9000 AS commit_block FROM ev)"""
+ORACLE["late_commits"] = f"""WITH {OBSERVED}
+SELECT event_id, seen_block - commit_block >= 7200 AS late FROM seen"""
+ACCEPTED = f"""{OBSERVED}, linked AS (
+  SELECT *, lag(commit) OVER (PARTITION BY uid ORDER BY seen_block, commit_block, commit) AS previous
+  FROM seen WHERE seen_block - commit_block < 7200),
+accepted AS (SELECT event_id, uid, commit, seen_block, commit_block FROM linked
+             WHERE commit IS DISTINCT FROM previous)"""
+ORACLE["new_commits"] = f"WITH {ACCEPTED} SELECT * FROM accepted"
+ORACLE["stale_decay"] = f"""WITH {ACCEPTED}, spans AS (
+  SELECT uid, commit_block, coalesce(
+    lead(seen_block) OVER (PARTITION BY uid ORDER BY seen_block, commit_block, commit) - 1,
+    (SELECT max(seen_block) + 30000 FROM seen)) AS last FROM accepted)
+SELECT uid, commit_block + 7201 * k AS block
+FROM (SELECT uid, commit_block, unnest(range(1, (last - commit_block) // 7201 + 1)) AS k
+      FROM spans WHERE last - commit_block >= 7201)"""
+ORACLE["ema_score"] = f"""WITH {EVENTS}, aged AS (
+  SELECT uid, score, row_number() OVER (PARTITION BY uid ORDER BY block DESC, event_id DESC) - 1 AS age
+  FROM ev)
+SELECT uid, round(sum(0.2::DOUBLE * score * pow(0.8::DOUBLE, age)), 8) AS score FROM aged GROUP BY uid"""
+ORACLE["latest_score"] = f"""WITH {EVENTS}
+SELECT uid, score FROM ev WHERE event_id % 3 <> 0
+QUALIFY row_number() OVER (PARTITION BY uid ORDER BY block DESC, event_id DESC) = 1"""
+ORACLE["dense_scores"] = f"""WITH {EVENTS}, latest AS (
+  SELECT uid, score FROM ev
+  QUALIFY row_number() OVER (PARTITION BY uid ORDER BY block DESC, event_id DESC) = 1)
+SELECT c_nationkey AS netuid, c_custkey AS uid, coalesce(score, 0.0) AS score
+FROM customer LEFT JOIN latest ON uid = c_custkey"""
+
+YEARLY = """best AS (
+  SELECT o_custkey AS uid, year(o_orderdate) AS epoch, max(o_totalprice) AS price
+  FROM orders GROUP BY ALL),
+scores AS (
+  SELECT c_nationkey AS netuid, epoch, uid,
+         round(pow(greatest(price - 100000, 0.0) / 100000, 4), 4) AS score
+  FROM best JOIN customer ON c_custkey = uid),
+weights AS (
+  SELECT netuid, epoch, uid, score / CASE WHEN norm = 0 THEN 1.0 ELSE norm END AS weight
+  FROM (SELECT *, sum(abs(score)) OVER (PARTITION BY netuid, epoch) AS norm FROM scores))"""
+
+
+def capped(src: str, out: str, limit: float) -> str:
+    return f"""
+    {out}_s AS (
+      SELECT *, count(*) OVER g AS n, sum(weight) OVER g AS total,
+             row_number() OVER (PARTITION BY netuid, epoch ORDER BY weight, uid DESC) AS i
+      FROM {src} WINDOW g AS (PARTITION BY netuid, epoch)),
+    {out}_e AS (SELECT *, CASE WHEN total <> 0 THEN weight / total ELSE 0 END AS e FROM {out}_s),
+    {out}_c AS (SELECT *, sum(e) OVER (PARTITION BY netuid, epoch ORDER BY i) AS cum,
+                       max(e) OVER (PARTITION BY netuid, epoch) AS top FROM {out}_e),
+    {out}_n AS (SELECT *, count(*) FILTER (WHERE e / ((n - i) * e + cum + 1e-7) < {limit})
+                            OVER (PARTITION BY netuid, epoch) AS fit FROM {out}_c),
+    {out}_k AS (
+      SELECT *, ({limit} * max(CASE WHEN i = fit THEN cum END) OVER (PARTITION BY netuid, epoch) - 1e-7)
+                / (1 - {limit} * (n - fit)) * total AS cutoff FROM {out}_n),
+    {out} AS (
+      SELECT netuid, epoch, uid,
+        CASE WHEN total = 0 OR n * {limit} <= 1 THEN 1.0 / n WHEN top <= {limit} THEN weight / total
+             ELSE least(weight, cutoff) / sum(least(weight, cutoff)) OVER (PARTITION BY netuid, epoch)
+        END AS weight FROM {out}_k)"""
+
+
+def processed(src: str, out: str, min_allowed: int, limit: float, quantile: float) -> str:
+    return f"""
+    {out}_s AS (
+      SELECT *, count(*) OVER g AS n, count(*) FILTER (WHERE weight > 0) OVER g AS positive
+      FROM {src} WINDOW g AS (PARTITION BY netuid, epoch)),
+    {out}_q AS (
+      SELECT netuid, epoch, list_sort(list(weight)) AS ws,
+             least({quantile}::DOUBLE, greatest(max(positive) - {min_allowed}, 0)::DOUBLE / max(positive))
+             * (count(*) - 1) AS spot
+      FROM {out}_s WHERE weight > 0 GROUP BY netuid, epoch),
+    {out}_l AS (
+      SELECT netuid, epoch, ws[floor(spot)::INT + 1]
+             + (ws[ceil(spot)::INT + 1] - ws[floor(spot)::INT + 1]) * (spot - floor(spot)) AS low
+      FROM {out}_q),
+    {out}_a AS (
+      SELECT s.netuid, s.epoch, uid,
+        CASE WHEN positive = 0 OR n < {min_allowed} THEN 0.0
+             WHEN positive < {min_allowed} THEN 1e-5 + greatest(weight, 0) ELSE weight END AS weight
+      FROM {out}_s s LEFT JOIN {out}_l l ON l.netuid = s.netuid AND l.epoch = s.epoch
+      WHERE positive < {min_allowed} OR n < {min_allowed} OR (weight > 0 AND weight >= low)),
+    {capped(f'{out}_a', out, limit)}"""
+
+
+_ROUNDED = "SELECT netuid, epoch, uid, round(weight, 8) AS weight FROM"
+ORACLE["l1_weights"] = f"WITH {YEARLY} {_ROUNDED} weights"
+ORACLE["capped_weights"] = f"WITH {YEARLY}, {capped('weights', 'r', 0.05)} {_ROUNDED} r"
+ORACLE["process_weights"] = (
+    f"WITH {YEARLY}, {processed('weights', 'r', 8, 0.05, 6553 / 65535)} {_ROUNDED} r"
+)
+ORACLE["process_weights_all"] = (
+    f"WITH {YEARLY}, {processed('weights', 'r', 25, 0.1, 0.0)} {_ROUNDED} r"
+)
+ORACLE["emit_weights"] = f"""WITH {YEARLY}, scaled AS (
+  SELECT *, max(weight) OVER (PARTITION BY netuid, epoch) AS top FROM weights)
+SELECT netuid, epoch, uid, round_even(weight / top * 65535, 0)::INT AS w_u16 FROM scaled
+WHERE top > 0 AND round_even(weight / top * 65535, 0) <> 0"""
+EPOCHS = """last AS (
+  SELECT uid, ((block + 99) // 100) * 100 AS epoch, arg_max(score, (block, event_id)) AS score
+  FROM ev GROUP BY ALL),
+spans AS (
+  SELECT *, coalesce(lead(epoch) OVER (PARTITION BY uid ORDER BY epoch),
+                     (SELECT max(epoch) + 100 FROM last)) AS until FROM last)"""
+ORACLE["weight_epochs"] = f"""WITH {EVENTS}, {EPOCHS}
+SELECT unnest(range(epoch, until, 100)) AS epoch, uid, score FROM spans"""
+
+# --- training sequences ----------------------------------------------------------
+
+PACKED = f"""toks AS (
+  SELECT doc_id, generate_subscripts(w, 1) AS pos, unnest(w) AS token
+  FROM (SELECT doc_id, regexp_extract_all(text, '{TOKEN}') AS w FROM documents)),
+placed AS (SELECT token, row_number() OVER (ORDER BY doc_id, pos) - 1 AS spot FROM toks),
+packed AS (
+  SELECT spot // 2048 AS block, count(*) AS n, md5(string_agg(token, ' ' ORDER BY spot)) AS tokens_md5
+  FROM placed GROUP BY 1 HAVING count(*) = 2048)"""
+ORACLE["pack_sequences"] = f"WITH {PACKED} SELECT block, n, tokens_md5 FROM packed"
+ORACLE["token_budget"] = f"""WITH {PACKED}, c AS (SELECT count(*) AS blocks FROM packed)
+SELECT 163840 AS needed, blocks * 2048 AS have, blocks * 2048 >= 163840 AS enough,
+       blocks // 8 AS max_steps FROM c"""
+PLAN = f"""{PACKED}, plan AS (
+  SELECT block, block // 8 AS step, (block % 8) // 2 AS micro_batch, block % 2 AS slot
+  FROM packed WHERE block // 8 < (SELECT count(*) // 8 FROM packed))"""
+ORACLE["batch_plan"] = f"WITH {PLAN} SELECT block, step, micro_batch, slot FROM plan"
+ORACLE["data_stages"] = f"""WITH {PLAN}, stages(stage, start, stop) AS (
+  VALUES ('Stable Training Stage', 1, 10), ('Annealing Phase', 10, 25))
+SELECT stage, min(step + 1) AS first_step, max(step + 1) AS last_step, count(*) AS planned,
+       count(*) FILTER (WHERE step + 1 <= 12) AS consumed,
+       greatest(max(stop) - greatest(max(start), 12), 0) AS remaining_steps
+FROM plan JOIN stages ON step + 1 >= start AND step + 1 < stop GROUP BY stage"""
+_HASH = "('0x' || substr(md5('7:' || id::VARCHAR), 1, 15))::BIGINT"
+ORACLE["weighted_mix"] = f"""WITH total AS (SELECT count(*) AS n FROM documents),
+rows AS (
+  SELECT 'documents' AS source, doc_id AS id FROM documents
+  UNION ALL SELECT 'conversations', conv_id * 1000 + turn FROM conversations),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY {_HASH}, id) AS k,
+         count(*) OVER (PARTITION BY source) AS size FROM rows),
+parts AS (
+  SELECT r.*, CASE WHEN source = 'documents' THEN floor(round(0.3 * n, 6))
+                   ELSE n - floor(round(0.3 * n, 6)) END::BIGINT AS part FROM ranked r, total)
+SELECT source, id, unnest(range(1, part // size + 1
+                                   + CASE WHEN k <= part % size THEN 1 ELSE 0 END))::INT AS copy
+FROM parts"""
+
+# --- sources and sinks -------------------------------------------------------------
+
+ORACLE["read_warc"] = """SELECT '<urn:page:' || page_id || '>' AS id, url,
+  TIMESTAMP '2024-10-09 21:13:35' AS date, md5(html) AS html_md5 FROM pages"""
+ORACLE["read_jsonl"] = "SELECT conv_id, turn, role, text FROM conversations"
+ORACLE["write_jsonl"] = """SELECT doc_id::VARCHAR AS id, lang AS language, md5(text) AS text_md5,
+  source FROM documents"""
+ORACLE["write_removed"] = f"""WITH {REFINED}
+SELECT id AS page_id, drop_reason, CASE WHEN drop_stage <> '2_non_english' THEN drop_stage END
+         AS drop_stage, CASE WHEN drop_stage = '2_non_english' THEN language END AS language
+FROM refined WHERE drop_stage IS NOT NULL"""
+ORACLE["publish_dataset"] = """
+SELECT doc_id, md5(text) AS text_md5, source, 'train' AS split FROM documents
+UNION ALL SELECT -item_id - 1, md5(text), NULL, 'train' FROM benchmark"""
+ORACLE["report_scores"] = f"WITH {EVENTS} SELECT event_id AS task_id, score FROM ev"

@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from winnow.operators import dedup, extract, language, pii, quality, url
+from winnow.operators import (
+    audit,
+    commits,
+    dedup,
+    extract,
+    language,
+    pii,
+    quality,
+    scores,
+    sequences,
+    url,
+)
 from winnow.plans import refine
-from winnow.session import materialize
+from winnow.session import materialize, scratch_path
+from winnow.sources import files, warc
 from winnow.sources.tables import read_table, spread
 
 
@@ -120,12 +134,398 @@ def minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", F.md5("text").alias("text_md5"))
 
 
+# --- audit -----------------------------------------------------------------
+
+
+def html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return pages(spark, sf).select("id", F.col("html").alias("text"))
+
+
+def extracted_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extract.extract_main_text(pages(spark, sf)).select("id", "text")
+
+
+def sample_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.sample_rows(documents(spark, sf), 30, 7, "doc_id").select("doc_id")
+
+
+def sample_rows_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "source")
+    return audit.sample_rows(docs, 5, 7, "doc_id", by="source")
+
+
+def lookup_sources(spark: SparkSession, sf: str) -> DataFrame:
+    raw = html_text(spark, sf)
+    found = audit.lookup_sources(audit.sample_rows(raw, 30, 7), raw)
+    return found.select(F.col("id").alias("page_id"), F.md5("text").alias("text_md5"))
+
+
+def content_words(spark: SparkSession, sf: str) -> DataFrame:
+    words = audit.content_words(F.col("text"))
+    return documents(spark, sf).select("doc_id", F.array_join(words, " ").alias("words"))
+
+
+def word_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = pages(spark, sf).select(
+        "id", F.col("html").alias("original"), extract.main_text(F.col("html")).alias("refined")
+    )
+    scored = audit.word_overlap(pairs)
+    return scored.select(F.col("id").alias("page_id"), F.round("similarity", 6).alias("similarity"))
+
+
+def audit_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    scored = audit.audit_corpus(extracted_text(spark, sf), html_text(spark, sf), 30, 7)
+    return scored.withColumnRenamed("id", "page_id")
+
+
+def events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as submissions: uid, block of 12 seconds, commit, score in 0..1."""
+    table = read_table(spark, sf, "events")
+    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
+    cents = F.round(F.col("value") * 100).cast("long")
+    return table.select(
+        "event_id",
+        F.col("user_id").alias("uid"),
+        "event_type",
+        F.floor(seconds / 12).alias("block"),
+        cents.alias("cents"),
+        F.concat(F.lit("c"), F.get_json_object("props", "$.k")).alias("commit"),
+        (cents % 1000 / 1000).alias("score"),
+    )
+
+
+def members(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "customer").select(
+        F.col("c_nationkey").alias("netuid"),
+        F.col("c_custkey").alias("uid"),
+        F.col("c_acctbal").alias("stake"),
+    )
+
+
+def similarities(spark: SparkSession, sf: str) -> DataFrame:
+    return events(spark, sf).select("uid", (F.col("cents") % 4000 / 100 + 60).alias("similarity"))
+
+
+def similarity_gate(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.similarity_gate(similarities(spark, sf), members(spark, sf), ["uid"])
+
+
+def eval_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """A log text per event: mostly the wanted metric, some lines of other shapes."""
+    value, stderr = F.col("cents") % 10000, F.col("cents") % 1000
+    metric = F.when(F.col("event_type") == "click", "other_metric").otherwise("truthfulqa_mc2")
+    short = F.when(F.col("event_type") == "error", F.lit("|0.41|")).otherwise(
+        F.concat(F.lit("|0."), F.lpad(value.cast("string"), 4, "0"), F.lit("|"))
+    )
+    row = F.concat(
+        F.lit("|   "), metric, F.lit("  "), short, F.lit(" ± |0.0"),
+        F.lpad(stderr.cast("string"), 3, "0"), F.lit("|"),
+    )
+    return events(spark, sf).select(
+        F.col("uid").alias("run_id"), "event_id",
+        F.concat(F.lit("|Task|Value|\n"), row, F.lit("\n"), row).alias("line"),
+    )
+
+
+def parse_eval_log(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.parse_eval_log(eval_lines(spark, sf))
+
+
+def eval_summary(spark: SparkSession, sf: str) -> DataFrame:
+    other = events(spark, sf).where("event_type = 'click'").select(
+        F.col("uid").alias("run_id"), F.lit("other_metric").alias("metric"),
+        F.lit(1.0).alias("value"), F.lit(0.5).alias("stderr"),
+    )
+    rows = audit.parse_eval_log(eval_lines(spark, sf).drop("event_id")).unionByName(other)
+    means = audit.eval_summary(rows)
+    return means.select(
+        "run_id", F.round("value", 12).alias("value"), F.round("stderr", 12).alias("stderr")
+    )
+
+
+def corpus_quality_eval(spark: SparkSession, sf: str) -> DataFrame:
+    labels = read_table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    labelled = documents(spark, sf).join(labels, "doc_id")
+    return audit.corpus_quality_eval(labelled, id="doc_id")
+
+
+def tasks(spark: SparkSession, sf: str) -> DataFrame:
+    """The first block at which a uid shows a purchase, as its task request."""
+    return (
+        events(spark, sf)
+        .where("event_type = 'purchase'")
+        .groupBy("uid")
+        .agg(F.min("event_id").alias("task_id"), F.min("block").alias("request_block"))
+    )
+
+
+def submissions(spark: SparkSession, sf: str) -> DataFrame:
+    commits = events(spark, sf).withColumnRenamed("block", "commit_block")
+    return audit.elapsed_time(commits, tasks(spark, sf))
+
+
+def elapsed_time(spark: SparkSession, sf: str) -> DataFrame:
+    return submissions(spark, sf).select("event_id", "uid", "task_id", "elapsed")
+
+
+def submission_score(spark: SparkSession, sf: str) -> DataFrame:
+    gates = audit.similarity_gate(similarities(spark, sf), members(spark, sf), ["uid"])
+    judged = submissions(spark, sf).join(gates, "uid").select(
+        "event_id", "uid", "gate", F.col("score").alias("value"),
+        (F.col("cents") % 100 / 1000).alias("stderr"), "elapsed",
+    )
+    scored = audit.submission_score(judged)
+    return scored.select("event_id", "uid", F.round("score", 8).alias("score"))
+
+
+# --- commits and scores ----------------------------------------------------
+
+
+def commit_key(spark: SparkSession, sf: str) -> DataFrame:
+    key = F.concat(
+        F.lit("u/r"), F.col("uid").cast("string"), F.lit(":"), F.md5(F.col("commit")),
+        F.when(F.col("event_type") == "error", F.lit(":x")).otherwise(F.lit("")),
+    )
+    parsed = events(spark, sf).select("event_id", commits.commit_key(key).alias("k"))
+    return parsed.select("event_id", "k.url", "k.hash")
+
+
+def pair_hash(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "events").select(
+        "event_id", commits.pair_hash(F.col("event_type"), F.col("props")).alias("hash")
+    )
+
+
+def eligible_submitters(spark: SparkSession, sf: str) -> DataFrame:
+    kept = commits.eligible_submitters(events(spark, sf), members(spark, sf))
+    return kept.select("event_id", "uid")
+
+
+def observations(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as polls of the current commit, committed up to 9000 blocks before."""
+    return events(spark, sf).select(
+        "event_id", "uid", "commit", F.col("block").alias("seen_block"),
+        (F.col("block") - F.col("event_id") * 37 % 9000).alias("commit_block"),
+    )
+
+
+def late_commits(spark: SparkSession, sf: str) -> DataFrame:
+    return commits.late_commits(observations(spark, sf)).select("event_id", "late")
+
+
+def new_commits(spark: SparkSession, sf: str) -> DataFrame:
+    return commits.new_commits(observations(spark, sf))
+
+
+def stale_decay(spark: SparkSession, sf: str) -> DataFrame:
+    """Decays up to about four days after the last observation."""
+    seen = observations(spark, sf)
+    horizon = seen.agg(F.max("seen_block") + 30_000).scalar()
+    return commits.stale_decay(commits.new_commits(seen), horizon)
+
+
+def score_events(spark: SparkSession, sf: str) -> DataFrame:
+    return events(spark, sf).select(
+        "uid", F.col("block").alias("step"), F.col("event_id").alias("tie"), "score"
+    )
+
+
+def ema_score(spark: SparkSession, sf: str) -> DataFrame:
+    scored = scores.ema_score(score_events(spark, sf))
+    return scored.select("uid", F.round("score", 8).alias("score"))
+
+
+def latest_score(spark: SparkSession, sf: str) -> DataFrame:
+    log = score_events(spark, sf).withColumn(
+        "score", F.when(F.col("tie") % 3 != 0, F.col("score"))
+    )
+    return scores.latest_score(log, "tie")
+
+
+def dense_scores(spark: SparkSession, sf: str) -> DataFrame:
+    latest = scores.latest_score(score_events(spark, sf), "tie")
+    return scores.dense_scores(members(spark, sf), latest).select("netuid", "uid", "score")
+
+
+GROUP = ["netuid", "epoch"]
+
+
+def yearly_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """A skewed score per customer and year, grouped by nation and year."""
+    orders = read_table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("uid"), F.year("o_orderdate").alias("epoch"), "o_totalprice"
+    )
+    best = orders.groupBy("uid", "epoch").agg(F.max("o_totalprice").alias("price"))
+    score = F.round(F.pow(F.greatest(F.col("price") - 100000, F.lit(0.0)) / 100000, F.lit(4)), 4)
+    joined = best.join(members(spark, sf).drop("stake"), "uid")
+    return joined.select("netuid", "epoch", "uid", score.alias("score"))
+
+
+def yearly_weights(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(scores.l1_weights(yearly_scores(spark, sf), GROUP).drop("score"), "weights")
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select("netuid", "epoch", "uid", F.round("weight", 8).alias("weight"))
+
+
+def l1_weights(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(scores.l1_weights(yearly_scores(spark, sf), GROUP))
+
+
+def capped_weights(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(scores.capped_weights(yearly_weights(spark, sf), 0.05, GROUP))
+
+
+def process_weights(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(scores.process_weights(yearly_weights(spark, sf), 8, 0.05, GROUP, 6553))
+
+
+def process_weights_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The default: no quantile is left out; here with many members required."""
+    return _rounded(scores.process_weights(yearly_weights(spark, sf), 25, 0.1, GROUP))
+
+
+def emit_weights(spark: SparkSession, sf: str) -> DataFrame:
+    return scores.emit_weights(yearly_weights(spark, sf), GROUP)
+
+
+def weight_epochs(spark: SparkSession, sf: str) -> DataFrame:
+    return scores.weight_epochs(score_events(spark, sf))
+
+
+# --- training sequences ----------------------------------------------------
+
+
+def packed(spark: SparkSession, sf: str) -> DataFrame:
+    return sequences.pack_sequences(documents(spark, sf), id="doc_id")
+
+
+def pack_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    return packed(spark, sf).select(
+        "block", F.size("tokens").alias("n"), F.md5(F.array_join("tokens", " ")).alias("tokens_md5")
+    )
+
+
+def token_budget(spark: SparkSession, sf: str) -> DataFrame:
+    return sequences.token_budget(packed(spark, sf))
+
+
+def weighted_mix(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
+    turns = read_table(spark, sf, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("id")
+    )
+    mixed = sequences.weighted_mix(
+        {"documents": docs, "conversations": turns},
+        {"documents": 0.3, "conversations": 0.7},
+        docs.count(),
+        seed=7,
+    )
+    return mixed.select("source", "id", "copy")
+
+
+def batch_plan(spark: SparkSession, sf: str) -> DataFrame:
+    return sequences.batch_plan(packed(spark, sf).select("block"))
+
+
+def data_stages(spark: SparkSession, sf: str) -> DataFrame:
+    plan = sequences.batch_plan(packed(spark, sf).select("block"))
+    return sequences.data_stages(plan, steps=25, done=12)
+
+
+# --- sources and sinks -----------------------------------------------------
+
+
+def read_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """The page table as gzip crawl archives, written by Spark and read back."""
+    crlf = "\r\n"
+    payload = F.concat(
+        F.lit(f"HTTP/1.1 200 OK{crlf}Content-Type: text/html{crlf}{crlf}"), F.col("html")
+    )
+    record = F.concat(
+        F.lit(f"WARC/1.0{crlf}WARC-Type: response{crlf}WARC-Record-ID: <urn:page:"),
+        F.col("id").cast("string"),
+        F.lit(f">{crlf}WARC-Date: 2024-10-09T21:13:35Z{crlf}WARC-Target-URI: "),
+        F.col("url"),
+        F.lit(f"{crlf}Content-Length: "),
+        F.octet_length(payload).cast("string"),
+        F.lit(f"{crlf}{crlf}"),
+        payload,
+        F.lit(f"{crlf}"),
+    )
+    path = scratch_path(spark, "archives")
+    pages(spark, sf).select(record).write.option("compression", "gzip").option(
+        "lineSep", crlf
+    ).text(path)
+    archives = spark.read.text(path).inputFiles()
+    return warc.read_warc(spark, archives).select("id", "url", "date", F.md5("html").alias("html_md5"))
+
+
+def read_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "jsonl")
+    files.write_jsonl(read_table(spark, sf, "conversations"), path)
+    return files.read_jsonl(spark, path, "conv_id bigint, turn bigint, role string, text string")
+
+
+def write_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "jsonl")
+    docs = read_table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), "text", F.col("lang").alias("language"),
+        F.create_map(F.lit("source"), F.col("source")).alias("metadata"),
+    )
+    files.write_jsonl(docs, path)
+    back = files.read_jsonl(spark, path)
+    return back.select(
+        "id", "language", F.md5("text").alias("text_md5"), F.col("metadata")["source"].alias("source")
+    )
+
+
+def write_removed(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "removed")
+    files.write_removed(materialize(refined_pages(spark, sf), "refined"), path)
+    schema = "id bigint, drop_reason string"
+    by_stage = spark.read.schema(f"{schema}, drop_stage string").json(f"{path}/removed")
+    by_language = spark.read.schema(f"{schema}, language string").json(f"{path}/2_non_english")
+    nothing = F.lit(None).cast("string")
+    merged = by_stage.withColumn("language", nothing).unionByName(
+        by_language.withColumn("drop_stage", nothing)
+    )
+    return merged.withColumnRenamed("id", "page_id")
+
+
+def publish_dataset(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "source")
+    extra = read_table(spark, sf, "benchmark").select((-F.col("item_id") - 1).alias("doc_id"), "text")
+    path = files.publish_dataset(
+        [docs, extra], scratch_path(spark, "published"), "corpus", datetime(2024, 10, 9, 21)
+    )
+    published = spark.read.parquet(path)
+    return published.select("doc_id", F.md5("text").alias("text_md5"), "source", "split")
+
+
+def report_scores(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "reports")
+    rows = score_events(spark, sf).select(F.col("tie").alias("task_id"), "uid", "score")
+    for batch_id, part in enumerate((rows.where("uid < 50"), rows.where("uid >= 50"))):
+        files.report_scores(part, path, batch_id)
+        files.report_scores(part, path, batch_id)  # a repeated batch adds nothing
+    return spark.read.parquet(f"{path}/reports").select("task_id", "score")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         url_filter, extract_main_text, language_filter, gopher_repetition, gopher_quality,
         c4_quality, fineweb_quality, refine_corpus, stage_stats, pii_mask, token_count,
         token_totals, shingles, minhash_signature, lsh_candidates, dedup_clusters,
-        dedup_cluster_sizes, minhash_dedup,
+        dedup_cluster_sizes, minhash_dedup, sample_rows, sample_rows_by_source, lookup_sources,
+        content_words, word_overlap, audit_corpus, similarity_gate, parse_eval_log, eval_summary,
+        corpus_quality_eval, elapsed_time, submission_score, commit_key, pair_hash,
+        eligible_submitters, late_commits, new_commits, stale_decay, ema_score, latest_score,
+        dense_scores, l1_weights, capped_weights, process_weights, process_weights_all,
+        emit_weights, weight_epochs, pack_sequences, token_budget, weighted_mix, batch_plan,
+        data_stages, read_warc, read_jsonl, write_jsonl, write_removed, publish_dataset,
+        report_scores,
     )
 }
