@@ -70,13 +70,23 @@ i AS (SELECT *, (sum(documents) OVER (ORDER BY stage DESC))::BIGINT AS documents
 SELECT *, documents_in - CASE WHEN stage <> 'kept' THEN documents ELSE 0 END AS documents_left FROM i"""
 
 _IP = pii.IP.removeprefix(r"\b").removesuffix(r"\b")
-ORACLE["pii_mask"] = rf"""
-WITH mails AS (SELECT doc_id, regexp_replace(text, '{pii.EMAIL}', '{pii.MASK_EMAIL}', 'g') AS t
-               FROM documents),
-wrapped AS (SELECT doc_id, regexp_replace(t, '\b({_IP})\b', chr(1) || '\1' || chr(2), 'g') AS t FROM mails),
-opened AS (SELECT doc_id, regexp_replace(
-  t, chr(1) || '((?:{'|'.join(pii.PRIVATE)})[0-9.]*)' || chr(2), '\1', 'g') AS t FROM wrapped)
-SELECT doc_id, regexp_replace(t, chr(1) || '[0-9.]+' || chr(2), '{pii.MASK_IP}', 'g') AS text FROM opened"""
+
+
+def masked(src: str) -> str:
+    """CTEs ending in `masked`(doc_id, text) over `src`(doc_id, text)."""
+    private = "|".join(pii.PRIVATE)
+    return rf"""
+    mails AS (SELECT doc_id, regexp_replace(text, '{pii.EMAIL}', '{pii.MASK_EMAIL}', 'g') AS t
+              FROM {src}),
+    wrapped AS (SELECT doc_id,
+      regexp_replace(t, '\b({_IP})\b', chr(1) || '\1' || chr(2), 'g') AS t FROM mails),
+    opened AS (SELECT doc_id, regexp_replace(
+      t, chr(1) || '((?:{private})[0-9.]*)' || chr(2), '\1', 'g') AS t FROM wrapped),
+    masked AS (SELECT doc_id, regexp_replace(
+      t, chr(1) || '[0-9.]+' || chr(2), '{pii.MASK_IP}', 'g') AS text FROM opened)"""
+
+
+ORACLE["pii_mask"] = f"WITH {masked('documents')} SELECT doc_id, text FROM masked"
 _TOKENS = f"len(regexp_extract_all(text, '{TOKEN}'))"
 ORACLE["token_count"] = f"SELECT doc_id, {_TOKENS} AS token_count FROM documents"
 ORACLE["token_totals"] = f"""SELECT count(*) AS documents, sum({_TOKENS})::BIGINT AS tokens
@@ -95,6 +105,13 @@ _TERMS = " + ".join(
 _PERMUTATIONS = ", ".join(
     f"({k}, {a}, {b})" for k, (a, b) in enumerate(mh.permutations(MINHASH_BANDS * MINHASH_ROWS))
 )
+
+
+def clustered(source: str) -> str:
+    """The CTEs below with another relation (doc_id, text) as input."""
+    return CLUSTERS.replace("FROM documents)", f"FROM {source})")
+
+
 SIGNATURES = f"""words AS (
   SELECT doc_id, generate_subscripts(w, 1) AS pos, unnest(w) AS word
   FROM (SELECT doc_id, {_FOLDED} AS w FROM documents)),
@@ -293,14 +310,14 @@ def capped(src: str, out: str, limit: float) -> str:
 
 def processed(src: str, out: str, min_allowed: int, limit: float, quantile: float) -> str:
     return f"""
-    {out}_s AS (
+    {out}_m AS (
       SELECT *, count(*) OVER g AS n, count(*) FILTER (WHERE weight > 0) OVER g AS positive
       FROM {src} WINDOW g AS (PARTITION BY netuid, epoch)),
     {out}_q AS (
       SELECT netuid, epoch, list_sort(list(weight)) AS ws,
              least({quantile}::DOUBLE, greatest(max(positive) - {min_allowed}, 0)::DOUBLE / max(positive))
              * (count(*) - 1) AS spot
-      FROM {out}_s WHERE weight > 0 GROUP BY netuid, epoch),
+      FROM {out}_m WHERE weight > 0 GROUP BY netuid, epoch),
     {out}_l AS (
       SELECT netuid, epoch, ws[floor(spot)::INT + 1]
              + (ws[ceil(spot)::INT + 1] - ws[floor(spot)::INT + 1]) * (spot - floor(spot)) AS low
@@ -309,7 +326,7 @@ def processed(src: str, out: str, min_allowed: int, limit: float, quantile: floa
       SELECT s.netuid, s.epoch, uid,
         CASE WHEN positive = 0 OR n < {min_allowed} THEN 0.0
              WHEN positive < {min_allowed} THEN 1e-5 + greatest(weight, 0) ELSE weight END AS weight
-      FROM {out}_s s LEFT JOIN {out}_l l ON l.netuid = s.netuid AND l.epoch = s.epoch
+      FROM {out}_m s LEFT JOIN {out}_l l ON l.netuid = s.netuid AND l.epoch = s.epoch
       WHERE positive < {min_allowed} OR n < {min_allowed} OR (weight > 0 AND weight >= low)),
     {capped(f'{out}_a', out, limit)}"""
 
@@ -389,3 +406,56 @@ ORACLE["publish_dataset"] = """
 SELECT doc_id, md5(text) AS text_md5, source, 'train' AS split FROM documents
 UNION ALL SELECT -item_id - 1, md5(text), NULL, 'train' FROM benchmark"""
 ORACLE["report_scores"] = f"WITH {EVENTS} SELECT event_id AS task_id, score FROM ev"
+
+# --- streaming ---------------------------------------------------------------------
+
+ORACLE["commit_stream"] = f"""WITH RECURSIVE {OBSERVED}, polls AS (
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY seen_block, commit_block, commit) AS k
+  FROM seen WHERE commit IS NOT NULL),
+replay(uid, k, last, timer, kind, commit, block) AS (
+  SELECT DISTINCT uid, 0::BIGINT, NULL::VARCHAR, 0::BIGINT, NULL::VARCHAR, NULL::VARCHAR, NULL::BIGINT
+  FROM polls
+  UNION ALL
+  SELECT uid, k, CASE WHEN kind IS NULL THEN last ELSE commit END,
+         CASE kind WHEN 'commit' THEN commit_block WHEN 'decay' THEN seen_block ELSE timer END,
+         kind, commit, seen_block
+  FROM (SELECT p.*, r.last, r.timer, CASE
+          WHEN seen_block - commit_block < 7200 AND p.commit IS DISTINCT FROM r.last THEN 'commit'
+          WHEN seen_block - r.timer > 7200 THEN 'decay' END AS kind
+        FROM replay r JOIN polls p ON p.uid = r.uid AND p.k = r.k + 1))
+SELECT uid, kind, commit, block FROM replay WHERE kind IS NOT NULL"""
+ORACLE["score_stream"] = f"""WITH {SUBMITTED}, {GATES}, scored AS (
+  SELECT s.uid, block, event_id, CASE WHEN gate = 0 THEN 0.0::DOUBLE ELSE
+    0.7::DOUBLE * score * (1 - (cents % 100) / 1000.0::DOUBLE)
+    + 0.3::DOUBLE * (1 - greatest(least(elapsed, 86400), 0) / 86400.0::DOUBLE) END AS score
+  FROM submitted s JOIN gates g ON g.uid = s.uid),
+aged AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY block DESC, event_id DESC) - 1 AS age
+         FROM scored)
+SELECT uid, round(sum(0.2::DOUBLE * score * pow(0.8::DOUBLE, age)), 8) AS score FROM aged GROUP BY uid"""
+ORACLE["weight_stream"] = f"""WITH {EVENTS}, last AS (
+  SELECT uid, (block // 100 + 1) * 100 AS epoch, sqrt(arg_max(score, (block, event_id))) AS score
+  FROM ev GROUP BY ALL HAVING (block // 100 + 1) * 100 <= (SELECT max(block) - 100 FROM ev)),
+spans AS (
+  SELECT *, coalesce(lead(epoch) OVER (PARTITION BY uid ORDER BY epoch),
+                     (SELECT max(epoch) + 100 FROM last)) AS until FROM last),
+filled AS (SELECT unnest(range(epoch, until, 100)) AS epoch, uid, score FROM spans),
+vectors AS (
+  SELECT 0 AS netuid, epoch, uid, score / CASE WHEN norm = 0 THEN 1.0 ELSE norm END AS weight
+  FROM (SELECT *, sum(abs(score)) OVER (PARTITION BY epoch) AS norm FROM filled)),
+{processed('vectors', 'r', 8, 0.1, 0.0)},
+scaled AS (SELECT *, max(weight) OVER (PARTITION BY epoch) AS top FROM r)
+SELECT epoch, uid, round_even(weight / top * 65535, 0)::INT AS w_u16 FROM scaled
+WHERE top > 0 AND round_even(weight / top * 65535, 0) <> 0"""
+ORACLE["chunk_reassembly"] = """
+SELECT conv_id, md5(string_agg(replace(text, chr(10), ''), '' ORDER BY turn)) AS completion_md5
+FROM conversations GROUP BY conv_id"""
+ORACLE["chunk_stream"] = ORACLE["chunk_reassembly"]
+ORACLE["refine_stream"] = f"""WITH RECURSIVE {REFINED},
+kept AS (SELECT id AS doc_id, text FROM refined WHERE drop_stage IS NULL),
+{clustered('kept')},
+distinct_docs AS (SELECT doc_id, text FROM kept
+                  WHERE doc_id NOT IN (SELECT id FROM clusters WHERE id <> component)),
+{masked('distinct_docs')}
+SELECT m.doc_id AS page_id, len(regexp_extract_all(d.text, '{TOKEN}')) AS token_count,
+       md5(m.text) AS text_md5
+FROM masked m JOIN distinct_docs d ON d.doc_id = m.doc_id"""

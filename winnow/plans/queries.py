@@ -22,6 +22,7 @@ from winnow.plans import refine
 from winnow.session import materialize, scratch_path
 from winnow.sources import files, warc
 from winnow.sources.tables import read_table, spread
+from winnow.streaming import chunks, commits as commit_streams, refine as refine_streams, runner
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,7 +181,10 @@ def audit_corpus(spark: SparkSession, sf: str) -> DataFrame:
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
     """Events as submissions: uid, block of 12 seconds, commit, score in 0..1."""
-    table = read_table(spark, sf, "events")
+    return event_columns(read_table(spark, sf, "events"))
+
+
+def event_columns(table: DataFrame) -> DataFrame:
     seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
     cents = F.round(F.col("value") * 100).cast("long")
     return table.select(
@@ -303,7 +307,11 @@ def eligible_submitters(spark: SparkSession, sf: str) -> DataFrame:
 
 def observations(spark: SparkSession, sf: str) -> DataFrame:
     """Events as polls of the current commit, committed up to 9000 blocks before."""
-    return events(spark, sf).select(
+    return observed_columns(events(spark, sf))
+
+
+def observed_columns(table: DataFrame) -> DataFrame:
+    return table.select(
         "event_id", "uid", "commit", F.col("block").alias("seen_block"),
         (F.col("block") - F.col("event_id") * 37 % 9000).alias("commit_block"),
     )
@@ -513,6 +521,84 @@ def report_scores(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{path}/reports").select("task_id", "score")
 
 
+# --- streaming -------------------------------------------------------------
+
+
+def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    schema = read_table(spark, sf, name).schema
+    return runner.file_stream(spark, sf, schema, f"{name}.parquet")
+
+
+def event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return event_columns(table_stream(spark, sf, "events"))
+
+
+def commit_stream(spark: SparkSession, sf: str) -> DataFrame:
+    polled = observed_columns(event_stream(spark, sf))
+    path = runner.run_available(commit_streams.commit_stream(polled), scratch_path(spark, "commits"))
+    return spark.read.parquet(f"{path}/rows")
+
+
+def score_stream(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "scores")
+    gates = audit.similarity_gate(similarities(spark, sf), members(spark, sf), ["uid"])
+    known = materialize(tasks(spark, sf).join(gates, "uid"), "tasks")
+    submitted = event_stream(spark, sf).select(
+        "uid", F.col("block").alias("step"), F.col("event_id").alias("tie"),
+        F.col("block").alias("commit_block"), F.col("score").alias("value"),
+        (F.col("cents") % 100 / 1000).alias("stderr"),
+    )
+    runner.run_available(submitted, path, commit_streams.score_batches(known, path))
+    newest = spark.read.parquet(f"{path}/scores")
+    newest = newest.where(F.col("batch") == newest.agg(F.max("batch")).scalar())
+    return newest.select("uid", F.round("score", 8).alias("score"))
+
+
+def weight_stream(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "weights")
+    scored = event_stream(spark, sf).select(
+        commit_streams.block_time(F.col("block")).alias("ts"), "uid",
+        F.col("block").alias("step"), F.col("event_id").alias("tie"),
+        F.sqrt("score").alias("score"),  # keeps the integer weights away from rounding ties
+    )
+    runner.run_available(
+        commit_streams.window_scores(scored), path, commit_streams.weight_batches(path, 8, 0.1)
+    )
+    return spark.read.parquet(f"{path}/weights").select("epoch", "uid", "w_u16")
+
+
+def conversation_chunks(table: DataFrame) -> DataFrame:
+    return table.select("conv_id", F.col("turn").alias("seq"), F.col("text").alias("chunk"))
+
+
+def chunk_reassembly(spark: SparkSession, sf: str) -> DataFrame:
+    whole = chunks.chunk_reassembly(conversation_chunks(read_table(spark, sf, "conversations")))
+    return whole.select("conv_id", F.md5("completion").alias("completion_md5"))
+
+
+def chunk_stream(spark: SparkSession, sf: str) -> DataFrame:
+    arriving = conversation_chunks(table_stream(spark, sf, "conversations"))
+    path = runner.run_available(chunks.chunk_stream(arriving), scratch_path(spark, "chunks"))
+    pieces = spark.read.parquet(f"{path}/rows")
+    whole = chunks.chunk_reassembly(
+        pieces.select("conv_id", F.col("at").alias("seq"), F.col("text").alias("chunk"))
+    )
+    return whole.select("conv_id", F.md5("completion").alias("completion_md5"))
+
+
+def refine_stream(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "corpus")
+    settings = refine.RefineSettings(domains=BLOCKED_DOMAINS, words=BLOCKED_WORDS)
+    arriving = table_stream(spark, sf, "pages").select(
+        F.col("page_id").alias("id"), "url", "html"
+    )
+    step = refine_streams.refine_batches(profiles(spark, sf), path, settings)
+    runner.run_available(arriving, path, step)
+    return spark.read.parquet(f"{path}/corpus").select(
+        F.col("id").alias("page_id"), "token_count", F.md5("text").alias("text_md5")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -526,6 +612,7 @@ QUERIES = {
         dense_scores, l1_weights, capped_weights, process_weights, process_weights_all,
         emit_weights, weight_epochs, pack_sequences, token_budget, weighted_mix, batch_plan,
         data_stages, read_warc, read_jsonl, write_jsonl, write_removed, publish_dataset,
-        report_scores,
+        report_scores, commit_stream, score_stream, weight_stream, chunk_reassembly, chunk_stream,
+        refine_stream,
     )
 }
