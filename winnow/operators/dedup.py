@@ -75,28 +75,28 @@ def lsh_candidates(sigs: DataFrame, id: str = "id", rows: int = MINHASH_ROWS) ->
     )
 
 
-def _smallest_neighbour(links: DataFrame) -> DataFrame:
+def _smallest_neighbour(links: DataFrame, at_most: int) -> DataFrame:
     """(u, v, m): links with the smallest v of their u."""
     smallest = links.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
-    return join_totals(links, smallest, ["u"])
+    return join_totals(links, smallest, ["u"], at_most=at_most)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, size: int) -> DataFrame:
     """Hang every larger neighbour of a node on the smallest one."""
     links = edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     return (
-        _smallest_neighbour(both)
+        _smallest_neighbour(both, 2 * size)
         .where("v > u")
         .select(F.col("v").alias("src"), F.least("m", "u").alias("dst"))
         .distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, size: int) -> DataFrame:
     """Hang a node and its smaller neighbours on the smallest one."""
     links = edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))
-    joined = _smallest_neighbour(links)
+    joined = _smallest_neighbour(links, size)
     return (
         joined.select(F.col("v").alias("src"), F.col("m").alias("dst"))
         .unionByName(joined.select(F.col("u").alias("src"), F.col("m").alias("dst")))
@@ -105,10 +105,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def _fingerprint(edges: DataFrame):
-    return edges.agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("src", "dst")).alias("x")
+def _shape(edges: DataFrame) -> tuple[int, bool]:
+    """(number of edges, whether every node is a root or a leaf with one edge)."""
+    ends = edges.select(F.col("src").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("dst").alias("node"), F.lit(0).alias("up"),
+                                         F.lit(1).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    row = nodes.agg(
+        F.sum("up").alias("edges"),
+        F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).alias("loose"),
     ).first()
+    return row["edges"] or 0, not row["loose"]
 
 
 def dedup_clusters(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -116,7 +123,7 @@ def dedup_clusters(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternates large-star and small-star steps (Kiveris et al. 2014), which need about the
     logarithm of the component size in rounds. Each step is a grouped minimum and a join,
-    written to shared storage, until a round changes nothing and every component is a star.
+    written to shared storage, until every component is a star.
     """
     current = materialize(
         edges.where("src != dst")
@@ -124,14 +131,13 @@ def dedup_clusters(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct(),
         "edges",
     )
-    seen = _fingerprint(current)
     for _ in range(max_rounds):
-        halfway = materialize(_large_star(current), "large-star")
-        current = materialize(_small_star(halfway), "small-star")
-        now = _fingerprint(current)
-        if now == seen:
+        size, stars = _shape(current)
+        if stars:
             break
-        seen = now
+        # A large-star step replaces edges one by one, so `size` still bounds its result.
+        halfway = materialize(_large_star(current, size), "large-star")
+        current = materialize(_small_star(halfway, size), "small-star")
     else:
         raise RuntimeError(f"components not settled after {max_rounds} rounds")
     roots = current.select(F.col("dst").alias("id"), F.col("dst").alias("component")).distinct()

@@ -41,9 +41,13 @@ def unescape(text: Column) -> Column:
     """Named entities of the table above and decimal character references."""
     for name, char in ENTITIES.items():
         text = F.replace(text, F.lit(name), F.lit(char))
+    return F.replace(let(text, _decode_numbers), F.lit("&amp;"), F.lit("&"))
+
+
+def _decode_numbers(text: Column) -> Column:
     codes = F.array_distinct(F.regexp_extract_all(text, F.lit(NUMERIC_PATTERN), F.lit(1)))
     codes = F.filter(codes, lambda c: c.cast("int").between(32, 0xD7FF))
-    text = F.aggregate(
+    return F.aggregate(
         codes,
         text,
         lambda acc, c: F.replace(
@@ -52,7 +56,6 @@ def unescape(text: Column) -> Column:
             F.decode(F.unhex(F.lpad(F.hex(c.cast("long")), 8, "0")), "UTF-32"),
         ),
     )
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
 
 
 def _plain(html: Column) -> Column:

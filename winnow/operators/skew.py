@@ -21,13 +21,21 @@ def hot_keys(totals: DataFrame, rows: str = "_n") -> DataFrame:
 
 
 def join_totals(
-    df: DataFrame, totals: DataFrame, on: list[str], rows: str = "_n", how: str = "inner"
+    df: DataFrame,
+    totals: DataFrame,
+    on: list[str],
+    rows: str = "_n",
+    how: str = "inner",
+    at_most: int | None = None,
 ) -> DataFrame:
     """Attach one row per key to all rows of the key.
 
     Rows of hot keys meet a bounded broadcast and are never shuffled; the others meet an
     ordinary join in which no key is large. `totals` holds `rows`, the row count per key.
+    `at_most` is a known bound on the rows of `df`: too few for any hot key, one join will do.
     """
+    if at_most is not None and at_most < HOT_ROWS:
+        return df.join(totals.drop(rows), on, how)
     hot = hot_keys(totals, rows)
     spread_out = df.join(F.broadcast(hot), on, "inner").drop(rows)
     others = df.join(F.broadcast(hot.select(*on)), on, "left_anti")

@@ -433,8 +433,9 @@ aged AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY block DESC, even
          FROM scored)
 SELECT uid, round(sum(0.2::DOUBLE * score * pow(0.8::DOUBLE, age)), 8) AS score FROM aged GROUP BY uid"""
 ORACLE["weight_stream"] = f"""WITH {EVENTS}, last AS (
-  SELECT uid, (block // 100 + 1) * 100 AS epoch, sqrt(arg_max(score, (block, event_id))) AS score
-  FROM ev GROUP BY ALL HAVING (block // 100 + 1) * 100 <= (SELECT max(block) - 100 FROM ev)),
+  SELECT uid, (block // 100 + 1) * 100 AS epoch, sqrt(score) AS score FROM ev
+  WHERE (block // 100 + 1) * 100 <= (SELECT max(block) - 100 FROM ev)
+  QUALIFY row_number() OVER (PARTITION BY uid, block // 100 ORDER BY block DESC, event_id DESC) = 1),
 spans AS (
   SELECT *, coalesce(lead(epoch) OVER (PARTITION BY uid ORDER BY epoch),
                      (SELECT max(epoch) + 100 FROM last)) AS until FROM last),

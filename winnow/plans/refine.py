@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from winnow.functions.limits import C4Quality, FineWebQuality, GopherQuality, GopherRepetition
+from winnow.functions.text import let
 from winnow.operators import extract, language, quality, url
 
 STAGES = (
@@ -26,46 +27,51 @@ class RefineSettings:
     fineweb: FineWebQuality = FineWebQuality()
 
 
-def _stage(df: DataFrame, stage: str, reason) -> DataFrame:
-    """Judge the rows that are still in; the first failing stage owns the drop."""
-    undecided = F.col("drop_stage").isNull()
-    judged = df.withColumn("_reason", F.when(undecided, reason))
-    return (
-        judged.withColumn("drop_stage", F.when(undecided & F.col("_reason").isNotNull(), stage)
-                          .otherwise(F.col("drop_stage")))
-        .withColumn("drop_reason", F.coalesce("drop_reason", "_reason"))
-        .drop("_reason")
+def _stage(drop: Column, stage: str, reason: Column) -> Column:
+    """Judge a row that is still in; the first failing stage owns the drop.
+
+    COALESCE does not evaluate the reason for a row that is already out.
+    """
+    failed = let(
+        reason,
+        lambda r: F.when(r.isNotNull(), F.struct(F.lit(stage).alias("stage"), r.alias("reason"))),
     )
+    return F.coalesce(drop, failed)
 
 
 def refine(
     pages: DataFrame, profiles: language.Profiles, settings: RefineSettings = RefineSettings()
 ) -> DataFrame:
-    """(id, url, html) in; every row out with its text and, if dropped, stage and reason.
+    """(id, url, html, ...) in; every row out with its text and, if dropped, stage and reason.
 
     One pass without a shuffle. Work on rows that are already out is skipped: later stages see
     a NULL text for them.
     """
-    nothing = F.lit(None).cast("string")
     s = settings
-    df = pages.withColumn("drop_stage", nothing).withColumn("drop_reason", nothing)
-    df = _stage(df, STAGES[0], url.url_reason(F.col("url"), s.domains, s.words))
+    drop, text = F.col("_drop"), F.col("text")
+    inside = F.when(drop.isNull(), text)
+    nothing = F.lit(None).cast("struct<stage:string,reason:string>")
+    url_verdict = _stage(nothing, STAGES[0], url.url_reason(F.col("url"), s.domains, s.words))
+    df = pages.withColumn("_drop", url_verdict)
+    df = df.withColumn("text", F.when(drop.isNull(), extract.main_text(F.col("html")))).drop("html")
 
-    inside = F.col("drop_stage").isNull()
-    df = df.withColumn("text", F.when(inside, extract.main_text(F.col("html")))).drop("html")
     df = language.with_language(df, profiles)
-    df = _stage(df, STAGES[1], language.language_reason(s.target, s.min_score))
+    target = language.language_reason(s.target, s.min_score)
+    df = df.withColumn("_drop", _stage(drop, STAGES[1], target))
 
-    df = df.withColumn("_text", F.when(inside, F.col("text")))
-    df = df.withColumn("_repeated", quality.repeated_word_chars(F.col("_text"), s.repetition))
-    repetition = quality.repetition_reason(F.col("_text"), F.col("_repeated"), s.repetition)
-    df = _stage(df, STAGES[2], repetition).drop("_text", "_repeated")
-    df = _stage(df, STAGES[3], quality.quality_reason(F.col("text"), s.quality))
+    df = df.withColumn("_repeated", quality.repeated_word_chars(inside, s.repetition))
+    repetition = quality.repetition_reason(text, F.col("_repeated"), s.repetition)
+    general = quality.quality_reason(text, s.quality)
+    verdict = _stage(_stage(drop, STAGES[2], repetition), STAGES[3], general)
+    df = df.withColumn("_drop", verdict).drop("_repeated")
 
-    df = df.withColumn("_cleaned", F.when(inside, quality.c4_text(F.col("text"), s.c4)))
-    df = _stage(df, STAGES[4], quality.c4_reason(F.col("text"), F.col("_cleaned"), s.c4))
-    df = df.withColumn("text", F.coalesce("_cleaned", "text")).drop("_cleaned")
-    return _stage(df, STAGES[5], quality.fineweb_reason(F.col("text"), s.fineweb))
+    df = df.withColumn("_cleaned", F.when(drop.isNull(), quality.c4_text(text, s.c4)))
+    cleaned = F.col("_cleaned")
+    by_c4 = _stage(drop, STAGES[4], quality.c4_reason(text, cleaned, s.c4))
+    by_lines = _stage(by_c4, STAGES[5], quality.fineweb_reason(cleaned, s.fineweb))
+    return df.withColumns({"_drop": by_lines, "text": F.coalesce(cleaned, text)}).withColumns(
+        {"drop_stage": F.col("_drop.stage"), "drop_reason": F.col("_drop.reason")}
+    ).drop("_drop", "_cleaned")
 
 
 def kept(refined: DataFrame) -> DataFrame:
@@ -83,8 +89,6 @@ def stage_stats(refined: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars"),
     )
     # The window runs over one row per stage.
-    from pyspark.sql import Window
-
     later = Window.partitionBy(F.lit(1)).orderBy("stage").rowsBetween(
         Window.currentRow, Window.unboundedFollowing
     )
