@@ -57,19 +57,22 @@ def band_keys(sigs: DataFrame, id: str = "id", rows: int = MINHASH_ROWS) -> Data
     return sigs.select(id, F.posexplode(keys).alias("band", "key"))
 
 
-def lsh_candidates(sigs: DataFrame, id: str = "id", rows: int = MINHASH_ROWS) -> DataFrame:
+def lsh_candidates(
+    sigs: DataFrame, id: str = "id", rows: int = MINHASH_ROWS, bands: int = MINHASH_BANDS
+) -> DataFrame:
     """(src, dst): a star around the smallest id of every band bucket.
 
     A bucket of n texts gives n - 1 edges instead of n * (n - 1) / 2 pairs, and the stars
-    connect the same texts.
+    connect the same texts. Give materialized signatures: they are counted and read twice.
     """
+    at_most = sigs.count() * bands
     bands = band_keys(sigs, id, rows)
     buckets = (
         bands.groupBy("band", "key")
         .agg(F.min(id).alias("dst"), F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
     )
-    members = join_totals(bands, buckets, ["band", "key"])
+    members = join_totals(bands, buckets, ["band", "key"], at_most=at_most)
     return (
         members.where(F.col(id) != F.col("dst")).select(F.col(id).alias("src"), "dst").distinct()
     )

@@ -62,10 +62,10 @@ def dense_scores(members: DataFrame, scores: DataFrame) -> DataFrame:
     )
 
 
-def l1_weights(scores: DataFrame, group: list[str]) -> DataFrame:
+def l1_weights(scores: DataFrame, group: list[str], at_most: int | None = None) -> DataFrame:
     """score / sum of absolute scores as `weight`; a group with a NaN is left out whole."""
     summed = with_totals(
-        scores, group, _norm=F.sum(F.abs("score")), _nan=F.bool_or(F.isnan("score"))
+        scores, group, at_most, _norm=F.sum(F.abs("score")), _nan=F.bool_or(F.isnan("score"))
     )
     norm = F.when(F.col("_norm") == 0, F.lit(1.0)).otherwise(F.col("_norm"))
     return (
@@ -73,7 +73,9 @@ def l1_weights(scores: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def capped_weights(df: DataFrame, limit: float, group: list[str]) -> DataFrame:
+def capped_weights(
+    df: DataFrame, limit: float, group: list[str], at_most: int | None = None
+) -> DataFrame:
     """Weights scaled to sum 1 with none above `limit`; the excess is spread over the others.
 
     Uniform when the weights sum to 0 or the limit leaves no room. Weights that sum to 1 have
@@ -116,9 +118,8 @@ def capped_weights(df: DataFrame, limit: float, group: list[str]) -> DataFrame:
             F.sum(F.greatest(F.col("weight") - F.col("_cutoff"), F.lit(0.0))).alias("_excess"),
         )
     )
-    joined = join_totals(
-        df, totals.withColumn("_count", F.col("_n")).join(cutoffs, group, "left"), group
-    )
+    known = totals.withColumn("_count", F.col("_n")).join(cutoffs, group, "left")
+    joined = join_totals(df, known, group, at_most=at_most)
     weight = (
         F.when((F.col("_sum") == 0) | (F.col("_count") * limit <= 1), 1 / F.col("_count"))
         .when(F.col("_max") <= limit, F.col("weight") / F.col("_sum"))
@@ -151,7 +152,12 @@ def _quantiles(positive: DataFrame, group: list[str], min_allowed: int, q: float
 
 
 def process_weights(
-    df: DataFrame, min_allowed: int, limit: float, group: list[str], exclude_quantile: int = 0
+    df: DataFrame,
+    min_allowed: int,
+    limit: float,
+    group: list[str],
+    exclude_quantile: int = 0,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Final weights of a group of members.
 
@@ -159,8 +165,13 @@ def process_weights(
     allowed: a small floor under everyone, then the cap. Otherwise the positive weights from
     the given quantile up, then the cap.
     """
-    counted = with_totals(df, group, _members=F.count(F.lit(1)),
-                          _positive=F.count_if(F.col("weight") > 0))
+    counted = with_totals(
+        df,
+        group,
+        at_most,
+        _members=F.count(F.lit(1)),
+        _positive=F.count_if(F.col("weight") > 0),
+    )
     if exclude_quantile:
         counted = materialize(counted, "weights")
     uniform = (F.col("_positive") == 0) | (F.col("_members") < min_allowed)
@@ -170,7 +181,7 @@ def process_weights(
         positive = counted.where(enough & (F.col("weight") > 0))
         low = _quantiles(positive, group, min_allowed, exclude_quantile / U16_MAX)
         sizes = counted.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-        counted = join_totals(counted, sizes.join(low, group, "left"), group)
+        counted = join_totals(counted, sizes.join(low, group, "left"), group, at_most=at_most)
         in_range = F.col("weight") >= F.col("_low")
     else:
         in_range = F.lit(True)
@@ -180,16 +191,16 @@ def process_weights(
         .otherwise(F.col("weight"))
     )
     chosen = counted.where(~enough | ((F.col("weight") > 0) & in_range))
-    chosen = chosen.withColumn("weight", adjusted).select(*df.columns)
-    return capped_weights(materialize(chosen, "weights"), limit, group)
+    chosen = materialize(chosen.withColumn("weight", adjusted).select(*df.columns), "weights")
+    return capped_weights(chosen, limit, group, chosen.count())
 
 
-def emit_weights(df: DataFrame, group: list[str]) -> DataFrame:
+def emit_weights(df: DataFrame, group: list[str], at_most: int | None = None) -> DataFrame:
     """(group, uid, w_u16): weights with the largest scaled to 65535, zeros left out.
 
     A negative weight or uid fails the job. A group without weight gives no rows.
     """
-    scaled = with_totals(df, group, _top=F.max("weight"))
+    scaled = with_totals(df, group, at_most, _top=F.max("weight"))
     checked = F.when(
         F.col("weight") < 0, F.raise_error(F.lit("negative weight")).cast("double")
     ).when(F.col("uid") < 0, F.raise_error(F.lit("negative uid")).cast("double"))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from winnow.functions.text import count_tokens, let, tokens
 from winnow.operators.audit import sample_key
 from winnow.operators.skew import ranked
+from winnow.session import materialize
 
 # The training budget and its two stages.
 SEQUENCE_LENGTH = 2048
@@ -34,7 +35,9 @@ def pack_sequences(
     Token offsets come from a distributed running sum over (id, count). Each text is cut into
     its pieces where it is, and pieces, not tokens, go to the block they belong to.
     """
-    counts = df.select(id, count_tokens(F.col(text)).cast("long").alias("_n")).where("_n > 0")
+    counted = df.select(id, count_tokens(F.col(text)).cast("long").alias("_n"))
+    # Written once: range partitioning reads its input twice, and that should not be the text.
+    counts = materialize(counted, "counts").where("_n > 0")
     starts = ranked(counts, [], [F.col(id)], F.col("_n")).select(
         id, "_n", F.col("_before").alias("_start")
     )
@@ -58,7 +61,8 @@ def pack_sequences(
             F.sequence(first_block, last_block), lambda block: piece(words, block)
         ),
     )
-    parts = df.join(starts, id).select(F.inline(pieces))
+    # The cutting is the costly part: a merge join keeps it spread like the texts.
+    parts = df.join(starts.hint("merge"), id).select(F.inline(pieces))
     # A block holds at most seq_len tokens, so the list per block is bounded.
     ordered = F.array_sort(F.collect_list(F.struct("at", "part")))
     return (

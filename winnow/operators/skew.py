@@ -43,12 +43,14 @@ def join_totals(
     return spread_out.unionByName(shuffled)
 
 
-def with_totals(df: DataFrame, on: list[str], **aggregates: Column) -> DataFrame:
+def with_totals(
+    df: DataFrame, on: list[str], at_most: int | None = None, **aggregates: Column
+) -> DataFrame:
     """Every row with aggregates over its group; a window would put a group in one task."""
     totals = df.groupBy(*on).agg(
         F.count(F.lit(1)).alias("_n"), *[agg.alias(name) for name, agg in aggregates.items()]
     )
-    return join_totals(df, totals, on)
+    return join_totals(df, totals, on, at_most=at_most)
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[Column], value: Column | None = None):

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.functions.urls import host, host_suffixes
 from winnow.operators.skew import join_totals
+from winnow.session import materialize
 
 MAX_INLINE_DOMAINS = 10_000
+MAX_BROADCAST_HOSTS = 500_000
 
 
 def _word_rule(url: Column, words: list[str]) -> Column:
@@ -58,7 +60,11 @@ def url_filter(
             .agg(F.first("_n").alias("_n"))
             .withColumn("_blocked", F.lit(True))
         )
-        joined = join_totals(marked, blocked, ["_host"], how="left")
+        blocked = materialize(blocked, "blocked-hosts")
+        if blocked.count() <= MAX_BROADCAST_HOSTS:
+            joined = marked.join(F.broadcast(blocked.drop("_n")), "_host", "left")
+        else:
+            joined = join_totals(marked, blocked, ["_host"], how="left")
         reason = F.when(F.col("_blocked"), "domain").when(
             _word_rule(F.col(url), list(words)), "word"
         )

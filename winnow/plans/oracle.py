@@ -35,6 +35,7 @@ SELECT id AS doc_id, md5(text) AS text_md5, reason IS NULL AS keep, reason AS dr
 ORACLE["url_filter"] = f"""WITH r AS (
   SELECT page_id, {t.url_reason('url', BLOCKED_DOMAINS, BLOCKED_WORDS)} AS reason FROM pages)
 SELECT page_id, reason IS NULL AS keep, reason AS drop_reason FROM r"""
+ORACLE["url_filter_table"] = ORACLE["url_filter"]
 ORACLE["extract_main_text"] = f"SELECT page_id, {t.main_text('html')} AS text FROM pages"
 
 TRAIN = "train AS (SELECT doc_id AS id, text, lang FROM documents)"

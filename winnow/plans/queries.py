@@ -62,6 +62,13 @@ def profiles(spark: SparkSession, sf: str) -> language.Profiles:
 
 
 def url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    table = read_table(spark, sf, "pages").select("page_id", "url")
+    judged = url.url_filter(table, BLOCKED_DOMAINS, BLOCKED_WORDS)
+    return judged.select("page_id", "keep", "drop_reason")
+
+
+def url_filter_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the blocklist as a table, as long ones come."""
     blocklist = spark.createDataFrame([(d,) for d in BLOCKED_DOMAINS], "domain string")
     table = read_table(spark, sf, "pages").select("page_id", "url")
     judged = url.url_filter(table, blocklist, BLOCKED_WORDS)
@@ -369,8 +376,11 @@ def yearly_scores(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("netuid", "epoch", "uid", score.alias("score"))
 
 
-def yearly_weights(spark: SparkSession, sf: str) -> DataFrame:
-    return materialize(scores.l1_weights(yearly_scores(spark, sf), GROUP).drop("score"), "weights")
+def yearly_weights(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    """Weights, written down, and their number."""
+    weights = scores.l1_weights(yearly_scores(spark, sf), GROUP).drop("score")
+    weights = materialize(weights, "weights")
+    return weights, weights.count()
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -382,20 +392,24 @@ def l1_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def capped_weights(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(scores.capped_weights(yearly_weights(spark, sf), 0.05, GROUP))
+    weights, size = yearly_weights(spark, sf)
+    return _rounded(scores.capped_weights(weights, 0.05, GROUP, size))
 
 
 def process_weights(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(scores.process_weights(yearly_weights(spark, sf), 8, 0.05, GROUP, 6553))
+    weights, size = yearly_weights(spark, sf)
+    return _rounded(scores.process_weights(weights, 8, 0.05, GROUP, 6553, size))
 
 
 def process_weights_all(spark: SparkSession, sf: str) -> DataFrame:
     """The default: no quantile is left out; here with many members required."""
-    return _rounded(scores.process_weights(yearly_weights(spark, sf), 25, 0.1, GROUP))
+    weights, size = yearly_weights(spark, sf)
+    return _rounded(scores.process_weights(weights, 25, 0.1, GROUP, at_most=size))
 
 
 def emit_weights(spark: SparkSession, sf: str) -> DataFrame:
-    return scores.emit_weights(yearly_weights(spark, sf), GROUP)
+    weights, size = yearly_weights(spark, sf)
+    return scores.emit_weights(weights, GROUP, size)
 
 
 def weight_epochs(spark: SparkSession, sf: str) -> DataFrame:
@@ -602,7 +616,7 @@ def refine_stream(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        url_filter, extract_main_text, language_filter, gopher_repetition, gopher_quality,
+        url_filter, url_filter_table, extract_main_text, language_filter, gopher_repetition, gopher_quality,
         c4_quality, fineweb_quality, refine_corpus, stage_stats, pii_mask, token_count,
         token_totals, shingles, minhash_signature, lsh_candidates, dedup_clusters,
         dedup_cluster_sizes, minhash_dedup, sample_rows, sample_rows_by_source, lookup_sources,

@@ -162,13 +162,14 @@ def weight_batches(
             blocks,
         ).where(F.col("epoch") > (bounds["done"] or 0))
         group = ["epoch"]
-        weights = scores.l1_weights(materialize(filled, "vectors"), group).drop("score")
-        final = scores.process_weights(
-            materialize(weights, "weights"), min_allowed, limit, group
-        )
-        scores.emit_weights(materialize(final, "weights"), group).write.mode("overwrite").parquet(
-            _batch_path(path, "weights", batch_id)
+        vectors = materialize(filled, "vectors")
+        size = vectors.count()
+        weights = materialize(
+            scores.l1_weights(vectors, group, size).drop("score"), "weights"
         )
+        final = scores.process_weights(weights, min_allowed, limit, group, at_most=size)
+        emitted = scores.emit_weights(materialize(final, "weights"), group, size)
+        emitted.write.mode("overwrite").parquet(_batch_path(path, "weights", batch_id))
 
     return step
 
