@@ -20,6 +20,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def fence(value: Column) -> Column:
+    """The same value, which the optimizer computes once.
+
+    Filters on a computed column are pushed below it as a copy of its expression, and later
+    columns inline it; with rules this long the copies multiply. An expression that is not
+    deterministic is left where it is.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def raw_words(text: Column) -> Column:
     """Runs of non-blank characters."""
     return F.array_remove(F.split(text, BLANKS), "")

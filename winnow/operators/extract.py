@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from winnow.functions.text import let, share
+from winnow.functions.text import fence, let, share
 
 # Whole elements that never hold main text; an unclosed one runs to the end of the page.
 SILENT = (
@@ -98,4 +98,4 @@ def main_text(html: Column) -> Column:
 
 
 def extract_main_text(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
-    return df.withColumn(text, main_text(F.col(html)))
+    return df.withColumn(text, fence(main_text(F.col(html))))

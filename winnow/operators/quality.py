@@ -21,6 +21,7 @@ from winnow.functions.ngrams import repeated_chars_column
 from winnow.functions.text import (
     BLANKS,
     count_of,
+    fence,
     filled_lines,
     let,
     raw_words,
@@ -38,7 +39,7 @@ def first_failure(rules: list[tuple[str, Column]]) -> Column:
 
 
 def _verdict(df: DataFrame, reason: Column) -> DataFrame:
-    return df.withColumn("drop_reason", reason).withColumn("keep", F.col("drop_reason").isNull())
+    return df.withColumn("drop_reason", fence(reason)).withColumn("keep", F.col("drop_reason").isNull())
 
 
 # --- repetition ------------------------------------------------------------
@@ -206,7 +207,7 @@ def c4_reason(text: Column, cleaned: Column, limits: C4Quality = C4Quality()) ->
 
 def c4_quality(df: DataFrame, text: str = "text", limits: C4Quality = C4Quality()) -> DataFrame:
     """Rewrites the text column, then judges the documents."""
-    marked = df.withColumn("_cleaned", c4_text(F.col(text), limits))
+    marked = df.withColumn("_cleaned", fence(c4_text(F.col(text), limits)))
     judged = _verdict(marked, c4_reason(F.col(text), F.col("_cleaned"), limits))
     return judged.withColumn(text, F.col("_cleaned")).drop("_cleaned")
 

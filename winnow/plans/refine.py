@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from winnow.functions.limits import C4Quality, FineWebQuality, GopherQuality, GopherRepetition
-from winnow.functions.text import let
+from winnow.functions.text import fence, let
 from winnow.operators import extract, language, quality, url
 
 STAGES = (
@@ -36,7 +36,7 @@ def _stage(drop: Column, stage: str, reason: Column) -> Column:
         reason,
         lambda r: F.when(r.isNotNull(), F.struct(F.lit(stage).alias("stage"), r.alias("reason"))),
     )
-    return F.coalesce(drop, failed)
+    return fence(F.coalesce(drop, failed))
 
 
 def refine(
@@ -53,7 +53,8 @@ def refine(
     nothing = F.lit(None).cast("struct<stage:string,reason:string>")
     url_verdict = _stage(nothing, STAGES[0], url.url_reason(F.col("url"), s.domains, s.words))
     df = pages.withColumn("_drop", url_verdict)
-    df = df.withColumn("text", F.when(drop.isNull(), extract.main_text(F.col("html")))).drop("html")
+    page_text = F.when(drop.isNull(), extract.main_text(F.col("html")))
+    df = df.withColumn("text", fence(page_text)).drop("html")
 
     df = language.with_language(df, profiles)
     target = language.language_reason(s.target, s.min_score)
@@ -62,14 +63,15 @@ def refine(
     df = df.withColumn("_repeated", quality.repeated_word_chars(inside, s.repetition))
     repetition = quality.repetition_reason(text, F.col("_repeated"), s.repetition)
     general = quality.quality_reason(text, s.quality)
-    verdict = _stage(_stage(drop, STAGES[2], repetition), STAGES[3], general)
-    df = df.withColumn("_drop", verdict).drop("_repeated")
+    df = df.withColumn("_drop", _stage(drop, STAGES[2], repetition)).drop("_repeated")
+    df = df.withColumn("_drop", _stage(drop, STAGES[3], general))
 
-    df = df.withColumn("_cleaned", F.when(drop.isNull(), quality.c4_text(text, s.c4)))
     cleaned = F.col("_cleaned")
-    by_c4 = _stage(drop, STAGES[4], quality.c4_reason(text, cleaned, s.c4))
-    by_lines = _stage(by_c4, STAGES[5], quality.fineweb_reason(cleaned, s.fineweb))
-    return df.withColumns({"_drop": by_lines, "text": F.coalesce(cleaned, text)}).withColumns(
+    df = df.withColumn("_cleaned", fence(F.when(drop.isNull(), quality.c4_text(text, s.c4))))
+    df = df.withColumn("_drop", _stage(drop, STAGES[4], quality.c4_reason(text, cleaned, s.c4)))
+    by_lines = _stage(drop, STAGES[5], quality.fineweb_reason(cleaned, s.fineweb))
+    df = df.withColumns({"_drop": by_lines, "text": F.coalesce(cleaned, text)})
+    return df.withColumns(
         {"drop_stage": F.col("_drop.stage"), "drop_reason": F.col("_drop.reason")}
     ).drop("_drop", "_cleaned")
 

@@ -23,7 +23,8 @@ def refine_batches(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = materialize(pii.token_count(kept(refine(batch, profiles, settings))), "refined")
+        fresh = pii.token_count(kept(refine(batch, profiles, settings)))
+        fresh = materialize(fresh, "refined")
         sigs = materialize(dedup.minhash_signature(fresh), "signatures")
         bands = dedup.band_keys(sigs)
         try:
