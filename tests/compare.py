@@ -29,7 +29,7 @@ def normal(value):
     if isinstance(value, bool):
         return int(value)
     if isinstance(value, float):
-        return None if value != value else round(value, 6) + 0.0
+        return None if value != value else value + 0.0
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None).isoformat()
     if isinstance(value, list | tuple):

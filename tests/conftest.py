@@ -32,3 +32,4 @@ def small_hot(monkeypatch):
 
     monkeypatch.setattr(skew, "HOT_ROWS", 3)
     monkeypatch.setattr(skew, "HOT_KEYS", 10)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)

@@ -125,8 +125,7 @@ def test_url_filter(spark, as_table):
     assert [r.drop_reason for r in judged] == [reason for _, reason in rows]
 
 
-def test_url_filter_without_broadcast(spark, small_hot, monkeypatch):
-    monkeypatch.setattr(url, "MAX_BROADCAST_HOSTS", 0)
+def test_url_filter_without_broadcast(spark, small_hot):
     urls = ["http://hot.bad.com/1"] * 20 + ["http://a.bad.com"] + ["http://fine.org"] * 9
     df = spark.createDataFrame([(u,) for u in urls], "url string")
     domains = spark.createDataFrame([("bad.com",)], "domain string")

@@ -99,7 +99,10 @@ def test_recent_commits(spark, tmp_path):
 def test_chunk_reassembly(spark):
     rows = [(1, 0, "ab\ncd"), (1, 1, "\nef"), (2, 1, "y"), (2, 0, "x\n\n")]
     df = spark.createDataFrame(rows, "conv_id bigint, seq bigint, chunk string")
-    assert {tuple(r) for r in chunks.chunk_reassembly(df, 1).collect()} == {(1, "abcdef"), (2, "xy")}
+    whole = {(r.conv_id, r.completion) for r in chunks.chunk_reassembly(df).collect()}
+    assert whole == {(1, "abcdef"), (2, "xy")}
+    parts = chunks.chunk_reassembly(df, 1).orderBy("conv_id", "part").collect()
+    assert [r.completion for r in parts] == ["abcd", "ef", "x", "y"]
 
 
 def test_chunk_stream_out_of_order(spark, tmp_path):

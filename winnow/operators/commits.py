@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.functions.limits import DAY_BLOCKS, MIN_STAKE
-from winnow.operators.skew import neighbour
+from winnow.operators.skew import lookup, neighbour
 
 
 def commit_key(key: Column) -> Column:
@@ -26,7 +26,8 @@ def eligible_submitters(
     commits: DataFrame, members: DataFrame, min_stake: float = MIN_STAKE, key: str = "uid"
 ) -> DataFrame:
     """Commits of registered members with enough stake; others are refused."""
-    return commits.join(members.where(F.col("stake") >= min_stake).select(key), key, "left_semi")
+    staked = members.where(F.col("stake") >= min_stake).select(key).distinct()
+    return lookup(commits, staked, [key])
 
 
 def late_commits(commits: DataFrame, max_age: int = DAY_BLOCKS) -> DataFrame:

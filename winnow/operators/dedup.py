@@ -57,16 +57,13 @@ def band_keys(sigs: DataFrame, id: str = "id", rows: int = MINHASH_ROWS) -> Data
     return sigs.select(id, F.posexplode(keys).alias("band", "key"))
 
 
-def lsh_candidates(
-    sigs: DataFrame, id: str = "id", rows: int = MINHASH_ROWS, bands: int = MINHASH_BANDS
-) -> DataFrame:
+def star_edges(bands: DataFrame, id: str = "id") -> DataFrame:
     """(src, dst): a star around the smallest id of every band bucket.
 
     A bucket of n texts gives n - 1 edges instead of n * (n - 1) / 2 pairs, and the stars
-    connect the same texts. Give materialized signatures: they are counted and read twice.
+    connect the same texts. Give materialized bands: they are counted and read twice.
     """
-    at_most = sigs.count() * bands
-    bands = band_keys(sigs, id, rows)
+    at_most = bands.count()
     buckets = (
         bands.groupBy("band", "key")
         .agg(F.min(id).alias("dst"), F.count(F.lit(1)).alias("_n"))
@@ -78,6 +75,14 @@ def lsh_candidates(
     )
 
 
+def lsh_candidates(sigs: DataFrame, id: str = "id", rows: int = MINHASH_ROWS) -> DataFrame:
+    """(src, dst): texts that share a band, as stars.
+
+    The band keys are written down, not the signatures: they take less than half the space.
+    """
+    return star_edges(materialize(band_keys(sigs, id, rows), "bands"), id)
+
+
 def _smallest_neighbour(links: DataFrame, at_most: int) -> DataFrame:
     """(u, v, m): links with the smallest v of their u."""
     smallest = links.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
@@ -157,8 +162,7 @@ def dedup_cluster_sizes(clusters: DataFrame) -> DataFrame:
 
 def text_clusters(df: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
     """(id, component) of near-duplicate texts."""
-    sigs = materialize(minhash_signature(df, id, text), "signatures")
-    return dedup_clusters(lsh_candidates(sigs, id))
+    return dedup_clusters(lsh_candidates(minhash_signature(df, id, text), id))
 
 
 def drop_duplicates(df: DataFrame, clusters: DataFrame, id: str = "id") -> DataFrame:
@@ -168,4 +172,5 @@ def drop_duplicates(df: DataFrame, clusters: DataFrame, id: str = "id") -> DataF
 
 
 def minhash_dedup(df: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
+    """Drop near-duplicates. Reads `df` twice: materialize it if it is costly to compute."""
     return drop_duplicates(df, text_clusters(df, id, text), id)

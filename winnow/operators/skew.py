@@ -11,6 +11,9 @@ from winnow.session import materialize
 HOT_KEYS = 10_000
 HOT_ROWS = 100_000
 
+# A table of one narrow row per key is broadcast up to this many rows, counted first.
+BROADCAST_ROWS = 500_000
+
 
 def hot_keys(totals: DataFrame, rows: str = "_n") -> DataFrame:
     """Rows of `totals` (one per key, with the key's row count) whose key is hot."""
@@ -30,12 +33,16 @@ def join_totals(
 ) -> DataFrame:
     """Attach one row per key to all rows of the key.
 
-    Rows of hot keys meet a bounded broadcast and are never shuffled; the others meet an
-    ordinary join in which no key is large. `totals` holds `rows`, the row count per key.
-    `at_most` is a known bound on the rows of `df`: too few for any hot key, one join will do.
+    `totals` holds `rows`, the row count per key. It is written down and counted: a small table
+    is broadcast. Beyond that size, rows of hot keys meet a bounded broadcast and are never
+    shuffled, and the others meet an ordinary join in which no key is large. `at_most` is a
+    known bound on the rows of `df`: too few for any hot key, a plain join will do.
     """
     if at_most is not None and at_most < HOT_ROWS:
         return df.join(totals.drop(rows), on, how)
+    totals = materialize(totals, "totals")
+    if totals.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(totals.drop(rows)), on, how)
     hot = hot_keys(totals, rows)
     spread_out = df.join(F.broadcast(hot), on, "inner").drop(rows)
     others = df.join(F.broadcast(hot.select(*on)), on, "left_anti")
@@ -98,6 +105,9 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column], value: Column |
 
 def lookup(df: DataFrame, table: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join rows to a table with one row per key, whatever share of the rows a key has."""
+    table = materialize(table, "lookup")
+    if table.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(table), on, how)
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     return join_totals(df, table.join(counts, on), on, how=how)
 

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.functions.urls import host, host_suffixes
-from winnow.operators.skew import join_totals
-from winnow.session import materialize
+from winnow.operators.skew import lookup
 
 MAX_INLINE_DOMAINS = 10_000
-MAX_BROADCAST_HOSTS = 500_000
 
 
 def _word_rule(url: Column, words: list[str]) -> Column:
@@ -49,22 +47,16 @@ def url_filter(
     """
     if isinstance(domains, DataFrame):
         marked = df.withColumn("_host", host(F.col(url)))
-        hosts = marked.where("_host is not null").groupBy("_host").agg(
-            F.count(F.lit(1)).alias("_n")
-        )
+        hosts = marked.where("_host is not null").select("_host").distinct()
         listed = domains.select(F.lower("domain").alias("_suffix")).distinct()
         blocked = (
             hosts.withColumn("_suffix", F.explode(host_suffixes(F.col("_host"))))
             .join(listed, "_suffix", "left_semi")
-            .groupBy("_host")
-            .agg(F.first("_n").alias("_n"))
+            .select("_host")
+            .distinct()
             .withColumn("_blocked", F.lit(True))
         )
-        blocked = materialize(blocked, "blocked-hosts")
-        if blocked.count() <= MAX_BROADCAST_HOSTS:
-            joined = marked.join(F.broadcast(blocked.drop("_n")), "_host", "left")
-        else:
-            joined = join_totals(marked, blocked, ["_host"], how="left")
+        joined = lookup(marked, blocked, ["_host"], how="left")
         reason = F.when(F.col("_blocked"), "domain").when(
             _word_rule(F.col(url), list(words)), "word"
         )

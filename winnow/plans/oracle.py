@@ -395,7 +395,7 @@ FROM parts"""
 # --- sources and sinks -------------------------------------------------------------
 
 ORACLE["read_warc"] = """SELECT '<urn:page:' || page_id || '>' AS id, url,
-  TIMESTAMP '2024-10-09 21:13:35' AS date, md5(html) AS html_md5 FROM pages"""
+  epoch(TIMESTAMP '2024-10-09 21:13:35')::BIGINT AS date_seconds, md5(html) AS html_md5 FROM pages"""
 ORACLE["read_jsonl"] = "SELECT conv_id, turn, role, text FROM conversations"
 ORACLE["write_jsonl"] = """SELECT doc_id::VARCHAR AS id, lang AS language, md5(text) AS text_md5,
   source FROM documents"""
@@ -449,9 +449,13 @@ scaled AS (SELECT *, max(weight) OVER (PARTITION BY epoch) AS top FROM r)
 SELECT epoch, uid, round_even(weight / top * 65535, 0)::INT AS w_u16 FROM scaled
 WHERE top > 0 AND round_even(weight / top * 65535, 0) <> 0"""
 ORACLE["chunk_reassembly"] = """
-SELECT conv_id, md5(string_agg(replace(text, chr(10), ''), '' ORDER BY turn)) AS completion_md5
-FROM conversations GROUP BY conv_id"""
-ORACLE["chunk_stream"] = ORACLE["chunk_reassembly"]
+SELECT conv_id, turn // 4096 AS part,
+       md5(string_agg(replace(text, chr(10), ''), '' ORDER BY turn)) AS completion_md5
+FROM conversations GROUP BY ALL"""
+ORACLE["chunk_stream"] = """
+SELECT conv_id, 0 AS at,
+       md5(string_agg(replace(text, chr(10), ''), '' ORDER BY turn)) AS text_md5
+FROM conversations GROUP BY conv_id HAVING sum(length(replace(text, chr(10), ''))) > 0"""
 ORACLE["refine_stream"] = f"""WITH RECURSIVE {REFINED},
 kept AS (SELECT id AS doc_id, text FROM refined WHERE drop_stage IS NULL),
 {clustered('kept')},

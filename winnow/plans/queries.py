@@ -18,6 +18,7 @@ from winnow.operators import (
     sequences,
     url,
 )
+from winnow.operators.skew import lookup
 from winnow.plans import refine
 from winnow.session import materialize, scratch_path
 from winnow.sources import files, warc
@@ -126,7 +127,7 @@ def minhash_signature(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lsh_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.lsh_candidates(materialize(signatures(spark, sf), "signatures"), "doc_id")
+    return dedup.lsh_candidates(signatures(spark, sf), "doc_id")
 
 
 def dedup_clusters(spark: SparkSession, sf: str) -> DataFrame:
@@ -281,7 +282,7 @@ def elapsed_time(spark: SparkSession, sf: str) -> DataFrame:
 
 def submission_score(spark: SparkSession, sf: str) -> DataFrame:
     gates = audit.similarity_gate(similarities(spark, sf), members(spark, sf), ["uid"])
-    judged = submissions(spark, sf).join(gates, "uid").select(
+    judged = lookup(submissions(spark, sf), gates, ["uid"]).select(
         "event_id", "uid", "gate", F.col("score").alias("value"),
         (F.col("cents") % 100 / 1000).alias("stderr"), "elapsed",
     )
@@ -481,7 +482,9 @@ def read_warc(spark: SparkSession, sf: str) -> DataFrame:
         "lineSep", crlf
     ).text(path)
     archives = spark.read.text(path).inputFiles()
-    return warc.read_warc(spark, archives).select("id", "url", "date", F.md5("html").alias("html_md5"))
+    return warc.read_warc(spark, archives).select(
+        "id", "url", F.unix_seconds("date").alias("date_seconds"), F.md5("html").alias("html_md5")
+    )
 
 
 def read_jsonl(spark: SparkSession, sf: str) -> DataFrame:
@@ -587,17 +590,14 @@ def conversation_chunks(table: DataFrame) -> DataFrame:
 
 def chunk_reassembly(spark: SparkSession, sf: str) -> DataFrame:
     whole = chunks.chunk_reassembly(conversation_chunks(read_table(spark, sf, "conversations")))
-    return whole.select("conv_id", F.md5("completion").alias("completion_md5"))
+    return whole.select("conv_id", "part", F.md5("completion").alias("completion_md5"))
 
 
 def chunk_stream(spark: SparkSession, sf: str) -> DataFrame:
     arriving = conversation_chunks(table_stream(spark, sf, "conversations"))
     path = runner.run_available(chunks.chunk_stream(arriving), scratch_path(spark, "chunks"))
     pieces = spark.read.parquet(f"{path}/rows")
-    whole = chunks.chunk_reassembly(
-        pieces.select("conv_id", F.col("at").alias("seq"), F.col("text").alias("chunk"))
-    )
-    return whole.select("conv_id", F.md5("completion").alias("completion_md5"))
+    return pieces.select("conv_id", "at", F.md5("text").alias("text_md5"))
 
 
 def refine_stream(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-SEGMENT = 1024
+PART = 4096
 PIECE_SCHEMA = "conv_id bigint, at bigint, text string"
 
 
@@ -17,26 +17,20 @@ def _unbroken(chunk: Column) -> Column:
     return F.replace(chunk, F.lit("\n"), F.lit(""))
 
 
-def _joined(order: str, text: Column) -> Column:
-    pieces = F.array_sort(F.collect_list(F.struct(F.col(order), text.alias("_text"))))
-    return F.array_join(F.transform(pieces, lambda p: p.getField("_text")), "")
+def chunk_reassembly(chunks: DataFrame, size: int = PART) -> DataFrame:
+    """(conv_id, part, completion): the text of every `size` chunks of a conversation, in order.
 
-
-def segments(chunks: DataFrame, size: int = SEGMENT) -> DataFrame:
-    """(conv_id, segment, text): runs of `size` chunks, so no task holds a whole conversation."""
-    return (
-        chunks.withColumn("segment", F.floor(F.col("seq") / size))
-        .groupBy("conv_id", "segment")
-        .agg(_joined("seq", _unbroken(F.col("chunk"))).alias("text"))
+    A conversation of up to `size` chunks is one row. A longer one is several, so that neither
+    a task nor a string has to hold a conversation of any length.
+    """
+    pieces = F.array_sort(
+        F.collect_list(F.struct("seq", _unbroken(F.col("chunk")).alias("text")))
     )
-
-
-def chunk_reassembly(chunks: DataFrame, size: int = SEGMENT) -> DataFrame:
-    """(conv_id, completion), for conversations that fit a string; else use `segments`."""
+    whole = F.array_join(F.transform(pieces, lambda p: p.getField("text")), "")
     return (
-        segments(chunks, size)
-        .groupBy("conv_id")
-        .agg(_joined("segment", F.col("text")).alias("completion"))
+        chunks.withColumn("part", F.floor(F.col("seq") / size))
+        .groupBy("conv_id", "part")
+        .agg(whole.alias("completion"))
     )
 
 

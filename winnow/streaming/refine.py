@@ -25,15 +25,14 @@ def refine_batches(
         spark = batch.sparkSession
         fresh = pii.token_count(kept(refine(batch, profiles, settings)))
         fresh = materialize(fresh, "refined")
-        sigs = materialize(dedup.minhash_signature(fresh), "signatures")
-        bands = dedup.band_keys(sigs)
+        bands = materialize(dedup.band_keys(dedup.minhash_signature(fresh)), "bands")
         try:
             seen = spark.read.schema("band int, key binary, batch bigint").parquet(f"{path}/bands")
             seen = seen.where(F.col("batch") < batch_id).select("band", "key")
         except AnalysisException:
             seen = spark.createDataFrame([], "band int, key binary")
         known = bands.join(seen, ["band", "key"], "left_semi").select("id").distinct()
-        clusters = dedup.dedup_clusters(dedup.lsh_candidates(sigs))
+        clusters = dedup.dedup_clusters(dedup.star_edges(bands))
         # A copy of a kept text takes its whole cluster with it.
         spoiled = clusters.join(known, "id", "left_semi").select("component").distinct()
         again = clusters.join(spoiled, "component", "left_semi").select("id")

@@ -50,12 +50,21 @@ def run_available(
 
 
 def file_stream(
-    spark: SparkSession, folder: str, schema, glob: str = "*.parquet", files_per_batch: int = 1000
+    spark: SparkSession,
+    folder: str,
+    schema,
+    glob: str = "*.parquet",
+    bytes_per_batch: int = 256 << 20,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Parquet files as they arrive; a batch takes a bounded number of them."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+    """Parquet files as they arrive.
+
+    A batch takes a bounded number of bytes, or of files: the rows of one key in a batch, which
+    a stateful step sees together, are bounded with it.
+    """
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if files_per_batch is None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    else:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
