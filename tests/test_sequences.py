@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from winnow.operators import sequences
+from winnow.operators import sampling, sequences
 
 
 @pytest.mark.parametrize("length", [4, 7])
@@ -36,10 +36,17 @@ def test_batch_plan_and_stages(spark):
 
 def test_smallest_hashes(spark):
     df = spark.range(1000)
-    h = sequences._small_hash(F.col("id"), 3)
+    h = sampling._small_hash(F.col("id"), 3)
     order = [r.id for r in df.orderBy(h, "id").collect()]
     for k in (0, 1, 17, 999, 1000):
-        assert {r.id for r in sequences.smallest_hashes(df, k, 3, "id").collect()} == set(order[:k])
+        assert {r.id for r in sampling.smallest_hashes(df, k, 3, "id").collect()} == set(order[:k])
+
+
+def test_large_sample_equals_small_one(spark, monkeypatch):
+    df = spark.range(500)
+    small = {r.id for r in sampling.sample_rows(df, 40, 9).collect()}
+    monkeypatch.setattr(sampling, "SORTED_ROWS", 10)
+    assert {r.id for r in sampling.sample_rows(df, 40, 9).collect()} == small
 
 
 def test_weighted_mix(spark):

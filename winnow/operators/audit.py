@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.functions.limits import (
     BLOCK_SECONDS,
@@ -18,38 +18,13 @@ from winnow.functions.limits import (
     QUALITY_SHARE,
     SAMPLE_ROWS,
 )
+from winnow.operators.sampling import sample_key, sample_rows
 from winnow.operators.skew import lookup
 
 WORD_LIKE = r"[\p{L}\p{N}-]+"
 LETTERS = r"^\p{L}+$"
 
 
-def sample_key(id: Column, seed: int) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), id.cast("string")))
-
-
-def sample_rows(
-    df: DataFrame,
-    n: int = SAMPLE_ROWS,
-    seed: int = 0,
-    id: str = "id",
-    by: str | None = None,
-    strict: bool = False,
-) -> DataFrame:
-    """n random rows without replacement, of the whole frame or of every group in `by`.
-
-    Random means smallest seeded hash: repeatable, and a top-n that each task cuts down before
-    anything is shuffled. A frame with fewer rows is returned whole unless `strict`.
-    """
-    key = sample_key(F.col(id), seed)
-    if by is not None:
-        best = Window.partitionBy(by).orderBy(key, id)
-        return df.withColumn("_k", F.row_number().over(best)).where(F.col("_k") <= n).drop("_k")
-    if strict and df.select(id).limit(n).count() < n:
-        raise ValueError(f"sample of {n} rows is larger than the data")
-    return df.orderBy(key, id).limit(n)
-
-
 def lookup_sources(sample: DataFrame, raw: DataFrame, id: str = "id") -> DataFrame:
     """Raw rows of the sampled ids; ids without a raw row are skipped.
 

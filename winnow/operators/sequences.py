@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.functions.text import count_tokens, let, tokens
-from winnow.operators.audit import sample_key
+from winnow.operators.sampling import smallest_hashes
 from winnow.operators.skew import ranked
 from winnow.session import materialize
 
@@ -17,9 +17,6 @@ ACCUMULATION = 4
 DATA_PARALLEL = 1
 STAGES = (("Stable Training Stage", 1), ("Annealing Phase", 10))
 
-HASH_BITS = 60
-BUCKET_BITS = 20
-
 
 def global_batch(
     micro: int = MICRO_BATCH, accum: int = ACCUMULATION, dp: int = DATA_PARALLEL
@@ -87,44 +84,6 @@ def token_budget(
     )
 
 
-def _small_hash(id: Column, seed: int) -> Column:
-    return F.conv(F.substring(sample_key(id, seed), 1, HASH_BITS // 4), 16, 10).cast("long")
-
-
-def smallest_hashes(df: DataFrame, k: int, seed: int, id: str) -> DataFrame:
-    """Exactly the k rows with the smallest seeded hash of their id, for any k.
-
-    Counts per hash bucket find the bucket in which the k-th hash lies, a sort of that bucket
-    alone finds the hash, and one filter takes the rows.
-    """
-    hashed = df.select(id, _small_hash(F.col(id), seed).alias("_h")).withColumn(
-        "_bucket", F.shiftright("_h", HASH_BITS - BUCKET_BITS)
-    )
-    # At most 2 ** BUCKET_BITS rows whatever the size of the data.
-    sizes = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    running = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_bucket"))
-    edge = (
-        sizes.withColumn("_end", running)
-        .where(F.col("_end") >= k)
-        .orderBy("_bucket")
-        .select("_bucket", (F.col("_end") - F.col("_n")).alias("_before"))
-        .first()
-    )
-    if k <= 0:
-        return df.limit(0)
-    if edge is None:
-        return df
-    last = (
-        hashed.where(F.col("_bucket") == edge["_bucket"])
-        .orderBy("_h", id)
-        .limit(k - edge["_before"])
-        .agg(F.max(F.struct("_h", id)).alias("m"))
-        .first()["m"]
-    )
-    h = _small_hash(F.col(id), seed)
-    return df.where((h < last["_h"]) | ((h == last["_h"]) & (F.col(id) <= F.lit(last[id]))))
-
-
 def weighted_mix(
     sources: dict[str, DataFrame], weights: dict[str, float], n: int, seed: int = 0, id: str = "id"
 ) -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.utils import AnalysisException
 
 from winnow.functions.limits import DAY_BLOCKS, KEEP_SHARE, WEIGHT_EPOCH_BLOCKS
 from winnow.operators import audit, scores
@@ -73,14 +72,13 @@ def _batch_path(path: str, table: str, batch_id: int) -> str:
 
 
 def _carried(spark, path: str, table: str, batch_id: int, schema: str) -> DataFrame:
-    """What the batch before left behind; empty at the start."""
-    empty = spark.createDataFrame([], schema)
+    """What the batch before left behind; empty at the start.
+
+    Every batch leaves its table, so a missing one is an error and not an empty state.
+    """
     if batch_id == 0:
-        return empty
-    try:
-        return spark.read.schema(schema).parquet(_batch_path(path, table, batch_id - 1))
-    except AnalysisException:
-        return empty
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(_batch_path(path, table, batch_id - 1))
 
 
 def score_batches(
@@ -143,7 +141,9 @@ def weight_batches(
         bounds = history.agg(
             F.max("epoch").alias("last"), F.max("horizon").alias("done")
         ).first()
+        known = _batch_path(path, "known", batch_id)
         if bounds["last"] is None:
+            before.write.mode("overwrite").parquet(known)
             return
         horizon = max(bounds["last"], bounds["done"] or 0)
         newest = scores.latest_score(
@@ -154,7 +154,7 @@ def weight_batches(
             "uid",
             "score",
             F.lit(horizon).cast("bigint").alias("horizon"),
-        ).write.mode("overwrite").parquet(_batch_path(path, "known", batch_id))
+        ).write.mode("overwrite").parquet(known)
         filled = scores.weight_epochs(
             history.select(
                 F.col("epoch").alias("step"), F.lit(0).alias("tie"), "uid", "score"

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.utils import AnalysisException
 
 from winnow.operators import dedup, language, pii
 from winnow.plans.refine import RefineSettings, kept, refine
@@ -26,11 +25,11 @@ def refine_batches(
         fresh = pii.token_count(kept(refine(batch, profiles, settings)))
         fresh = materialize(fresh, "refined")
         bands = materialize(dedup.band_keys(dedup.minhash_signature(fresh)), "bands")
-        try:
+        if batch_id == 0:
+            seen = spark.createDataFrame([], "band int, key binary")
+        else:
             seen = spark.read.schema("band int, key binary, batch bigint").parquet(f"{path}/bands")
             seen = seen.where(F.col("batch") < batch_id).select("band", "key")
-        except AnalysisException:
-            seen = spark.createDataFrame([], "band int, key binary")
         known = bands.join(seen, ["band", "key"], "left_semi").select("id").distinct()
         clusters = dedup.dedup_clusters(dedup.star_edges(bands))
         # A copy of a kept text takes its whole cluster with it.
