@@ -223,3 +223,22 @@ def test_parse_eval_log(spark):
     assert [tuple(r) for r in rows.collect()] == [(1, "truthfulqa_mc2", 0.4123, 0.0312)]
     none = rows.withColumn("metric", F.lit("other"))
     assert tuple(audit.eval_summary(none).first()) == (1, 0.0, 0.0)
+
+
+def test_corpus_quality_eval(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(300):
+        label = i % 2
+        words = rng.choices(["sun", "sea", "sand"] if label else ["rock", "ice", "wind"], k=12)
+        rows.append((i, " ".join(words), label))
+    df = spark.createDataFrame(rows, "id int, text string, label int")
+    clean = audit.corpus_quality_eval(df, features=256).first()
+    assert (clean.value, clean.stderr) == (1.0, 0.0)
+    noisy = df.withColumn("label", F.when(F.col("id") % 10 < 3, F.lit(0)).otherwise(F.lit(1)))
+    worse = audit.corpus_quality_eval(noisy, features=256).first()
+    held_out = audit.sample_key(F.col("id"), 0)
+    share = F.conv(F.substring(held_out, 1, 4), 16, 10).cast("int") < int(0.2 * 65536)
+    n = df.where(share).count()
+    assert 0.4 < worse.value < 1.0
+    assert worse.stderr == pytest.approx(math.sqrt(worse.value * (1 - worse.value) / n))
