@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from winnow.functions.trigrams import text_chunks, trigram_codes
+from winnow.session import materialize
 
 PROFILE_SIZE = 2000
 MAX_LANGUAGES = 250
@@ -43,12 +44,14 @@ def train_profiles(
 ) -> DataFrame:
     """(lang, code, n, total): the most frequent trigrams of each language."""
     counts = (
-        df.select(F.col(lang).alias("lang"), letters_only(F.col(text)).alias("text"))
-        .where("lang is not null and text is not null")
+        df.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+        .select(F.col(lang).alias("lang"), letters_only(F.col(text)).alias("text"))
         .mapInArrow(_count_trigrams, "lang string, code bigint, n bigint")
         .groupBy("lang", "code")
         .agg(F.sum("n").alias("n"))
     )
+    # Written once, so that the texts are read once for both the totals and the ranking.
+    counts = materialize(counts, "trigrams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     # The rank filter runs as a group limit before the shuffle: no task sees a whole language.
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
