@@ -62,6 +62,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def read_back(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A written table that may have no rows, hence no files to take a schema from."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that nothing will read again."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @contextmanager
 def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     """Let Spark remove the shuffle files of a write as soon as it has ended.
