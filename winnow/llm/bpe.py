@@ -218,16 +218,22 @@ def _encode_batches(batches, ranks_path: str, pattern: str):
 def chunks(docs: DataFrame, size: int, overlap: int) -> DataFrame:
     """Overlapping chunks of long texts, dealt out evenly, with their boundaries in the overlaps."""
 
+    schema = pa.schema(
+        [("_key", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()),
+         ("pieces", pa.int32()), ("text", pa.string())]
+    )
+
     def cut(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 text = row["text"]
                 count = -(-len(text) // size)
-                for no in range(count):
-                    body = text[no * size : (no + 1) * size + overlap]
-                    yield pa.RecordBatch.from_pylist(
-                        [{**row, "text": body, "piece": no, "pieces": count}]
-                    )
+                bodies = (text[no * size : (no + 1) * size + overlap] for no in range(count))
+                rows = [
+                    {**row, "text": body, "piece": no, "pieces": count}
+                    for no, body in enumerate(bodies)
+                ]
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     def boundaries(batches):
         classes = char_classes()

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from winnow.llm import bpe, packing
+from winnow.llm import bpe, packing, substring_dedup, suffix_dedup
 from winnow.sources.tables import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -20,6 +20,24 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, ranks))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256")
+    )
+
+
 def packed(docs: DataFrame) -> DataFrame:
     cut = packing.tokenised(
         docs,
@@ -36,6 +54,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op9_packing": op9_packing,
 }
 
