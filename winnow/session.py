@@ -67,6 +67,16 @@ def read_back(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, size: str = "4m", rows: int = 2000) -> None:
+    """Exchange long texts with Python in batches of a few megabytes.
+
+    A batch exists several times at once, outside the heap and in Python, for each running task;
+    Spark's default of 64 MB would need gigabytes beside the heap.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table that nothing will read again."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
