@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from winnow.llm import bpe, packing, substring_dedup, suffix_dedup
+from winnow.llm import bpe, fingerprint, packing, quality, sharding, substring_dedup, suffix_dedup
 from winnow.sources.tables import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -38,6 +38,31 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = [f"shard-{i:03d}" for i in range(sharding.SHARDS)]
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return sharding.place(docs, "doc_id", sharding.lookup_table(spark, names))
+
+
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, held_out, score, predicted); held-out rows of `labels` teach nothing."""
+    known = labels.where(~quality.held_out()).select("doc_id", F.col("quality").alias("label"))
+    return quality.classify(docs, known).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     cut = packing.tokenised(
         docs,
@@ -56,6 +81,9 @@ LLM_QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op6_sharding": op6_sharding,
+    "op7_imatch": op7_imatch,
+    "op8_quality": op8_quality,
     "op9_packing": op9_packing,
 }
 
