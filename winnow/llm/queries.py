@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from winnow.llm import bpe, fingerprint, packing, quality, sharding, substring_dedup, suffix_dedup
+from winnow.llm import bpe, fingerprint, html_crf, mtree, packing, quality, sharding, substring_dedup, suffix_dedup
 from winnow.sources.tables import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -38,6 +38,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [f"shard-{i:03d}" for i in range(sharding.SHARDS)]
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
@@ -77,14 +81,22 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(read_table(spark, sf_dir, "documents"))
 
 
+def op10_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    texts = html_crf.extract(pages, html_crf.train(pages))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 LLM_QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op5_mtree": op5_mtree,
     "op6_sharding": op6_sharding,
     "op7_imatch": op7_imatch,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
+    "op10_html_crf": op10_html_crf,
 }
 
 LLM_ORACLE: dict[str, str] = {}
