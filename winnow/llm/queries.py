@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from winnow.llm import bpe, fingerprint, html_crf, mtree, packing, quality, sharding, substring_dedup, suffix_dedup
+from winnow.llm import bpe, fingerprint, html_crf, mtree, ngram_join, packing, quality, sharding, substring_dedup, suffix_dedup
 from winnow.sources.tables import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -38,6 +38,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read_table(spark, sf_dir, "documents"))
+
+
 def op5_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -91,6 +95,7 @@ LLM_QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_ngram_join": op4_ngram_join,
     "op5_mtree": op5_mtree,
     "op6_sharding": op6_sharding,
     "op7_imatch": op7_imatch,
