@@ -19,11 +19,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from winnow.session import materialize
+from winnow.session import materialize, small_batches
 
 CHUNK = 1 << 16  # characters a chunk owns
 OVERLAP = 1 << 10  # characters a chunk shares with the next one
-SLAB = 1 << 20  # characters worked on at once
+SLAB = 1 << 18  # characters worked on at once
 CACHE = 1 << 20  # slots for encoded pre-tokens per worker
 
 LETTER, NUMBER, OTHER, SPACE, END = range(5)
@@ -312,6 +312,7 @@ def encode(
     def run(batches):
         yield from _encode_batches(batches, ranks_path, pattern)
 
+    small_batches(docs.sparkSession)
     plain = docs.select(
         F.monotonically_increasing_id().alias("_key"),
         F.col(id).cast("long").alias("doc_id"),
