@@ -295,7 +295,7 @@ def stitched(cut: DataFrame, size: int) -> DataFrame:
     return good.unionByName(seen.where("_lost").groupBy("_key").applyInPandas(whole, plain))
 
 
-def encode(
+def encode_parts(
     docs: DataFrame,
     ranks_path: str,
     pattern: str,
@@ -303,11 +303,8 @@ def encode(
     text: str = "text",
     size: int = CHUNK,
     overlap: int = OVERLAP,
-) -> DataFrame:
-    """(_key, doc_id, piece, pieces, n_tokens, ids): ids are little-endian unsigned 32-bit.
-
-    `_key` is one per row of `docs`; the pieces of a row, in order, are its ids.
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """(short texts, long texts): as `encode`; every short text is one piece."""
 
     def run(batches):
         yield from _encode_batches(batches, ranks_path, pattern)
@@ -323,7 +320,16 @@ def encode(
         "_key", "doc_id", F.lit(0).alias("piece"), F.lit(1).alias("pieces"), "text"
     )
     pieces = stitched(chunks(plain.where(long), size, overlap), size)
-    return short.mapInArrow(run, ENCODED).unionByName(pieces.mapInArrow(run, ENCODED))
+    return short.mapInArrow(run, ENCODED), pieces.mapInArrow(run, ENCODED)
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, **options) -> DataFrame:
+    """(_key, doc_id, piece, pieces, n_tokens, ids): ids are little-endian unsigned 32-bit.
+
+    `_key` is one per row of `docs`; the pieces of a row, in order, are its ids.
+    """
+    short, long = encode_parts(docs, ranks_path, pattern, **options)
+    return short.unionByName(long)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -353,12 +359,13 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return encoded.mapInArrow(run, ENCODED + ", decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
+def digests(short: DataFrame, long: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256), one row per encoded row.
 
-    Only texts in several pieces are grouped, each by itself.
+    Both frames are decoded; a row of `short` is a whole text, the pieces of a long one are
+    grouped, each text by itself.
     """
-    single = decoded.where("pieces = 1").select(
+    single = short.select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -375,5 +382,4 @@ def digests(decoded: DataFrame) -> DataFrame:
              "ids_sha256": sums[0], "decoded_sha256": sums[1]}
         )
 
-    several = decoded.where("pieces > 1").groupBy("_key").applyInPandas(join, single.schema)
-    return single.unionByName(several)
+    return single.unionByName(long.groupBy("_key").applyInPandas(join, single.schema))

@@ -16,8 +16,8 @@ VOCABULARY = "byte_bpe_50k.json"
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(RANKS)
     docs = read_table(spark, sf_dir, "documents")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(encoded, ranks))
+    short, long = bpe.encode_parts(docs, ranks, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(short, ranks), bpe.decode(long, ranks))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
