@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BLANKS = r"[ \t\n\r\f]+"
 WORD = r"[\p{L}\p{N}]+"
@@ -20,14 +20,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def fence(value: Column) -> Column:
-    """The same value, which the optimizer computes once.
+def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """`df` with a column that the optimizer computes once, and below which other filters go.
 
     Filters on a computed column are pushed below it as a copy of its expression, and later
-    columns inline it; with rules this long the copies multiply. An expression that is not
-    deterministic is left where it is.
+    columns inline it; with rules this long the copies multiply. The output of a generator is
+    neither copied nor inlined, and a filter on any other column still reaches the scan.
     """
-    return F.when(F.spark_partition_id() >= 0, value)
+    return df.select(
+        *[F.col(f"`{c}`") for c in df.columns if c != name], F.explode(F.array(value)).alias(name)
+    )
 
 
 def raw_words(text: Column) -> Column:

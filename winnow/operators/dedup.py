@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from winnow.functions.limits import MINHASH_BANDS, MINHASH_ROWS, SHINGLE_WORDS
 from winnow.functions.minhash import signatures, word_hash
-from winnow.functions.text import folded_words, let
+from winnow.functions.text import computed, folded_words, let
 from winnow.operators.skew import join_totals
 from winnow.session import materialize
 
@@ -42,8 +42,7 @@ def minhash_signature(
         return signatures(words, n, bands * rows)
 
     hashed = F.transform(folded_words(F.col(text)), word_hash)
-    # Marked nondeterministic so that the filter is not pushed below it as a second call.
-    return df.select(id, sign.asNondeterministic()(hashed).alias("sig")).where("sig is not null")
+    return computed(df, "sig", sign(hashed)).select(id, "sig").where("sig is not null")
 
 
 def band_keys(sigs: DataFrame, id: str = "id", rows: int = MINHASH_ROWS) -> DataFrame:
@@ -126,7 +125,7 @@ def _shape(edges: DataFrame) -> tuple[int, bool]:
     return row["edges"] or 0, not row["loose"]
 
 
-def dedup_clusters(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def dedup_clusters(edges: DataFrame) -> DataFrame:
     """(id, component): every id on an edge with the smallest id it is connected to.
 
     Alternates large-star and small-star steps (Kiveris et al. 2014), which need about the
@@ -139,15 +138,13 @@ def dedup_clusters(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct(),
         "edges",
     )
-    for _ in range(max_rounds):
+    while True:
         size, stars = _shape(current)
         if stars:
             break
         # A large-star step replaces edges one by one, so `size` still bounds its result.
         halfway = materialize(_large_star(current, size), "large-star")
         current = materialize(_small_star(halfway, size), "small-star")
-    else:
-        raise RuntimeError(f"components not settled after {max_rounds} rounds")
     roots = current.select(F.col("dst").alias("id"), F.col("dst").alias("component")).distinct()
     return current.select(F.col("src").alias("id"), F.col("dst").alias("component")).unionByName(
         roots

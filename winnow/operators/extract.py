@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from winnow.functions.text import fence, let, share
+from winnow.functions.text import computed, let, share
 
 # Whole elements that never hold main text; an unclosed one runs to the end of the page.
 SILENT = (
@@ -16,14 +18,15 @@ BLOCKS = (
     "th", "section", "article", "main", "blockquote", "pre", "dl", "dt", "dd", "hr", "header",
     "figure", "figcaption", "body", "html",
 )
-ENTITIES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&copy;": "©",
-    "&middot;": "·", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘",
-    "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”",
+# All named references of HTML that end in a semicolon, from the standard library.
+NAMED = {name: text for name, text in html5.items() if name.endswith(";")}
+# What a reference to one of the code points 128 to 159 stands for.
+REMAPPED = {
+    code: bytes([code]).decode("cp1252") for code in range(128, 160)
+    if code not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)
 }
 MIN_BLOCK_CHARS = 25
 MAX_LINK_SHARE = 1 / 3
-MAX_HTML_CHARS = 10_000_000
 
 SILENT_PATTERN = (
     "(?is)<!--.*?(?:-->|\\z)|"
@@ -32,29 +35,58 @@ SILENT_PATTERN = (
 MAIN_PATTERN = r"(?is)<(?:article|main)\b[^>]*>(.*)</(?:article|main)\s*>"
 BLOCK_PATTERN = r"(?i)</?(?:" + "|".join(BLOCKS) + r")\b[^>]*>"
 ANCHOR_PATTERN = r"(?is)<a\b[^>]*>.*?</a\s*>"
-TAG_PATTERN = r"<[^>]*>"
+TAG_PATTERN = r"<[a-zA-Z/!?][^>]*>"
 SPACE_PATTERN = r"[ \t\n\r\f\x{a0}]+"
-NUMERIC_PATTERN = r"&#([0-9]{1,6});"
+REFERENCE_PATTERN = r"&(#[0-9]+;|#[xX][0-9a-fA-F]+;|[A-Za-z][A-Za-z0-9]*;)"
 
 
 def unescape(text: Column) -> Column:
-    """Named entities of the table above and decimal character references."""
-    for name, char in ENTITIES.items():
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return F.replace(let(text, _decode_numbers), F.lit("&amp;"), F.lit("&"))
-
+    """Named, decimal and hexadecimal character references, each decoded once.
 
-def _decode_numbers(text: Column) -> Column:
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(NUMERIC_PATTERN), F.lit(1)))
-    codes = F.filter(codes, lambda c: c.cast("int").between(32, 0xD7FF))
-    return F.aggregate(
-        codes,
+    Every distinct reference of the text is replaced; those that stand for an ampersand last,
+    since they could make a new one.
+    """
+    names = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE_PATTERN), F.lit(1)))
+    known = F.transform(
+        names, lambda n: F.struct(n.alias("name"), _referenced(n).alias("means"))
+    )
+    told = F.filter(known, lambda k: k["means"].isNotNull())
+    first = F.filter(told, lambda k: k["means"] != "&")
+    last = F.filter(told, lambda k: k["means"] == "&")
+    decoded = F.aggregate(
+        F.concat(first, last),
         text,
-        lambda acc, c: F.replace(
-            acc,
-            F.concat(F.lit("&#"), c, F.lit(";")),
-            F.decode(F.unhex(F.lpad(F.hex(c.cast("long")), 8, "0")), "UTF-32"),
-        ),
+        lambda acc, k: F.replace(acc, F.concat(F.lit("&"), k["name"]), k["means"]),
+    )
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+
+def _literal_map(items: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in items.items() for x in pair])
+
+
+def _referenced(name: Column) -> Column:
+    """What a reference (without its ampersand) stands for; NULL for an unknown name."""
+    digits = F.regexp_extract(name, "([0-9a-fA-F]+);$", 1)
+    digits = F.regexp_replace(digits, "^0+(?=.)", "")
+    hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
+    code = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(
+        F.conv(digits, 16, 10).cast("long")
+    )
+    code = F.when(hexadecimal, code).otherwise(
+        F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(digits.try_cast("long"))
+    )
+
+    def character(code: Column) -> Column:
+        broken = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+        plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.coalesce(
+            _literal_map(REMAPPED)[code.cast("int")],
+            F.when(broken, F.lit("\ufffd")).otherwise(plain),
+        )
+
+    return F.when(F.startswith(name, F.lit("#")), let(code, character)).otherwise(
+        _literal_map(NAMED)[name]
     )
 
 
@@ -63,10 +95,7 @@ def _plain(html: Column) -> Column:
 
 
 def main_text(html: Column) -> Column:
-    """Blocks with enough text and few links, one per line.
-
-    Pages over the size limit give NULL, in place of a time limit per page.
-    """
+    """Blocks with enough text and few links, one per line."""
     loud = F.regexp_replace(html, SILENT_PATTERN, " ")
 
     def main_zone(page: Column) -> Column:
@@ -94,8 +123,8 @@ def main_text(html: Column) -> Column:
         )
         return F.array_join(F.transform(kept, lambda m: m.getField("text")), "\n")
 
-    return F.when(F.length(html) <= MAX_HTML_CHARS, unescape(let(let(loud, main_zone), blocks)))
+    return let(let(let(loud, main_zone), blocks), unescape)
 
 
 def extract_main_text(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
-    return df.withColumn(text, fence(main_text(F.col(html))))
+    return computed(df, text, main_text(F.col(html)))

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from winnow.functions.text import computed
 from winnow.functions.trigrams import text_chunks, trigram_codes
 from winnow.session import materialize
 
@@ -117,12 +118,11 @@ class Profiles:
                 ["language", "score"],
             )
 
-        # Marked nondeterministic so that later filters do not cause a second call.
-        return guess.asNondeterministic()(letters_only(text))
+        return guess(letters_only(text))
 
 
 def with_language(df: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
-    guessed = df.withColumn("_guess", profiles.column(F.col(text)))
+    guessed = computed(df, "_guess", profiles.column(F.col(text)))
     return (
         guessed.withColumn("language", F.col("_guess.language"))
         .withColumn("language_score", F.col("_guess.score"))

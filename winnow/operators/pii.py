@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.functions.text import count_tokens
 
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# The look-behind and the possessive run keep a long run without @ linear.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 # Address ranges that are not globally routable (RFC 6890).

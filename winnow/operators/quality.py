@@ -21,7 +21,7 @@ from winnow.functions.ngrams import repeated_chars_column
 from winnow.functions.text import (
     BLANKS,
     count_of,
-    fence,
+    computed,
     filled_lines,
     let,
     raw_words,
@@ -39,7 +39,7 @@ def first_failure(rules: list[tuple[str, Column]]) -> Column:
 
 
 def _verdict(df: DataFrame, reason: Column) -> DataFrame:
-    return df.withColumn("drop_reason", fence(reason)).withColumn("keep", F.col("drop_reason").isNull())
+    return computed(df, "drop_reason", reason).withColumn("keep", F.col("drop_reason").isNull())
 
 
 # --- repetition ------------------------------------------------------------
@@ -61,8 +61,7 @@ def repeated_word_chars(text: Column, limits: GopherRepetition) -> Column:
     def count(words: pa.Array) -> pa.Array:
         return repeated_chars_column(words, top, dup)
 
-    # Marked nondeterministic so that later filters do not cause a second call.
-    return count.asNondeterministic()(raw_words(text))
+    return count(raw_words(text))
 
 
 def repetition_reason(
@@ -103,7 +102,7 @@ def repetition_reason(
 def gopher_repetition(
     df: DataFrame, text: str = "text", limits: GopherRepetition = GopherRepetition()
 ) -> DataFrame:
-    counted = df.withColumn("_repeated", repeated_word_chars(F.col(text), limits))
+    counted = computed(df, "_repeated", repeated_word_chars(F.col(text), limits))
     reason = repetition_reason(F.col(text), F.col("_repeated"), limits)
     return _verdict(counted, reason).drop("_repeated")
 
@@ -207,7 +206,7 @@ def c4_reason(text: Column, cleaned: Column, limits: C4Quality = C4Quality()) ->
 
 def c4_quality(df: DataFrame, text: str = "text", limits: C4Quality = C4Quality()) -> DataFrame:
     """Rewrites the text column, then judges the documents."""
-    marked = df.withColumn("_cleaned", fence(c4_text(F.col(text), limits)))
+    marked = computed(df, "_cleaned", c4_text(F.col(text), limits))
     judged = _verdict(marked, c4_reason(F.col(text), F.col("_cleaned"), limits))
     return judged.withColumn(text, F.col("_cleaned")).drop("_cleaned")
 

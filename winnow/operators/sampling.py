@@ -8,7 +8,6 @@ from winnow.functions.limits import SAMPLE_ROWS
 
 HASH_BITS = 60
 BUCKET_BITS = 20
-SORTED_ROWS = 10_000
 
 
 def sample_key(id: Column, seed: int) -> Column:
@@ -23,7 +22,8 @@ def smallest_hashes(df: DataFrame, k: int, seed: int, id: str) -> DataFrame:
     """Exactly the k rows with the smallest seeded hash of their id, for any k.
 
     Counts per hash bucket find the bucket in which the k-th hash lies, a sort of that bucket
-    alone finds the hash, and one filter takes the rows.
+    alone finds the hash, and one filter takes the rows. Of rows that share the last id as many
+    are taken as are still missing.
     """
     hashed = df.select(id, _small_hash(F.col(id), seed).alias("_h")).withColumn(
         "_bucket", F.shiftright("_h", HASH_BITS - BUCKET_BITS)
@@ -50,7 +50,17 @@ def smallest_hashes(df: DataFrame, k: int, seed: int, id: str) -> DataFrame:
         .first()["m"]
     )
     h = _small_hash(F.col(id), seed)
-    return df.where((h < last["_h"]) | ((h == last["_h"]) & (F.col(id) <= F.lit(last[id]))))
+    same = (h == last["_h"]) & (F.col(id) == F.lit(last[id]))
+    before = (h < last["_h"]) | ((h == last["_h"]) & (F.col(id) < F.lit(last[id])))
+    here = F.col("_bucket") == edge["_bucket"]
+    first, tied = hashed.where(here).select(
+        F.count_if((F.col("_h") < last["_h"]) | ((F.col("_h") == last["_h"]) & (F.col(id) < F.lit(last[id])))),
+        F.count_if((F.col("_h") == last["_h"]) & (F.col(id) == F.lit(last[id]))),
+    ).first()
+    missing = k - edge["_before"] - first
+    if missing == tied:
+        return df.where(before | same)
+    return df.where(before).unionByName(df.where(same).limit(missing))
 
 
 def sample_rows(
@@ -63,8 +73,8 @@ def sample_rows(
 ) -> DataFrame:
     """n random rows without replacement, of the whole frame or of every group in `by`.
 
-    A small sample is a top-n that each task cuts down before anything is shuffled; a large one
-    is found through bucket counts. A frame with fewer rows is returned whole unless `strict`.
+    Ids alone are looked at to find the sample, then one filter takes its rows, so nothing but
+    ids is moved whatever n. A frame with fewer rows is returned whole unless `strict`.
     """
     key = sample_key(F.col(id), seed)
     if by is not None:
@@ -72,6 +82,4 @@ def sample_rows(
         return df.withColumn("_k", F.row_number().over(best)).where(F.col("_k") <= n).drop("_k")
     if strict and df.select(id).limit(n).count() < n:
         raise ValueError(f"sample of {n} rows is larger than the data")
-    if n > SORTED_ROWS:
-        return smallest_hashes(df, n, seed, id)
-    return df.orderBy(key, id).limit(n)
+    return smallest_hashes(df, n, seed, id)

@@ -45,9 +45,7 @@ def pack_sequences(
         return F.struct(
             block.alias("block"),
             (F.col("_start") + first).alias("at"),
-            F.transform(
-                F.sequence(first.cast("int"), last.cast("int")), lambda j: F.get(words, j)
-            ).alias("part"),
+            F.slice(words, (first + 1).cast("int"), (last - first + 1).cast("int")).alias("part"),
         )
 
     first_block = F.floor(F.col("_start") / seq_len)
@@ -69,14 +67,23 @@ def pack_sequences(
     )
 
 
+def block_count(df: DataFrame, seq_len: int = SEQUENCE_LENGTH, text: str = "text") -> DataFrame:
+    """One row (blocks): how many blocks `pack_sequences` makes, from token counts alone."""
+    tokens_ = F.coalesce(F.sum(count_tokens(F.col(text)).cast("long")), F.lit(0))
+    return df.agg(F.floor(tokens_ / seq_len).alias("blocks"))
+
+
 def token_budget(
     blocks: DataFrame,
     steps: int = TRAIN_STEPS,
     batch: int = global_batch(),
     seq_len: int = SEQUENCE_LENGTH,
 ) -> DataFrame:
-    """One row: tokens needed and there, whether they suffice, and the most steps possible."""
-    return blocks.agg(F.count(F.lit(1)).alias("blocks")).select(
+    """One row: tokens needed and there, whether they suffice, and the most steps possible.
+
+    `blocks` comes from `block_count`.
+    """
+    return blocks.select(
         F.lit(steps * batch * seq_len).cast("long").alias("needed"),
         (F.col("blocks") * seq_len).alias("have"),
         (F.col("blocks") * seq_len >= steps * batch * seq_len).alias("enough"),
@@ -116,16 +123,18 @@ def batch_plan(
     accum: int = ACCUMULATION,
     dp: int = DATA_PARALLEL,
 ) -> DataFrame:
-    """Step, micro batch and slot of every block; an incomplete last batch is dropped."""
+    """Step, micro batch and slot of every block; an incomplete last batch is dropped.
+
+    `blocks` comes from `block_count`; its one number is read to lay out the plan.
+    """
     batch = global_batch(micro, accum, dp)
-    count = blocks.agg(F.count(F.lit(1))).scalar()
-    inside = F.col("block") % batch
-    return blocks.select(
-        "block",
-        F.floor(F.col("block") / batch).alias("step"),
-        F.floor(inside / micro).alias("micro_batch"),
-        (inside % micro).alias("slot"),
-    ).where(F.col("step") < F.floor(count / batch))
+    count = blocks.first()["blocks"]
+    return blocks.sparkSession.range(count // batch * batch).select(
+        F.col("id").alias("block"),
+        F.floor(F.col("id") / batch).alias("step"),
+        F.floor(F.col("id") % batch / micro).alias("micro_batch"),
+        (F.col("id") % batch % micro).alias("slot"),
+    )
 
 
 def data_stages(
@@ -136,10 +145,10 @@ def data_stages(
 ) -> DataFrame:
     """Per stage: its steps, blocks planned and consumed after `done` steps, steps remaining.
 
-    Steps count from 1; a stage runs until the next one starts, the last one until `steps`.
+    Steps count from 1; a stage runs until the next one starts, the last one through `steps`.
     """
     ordered = sorted(stages, key=lambda s: s[1])
-    ends = [start for _, start in ordered[1:]] + [steps]
+    ends = [start for _, start in ordered[1:]] + [steps + 1]
     step = F.col("step") + 1
 
     def pick(value) -> Column:
@@ -152,7 +161,7 @@ def data_stages(
 
     return (
         plan.withColumn("stage", pick(lambda name, start, end: name))
-        .withColumn("remaining", pick(lambda name, start, end: max(end - max(start, done), 0)))
+        .withColumn("remaining", pick(lambda name, start, end: max(end - max(start, done + 1), 0)))
         .where("stage is not null")
         .groupBy("stage")
         .agg(

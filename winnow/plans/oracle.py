@@ -65,11 +65,14 @@ REFINED = f"""{PROFILES},
 ORACLE["refine_corpus"] = f"""WITH {REFINED}
 SELECT id AS page_id, md5(text) AS text_md5, language, drop_stage, drop_reason FROM refined"""
 ORACLE["stage_stats"] = f"""WITH {REFINED},
-d AS (SELECT coalesce(drop_stage, 'kept') AS stage, count(*) AS documents,
-             coalesce(sum(length(text)), 0)::BIGINT AS chars FROM refined GROUP BY 1),
+stages(stage) AS (VALUES ('1_url'), ('2_non_english'), ('3_gopher_rep'), ('4_gopher_qual'),
+  ('5_c4'), ('6_fineweb_qual'), ('kept')),
+d AS (SELECT stage, count(id) AS documents, coalesce(sum(length(text)), 0)::BIGINT AS chars
+      FROM stages LEFT JOIN refined ON stage = coalesce(drop_stage, 'kept') GROUP BY stage),
 i AS (SELECT *, (sum(documents) OVER (ORDER BY stage DESC))::BIGINT AS documents_in FROM d)
 SELECT *, documents_in - CASE WHEN stage <> 'kept' THEN documents ELSE 0 END AS documents_left FROM i"""
 
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _IP = pii.IP.removeprefix(r"\b").removesuffix(r"\b")
 
 
@@ -77,7 +80,7 @@ def masked(src: str) -> str:
     """CTEs ending in `masked`(doc_id, text) over `src`(doc_id, text)."""
     private = "|".join(pii.PRIVATE)
     return rf"""
-    mails AS (SELECT doc_id, regexp_replace(text, '{pii.EMAIL}', '{pii.MASK_EMAIL}', 'g') AS t
+    mails AS (SELECT doc_id, regexp_replace(text, '{EMAIL}', '{pii.MASK_EMAIL}', 'g') AS t
               FROM {src}),
     wrapped AS (SELECT doc_id,
       regexp_replace(t, '\b({_IP})\b', chr(1) || '\1' || chr(2), 'g') AS t FROM mails),
@@ -372,10 +375,10 @@ PLAN = f"""{PACKED}, plan AS (
   FROM packed WHERE block // 8 < (SELECT count(*) // 8 FROM packed))"""
 ORACLE["batch_plan"] = f"WITH {PLAN} SELECT block, step, micro_batch, slot FROM plan"
 ORACLE["data_stages"] = f"""WITH {PLAN}, stages(stage, start, stop) AS (
-  VALUES ('Stable Training Stage', 1, 10), ('Annealing Phase', 10, 25))
+  VALUES ('Stable Training Stage', 1, 10), ('Annealing Phase', 10, 11))
 SELECT stage, min(step + 1) AS first_step, max(step + 1) AS last_step, count(*) AS planned,
-       count(*) FILTER (WHERE step + 1 <= 12) AS consumed,
-       greatest(max(stop) - greatest(max(start), 12), 0) AS remaining_steps
+       count(*) FILTER (WHERE step + 1 <= 4) AS consumed,
+       greatest(max(stop) - greatest(max(start), 5), 0) AS remaining_steps
 FROM plan JOIN stages ON step + 1 >= start AND step + 1 < stop GROUP BY stage"""
 _HASH = "('0x' || substr(md5('7:' || id::VARCHAR), 1, 15))::BIGINT"
 ORACLE["weighted_mix"] = f"""WITH total AS (SELECT count(*) AS n FROM documents),
@@ -449,9 +452,8 @@ scaled AS (SELECT *, max(weight) OVER (PARTITION BY epoch) AS top FROM r)
 SELECT epoch, uid, round_even(weight / top * 65535, 0)::INT AS w_u16 FROM scaled
 WHERE top > 0 AND round_even(weight / top * 65535, 0) <> 0"""
 ORACLE["chunk_reassembly"] = """
-SELECT conv_id, turn // 4096 AS part,
-       md5(string_agg(replace(text, chr(10), ''), '' ORDER BY turn)) AS completion_md5
-FROM conversations GROUP BY ALL"""
+SELECT conv_id, md5(string_agg(replace(text, chr(10), ''), '' ORDER BY turn)) AS completion_md5
+FROM conversations GROUP BY conv_id"""
 ORACLE["chunk_stream"] = """
 SELECT conv_id, 0 AS at,
        md5(string_agg(replace(text, chr(10), ''), '' ORDER BY turn)) AS text_md5

@@ -260,7 +260,8 @@ def main_text(html: str) -> str:
         f"{share(f'length({plain('b')}) - length({unlinked})', f'length({plain('b')})')}"
         f" <= {e.MAX_LINK_SHARE!r}::DOUBLE), lambda b: {plain('b')}), chr(10))"
     )
-    for name, char in e.ENTITIES.items():
+    # The references that the page table has.
+    for name, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·")):
         text = f"replace({text}, '{name}', {sql(char)})"
     return f"replace({text}, '&amp;', '&')"
 

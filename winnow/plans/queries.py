@@ -431,7 +431,7 @@ def pack_sequences(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def token_budget(spark: SparkSession, sf: str) -> DataFrame:
-    return sequences.token_budget(packed(spark, sf))
+    return sequences.token_budget(sequences.block_count(documents(spark, sf)))
 
 
 def weighted_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -449,12 +449,12 @@ def weighted_mix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def batch_plan(spark: SparkSession, sf: str) -> DataFrame:
-    return sequences.batch_plan(packed(spark, sf).select("block"))
+    return sequences.batch_plan(sequences.block_count(documents(spark, sf)))
 
 
 def data_stages(spark: SparkSession, sf: str) -> DataFrame:
-    plan = sequences.batch_plan(packed(spark, sf).select("block"))
-    return sequences.data_stages(plan, steps=25, done=12)
+    plan = sequences.batch_plan(sequences.block_count(documents(spark, sf)))
+    return sequences.data_stages(plan, done=4)
 
 
 # --- sources and sinks -----------------------------------------------------
@@ -590,7 +590,7 @@ def conversation_chunks(table: DataFrame) -> DataFrame:
 
 def chunk_reassembly(spark: SparkSession, sf: str) -> DataFrame:
     whole = chunks.chunk_reassembly(conversation_chunks(read_table(spark, sf, "conversations")))
-    return whole.select("conv_id", "part", F.md5("completion").alias("completion_md5"))
+    return whole.select("conv_id", F.md5("completion").alias("completion_md5"))
 
 
 def chunk_stream(spark: SparkSession, sf: str) -> DataFrame:

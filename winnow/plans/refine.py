@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from winnow.functions.limits import C4Quality, FineWebQuality, GopherQuality, GopherRepetition
-from winnow.functions.text import fence, let
+from winnow.functions.text import computed, let
 from winnow.operators import extract, language, quality, url
 
 STAGES = (
@@ -17,7 +17,7 @@ STAGES = (
 
 @dataclass(frozen=True)
 class RefineSettings:
-    domains: list[str] = field(default_factory=list)
+    domains: list[str] | DataFrame = field(default_factory=list)  # a table may be of any size
     words: list[str] = field(default_factory=list)
     target: str = "en"
     min_score: float = language.MIN_SCORE
@@ -36,7 +36,7 @@ def _stage(drop: Column, stage: str, reason: Column) -> Column:
         reason,
         lambda r: F.when(r.isNotNull(), F.struct(F.lit(stage).alias("stage"), r.alias("reason"))),
     )
-    return fence(F.coalesce(drop, failed))
+    return F.coalesce(drop, failed)
 
 
 def refine(
@@ -51,26 +51,31 @@ def refine(
     drop, text = F.col("_drop"), F.col("text")
     inside = F.when(drop.isNull(), text)
     nothing = F.lit(None).cast("struct<stage:string,reason:string>")
-    url_verdict = _stage(nothing, STAGES[0], url.url_reason(F.col("url"), s.domains, s.words))
-    df = pages.withColumn("_drop", url_verdict)
+    if isinstance(s.domains, DataFrame):
+        pages = url.url_filter(pages, s.domains, s.words).drop("keep")
+        blocked = F.col("drop_reason")
+    else:
+        blocked = url.url_reason(F.col("url"), s.domains, s.words)
+    url_verdict = _stage(nothing, STAGES[0], blocked)
+    df = computed(pages, "_drop", url_verdict)
     page_text = F.when(drop.isNull(), extract.main_text(F.col("html")))
-    df = df.withColumn("text", fence(page_text)).drop("html")
+    df = computed(df, "text", page_text).drop("html")
 
     df = language.with_language(df, profiles)
     target = language.language_reason(s.target, s.min_score)
-    df = df.withColumn("_drop", _stage(drop, STAGES[1], target))
+    df = computed(df, "_drop", _stage(drop, STAGES[1], target))
 
-    df = df.withColumn("_repeated", quality.repeated_word_chars(inside, s.repetition))
+    df = computed(df, "_repeated", quality.repeated_word_chars(inside, s.repetition))
     repetition = quality.repetition_reason(text, F.col("_repeated"), s.repetition)
     general = quality.quality_reason(text, s.quality)
-    df = df.withColumn("_drop", _stage(drop, STAGES[2], repetition)).drop("_repeated")
-    df = df.withColumn("_drop", _stage(drop, STAGES[3], general))
+    df = computed(df, "_drop", _stage(drop, STAGES[2], repetition)).drop("_repeated")
+    df = computed(df, "_drop", _stage(drop, STAGES[3], general))
 
     cleaned = F.col("_cleaned")
-    df = df.withColumn("_cleaned", fence(F.when(drop.isNull(), quality.c4_text(text, s.c4))))
-    df = df.withColumn("_drop", _stage(drop, STAGES[4], quality.c4_reason(text, cleaned, s.c4)))
+    df = computed(df, "_cleaned", F.when(drop.isNull(), quality.c4_text(text, s.c4)))
+    df = computed(df, "_drop", _stage(drop, STAGES[4], quality.c4_reason(text, cleaned, s.c4)))
     by_lines = _stage(drop, STAGES[5], quality.fineweb_reason(cleaned, s.fineweb))
-    df = df.withColumns({"_drop": by_lines, "text": F.coalesce(cleaned, text)})
+    df = computed(df, "_drop", by_lines).withColumn("text", F.coalesce(cleaned, text))
     return df.withColumns(
         {"drop_stage": F.col("_drop.stage"), "drop_reason": F.col("_drop.reason")}
     ).drop("_drop", "_cleaned")
@@ -85,10 +90,19 @@ def removed(refined: DataFrame) -> DataFrame:
 
 
 def stage_stats(refined: DataFrame) -> DataFrame:
-    """Documents entering, dropped and left per stage, and characters dropped."""
-    dropped = refined.groupBy(F.coalesce("drop_stage", F.lit("kept")).alias("stage")).agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars"),
+    """Documents entering, dropped and left per stage, and characters dropped.
+
+    A stage that drops nothing has a row too.
+    """
+    found = refined.groupBy(F.coalesce("drop_stage", F.lit("kept")).alias("stage")).agg(
+        F.count(F.lit(1)).alias("documents"), F.sum(F.length("text")).alias("chars")
+    )
+    every = refined.sparkSession.createDataFrame([(s,) for s in (*STAGES, "kept")], "stage string")
+    zero = F.lit(0).cast("long")
+    dropped = every.join(found, "stage", "left").select(
+        "stage",
+        F.coalesce("documents", zero).alias("documents"),
+        F.coalesce("chars", zero).alias("chars"),
     )
     # The window runs over one row per stage.
     later = Window.partitionBy(F.lit(1)).orderBy("stage").rowsBetween(

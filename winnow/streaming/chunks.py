@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-PART = 4096
 PIECE_SCHEMA = "conv_id bigint, at bigint, text string"
 
 
@@ -17,21 +16,13 @@ def _unbroken(chunk: Column) -> Column:
     return F.replace(chunk, F.lit("\n"), F.lit(""))
 
 
-def chunk_reassembly(chunks: DataFrame, size: int = PART) -> DataFrame:
-    """(conv_id, part, completion): the text of every `size` chunks of a conversation, in order.
-
-    A conversation of up to `size` chunks is one row. A longer one is several, so that neither
-    a task nor a string has to hold a conversation of any length.
-    """
+def chunk_reassembly(chunks: DataFrame) -> DataFrame:
+    """(conv_id, completion): the text of all chunks of a conversation, in order."""
     pieces = F.array_sort(
         F.collect_list(F.struct("seq", _unbroken(F.col("chunk")).alias("text")))
     )
     whole = F.array_join(F.transform(pieces, lambda p: p.getField("text")), "")
-    return (
-        chunks.withColumn("part", F.floor(F.col("seq") / size))
-        .groupBy("conv_id", "part")
-        .agg(whole.alias("completion"))
-    )
+    return chunks.groupBy("conv_id").agg(whole.alias("completion"))
 
 
 class ChunkProcessor(StatefulProcessor):
