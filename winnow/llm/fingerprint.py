@@ -62,30 +62,30 @@ def following(docs: DataFrame) -> DataFrame:
     Rows are sorted within slices of neighbouring ids. The first rows of the slices, one in a
     slice, go to the slices before.
     """
-    sliced = docs.withColumn("_slice", F.coalesce(F.shiftright("doc_id", 6), F.lit(-(1 << 62))))
-    order = Window.partitionBy("_slice").orderBy(F.col("doc_id").asc_nulls_first(), "_key")
+    sliced = docs.withColumn("_part", F.coalesce(F.shiftright("doc_id", 6), F.lit(-(1 << 62))))
+    order = Window.partitionBy("_part").orderBy(F.col("doc_id").asc_nulls_first(), "_key")
     row = F.struct("_key", "text")
     marked = sliced.withColumn("_next", F.lead(row).over(order))
-    place = ranked(sliced.select("_slice").distinct(), [], [F.col("_slice")]).drop("_before")
+    place = ranked(sliced.select("_part").distinct(), [], [F.col("_part")]).drop("_before")
     place = materialize(place, "slices")
     count = place.count()
-    first = sliced.groupBy("_slice").agg(
+    first = sliced.groupBy("_part").agg(
         F.min(F.struct(F.col("doc_id").isNotNull().alias("a"), "doc_id", "_key", "text")).alias("r")
     )
     before = place.select(
-        F.col("_rank").alias("_after"), F.col("_slice").alias("_from")
+        F.col("_rank").alias("_after"), F.col("_part").alias("_from")
     )
     edges = (
-        first.join(place, "_slice")
+        first.join(place, "_part")
         .select(
             F.when(F.col("_rank") == 1, F.lit(count)).otherwise(F.col("_rank") - 1).alias("_after"),
             F.struct("r._key", "r.text").alias("_edge"),
         )
         .join(before, "_after")
-        .select(F.col("_from").alias("_slice"), "_edge")
+        .select(F.col("_from").alias("_part"), "_edge")
     )
-    return marked.join(edges, "_slice", "left").select(
-        *docs.columns, "_slice", F.coalesce("_next", "_edge").alias("_next")
+    return marked.join(edges, "_part", "left").select(
+        *docs.columns, "_part", F.coalesce("_next", "_edge").alias("_next")
     )
 
 
@@ -162,31 +162,30 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
         ),
     )
     # The blank stands for the row itself: it keeps texts without terms and carries the facts.
-    row = F.array(F.lit(" "))
     sides = edited.select(
-        "_slice",
+        "_part",
         "_key",
         "_facts",
-        F.explode(
+        F.inline(
             F.array(
-                F.struct(F.lit(0).alias("side"), row.alias("list")),
+                F.struct(F.lit(0).alias("side"), F.array(F.lit(" ")).alias("list")),
                 F.struct(F.lit(1).alias("side"), F.col("_own").alias("list")),
                 F.struct(F.lit(2).alias("side"), F.col("_other").alias("list")),
             )
-        ).alias("_s"),
+        ),
     ).select(
-        "_slice",
+        "_part",
         "_key",
-        F.col("_s.side").alias("side"),
-        F.when(F.col("_s.side") == 0, F.col("_facts")).alias("_facts"),
-        F.explode("_s.list").alias("term"),
+        "side",
+        F.when(F.col("side") == 0, F.col("_facts")).alias("_facts"),
+        F.explode("list").alias("term"),
     )
     blank = known.sparkSession.range(1).select(
         F.lit(" ").alias("term"), F.array().cast("array<string>").alias("member")
     )
     held = sides.join(F.broadcast(known.unionByName(blank)), "term")
     # The rows of a text are where its slice is: this grouping needs no shuffle.
-    grouped = held.groupBy("_slice", "_key").agg(
+    grouped = held.groupBy("_part", "_key").agg(
         F.max("_facts").alias("f"),
         F.collect_list(F.when(F.size("member") > 0, F.struct("side", "term", "member"))).alias("found"),
     )
