@@ -71,10 +71,12 @@ def small_batches(spark: SparkSession, size: str = "4m", rows: int = 2000) -> No
     """Exchange long texts with Python in batches of a few megabytes.
 
     A batch exists several times at once, outside the heap and in Python, for each running task;
-    Spark's default of 64 MB would need gigabytes beside the heap.
+    Spark's default of 64 MB would need gigabytes beside the heap. The Parquet reader likewise
+    fills a batch of rows before it hands on the first.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "256")
 
 
 def discard(spark: SparkSession, path: str) -> None:
