@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
+from winnow.llm.workers import lean
 from winnow.session import materialize, small_batches
 
 CHUNK = 1 << 16  # characters a chunk owns
@@ -320,7 +321,7 @@ def encode_parts(
         "_key", "doc_id", F.lit(0).alias("piece"), F.lit(1).alias("pieces"), "text"
     )
     pieces = stitched(chunks(plain.where(long), size, overlap), size)
-    return short.mapInArrow(run, ENCODED), pieces.mapInArrow(run, ENCODED)
+    return short.mapInArrow(lean(run), ENCODED), pieces.mapInArrow(lean(run), ENCODED)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, **options) -> DataFrame:
@@ -356,7 +357,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                 [*batch.columns, binary_column(out)], [*batch.schema.names, "decoded"]
             )
 
-    return encoded.mapInArrow(run, ENCODED + ", decoded binary")
+    return encoded.mapInArrow(lean(run), ENCODED + ", decoded binary")
 
 
 def digests(short: DataFrame, long: DataFrame) -> DataFrame:

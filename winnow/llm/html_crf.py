@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from winnow.llm.workers import lean
 from winnow.session import small_batches
 
 SAMPLE = 384  # labelled pages of the table, at most
@@ -450,4 +451,4 @@ def extract(
         F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(page), F.lit("")).alias("html"),
     )
-    return plain.mapInArrow(run, "page_id long, url string, text string")
+    return plain.mapInArrow(lean(run), "page_id long, url string, text string")

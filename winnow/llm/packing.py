@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from winnow.llm.bpe import Encoder
+from winnow.llm.workers import lean
 from winnow.operators.skew import ranked
 from winnow.session import materialize, small_batches
 
@@ -155,7 +156,7 @@ def tokenised(
     plain = docs.select(
         F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(lean(run), schema)
 
 
 def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from winnow.llm.repeats import BYTES, SEPARATORS, Sums, byte_slabs, mixed, new_values
+from winnow.llm.workers import lean
 from winnow.session import materialize, small_batches
 
 FEATURES = 384
@@ -173,7 +174,7 @@ def document_statistics(docs: DataFrame, id: str = "doc_id", text: str = "text")
         F.col(id).cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"),
     )
-    return plain.mapInArrow(run, "doc_id long, stats array<double>")
+    return plain.mapInArrow(lean(run), "doc_id long, stats array<double>")
 
 
 def _summed(rows: DataFrame, part) -> np.ndarray | None:

@@ -23,10 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from winnow.llm.bpe import BASE, MIX_A, MIX_B, powers
+from winnow.llm.workers import lean, lean_group
+from winnow.session import small_batches
 
-SLAB = 1 << 20  # units worked on at once
-FLUSH = 1 << 20  # records held by a task before it hands them on
-BUCKET_BYTES = 16 << 20  # records a bucket should hold
+SLAB = 1 << 17  # units worked on at once
+FLUSH = 1 << 18  # records held by a task before it hands them on
+ROW = 1 << 13  # records in a row: rows of a megabyte and more are hard on the heap
+BUCKET_BYTES = 6 << 20  # of text whose records a bucket should hold
 
 ANCHOR = np.dtype([("h", "<u8"), ("s", "<u8"), ("doc", "<i8"), ("p", "<u4"), ("n", "<u2")])
 EDGE = np.dtype([("h", "<u8"), ("doc", "<i8"), ("p", "<u4"), ("n", "<u2")])
@@ -186,6 +189,17 @@ def anchors(shape: Shape, slab, sums: Sums) -> np.ndarray:
     return out
 
 
+def to_bytes(records: np.ndarray) -> bytes:
+    """Records byte plane by byte plane: planes of zeros cost a compressed shuffle nothing."""
+    width = records.dtype.itemsize
+    return np.ascontiguousarray(records).view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def from_bytes(data: bytes, kind: np.dtype) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Buckets in the order of the hashes."""
     return ((hashes >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
@@ -229,7 +243,7 @@ def joined_runs(runs: np.ndarray) -> np.ndarray:
 
 
 def packed(kind: str, records: np.ndarray, bucket: np.ndarray, level: int = -1) -> list[dict]:
-    """One row per bucket with its records."""
+    """Rows of the records of each bucket, at most ROW of them in a row."""
     if not len(records):
         return []
     order = np.argsort(bucket, kind="stable")
@@ -237,8 +251,9 @@ def packed(kind: str, records: np.ndarray, bucket: np.ndarray, level: int = -1)
     cuts = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1 if bucket[0] else 1 << 40))
     cuts[0] = 0
     return [
-        {"kind": kind, "bucket": int(bucket[a]), "level": level, "data": records[a:b].tobytes()}
+        {"kind": kind, "bucket": int(bucket[a]), "level": level, "data": to_bytes(records[c : min(b, c + ROW)])}
         for a, b in zip(cuts, [*cuts[1:], len(records)], strict=True)
+        for c in range(a, b, ROW)
     ]
 
 
@@ -247,15 +262,25 @@ def by_document(kind: str, records: np.ndarray, buckets: int) -> list[dict]:
     return packed(kind, records, bucket_of(hashes, buckets).astype(np.int64))
 
 
-def rows_batch(rows: list[dict]) -> pa.RecordBatch:
+def row_batches(rows: list[dict], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Record batches of about `size` bytes."""
     schema = pa.schema(
         [("kind", pa.string()), ("bucket", pa.int32()), ("level", pa.int32()), ("data", pa.binary())]
     )
-    return pa.RecordBatch.from_pylist(rows, schema=schema)
+    held, taken = [], 0
+    for row in rows:
+        held.append(row)
+        taken += len(row["data"])
+        if taken >= size:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, taken = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
 
 
 def plain(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, _doc, text): `_doc` orders the rows and `text` is bytes, never null."""
+    small_batches(docs.sparkSession)
     key = F.col(id).cast("long")
     return docs.select(
         key.alias("doc_id"),
@@ -275,13 +300,13 @@ def anchor_rows(docs: DataFrame, shape: Shape) -> DataFrame:
 
     def flushed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         records = in_order(np.concatenate(held), "h", "s", "doc", "p")
+        records = records[new_values(records, "h", "s", "doc", "p")]  # repeated rows
         first = new_values(records, "h", "s")
         again = records[~first]
         records = records[first]
         rows = packed("anchor", records, bucket_of(records["h"], shape.buckets).astype(np.int64))
         rows += by_document("run", runs_of(again, again["n"]), shape.buckets)
-        if rows:
-            yield rows_batch(rows)
+        yield from row_batches(rows)
 
     def run(batches):
         sums, held, size = Sums(), [], 0
@@ -297,7 +322,7 @@ def anchor_rows(docs: DataFrame, shape: Shape) -> DataFrame:
         if size:
             yield from flushed(held)
 
-    return docs.select("_doc", "text").mapInArrow(run, PACKED)
+    return docs.select("_doc", "text").mapInArrow(lean(run), PACKED)
 
 
 def resolved(records: np.ndarray, new: np.ndarray):
@@ -307,6 +332,7 @@ def resolved(records: np.ndarray, new: np.ndarray):
     several kinds of stretch, a new one among them.
     """
     order = np.lexsort([records[f] for f in ("p", "doc", "s", "h")])
+    order = order[new_values(records[order], "h", "s", "doc", "p")]  # a place that came twice
     records, new = records[order], new[order]
     first = new_values(records, "h", "s")
     again = records[~first]
@@ -328,7 +354,7 @@ def resolve(shape: Shape, merged: int, target: int):
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        parts = [np.frombuffer(data, ANCHOR) for data in rows["data"]]
+        parts = [from_bytes(data, ANCHOR) for data in rows["data"]]
         level = np.repeat(rows["level"].to_numpy(), [len(p) for p in parts])
         records = np.concatenate(parts)
         first, repeats, edges = resolved(records, level < 0)
@@ -347,13 +373,13 @@ def per_document(rows: DataFrame, kind: np.dtype, finish, schema: str) -> DataFr
     """One row per document from packed rows by document: `finish(records)` of each."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        records = np.concatenate([np.frombuffer(d, kind) for d in group["data"]])
+        records = np.concatenate([from_bytes(d, kind) for d in group["data"]])
         records = in_order(records, "doc", "p")
         cuts = np.flatnonzero(new_values(records, "doc"))
         parts = np.split(records, cuts[1:])
         return pd.DataFrame({"_id": records["doc"][cuts], "_found": [finish(p) for p in parts]})
 
-    return rows.groupBy("bucket").applyInPandas(run, schema)
+    return rows.groupBy("bucket").applyInPandas(lean_group(run), schema)
 
 
 def edge_windows(docs: DataFrame, edges: DataFrame, shape: Shape) -> DataFrame:
@@ -367,10 +393,10 @@ def edge_windows(docs: DataFrame, edges: DataFrame, shape: Shape) -> DataFrame:
         "_id long, _found binary",
     )
 
-    def flushed(held: list[np.ndarray]) -> pa.RecordBatch:
+    def flushed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         records = np.concatenate(held)
         bucket = bucket_of(records["h"], shape.buckets).astype(np.int64)
-        return rows_batch(packed("window", records, bucket))
+        yield from row_batches(packed("window", records, bucket))
 
     def run(batches):
         sums, held, size = Sums(), [], 0
@@ -400,13 +426,13 @@ def edge_windows(docs: DataFrame, edges: DataFrame, shape: Shape) -> DataFrame:
                 held.append(out)
                 size += len(out)
                 if size >= FLUSH:
-                    yield flushed(held)
+                    yield from flushed(held)
                     held, size = [], 0
         if size:
-            yield flushed(held)
+            yield from flushed(held)
 
     def again(rows: pd.DataFrame) -> pd.DataFrame:
-        records = np.concatenate([np.frombuffer(d, WINDOW) for d in rows["data"]])
+        records = np.concatenate([from_bytes(d, WINDOW) for d in rows["data"]])
         records = in_order(records, "h", "w", "doc", "p")
         # The same place can be asked for by several batches of an index.
         records = records[new_values(records, "h", "w", "doc", "p")]
@@ -415,7 +441,7 @@ def edge_windows(docs: DataFrame, edges: DataFrame, shape: Shape) -> DataFrame:
         return pd.DataFrame(out, columns=["kind", "bucket", "level", "data"])
 
     joined = docs.join(own, docs["_doc"] == own["_id"]).select("_doc", "text", "_found")
-    return joined.mapInArrow(run, PACKED).groupBy("bucket").applyInPandas(again, PACKED)
+    return joined.mapInArrow(lean(run), PACKED).groupBy("bucket").applyInPandas(lean_group(again), PACKED)
 
 
 def spans(runs: DataFrame, shape: Shape) -> DataFrame:

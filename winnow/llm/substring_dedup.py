@@ -28,7 +28,8 @@ from winnow.llm.repeats import (
     spans,
     with_spans,
 )
-from winnow.session import read_back, scratch_path, shuffles_dropped
+from winnow.llm.workers import lean, lean_group, write_kinds
+from winnow.session import read_back
 
 WORDS = 20
 
@@ -43,12 +44,9 @@ def repeated_runs(docs: DataFrame, shape: Shape) -> DataFrame:
             return group[["kind", "bucket", "level", "data"]]
         return act(group)
 
-    path = scratch_path(spark, "windows")
     half = anchor_rows(docs, shape).withColumn("_local", F.col("kind") == "run")
-    with shuffles_dropped(spark):
-        half.groupBy("_local", "bucket").applyInPandas(extend, PACKED).write.partitionBy(
-            "kind"
-        ).parquet(path)
+    grouped = half.groupBy("_local", "bucket").applyInPandas(lean_group(extend), PACKED)
+    path = write_kinds(grouped, "windows")
     found = read_back(spark, path, PACKED)
     edges = edge_windows(docs, found.where("kind = 'edge'"), shape)
     return found.where("kind = 'run'").unionByName(edges)
@@ -94,7 +92,7 @@ def cut(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n_words", "n_removed", "spans", "kept"],
             )
 
-    return docs.select("doc_id", "text", "_found").mapInArrow(run, schema)
+    return docs.select("doc_id", "text", "_found").mapInArrow(lean(run), schema)
 
 
 def word_spans(docs: DataFrame, words: int = WORDS) -> DataFrame:

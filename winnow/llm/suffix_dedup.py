@@ -33,7 +33,8 @@ from winnow.llm.repeats import (
     spans,
     with_spans,
 )
-from winnow.session import discard, read_back, scratch_path, shuffles_dropped
+from winnow.llm.workers import lean, lean_group, write_kinds
+from winnow.session import discard, materialize, read_back
 
 LEAST = 100  # bytes of a match
 BATCHES = 4
@@ -56,7 +57,6 @@ class SuffixIndex:
         merged = 0
         while merged in self.levels:
             merged += 1
-        path = scratch_path(self.spark, "suffixes")
         rows = anchor_rows(docs, self.shape)
         for level in self.levels:
             rows = rows.unionByName(self._read(self.levels[level], "level"))
@@ -70,8 +70,7 @@ class SuffixIndex:
             return act(group)
 
         scanned = rows.withColumn("_local", F.col("kind") == local).groupBy("_local", "bucket")
-        with shuffles_dropped(self.spark):
-            scanned.applyInPandas(run, PACKED).write.partitionBy("kind").parquet(path)
+        path = write_kinds(scanned.applyInPandas(lean_group(run), PACKED), "suffixes")
         if keep:
             for level in range(merged):
                 discard(self.spark, f"{self.levels.pop(level)}/kind=level")
@@ -87,7 +86,14 @@ class SuffixIndex:
                 out = out.unionByName(self._read(path, kind))
             return out
 
-        return all_of("run").unionByName(edge_windows(docs, all_of("edge"), self.shape))
+        windows = edge_windows(docs, all_of("edge"), self.shape)
+        return all_of("run").unionByName(materialize(windows, "edge-windows"))
+
+    def close(self) -> None:
+        """Remove the levels; what was found stays."""
+        for path in self.levels.values():
+            discard(self.spark, f"{path}/kind=level")
+        self.levels.clear()
 
 
 def cut(docs: DataFrame) -> DataFrame:
@@ -126,7 +132,7 @@ def cut(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n_bytes", "n_removed", "spans", "kept"],
             )
 
-    return docs.select("doc_id", "text", "_found").mapInArrow(run, schema)
+    return docs.select("doc_id", "text", "_found").mapInArrow(lean(run), schema)
 
 
 def remove_repeats(
@@ -143,7 +149,7 @@ def remove_repeats(
     """
     spark = docs.sparkSession
     docs = plain(docs, id, text)
-    index = SuffixIndex(spark, Shape("bytes", least, least // 2, buckets_for(docs)))
+    index = SuffixIndex(spark, Shape("bytes", least, max(1, least * 2 // 5), buckets_for(docs)))
     shares = [i / batches for i in range(1, batches)]
     # An approximate split is as good: every row falls into one range.
     marks = docs.agg(F.percentile_approx("_doc", F.array(*map(F.lit, shares)))).first()[0] or []
@@ -156,6 +162,7 @@ def remove_repeats(
             part = part.where(F.col("_doc") <= high)
         index.add(part, keep=no < len(marks))
         low = high
+    index.close()
     return cut(with_spans(docs, spans(index.runs(docs), index.shape)))
 
 
