@@ -233,10 +233,10 @@ def test_corpus_quality_eval(spark):
         words = rng.choices(["sun", "sea", "sand"] if label else ["rock", "ice", "wind"], k=12)
         rows.append((i, " ".join(words), label))
     df = spark.createDataFrame(rows, "id int, text string, label int")
-    clean = audit.corpus_quality_eval(df, features=256).first()
+    clean = audit.corpus_quality_eval(df).first()
     assert (clean.value, clean.stderr) == (1.0, 0.0)
     noisy = df.withColumn("label", F.when(F.col("id") % 10 < 3, F.lit(0)).otherwise(F.lit(1)))
-    worse = audit.corpus_quality_eval(noisy, features=256).first()
+    worse = audit.corpus_quality_eval(noisy).first()
     held_out = audit.sample_key(F.col("id"), 0)
     share = F.conv(F.substring(held_out, 1, 4), 16, 10).cast("int") < int(0.2 * 65536)
     n = df.where(share).count()

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,22 +18,35 @@ def test_pack_sequences(spark, length):
 
 
 def test_token_budget(spark):
-    row = sequences.token_budget(spark.range(79).withColumnRenamed("id", "block")).first()
+    blocks = lambda n: spark.createDataFrame([(n,)], "blocks long")
+    row = sequences.token_budget(blocks(79)).first()
     assert tuple(row) == (163_840, 79 * 2048, False, 9)
-    assert sequences.token_budget(spark.range(80).withColumnRenamed("id", "block")).first().enough
+    assert sequences.token_budget(blocks(80)).first().enough
+
+
+def test_block_count_is_what_packing_makes(spark):
+    texts = ["a b c, d", None, "e " * 37, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    for length in (1, 4, 7, 100):
+        blocks = sequences.block_count(df, length).first().blocks
+        assert blocks == sequences.pack_sequences(df, length).count()
+    plan = sequences.batch_plan(sequences.block_count(df, 2))._jdf.queryExecution().toString()
+    assert "text" not in plan
 
 
 def test_batch_plan_and_stages(spark):
-    plan = sequences.batch_plan(spark.range(17).withColumnRenamed("id", "block"))
+    plan = sequences.batch_plan(spark.createDataFrame([(17,)], "blocks long"))
     rows = plan.orderBy("block").collect()
     assert [r.step for r in rows] == [0] * 8 + [1] * 8
     assert [(r.micro_batch, r.slot) for r in rows[:8]] == [(i // 2, i % 2) for i in range(8)]
-    wide = sequences.batch_plan(spark.range(96).withColumnRenamed("id", "block"))
+    wide = sequences.batch_plan(spark.createDataFrame([(112,)], "blocks long"))
     stages = {r.stage: r for r in sequences.data_stages(wide, steps=12, done=4).collect()}
     stable, annealing = stages["Stable Training Stage"], stages["Annealing Phase"]
     assert (stable.first_step, stable.last_step, stable.planned) == (1, 9, 72)
-    assert (stable.consumed, stable.remaining_steps) == (32, 6)
-    assert (annealing.first_step, annealing.last_step, annealing.remaining_steps) == (10, 11, 2)
+    assert (stable.consumed, stable.remaining_steps) == (32, 5)
+    assert (annealing.first_step, annealing.last_step, annealing.remaining_steps) == (10, 12, 3)
+    usual = {r.stage: r for r in sequences.data_stages(wide).collect()}
+    assert usual["Annealing Phase"].planned == 8  # the last of 10 steps has its stage
 
 
 def test_smallest_hashes(spark):
@@ -42,11 +57,20 @@ def test_smallest_hashes(spark):
         assert {r.id for r in sampling.smallest_hashes(df, k, 3, "id").collect()} == set(order[:k])
 
 
-def test_large_sample_equals_small_one(spark, monkeypatch):
+def test_samples_of_repeated_ids(spark):
+    df = spark.range(4).crossJoin(spark.range(3).withColumnRenamed("id", "k"))
+    for n in range(13):
+        found = sampling.sample_rows(df, n, 9).collect()
+        assert len(found) == n
+        # Whole ids before the last one.
+        assert sum(c % 3 != 0 for c in Counter(r.id for r in found).values()) <= 1
+
+
+def test_a_sample_is_the_first_of_the_order(spark):
     df = spark.range(500)
-    small = {r.id for r in sampling.sample_rows(df, 40, 9).collect()}
-    monkeypatch.setattr(sampling, "SORTED_ROWS", 10)
-    assert {r.id for r in sampling.sample_rows(df, 40, 9).collect()} == small
+    order = [r.id for r in df.orderBy(sampling.sample_key(F.col("id"), 9), "id").collect()]
+    for n in (1, 40, 499, 600):
+        assert {r.id for r in sampling.sample_rows(df, n, 9).collect()} == set(order[:n])
 
 
 def test_weighted_mix(spark):

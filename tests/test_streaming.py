@@ -101,8 +101,8 @@ def test_chunk_reassembly(spark):
     df = spark.createDataFrame(rows, "conv_id bigint, seq bigint, chunk string")
     whole = {(r.conv_id, r.completion) for r in chunks.chunk_reassembly(df).collect()}
     assert whole == {(1, "abcdef"), (2, "xy")}
-    parts = chunks.chunk_reassembly(df, 1).orderBy("conv_id", "part").collect()
-    assert [r.completion for r in parts] == ["abcd", "ef", "x", "y"]
+    long = spark.range(5000).selectExpr("7 AS conv_id", "id AS seq", "'x' AS chunk")
+    assert [r.completion for r in chunks.chunk_reassembly(long).collect()] == ["x" * 5000]
 
 
 def test_chunk_stream_out_of_order(spark, tmp_path):
@@ -132,6 +132,33 @@ def test_refine_stream_over_batches(spark, tmp_path):
     assert corpus.where("id >= 100000").count() == 0
 
 
+def test_refine_stream_remembers_dropped_texts(spark, tmp_path, monkeypatch):
+    """B is a copy of A, C of B but not of A: C goes too, as in one batch."""
+    profiles = q.profiles(spark, SF)
+    settings = refine.RefineSettings()
+    page = refine.kept(refine.refine(q.pages(spark, SF).select("id", "url", "html"), profiles, settings)).first()
+    words = page.text.split(" ")
+    rows = []
+    for step in range(3):
+        changed = list(words)
+        for k in range(step * (len(words) // 40)):
+            changed[(k * 31) % len(words)] += f"x{k}"
+        rows.append((step, page.text, changed))
+    frame = spark.createDataFrame([(i, " ".join(c)) for i, _, c in rows], "id bigint, text string")
+    bands = {}
+    for r in dedup.band_keys(dedup.minhash_signature(frame)).collect():
+        bands.setdefault(r.id, set()).add((r.band, bytes(r.key)))
+    fresh = lambda df, *_: df.select("id", "text").withColumns(
+        {"drop_stage": F.lit(None).cast("string"), "drop_reason": F.lit(None).cast("string")}
+    )
+    monkeypatch.setattr(refine_streams, "refine", fresh)
+    stream = in_files(spark, frame.withColumn("_b", F.col("id")), str(tmp_path / "in"), "_b", 3)
+    path = str(tmp_path / "out")
+    runner.run_available(stream, path, refine_streams.refine_batches(profiles, path, settings))
+    found = {r.id for r in spark.read.parquet(f"{path}/corpus").collect()}
+    assert found == {r.id for r in dedup.minhash_dedup(frame).collect()}
+
+
 def test_kept_and_removed_are_the_input(spark):
     refined = q.refined_pages(spark, SF).cache()
     total = read_table(spark, SF, "pages").count()

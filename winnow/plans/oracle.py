@@ -227,6 +227,26 @@ ORACLE["eval_summary"] = f"""WITH {PARSED}, found AS (
 SELECT run_id, round(coalesce(avg(value) FILTER (WHERE metric = 'truthfulqa_mc2'), 0), 12) AS value,
        round(coalesce(avg(stderr) FILTER (WHERE metric = 'truthfulqa_mc2'), 0), 12) AS stderr
 FROM found GROUP BY run_id"""
+ORACLE["corpus_quality_eval"] = f"""WITH rows AS (
+  SELECT d.doc_id, quality = 1 AS good, {_FOLDED} AS words,
+         ('0x' || substr(md5('0:' || d.doc_id::VARCHAR), 1, 4))::INT < 13107 AS held_out
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
+counts AS (
+  SELECT word, count(*) FILTER (WHERE good) AS yes, count(*) FILTER (WHERE NOT good) AS no
+  FROM (SELECT good, unnest(words) AS word FROM rows WHERE NOT held_out) GROUP BY word),
+sums AS (SELECT sum(yes) AS yes, sum(no) AS no, count(*) AS n FROM counts),
+prior AS (SELECT ln((count(*) FILTER (WHERE good) + 1.0) / (count(*) FILTER (WHERE NOT good) + 1.0)) AS p
+          FROM rows WHERE NOT held_out),
+seen AS (SELECT doc_id, good, unnest(words) AS word FROM rows WHERE held_out),
+odds AS (
+  SELECT s.doc_id, sum(ln((coalesce(c.yes, 0) + 1.0) / (coalesce(c.no, 0) + 1.0)
+                          * ((t.no + t.n + 1.0) / (t.yes + t.n + 1.0)))) AS o
+  FROM seen s CROSS JOIN sums t LEFT JOIN counts c ON c.word = s.word GROUP BY s.doc_id),
+judged AS (
+  SELECT r.good = (coalesce(o, 0) + p > 0) AS correct
+  FROM (SELECT * FROM rows WHERE held_out) r CROSS JOIN prior LEFT JOIN odds USING (doc_id))
+SELECT round(avg(correct::INT), 8) AS value,
+       round(sqrt(avg(correct::INT) * (1 - avg(correct::INT)) / count(*)), 8) AS stderr FROM judged"""
 SUBMITTED = f"""{EVENTS}, tasks AS (
   SELECT uid, min(event_id) AS task_id, min(block) AS request_block
   FROM ev WHERE event_type = 'purchase' GROUP BY uid),

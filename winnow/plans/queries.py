@@ -258,7 +258,8 @@ def eval_summary(spark: SparkSession, sf: str) -> DataFrame:
 def corpus_quality_eval(spark: SparkSession, sf: str) -> DataFrame:
     labels = read_table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     labelled = documents(spark, sf).join(labels, "doc_id")
-    return audit.corpus_quality_eval(labelled, id="doc_id")
+    scored = audit.corpus_quality_eval(labelled, id="doc_id")
+    return scored.select(F.round("value", 8).alias("value"), F.round("stderr", 8).alias("stderr"))
 
 
 def tasks(spark: SparkSession, sf: str) -> DataFrame:
@@ -601,13 +602,20 @@ def chunk_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def refine_stream(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "corpus")
+    """The pages arrive in three parts; the job takes up where it stopped after each."""
+    path, folder = scratch_path(spark, "corpus"), scratch_path(spark, "arrivals")
     settings = refine.RefineSettings(domains=BLOCKED_DOMAINS, words=BLOCKED_WORDS)
-    arriving = table_stream(spark, sf, "pages").select(
-        F.col("page_id").alias("id"), "url", "html"
-    )
+    table = read_table(spark, sf, "pages")
+    thirds = table.agg(F.percentile_approx("page_id", [1 / 3, 2 / 3])).first()[0] or [0, 0]
+    first, second = F.lit(thirds[0]), F.lit(thirds[1])
+    page = F.col("page_id")
     step = refine_streams.refine_batches(profiles(spark, sf), path, settings)
-    runner.run_available(arriving, path, step)
+    for part in (page <= first, (page > first) & (page <= second), page > second):
+        table.where(part).write.mode("append").parquet(folder)
+        arriving = runner.file_stream(spark, folder, table.schema).select(
+            F.col("page_id").alias("id"), "url", "html"
+        )
+        runner.run_available(arriving, path, step)
     return spark.read.parquet(f"{path}/corpus").select(
         F.col("id").alias("page_id"), "token_count", F.md5("text").alias("text_md5")
     )

@@ -16,8 +16,9 @@ def refine_batches(
 ) -> Callable[[DataFrame, int], None]:
     """A batch step: refine, count tokens, drop duplicates, mask, publish.
 
-    Texts are compared with each other and, by band keys, with everything kept by earlier
-    batches. A batch owns its folders, so repeating it after a failure changes nothing.
+    Texts are compared with each other and, by band keys, with every text of earlier batches,
+    also those that were dropped as copies: a copy of a copy is one too, as in a batch job. A
+    batch owns its folders, so repeating it after a failure changes nothing.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -32,16 +33,16 @@ def refine_batches(
             seen = seen.where(F.col("batch") < batch_id).select("band", "key")
         known = bands.join(seen, ["band", "key"], "left_semi").select("id").distinct()
         clusters = dedup.dedup_clusters(dedup.star_edges(bands))
-        # A copy of a kept text takes its whole cluster with it.
+        # A copy of an earlier text takes its whole cluster with it.
         spoiled = clusters.join(known, "id", "left_semi").select("component").distinct()
         again = clusters.join(spoiled, "component", "left_semi").select("id")
         unique = dedup.drop_duplicates(fresh, clusters).join(
             known.unionByName(again).distinct(), "id", "left_anti"
         )
         unique = materialize(unique, "unique")
-        bands.join(unique.select("id"), "id", "left_semi").select("band", "key").distinct().write.mode(
-            "overwrite"
-        ).parquet(f"{path}/bands/batch={batch_id}")
+        bands.select("band", "key").distinct().write.mode("overwrite").parquet(
+            f"{path}/bands/batch={batch_id}"
+        )
         pii.pii_mask(unique).write.mode("overwrite").parquet(f"{path}/corpus/batch={batch_id}")
 
     return step
