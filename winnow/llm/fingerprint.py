@@ -1,6 +1,6 @@
 """I-Match fingerprints: hashes of a document's terms in randomised lexicons.
 
-Terms are lower-case runs of letters and digits. The lexicon holds the terms whose document
+Terms are lower-case runs without ASCII blanks, signs and controls. The lexicon holds the terms whose document
 frequency lies between two shares of the corpus: rare terms tell nothing about other texts, common
 ones say nothing. A document has at most so many distinct terms, so the number of terms above a
 share is at most the mean number of terms divided by that share: the lexicon does not grow with
@@ -30,7 +30,8 @@ SLICE = 64  # ids worked on together
 
 def terms(text: Column) -> Column:
     """Distinct terms, without order."""
-    words = F.split(F.lower(text), "[^\\p{L}\\p{N}]+")
+    # ASCII signs alone: a class that the pattern matcher looks up in a table.
+    words = F.split(F.lower(text), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
     return F.array_remove(F.array_distinct(words), "")
 
 
