@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from winnow.llm import bpe, fingerprint, html_crf, mtree, ngram_join, packing, quality, sharding, substring_dedup, suffix_dedup
+from winnow.llm.oracle import LLM_ORACLE
 from winnow.sources.tables import read_table
 
+__all__ = ["LLM_ORACLE", "LLM_QUERIES", "judged", "packed"]
+
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -103,5 +106,3 @@ LLM_QUERIES = {
     "op9_packing": op9_packing,
     "op10_html_crf": op10_html_crf,
 }
-
-LLM_ORACLE: dict[str, str] = {}

@@ -38,6 +38,7 @@ from winnow.session import discard, materialize, read_back
 
 LEAST = 100  # bytes of a match
 BATCHES = 4
+TASKS = 2000  # that a scan of the index is cut into at most, or as many as the session asks for
 
 
 class SuffixIndex:
@@ -69,7 +70,13 @@ class SuffixIndex:
                 return group[["kind", "bucket", "level", "data"]]
             return act(group)
 
-        scanned = rows.withColumn("_local", F.col("kind") == local).groupBy("_local", "bucket")
+        # Tasks of a few buckets each: one that holds many keeps all their records in memory to
+        # sort them by bucket.
+        tasks = min(shape.buckets, max(TASKS, int(self.spark.conf.get("spark.sql.shuffle.partitions"))))
+        placed = rows.withColumn("_local", F.col("kind") == local).repartition(
+            tasks, "_local", "bucket"
+        )
+        scanned = placed.groupBy("_local", "bucket")
         path = write_kinds(scanned.applyInPandas(lean_group(run), PACKED), "suffixes")
         if keep:
             for level in range(merged):
