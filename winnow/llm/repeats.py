@@ -295,8 +295,18 @@ def buckets_for(docs: DataFrame) -> int:
     return max(96, -(-size // BUCKET_BYTES))
 
 
+def edges_of(records: np.ndarray) -> np.ndarray:
+    edges = np.empty(len(records), EDGE)
+    for field in EDGE.names:
+        edges[field] = records[field]
+    return edges
+
+
 def anchor_rows(docs: DataFrame, shape: Shape) -> DataFrame:
-    """Packed rows: `anchor` by the anchors' hash, `run` of repeats within a flush by document."""
+    """Packed rows: `anchor` by the anchors' hash, `run` and `edge` of a flush by document.
+
+    An anchor that a third of all texts have is two records of a flush.
+    """
 
     def flushed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         records = in_order(np.concatenate(held), "h", "s", "doc", "p")
@@ -304,8 +314,15 @@ def anchor_rows(docs: DataFrame, shape: Shape) -> DataFrame:
         first = new_values(records, "h", "s")
         again = records[~first]
         records = records[first]
-        rows = packed("anchor", records, bucket_of(records["h"], shape.buckets).astype(np.int64))
+        # Stretches of an anchor that has several are edges already; two of them tell the bucket.
+        new = new_values(records, "h")
+        kind = np.cumsum(new) - 1
+        several = (np.bincount(kind) > 1)[kind]
+        nth = np.arange(len(records)) - np.flatnonzero(new)[kind]
+        sent = records[nth < 2]
+        rows = packed("anchor", sent, bucket_of(sent["h"], shape.buckets).astype(np.int64))
         rows += by_document("run", runs_of(again, again["n"]), shape.buckets)
+        rows += by_document("edge", edges_of(records[several]), shape.buckets)
         yield from row_batches(rows)
 
     def run(batches):
@@ -340,10 +357,7 @@ def resolved(records: np.ndarray, new: np.ndarray):
     kind = np.cumsum(new_values(records, "h")) - 1
     at_edge = (np.bincount(kind) > 1) & (np.bincount(kind, weights=new) > 0)
     at_edge = at_edge[kind] if len(kind) else np.zeros(0, bool)
-    edges = np.empty(int(at_edge.sum()), EDGE)
-    for field in EDGE.names:
-        edges[field] = records[field][at_edge]
-    return order[first], runs_of(again, again["n"]), edges
+    return order[first], runs_of(again, again["n"]), edges_of(records[at_edge])
 
 
 def resolve(shape: Shape, merged: int, target: int):
@@ -394,9 +408,15 @@ def edge_windows(docs: DataFrame, edges: DataFrame, shape: Shape) -> DataFrame:
     )
 
     def flushed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        records = np.concatenate(held)
-        bucket = bucket_of(records["h"], shape.buckets).astype(np.int64)
-        yield from row_batches(packed("window", records, bucket))
+        records = in_order(np.concatenate(held), "h", "w", "doc", "p")
+        records = records[new_values(records, "h", "w", "doc", "p")]
+        first = new_values(records, "h", "w")
+        again = runs_of(records[~first], 1)
+        records = records[first]
+        # By the windows, not by their anchors, which may have very many of them.
+        bucket = bucket_of(mixed(records["h"] ^ records["w"]), shape.buckets).astype(np.int64)
+        rows = packed("window", records, bucket) + by_document("run", again, shape.buckets)
+        yield from row_batches(rows)
 
     def run(batches):
         sums, held, size = Sums(), [], 0
@@ -432,6 +452,8 @@ def edge_windows(docs: DataFrame, edges: DataFrame, shape: Shape) -> DataFrame:
             yield from flushed(held)
 
     def again(rows: pd.DataFrame) -> pd.DataFrame:
+        if rows["kind"].iloc[0] == "run":
+            return rows[["kind", "bucket", "level", "data"]]
         records = np.concatenate([from_bytes(d, WINDOW) for d in rows["data"]])
         records = in_order(records, "h", "w", "doc", "p")
         # The same place can be asked for by several batches of an index.
@@ -441,7 +463,8 @@ def edge_windows(docs: DataFrame, edges: DataFrame, shape: Shape) -> DataFrame:
         return pd.DataFrame(out, columns=["kind", "bucket", "level", "data"])
 
     joined = docs.join(own, docs["_doc"] == own["_id"]).select("_doc", "text", "_found")
-    return joined.mapInArrow(lean(run), PACKED).groupBy("bucket").applyInPandas(lean_group(again), PACKED)
+    found = joined.mapInArrow(lean(run), PACKED).withColumn("_of", F.col("kind"))
+    return found.groupBy("_of", "bucket").applyInPandas(lean_group(again), PACKED)
 
 
 def spans(runs: DataFrame, shape: Shape) -> DataFrame:

@@ -61,19 +61,18 @@ class SuffixIndex:
         rows = anchor_rows(docs, self.shape)
         for level in self.levels:
             rows = rows.unionByName(self._read(self.levels[level], "level"))
-        local, shape = "run", self.shape
+        shape = self.shape
         act = resolve(shape, merged, merged if keep else -1)
 
         def run(group):
-            kinds = group["kind"] == local
-            if kinds.all():  # repeats within a flush are keyed by document already
+            if group["_local"].iloc[0]:  # what a flush knows is keyed by document already
                 return group[["kind", "bucket", "level", "data"]]
             return act(group)
 
         # Tasks of a few buckets each: one that holds many keeps all their records in memory to
         # sort them by bucket.
         tasks = min(shape.buckets, max(TASKS, int(self.spark.conf.get("spark.sql.shuffle.partitions"))))
-        placed = rows.withColumn("_local", F.col("kind") == local).repartition(
+        placed = rows.withColumn("_local", F.col("kind").isin("run", "edge")).repartition(
             tasks, "_local", "bucket"
         )
         scanned = placed.groupBy("_local", "bucket")
