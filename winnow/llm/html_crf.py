@@ -408,12 +408,11 @@ def made_pages(texts: list[str], number: int) -> Iterator[tuple[list[Block], lis
 
 def train(pages: DataFrame, page: str = "html") -> Field:
     """A field from at most SAMPLE pages that mark their article, and from made pages."""
-    sample = (
-        pages.where(F.length(page).between(1, SAMPLE_CHARS) & F.col(page).rlike("(?i)<(article|main)[\\s>]"))
-        .select(F.col(page).alias("page"), F.xxhash64(page).alias("h"))
-        .orderBy("h", "page")
-        .limit(SAMPLE)
-    )
+    fit_for_it = F.length(page).between(1, SAMPLE_CHARS) & F.col(page).rlike("(?i)<(article|main)[\\s>]")
+    hashed = pages.where(fit_for_it).select(F.col(page).alias("page"), F.xxhash64(page).alias("h"))
+    # First the hashes alone: else every task would send so many whole pages to the driver.
+    last = hashed.select("h").orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
+    sample = hashed.where(F.col("h") <= F.lit(last)).orderBy("h", "page").limit(SAMPLE)
     known, texts = [], []
     for no, row in enumerate(sample.collect()):
         found = blocks(row["page"])
