@@ -99,6 +99,23 @@ def test_broken_pages_end(page):
     html_crf.blocks(page)
 
 
+@pytest.mark.parametrize("part", [
+    '<svg class="i" viewBox="0 0 1 1"/>', "<svg><path d='M0'/>", "<svg><svg><text>no</text></svg><text>no</text></svg>",
+    "<svg><title>no</title><foreignObject><p>no</p></foreignObject><text>no</text></svg>", "<SVG><g><style/></g></SVG>",
+    "<template><p>no</p><template><p>no</p></template><p>no</p></template>", "<template>", "<noscript>",
+    "<noscript><p>no</p></noscript>", "<!-- <svg> --><script>'<template>'</script>", "<svg><path></g><svg></svg>",
+])
+@pytest.mark.parametrize("frame", ["<body>{}<article><p>{}</p></article>", "<body><article>{}<p>{}</p></article>"])
+def test_pictures_and_templates_take_only_themselves(part, frame):
+    page = frame.format(part, SENTENCE) + f"<p>{SENTENCE}</p><svg><path/></svg><p>end</p>"
+    assert [b.text for b in html_crf.blocks(page)] == [SENTENCE, SENTENCE, "end"]
+
+
+@pytest.mark.parametrize("part", ["<svg>", "<svg><foreignObject>", "<template>", "<noscript>", "<svg><foreignObject><div>"])
+def test_many_open_parts_end(part):
+    html_crf.blocks(part * 20_000 + "</svg></foreignObject></template>")
+
+
 def test_viterbi_is_the_best_sequence(field):
     draw = np.random.default_rng(1)
     rows = [[int(x) for x in draw.integers(1 << html_crf.BITS, size=4)] for _ in range(9)]

@@ -7,8 +7,10 @@ them with the marks taken off, and pages made from their paragraphs in a number
 labels are known. Viterbi decoding labels all blocks of a page at once.
 
 Null and empty pages give an empty text. Repeated rows give equal results. Whole pages are read,
-whatever their length; scripts, styles and other raw text end where their element does. Columns
-other than the id, the address and the page are ignored. An empty table gives no rows.
+whatever their length; scripts, styles and other raw text end where their element does. An svg also
+ends at a slash in its tag or before an HTML block tag, as in browsers; a template or noscript that
+never closes takes nothing with it. Columns other than the id, the address and the page are ignored.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,7 +18,8 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,7 @@ BREAKS = frozenset(
     "main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th "
     "thead tr ul".split()
 )
-RAW = frozenset("script style title textarea noscript iframe noembed noframes xmp template svg".split())
+RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
 VOID = frozenset("hr".split())
 #: An opening tag ends these open elements first.
 ENDS = {
@@ -81,6 +84,70 @@ def tag_end(page: str, at: int, none: dict[str, int]) -> int:
             at = close + 1
 
 
+def raw_end(page: str, name: str, at: int, none: dict[str, int]) -> int:
+    """Where the raw text of an element ends with its closing tag; -1 if there is none."""
+    if at >= none.get(name, len(page) + 1):
+        return -1
+    end = re.compile(f"</{name}(?=[\\s/>])", re.I).search(page, at)
+    if end is None:
+        none[name] = at
+        return -1
+    stop = tag_end(page, end.end(), none)
+    return len(page) if stop < 0 else stop
+
+
+def tags(page: str, at: int, none: dict[str, int]) -> Iterator[tuple[int, str, int]]:
+    """(start, name, end) of the tags from `at` on, without those in comments and raw text."""
+    while (mark := page.find("<", at)) >= 0:
+        found = NAME.match(page, mark + 1)
+        if found is None:
+            at = mark + 1
+            if page.startswith("<!--", mark):
+                at = page.find("-->", mark + 4) + 3
+                if at < 3:
+                    return
+            continue
+        at = tag_end(page, found.end(), none)
+        if at < 0:
+            return
+        name = found[0].lower()
+        yield mark, name, at
+        if name in RAW and page[at - 2] != "/":
+            at = max(at, raw_end(page, name, at, none))
+
+
+def closed(page: str, none: dict[str, int]) -> dict[int, int]:
+    """Ends of the templates and foreign objects of a page that close, by the ends of their tags."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {"template": [], "foreignobject": []}
+    for _, name, stop in tags(page, 0, none):
+        if name in opened:
+            if name == "template" or page[stop - 2] != "/":
+                opened[name].append(stop)
+        elif name[0] == "/" and opened.get(name[1:]):
+            ends[opened[name[1:]].pop()] = stop
+    return ends
+
+
+def svg_end(page: str, at: int, none: dict[str, int], ends: Callable[[], dict[int, int]]) -> int:
+    """Where the svg whose tag ends at `at` ends: at its closing tag or before an HTML block tag."""
+    depth, skip = 1, at
+    for mark, name, stop in tags(page, at, none):
+        if mark < skip:  # HTML in a foreign object
+            continue
+        if name.removeprefix("/") in BREAKS:
+            return mark
+        if name == "foreignobject":
+            skip = ends().get(stop, stop)
+        elif name == "svg" and page[stop - 2] != "/":
+            depth += 1
+        elif name == "/svg":
+            depth -= 1
+            if not depth:
+                return stop
+    return len(page)
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page, in order."""
     out: list[Block] = []
@@ -88,6 +155,7 @@ def blocks(page: str) -> list[Block]:
     held: list[str] = []
     links = anchor = at = 0
     none: dict[str, int] = {}
+    ends = cache(lambda: closed(page, {}))
 
     def flush() -> None:
         nonlocal links
@@ -147,9 +215,14 @@ def blocks(page: str) -> list[Block]:
                 flush()
                 close(name)
         elif name in RAW:
-            end = re.compile(f"</{name}(?=[\\s/>])", re.I).search(page, at)
-            at = size if end is None else tag_end(page, end.end(), none)
+            at = raw_end(page, name, at, none)
             at = size if at < 0 else at
+        elif name == "svg":
+            at = at if page[at - 2] == "/" else svg_end(page, at, none, ends)
+        elif name == "template":
+            at = ends().get(at, at)
+        elif name == "noscript":
+            at = max(at, raw_end(page, name, at, none))
         elif name == "a":
             anchor = 1
         elif name == "br":
