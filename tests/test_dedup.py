@@ -78,6 +78,16 @@ def test_minhash_dedup(spark, request, hot):
     assert {(r.cluster_size, r.clusters) for r in sizes} == {(31, 1), (2, 1)}
 
 
+@pytest.mark.parametrize("last", [("w11739", "w98582"), ("w28254", "w130106")])
+def test_texts_with_colliding_hashes_stay(spark, last):
+    """One shingle each, whose 31-bit hashes are equal; of the second pair, a word's 32 bits are."""
+    texts = [f"one two three four {word}" for word in (*last, last[0])]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    signed = dedup.minhash_signature(df).collect()
+    assert signed[0].sig == signed[1].sig == signed[2].sig
+    assert sorted(r.id for r in dedup.minhash_dedup(df).collect()) == [0, 1]
+
+
 def test_result_does_not_depend_on_partitions(spark):
     words = [f"w{i}" for i in range(40)]
     rows = [(i, " ".join(words[i % 7 : i % 7 + 20])) for i in range(60)]

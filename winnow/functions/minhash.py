@@ -3,6 +3,9 @@
 A word hashes to the first 32 bits of its MD5, a shingle to a linear combination of its word
 hashes modulo a prime, and signature value k is the smallest (a_k * h + b_k) modulo that prime.
 The same numbers come out of any SQL engine.
+
+31 bits tell too few shingles apart to compare texts by them. So each value comes with 32 more bits
+of its shingle, from 64 bits of the MD5 of its words, and texts agree in a value only with these.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import Column, functions as F
 from winnow.functions.ngrams import list_chunks
 
 PRIME = 2**31 - 1
+TAG_BITS = 32
 CHUNK_WORDS = 32_000  # keeps the work arrays in the CPU cache, three times as fast as 1M
 
 
@@ -33,27 +37,37 @@ def permutations(count: int) -> list[tuple[int, int]]:
 
 
 def word_hash(word: Column) -> Column:
-    """First 32 bits of the MD5."""
-    return F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint")
+    """First 64 bits of the MD5, as a signed number."""
+    return F.conv(F.substring(F.md5(word), 1, 16), 16, -10).cast("bigint")
+
+
+def signature(minima: Column) -> Column:
+    """The signature values of tagged ones."""
+    return F.transform(minima, lambda v: F.shiftright(v, TAG_BITS))
 
 
 def _shingle_hashes(words: np.ndarray, bounds: np.ndarray, n: int):
-    """Hashes of all shingles and the number per text."""
+    """Hashes and tags of all shingles and the number per text, from 64 bits of each word."""
     counts = np.maximum(np.diff(bounds) - n + 1, 0)
     total = int(counts.sum())
     first = np.concatenate(([0], np.cumsum(counts)[:-1]))
     at = np.arange(total) + np.repeat(bounds[:-1] - first, counts)
-    hashes = np.zeros(total, dtype=np.int64)
+    whole = words.view(np.uint64)
+    start = (whole >> np.uint64(32)).astype(np.int64)
+    hashes, tags = np.zeros(total, dtype=np.int64), np.zeros(total, dtype=np.uint64)
     for offset, factor in enumerate(word_coefficients(n)):
-        hashes += words[at + offset] * factor % PRIME
-    return hashes % PRIME, counts
+        hashes += start[at + offset] * factor % PRIME
+        odd = int(hashlib.md5(f"tag-{offset}".encode()).hexdigest()[:16], 16) | 1
+        tags += whole[at + offset] * np.uint64(odd)
+    return hashes % PRIME, (tags >> np.uint64(64 - TAG_BITS)).astype(np.int64), counts
 
 
 def signatures(words: pa.Array, n: int, count: int) -> pa.Array:
-    """`count` min-hashes per text; NULL for texts with fewer than n words."""
+    """`count` min-hashes per text, each above the tag of its shingle; NULL for texts with fewer
+    than n words."""
     flat, present = [], []
     for values, bounds in list_chunks(words, CHUNK_WORDS):
-        hashes, shingles = _shingle_hashes(
+        hashes, tags, shingles = _shingle_hashes(
             values.to_numpy(zero_copy_only=False).astype(np.int64), bounds, n
         )
         filled = shingles > 0
@@ -63,7 +77,8 @@ def signatures(words: pa.Array, n: int, count: int) -> pa.Array:
         starts = np.cumsum(shingles[filled]) - shingles[filled]
         smallest = np.empty((len(starts), count), dtype=np.int64)
         for k, (a, b) in enumerate(permutations(count)):
-            smallest[:, k] = np.minimum.reduceat((hashes * a + b) % PRIME, starts)
+            values = (hashes * a + b) % PRIME << TAG_BITS | tags
+            smallest[:, k] = np.minimum.reduceat(values, starts)
         flat.append(smallest.ravel())
     filled = np.concatenate(present) if present else np.zeros(0, dtype=bool)
     values = np.concatenate(flat) if flat else np.zeros(0, dtype=np.int64)

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from winnow.functions.limits import MINHASH_BANDS, MINHASH_ROWS, SHINGLE_WORDS
-from winnow.functions.minhash import signatures, word_hash
+from winnow.functions.minhash import signature, signatures, word_hash
 from winnow.functions.text import computed, folded_words, let
 from winnow.operators.skew import join_totals
 from winnow.session import materialize
@@ -35,22 +35,26 @@ def minhash_signature(
     rows: int = MINHASH_ROWS,
     n: int = SHINGLE_WORDS,
 ) -> DataFrame:
-    """(id, sig); texts with fewer than n words have no signature. Does not shuffle."""
+    """(id, sig, minima); texts with fewer than n words have no signature. Does not shuffle.
+
+    `minima` are the values of `sig` with their tags, which tell the shingles apart.
+    """
 
     @F.arrow_udf("array<bigint>")
     def sign(words: pa.Array) -> pa.Array:
         return signatures(words, n, bands * rows)
 
     hashed = F.transform(folded_words(F.col(text)), word_hash)
-    return computed(df, "sig", sign(hashed)).select(id, "sig").where("sig is not null")
+    signed = computed(df, "minima", sign(hashed)).where("minima is not null")
+    return signed.select(id, signature(F.col("minima")).alias("sig"), "minima")
 
 
 def band_keys(sigs: DataFrame, id: str = "id", rows: int = MINHASH_ROWS) -> DataFrame:
     """(id, band, key): one row per band of a signature."""
     keys = F.transform(
-        F.sequence(F.lit(0), F.size("sig") - rows, F.lit(rows)),
+        F.sequence(F.lit(0), F.size("minima") - rows, F.lit(rows)),
         lambda start: F.unhex(
-            F.md5(F.concat_ws(",", *[F.get(F.col("sig"), start + k).cast("string") for k in range(rows)]))
+            F.md5(F.concat_ws(",", *[F.get(F.col("minima"), start + k).cast("string") for k in range(rows)]))
         ),
     )
     return sigs.select(id, F.posexplode(keys).alias("band", "key"))
