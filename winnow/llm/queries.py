@@ -10,7 +10,7 @@ from winnow.llm import bpe, fingerprint, html_crf, mtree, ngram_join, packing, q
 from winnow.llm.oracle import LLM_ORACLE
 from winnow.sources.tables import read_table
 
-__all__ = ["LLM_ORACLE", "LLM_QUERIES", "judged", "packed"]
+__all__ = ["LLM_ORACLE", "LLM_QUERIES", "packed", "taught"]
 
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
@@ -59,10 +59,14 @@ def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def taught(labels: DataFrame) -> DataFrame:
+    """(doc_id, label) of the rows that teach: held-out ones do not."""
+    return labels.where(~quality.held_out()).select("doc_id", F.col("quality").alias("label"))
+
+
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted); held-out rows of `labels` teach nothing."""
-    known = labels.where(~quality.held_out()).select("doc_id", F.col("quality").alias("label"))
-    return quality.classify(docs, known).select(
+    return quality.classify(docs, taught(labels)).select(
         "doc_id",
         quality.held_out().alias("held_out"),
         "score",
