@@ -78,14 +78,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, keep_ids: bool = False) -> DataFrame:
     cut = packing.tokenised(
         docs,
         public_tokenizers.path(RANKS),
         public_tokenizers.path(VOCABULARY),
         public_tokenizers.PATTERN,
+        keep_ids=keep_ids,
     )
-    return packing.pack(cut).drop("ids")
+    pieces = packing.pack(cut)
+    return pieces if keep_ids else pieces.drop("ids")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
