@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in LLM_QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in LLM_QUERIES} == set(range(1, 14))
     assert set(LLM_QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(LLM_ORACLE) <= set(entry.oracle_sql())
 

@@ -86,6 +86,47 @@ SELECT query_id, rank, vec_id, score FROM (
   FROM scored) WHERE rank <= 20"""
 
 
+LLM_ORACLE["op11_lemp_negatives"] = """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS other, a.label = o.label AS same,
+         list_sum(list_transform(list_zip(a.v, o.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v o ON a.vec_id % 50 = 0 AND a.vec_id <> o.vec_id),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+mined AS (
+  SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+         (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INT AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM mined WHERE rank <= 3"""
+
+LLM_ORACLE["op12_minhash_bayes"] = f"""WITH RECURSIVE docs AS (
+  SELECT doc_id, {WORDS.replace("coalesce(text, '')", _LOWER)} AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS p FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 80 * (x.n + y.n - common)),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(id, other) AS (
+  SELECT a, b FROM ways UNION SELECT r.id, w.b FROM reach r JOIN ways w ON w.a = r.other)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles,
+       least(d.doc_id, min(other)) AS component_id, d.doc_id = least(d.doc_id, min(other)) AS kept
+FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reach ON id = d.doc_id
+GROUP BY d.doc_id"""
+
+
 def _number(text: str) -> str:
     return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
 

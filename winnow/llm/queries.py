@@ -6,7 +6,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from winnow.llm import bpe, fingerprint, html_crf, mtree, ngram_join, packing, quality, sharding, substring_dedup, suffix_dedup
+from winnow.llm import (
+    bpe,
+    fingerprint,
+    html_crf,
+    lemp,
+    minhash_bayes,
+    mtree,
+    ngram_join,
+    packing,
+    periodic_runs,
+    quality,
+    sharding,
+    substring_dedup,
+    suffix_dedup,
+)
+from winnow.functions.text import let
 from winnow.llm.oracle import LLM_ORACLE
 from winnow.sources.tables import read_table
 
@@ -100,6 +115,57 @@ def op10_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_lemp_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return lemp.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op12_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_bayes.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """`docs` in which a tenth of the texts, by their ids, end in a period of their own words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+
+    def repeated(w):
+        n = F.size(w).cast("long")
+        cut = F.struct((g % n).alias("a"), (1 + F.floor((n - g % n) / (3 + g % 8))).alias("p"))
+        source = lambda c, i: F.when(i < c["a"], i).otherwise(c["a"] + (i - c["a"]) % c["p"])
+        return let(cut, lambda c: F.transform(w, lambda _, i: F.get(w, source(c, i).cast("int"))))
+
+    chosen = (h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    edited = F.when(chosen, F.array_join(let(words, repeated), " "))
+    return docs.select("doc_id", F.coalesce(edited, "text").alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(planted(read_table(spark, sf_dir, "documents")))
+    # Greatest length, then smallest start and period.
+    key = lambda r: F.struct((-r["length"]).alias("a"), r["start"].alias("b"), r["period"].alias("c"))
+    best = F.array_min(F.transform("runs", key))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return (
+        found.withColumn("_best", best)
+        .withColumn("length", -F.col("_best.a"))
+        .withColumn("period", F.col("_best.c"))
+        .select(
+            "doc_id",
+            F.size("runs").cast("long").alias("n_runs"),
+            F.col("_best.b").alias("start"),
+            "length",
+            "period",
+            F.expr("length * 1000 div period").alias("exponent_milli"),
+            F.sha2(F.encode(lines, "utf-8"), 256).alias("runs_sha256"),
+            F.sha2(F.encode("kept", "utf-8"), 256).alias("collapsed_sha256"),
+        )
+    )
+
+
 LLM_QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -111,4 +177,7 @@ LLM_QUERIES = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_html_crf": op10_html_crf,
+    "op11_lemp_negatives": op11_lemp_negatives,
+    "op12_minhash_bayes": op12_minhash_bayes,
+    "op13_periodic_runs": op13_periodic_runs,
 }
