@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from winnow.operators import audit, commits, scores
+from winnow.operators import audit, commits, poller, scores
 
 G = ["netuid", "epoch"]
 
@@ -139,16 +139,65 @@ def test_new_commits(spark):
 
 
 def test_stale_decay(spark):
-    rows = [(1, "a", 1000, 1005), (2, "b", 1000, 1001), (2, "c", 20_000, 20_001)]
+    rows = [
+        (1, "a", 1000, 1005), (1, "a", 1000, 8200), (1, "a", 1000, 8201), (1, "a", 1000, 15_401),
+        (1, "a", 1000, 15_402), (2, "old", 0, 9000), (3, "a", 190, 200), (3, "b", 700, 8000), (3, "a", 8900, 9000),
+    ]
     df = spark.createDataFrame(rows, "uid int, commit string, commit_block bigint, seen_block bigint")
-
-    def decays(horizon):
-        return sorted((r.uid, r.block) for r in commits.stale_decay(df, horizon).collect())
-
-    assert decays(20_100) == [(1, 8201), (1, 15402), (2, 8201), (2, 15402)]
-    one = df.where("uid = 1")
-    assert commits.stale_decay(one, 8201).count() == 1
-    assert commits.stale_decay(one, 8200).count() == 0
+    decays = sorted((r.uid, r.block) for r in commits.stale_decay(df).collect())
+    assert decays == [(1, 8201), (1, 15_402), (2, 9000), (3, 8000)]
+    # The stale poll of another commit was taken, so the first one is new again.
+    accepted = commits.new_commits(df.where("uid = 3")).collect()
+    assert sorted(r.seen_block for r in accepted) == [200, 9000]
+
+
+def polls_of(draw, size, age, uids):
+    rows, seen = [], 0
+    for i in range(size):
+        seen += draw.choice([0, 1, 2, 3, 9, age, age + 1])
+        commit = draw.choice(["a", "b", "c", None])
+        rows.append((draw.choice(uids), commit, seen - draw.randint(0, 2 * age), seen, i))
+    return rows
+
+
+POLLS = "uid bigint, commit string, commit_block bigint, seen_block bigint, event_id bigint"
+
+
+def expected_events(rows, age):
+    """The poller's loop, as it is written down for one machine."""
+    state, out = {}, []
+    order = lambda r: (r[3], r[2], r[1], r[4])
+    known = (r for r in rows if r[0] is not None and r[1] is not None)
+    for uid, commit, block, seen, event in sorted(known, key=order):
+        last, timer = state.get(uid, (None, 0))
+        if seen - block < age and commit != last:
+            state[uid] = (commit, block)
+            out.append((uid, event, "commit"))
+        elif seen - timer > age:
+            state[uid] = (commit, seen)
+            out.append((uid, event, "decay"))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_stretches_of_polls_compose(spark, width):
+    """A submitter with most polls is many stretches, with one result."""
+    draw = random.Random(width)
+    rows = polls_of(draw, 400, 10, [1, 1, 1, 2, 3, None])
+    df = spark.createDataFrame(rows, POLLS).repartition(3)
+    found = commits.replay_commits(df, 10, width).collect()
+    assert sorted(((r.uid, r.event_id, r.kind) for r in found), key=str) == expected_events(rows, 10)
+
+
+def test_summaries_lead_where_polls_lead():
+    draw = random.Random(3)
+    for _ in range(3000):
+        age = draw.choice([5, 10, 30])
+        rows = sorted((r for r in polls_of(draw, draw.randint(0, 14), age, [1]) if r[1]), key=lambda r: (r[3], r[2], r[1]))
+        polls = [poller.Poll(*r[1:4]) for r in rows]
+        before = draw.choice([None, "a", "b", "c"]), draw.randint(-2 * age, rows[-1][3] if rows else 9)
+        after = [before, *(state for _, _, state in poller.replay(polls, before, age))][-1]
+        assert poller.applied(poller.summary(polls, age), before, age) == after
 
 
 def test_commit_key_and_pair_hash(spark):

@@ -48,16 +48,3 @@ def test_ranked(spark, rows):
 def test_ranked_without_groups(spark, rows):
     found = skew.ranked(rows, [], [F.col("id")]).collect()
     assert {r.id: r["_rank"] for r in found} == {i: i + 1 for i in range(600)}
-
-
-@pytest.mark.parametrize("following", [False, True])
-def test_neighbour(spark, rows, following):
-    data = sorted((r.key, r.id, r.v) for r in rows.collect())
-    if following:
-        data.reverse()
-    expected, last = {}, {}
-    for key, id, v in data:
-        expected[id] = last.get(key)
-        last[key] = v
-    found = skew.neighbour(rows, "key", ["id"], 50, "v", "other", following).collect()
-    assert {r.id: r.other for r in found} == expected

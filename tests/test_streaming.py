@@ -1,5 +1,7 @@
 """Streams over several batches against the same work in one batch."""
 
+import random
+
 import pytest
 from pyspark.sql import Window, functions as F
 
@@ -26,8 +28,14 @@ def test_commit_stream_over_batches(spark, tmp_path):
     polls = q.observations(spark, SF).where("commit is not null")
     stream = in_files(spark, polls, str(tmp_path / "in"), "seen_block", 4)
     path = runner.run_available(commits.commit_stream(stream), str(tmp_path / "out"))
-    found = sorted(tuple(r) for r in spark.read.parquet(f"{path}/rows").collect())
+    rows = spark.read.parquet(f"{path}/rows")
+    found = sorted(tuple(r) for r in rows.select("uid", "kind", "commit", "block").collect())
     assert found == sorted(tuple(r) for r in q.commit_stream(spark, SF).collect())
+    # The batch operators find the same events.
+    accepted = {(r.uid, "commit", r.commit, r.seen_block) for r in q.new_commits(spark, SF).collect()}
+    decays = {(r.uid, r.block) for r in q.stale_decay(spark, SF).collect()}
+    assert accepted == {r for r in found if r[1] == "commit"}
+    assert decays == {(r[0], r[3]) for r in found if r[1] == "decay"}
 
 
 def test_commit_stream_rules(spark, tmp_path):
@@ -45,46 +53,116 @@ def test_commit_stream_rules(spark, tmp_path):
     ]
 
 
-def test_score_stream_over_batches(spark, tmp_path):
-    tasks = spark.createDataFrame(
-        [(u, u * 10, 100, 1) for u in range(5)], "uid bigint, task_id bigint, request_block bigint, gate int"
-    )
-    rows = [(i % 6, 100 + i, i, 100 + i, (i % 10) / 10, 0.1) for i in range(90)]
-    df = spark.createDataFrame(
-        rows, "uid bigint, step bigint, tie bigint, commit_block bigint, value double, stderr double"
-    )
-    stream = in_files(spark, df, str(tmp_path / "in"), "step", 4)
-    path = str(tmp_path / "out")
-    step = commits.score_batches(tasks, path)
-    runner.run_available(stream, path, step)
-    newest = {r.uid: r.score for r in spark.read.parquet(f"{path}/scores/batch=3").collect()}
-    assert spark.read.parquet(f"{path}/reports").count() == 75
-    expected = {}
-    for uid, block, _, _, value, stderr in rows:
-        if uid < 5:
-            score = 0.7 * value * (1 - stderr) + 0.3 * (1 - (block - 100) * 12 / 86400)
-            expected[uid] = 0.8 * expected.get(uid, 0.0) + 0.2 * score
-    assert newest == pytest.approx(expected)
-    # A repeated last batch changes nothing.
-    again = df.where("step >= 168")
-    step(again, 3)
-    repeated = {r.uid: r.score for r in spark.read.parquet(f"{path}/scores/batch=3").collect()}
-    assert repeated == pytest.approx(expected)
-
-
-def test_weight_stream_over_batches(spark, tmp_path):
-    scored = q.events(spark, SF).select(
-        commits.block_time(F.col("block")).alias("ts"), F.col("uid"),
-        F.col("block").alias("step"), F.col("event_id").alias("tie"),
-        F.sqrt("score").alias("score"),
+def score_inputs(spark):
+    """Polls of five uids over some days, one of them without a task, one failing its gate."""
+    draw = random.Random(8)
+    polls = []
+    for i in range(160):
+        seen = 10_000 + i * 500
+        polls.append((draw.randrange(5), draw.choice("abcd"), seen - draw.randint(0, 9000), seen))
+    observed = spark.createDataFrame(polls, "uid bigint, commit string, commit_block bigint, seen_block bigint")
+    tasks = [(u, u * 10, 9000 + u, int(u != 1)) for u in range(4)]
+    evaluations = [(u, c, (u + 1) / 7, 0.1 * ord(c) / 97) for u in range(5) for c in "abd"]
+    return (
+        polls,
+        observed,
+        {t[0]: t for t in tasks},
+        {(e[0], e[1]): e for e in evaluations},
+        spark.createDataFrame(tasks, "uid bigint, task_id bigint, request_block bigint, gate int"),
+        spark.createDataFrame(evaluations, "uid bigint, commit string, value double, stderr double"),
     )
-    stream = in_files(spark, scored, str(tmp_path / "in"), "tie", 3)
-    path = str(tmp_path / "out")
-    runner.run_available(
-        commits.window_scores(stream), path, commits.weight_batches(path, 8, 0.1)
-    )
-    found = sorted(tuple(r) for r in spark.read.parquet(f"{path}/weights").select("epoch", "uid", "w_u16").collect())
-    assert found == sorted(tuple(r) for r in q.weight_stream(spark, SF).collect())
+
+
+def expected_log(polls, tasks, evaluations, known=()):
+    state, totals, count, log = {}, dict(known), {}, []
+    for uid, commit, block, seen in sorted(polls, key=lambda p: (p[3], p[2], p[1])):
+        last, timer = state.get(uid, (None, 0))
+        if seen - block < 7200 and commit != last:
+            state[uid], kind = (commit, block), "commit"
+        elif seen - timer > 7200:
+            state[uid], kind = (commit, seen), "decay"
+        else:
+            continue
+        count[uid] = count.get(uid, 0) + 1
+        score = None
+        if kind == "commit":
+            if uid not in tasks or (uid, commit) not in evaluations:
+                continue
+            _, _, request, gate = tasks[uid]
+            _, _, value, stderr = evaluations[uid, commit]
+            late = max(0, min((block - request) * 12, 86400)) / 86400
+            score = (0.7 * value * (1 - stderr) + 0.3 * (1 - late)) if gate else 0.0
+        totals[uid] = 0.8 * totals.get(uid, 0.0) + 0.2 * (score or 0.0)
+        log.append((uid, count[uid], seen, kind, score, totals[uid]))
+    return sorted(log, key=str)
+
+
+def log_rows(frame):
+    return sorted(((r.uid, r.seq, r.block, r.kind, r.score, r.total) for r in frame.collect()), key=str)
+
+
+def same_log(found, expected):
+    assert [r[:4] for r in found] == [r[:4] for r in expected]
+    for f, e in zip(found, expected, strict=True):
+        assert f[4:] == pytest.approx(e[4:])
+
+
+def test_score_stream_stops_and_goes_on(spark, tmp_path):
+    """Commits accepted and decays move one score, also over a stop in the middle of the polls."""
+    polls, observed, known_tasks, known_evaluations, tasks, evaluations = score_inputs(spark)
+    path, folder = str(tmp_path / "out"), str(tmp_path / "in")
+    expected = expected_log(polls, known_tasks, known_evaluations)
+    assert {r[3] for r in expected} == {"commit", "decay"} and {r[0] for r in expected} == {0, 1, 2, 3, 4}
+    for part in ("seen_block < 40000", "seen_block >= 40000"):
+        stream = in_files(spark, observed.where(part), folder, "seen_block", 2)
+        looped = commits.score_stream(stream, tasks, evaluations)
+        runner.run_available(looped, path, commits.report_batches(path))
+    log = spark.read.parquet(f"{path}/totals")
+    same_log(log_rows(log), expected)
+    reports = spark.read.parquet(f"{path}/reports")
+    assert reports.count() == sum(r[3] == "commit" for r in expected)
+    # A repeated batch changes nothing.
+    last = log.where("batch = 3").drop("batch")
+    commits.report_batches(path)(last, 3)
+    log = spark.read.parquet(f"{path}/totals")
+    same_log(log_rows(log), expected)
+    # A new loop takes up the scores of the log.
+    before = scores.latest_score(log.selectExpr("uid", "seq AS step", "total AS score"))
+    stream = in_files(spark, observed, str(tmp_path / "again"), "seen_block", 1)
+    looped = commits.score_stream(stream, tasks, evaluations, before)
+    again = runner.run_available(looped, str(tmp_path / "new"))
+    held = {r.uid: r.score for r in before.collect()}
+    same_log(log_rows(spark.read.parquet(f"{again}/rows")), expected_log(polls, known_tasks, known_evaluations, held))
+
+
+def test_weight_stream_has_all_members_and_last_epochs(spark, tmp_path):
+    log = [(1, 1, 130, 0.5), (1, 2, 150, 0.6), (2, 1, 200, 0.2), (1, 3, 460, 0.9), (77, 1, 300, 1.0), (2, 2, 201, 0.4)]
+    frame = spark.createDataFrame(log, "uid bigint, seq bigint, block bigint, total double")
+    members = spark.createDataFrame([(1,), (2,), (3,)], "uid bigint")
+    spark.createDataFrame([(700,)], "block bigint").write.parquet(str(tmp_path / "ticks"))
+    clock = runner.file_stream(spark, str(tmp_path / "ticks"), "block bigint")
+    stream = in_files(spark, frame, str(tmp_path / "in"), "block", 2)
+    epochs = commits.member_epochs(stream, members, 100, clock, delay="1200 seconds")
+    path = runner.run_available(epochs, str(tmp_path / "out"))
+    found = {(r.epoch, r.uid): r.score for r in spark.read.parquet(f"{path}/rows").collect()}
+    one = [0.0, 0.6, 0.6, 0.6, 0.9, 0.9]
+    two = [0.0, 0.2, 0.4, 0.4, 0.4, 0.4]
+    expected = {(100 * (i + 1), uid): s for uid, row in ((1, one), (2, two), (3, [0.0] * 6)) for i, s in enumerate(row)}
+    assert {k: v for k, v in found.items() if k[0] <= 600} == expected
+    with pytest.raises(ValueError):
+        commits.member_epochs(stream, members, 150)
+
+
+def test_weights_of_a_closed_epoch(spark, tmp_path):
+    rows = [(100, u, 0.1 * u) for u in range(12)] + [(200, u, 0.0) for u in range(12)]
+    frame = spark.createDataFrame(rows, "epoch bigint, uid bigint, score double")
+    step = commits.weight_batches(str(tmp_path), 8, 0.5)
+    for _ in range(2):  # a repeated batch replaces itself
+        step(frame, 0)
+    found = {(r.epoch, r.uid): r.w_u16 for r in spark.read.parquet(f"{tmp_path}/weights").collect()}
+    assert found[100, 11] == 65535 and found[100, 1] == round(65535 / 11) and (100, 0) not in found
+    assert {found[200, u] for u in range(12)} == {65535}  # nobody has a score: all alike
+    step(frame.limit(0), 1)
 
 
 def test_recent_commits(spark, tmp_path):

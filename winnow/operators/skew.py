@@ -110,39 +110,3 @@ def lookup(df: DataFrame, table: DataFrame, on: list[str], how: str = "inner") -
         return df.join(F.broadcast(table), on, how)
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     return join_totals(df, table.join(counts, on), on, how=how)
-
-
-def neighbour(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    width: int,
-    value: str,
-    name: str,
-    following: bool = False,
-) -> DataFrame:
-    """lag (or lead) of `value` per key, split along the first, numeric order column.
-
-    Rows are windowed per key and stretch of `width`; the first row of a stretch takes its
-    neighbour from the last row of the stretch before, found by a pre-aggregated maximum. A key
-    with very many rows is many stretches, hence many tasks.
-    """
-    cut = df.withColumn("_stretch", F.floor(F.col(order[0]) / F.lit(width)))
-    position = F.struct(*[F.col(c) for c in order])
-    if following:
-        here = Window.partitionBy(key, "_stretch").orderBy(*[F.desc(c) for c in order])
-        edge, along = F.min_by(value, position), Window.partitionBy(key).orderBy(F.desc("_stretch"))
-    else:
-        here = Window.partitionBy(key, "_stretch").orderBy(*order)
-        edge, along = F.max_by(value, position), Window.partitionBy(key).orderBy("_stretch")
-    edges = (
-        cut.groupBy(key, "_stretch")
-        .agg(edge.alias("_edge"))
-        .select(key, "_stretch", F.lag("_edge").over(along).alias("_carried"))
-    )
-    local = cut.withColumn("_local", F.lag(value).over(here)).withColumn(
-        "_first", F.row_number().over(here) == 1
-    )
-    joined = local.join(edges, [key, "_stretch"])
-    result = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_local"))
-    return joined.withColumn(name, result).select(*df.columns, name)

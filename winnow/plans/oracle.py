@@ -273,19 +273,24 @@ OBSERVED = f"""{EVENTS}, seen AS (
          block - (event_id * 37) % 9000 AS commit_block FROM ev)"""
 ORACLE["late_commits"] = f"""WITH {OBSERVED}
 SELECT event_id, seen_block - commit_block >= 7200 AS late FROM seen"""
-ACCEPTED = f"""{OBSERVED}, linked AS (
-  SELECT *, lag(commit) OVER (PARTITION BY uid ORDER BY seen_block, commit_block, commit) AS previous
-  FROM seen WHERE seen_block - commit_block < 7200),
-accepted AS (SELECT event_id, uid, commit, seen_block, commit_block FROM linked
-             WHERE commit IS DISTINCT FROM previous)"""
-ORACLE["new_commits"] = f"WITH {ACCEPTED} SELECT * FROM accepted"
-ORACLE["stale_decay"] = f"""WITH {ACCEPTED}, spans AS (
-  SELECT uid, commit_block, coalesce(
-    lead(seen_block) OVER (PARTITION BY uid ORDER BY seen_block, commit_block, commit) - 1,
-    (SELECT max(seen_block) + 30000 FROM seen)) AS last FROM accepted)
-SELECT uid, commit_block + 7201 * k AS block
-FROM (SELECT uid, commit_block, unnest(range(1, (last - commit_block) // 7201 + 1)) AS k
-      FROM spans WHERE last - commit_block >= 7201)"""
+REPLAY = f"""{OBSERVED}, polls AS (
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY seen_block, commit_block, commit, event_id) AS k
+  FROM seen WHERE commit IS NOT NULL),
+replay(uid, k, last, timer, kind, commit, block, event_id, commit_block) AS (
+  SELECT DISTINCT uid, 0::BIGINT, NULL::VARCHAR, 0::BIGINT, NULL::VARCHAR, NULL::VARCHAR,
+         NULL::BIGINT, NULL::BIGINT, NULL::BIGINT
+  FROM polls
+  UNION ALL
+  SELECT uid, k, CASE WHEN kind IS NULL THEN last ELSE commit END,
+         CASE kind WHEN 'commit' THEN commit_block WHEN 'decay' THEN seen_block ELSE timer END,
+         kind, commit, seen_block, event_id, commit_block
+  FROM (SELECT p.*, r.last, r.timer, CASE
+          WHEN seen_block - p.commit_block < 7200 AND p.commit IS DISTINCT FROM r.last THEN 'commit'
+          WHEN seen_block - r.timer > 7200 THEN 'decay' END AS kind
+        FROM replay r JOIN polls p ON p.uid = r.uid AND p.k = r.k + 1))"""
+ORACLE["new_commits"] = f"""WITH RECURSIVE {REPLAY}
+SELECT event_id, uid, commit, block AS seen_block, commit_block FROM replay WHERE kind = 'commit'"""
+ORACLE["stale_decay"] = f"WITH RECURSIVE {REPLAY} SELECT uid, block FROM replay WHERE kind = 'decay'"
 ORACLE["ema_score"] = f"""WITH {EVENTS}, aged AS (
   SELECT uid, score, row_number() OVER (PARTITION BY uid ORDER BY block DESC, event_id DESC) - 1 AS age
   FROM ev)
@@ -433,37 +438,47 @@ ORACLE["report_scores"] = f"WITH {EVENTS} SELECT event_id AS task_id, score FROM
 
 # --- streaming ---------------------------------------------------------------------
 
-ORACLE["commit_stream"] = f"""WITH RECURSIVE {OBSERVED}, polls AS (
-  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY seen_block, commit_block, commit) AS k
-  FROM seen WHERE commit IS NOT NULL),
-replay(uid, k, last, timer, kind, commit, block) AS (
-  SELECT DISTINCT uid, 0::BIGINT, NULL::VARCHAR, 0::BIGINT, NULL::VARCHAR, NULL::VARCHAR, NULL::BIGINT
-  FROM polls
-  UNION ALL
-  SELECT uid, k, CASE WHEN kind IS NULL THEN last ELSE commit END,
-         CASE kind WHEN 'commit' THEN commit_block WHEN 'decay' THEN seen_block ELSE timer END,
-         kind, commit, seen_block
-  FROM (SELECT p.*, r.last, r.timer, CASE
-          WHEN seen_block - commit_block < 7200 AND p.commit IS DISTINCT FROM r.last THEN 'commit'
-          WHEN seen_block - r.timer > 7200 THEN 'decay' END AS kind
-        FROM replay r JOIN polls p ON p.uid = r.uid AND p.k = r.k + 1))
+ORACLE["commit_stream"] = f"""WITH RECURSIVE {REPLAY}
 SELECT uid, kind, commit, block FROM replay WHERE kind IS NOT NULL"""
-ORACLE["score_stream"] = f"""WITH {SUBMITTED}, {GATES}, scored AS (
-  SELECT s.uid, block, event_id, CASE WHEN gate = 0 THEN 0.0::DOUBLE ELSE
-    0.7::DOUBLE * score * (1 - (cents % 100) / 1000.0::DOUBLE)
-    + 0.3::DOUBLE * (1 - greatest(least(elapsed, 86400), 0) / 86400.0::DOUBLE) END AS score
-  FROM submitted s JOIN gates g ON g.uid = s.uid),
-aged AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY block DESC, event_id DESC) - 1 AS age
-         FROM scored)
-SELECT uid, round(sum(0.2::DOUBLE * score * pow(0.8::DOUBLE, age)), 8) AS score FROM aged GROUP BY uid"""
-ORACLE["weight_stream"] = f"""WITH {EVENTS}, last AS (
-  SELECT uid, (block // 100 + 1) * 100 AS epoch, sqrt(score) AS score FROM ev
-  WHERE (block // 100 + 1) * 100 <= (SELECT max(block) - 100 FROM ev)
-  QUALIFY row_number() OVER (PARTITION BY uid, block // 100 ORDER BY block DESC, event_id DESC) = 1),
-spans AS (
-  SELECT *, coalesce(lead(epoch) OVER (PARTITION BY uid ORDER BY epoch),
-                     (SELECT max(epoch) + 100 FROM last)) AS until FROM last),
-filled AS (SELECT unnest(range(epoch, until, 100)) AS epoch, uid, score FROM spans),
+# The loop: every event in turn moves the total; a commit without its task is none.
+LOOP = f"""{REPLAY}, {GATES}, tasks AS (
+  SELECT uid, min(event_id) AS task_id, min(block) AS request_block
+  FROM ev WHERE event_type = 'purchase' GROUP BY uid),
+evaluated AS (
+  SELECT uid, commit, max(score) AS value, max((cents % 100) / 1000.0::DOUBLE) AS stderr
+  FROM ev GROUP BY ALL),
+happened AS (
+  SELECT r.uid, r.kind, r.block, CASE WHEN kind = 'commit' THEN task_id END AS task_id,
+         row_number() OVER (PARTITION BY r.uid ORDER BY k) AS seq, request_block IS NOT NULL AS known,
+         CASE WHEN kind = 'commit' THEN CASE WHEN gate = 0 THEN 0.0::DOUBLE ELSE
+           0.7::DOUBLE * value * (1 - stderr) + 0.3::DOUBLE
+           * (1 - greatest(least((r.commit_block - request_block) * 12, 86400), 0) / 86400.0::DOUBLE)
+         END END AS score
+  FROM replay r LEFT JOIN (tasks JOIN gates USING (uid)) t ON t.uid = r.uid
+  LEFT JOIN evaluated e ON e.uid = r.uid AND e.commit = r.commit WHERE kind IS NOT NULL),
+counted AS (
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY seq) AS i
+  FROM happened WHERE kind = 'decay' OR known),
+logged(uid, i, seq, block, kind, task_id, score, total) AS (
+  SELECT DISTINCT uid, 0::BIGINT, 0::BIGINT, 0::BIGINT, NULL::VARCHAR, NULL::BIGINT, NULL::DOUBLE, 0.0::DOUBLE
+  FROM counted
+  UNION ALL
+  SELECT c.uid, c.i, c.seq, c.block, c.kind, c.task_id, c.score,
+         0.8::DOUBLE * l.total + CASE c.kind WHEN 'decay' THEN 0.0 ELSE 0.2::DOUBLE * c.score END
+  FROM logged l JOIN counted c ON c.uid = l.uid AND c.i = l.i + 1)"""
+ORACLE["score_stream"] = f"""WITH RECURSIVE {LOOP}
+SELECT uid, seq, block, kind, task_id, round(score, 8) AS score, round(total, 8) AS total
+FROM logged WHERE i > 0"""
+ORACLE["score_restart"] = f"""WITH RECURSIVE {LOOP}
+SELECT uid, round(arg_max(total, seq), 8) AS score FROM logged WHERE i > 0 GROUP BY uid"""
+ORACLE["weight_stream"] = f"""WITH RECURSIVE {LOOP},
+bounds AS (SELECT (min(block) + 99) // 100 * 100 AS low, (max(block) + 99) // 100 * 100 AS high FROM ev),
+held AS (SELECT uid, block, arg_max(total, seq) AS total FROM logged WHERE i > 0 GROUP BY ALL),
+wanted AS (
+  SELECT s_suppkey AS uid, epoch FROM supplier, (SELECT unnest(range(low, high + 1, 100)) AS epoch FROM bounds)),
+filled AS (
+  SELECT w.epoch, w.uid, coalesce(h.total, 0.0) AS score
+  FROM wanted w ASOF LEFT JOIN held h ON w.uid = h.uid AND h.block <= w.epoch),
 vectors AS (
   SELECT 0 AS netuid, epoch, uid, score / CASE WHEN norm = 0 THEN 1.0 ELSE norm END AS weight
   FROM (SELECT *, sum(abs(score)) OVER (PARTITION BY epoch) AS norm FROM filled)),

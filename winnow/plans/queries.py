@@ -335,10 +335,7 @@ def new_commits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stale_decay(spark: SparkSession, sf: str) -> DataFrame:
-    """Decays up to about four days after the last observation."""
-    seen = observations(spark, sf)
-    horizon = seen.agg(F.max("seen_block") + 30_000).scalar()
-    return commits.stale_decay(commits.new_commits(seen), horizon)
+    return commits.stale_decay(observations(spark, sf))
 
 
 def score_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -554,35 +551,66 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
 def commit_stream(spark: SparkSession, sf: str) -> DataFrame:
     polled = observed_columns(event_stream(spark, sf))
     path = runner.run_available(commit_streams.commit_stream(polled), scratch_path(spark, "commits"))
-    return spark.read.parquet(f"{path}/rows")
+    return spark.read.parquet(f"{path}/rows").select("uid", "kind", "commit", "block")
+
+
+def evaluations(spark: SparkSession, sf: str) -> DataFrame:
+    """(uid, commit, value, stderr): what the evaluation of each uploaded corpus found."""
+    return events(spark, sf).groupBy("uid", "commit").agg(
+        F.max("score").alias("value"), F.max(F.col("cents") % 100 / 1000).alias("stderr")
+    )
+
+
+def gated_tasks(spark: SparkSession, sf: str) -> DataFrame:
+    gates = audit.similarity_gate(similarities(spark, sf), members(spark, sf), ["uid"])
+    return materialize(tasks(spark, sf).join(gates, "uid"), "tasks")
+
+
+def score_log(spark: SparkSession, sf: str, path: str) -> None:
+    """The score loop over all polls: log and reports under `path`."""
+    looped = commit_streams.score_stream(
+        observed_columns(event_stream(spark, sf)),
+        gated_tasks(spark, sf),
+        materialize(evaluations(spark, sf), "evaluations"),
+    )
+    runner.run_available(looped, path, commit_streams.report_batches(path))
 
 
 def score_stream(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "scores")
-    gates = audit.similarity_gate(similarities(spark, sf), members(spark, sf), ["uid"])
-    known = materialize(tasks(spark, sf).join(gates, "uid"), "tasks")
-    submitted = event_stream(spark, sf).select(
-        "uid", F.col("block").alias("step"), F.col("event_id").alias("tie"),
-        F.col("block").alias("commit_block"), F.col("score").alias("value"),
-        (F.col("cents") % 100 / 1000).alias("stderr"),
+    score_log(spark, sf, path)
+    log = spark.read.parquet(f"{path}/totals")
+    return log.select(
+        "uid", "seq", "block", "kind", "task_id",
+        F.round("score", 8).alias("score"), F.round("total", 8).alias("total"),
     )
-    runner.run_available(submitted, path, commit_streams.score_batches(known, path))
-    newest = spark.read.parquet(f"{path}/scores")
-    newest = newest.where(F.col("batch") == newest.agg(F.max("batch")).scalar())
-    return newest.select("uid", F.round("score", 8).alias("score"))
+
+
+def score_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """What a new loop starts from: the last total of every uid in the log of an earlier one."""
+    path = scratch_path(spark, "scores")
+    score_log(spark, sf, path)
+    log = spark.read.parquet(f"{path}/totals")
+    last = scores.latest_score(log.select("uid", F.col("seq").alias("step"), F.col("total").alias("score")))
+    return last.select("uid", F.round("score", 8).alias("score"))
 
 
 def weight_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights of all members, the suppliers, from the log of the score loop."""
     path = scratch_path(spark, "weights")
-    scored = event_stream(spark, sf).select(
-        commit_streams.block_time(F.col("block")).alias("ts"), "uid",
-        F.col("block").alias("step"), F.col("event_id").alias("tie"),
-        F.sqrt("score").alias("score"),  # keeps the integer weights away from rounding ties
-    )
-    runner.run_available(
-        commit_streams.window_scores(scored), path, commit_streams.weight_batches(path, 8, 0.1)
-    )
-    return spark.read.parquet(f"{path}/weights").select("epoch", "uid", "w_u16")
+    score_log(spark, sf, path)
+    blocks = events(spark, sf).agg(F.min("block").alias("low"), F.max("block").alias("high")).first()
+    width = commit_streams.WEIGHT_EPOCH_BLOCKS
+    first, last = (-(-(blocks[c] or 0) // width) * width for c in ("low", "high"))
+    spark.range(1).select(F.lit(last + width).cast("bigint").alias("block")).write.parquet(f"{path}/ticks")
+    logged = spark.read.parquet(f"{path}/totals").schema
+    arriving = runner.file_stream(spark, f"{path}/totals", logged)
+    clock = runner.file_stream(spark, f"{path}/ticks", "block bigint")
+    uids = read_table(spark, sf, "supplier").select(F.col("s_suppkey").alias("uid"))
+    closed = commit_streams.member_epochs(arriving, uids, first, clock)
+    runner.run_available(closed, f"{path}/epochs", commit_streams.weight_batches(path, 8, 0.1))
+    found = spark.read.schema("epoch bigint, uid bigint, w_u16 int").parquet(f"{path}/weights")
+    return found.where(F.col("epoch") <= last).select("epoch", "uid", "w_u16")
 
 
 def conversation_chunks(table: DataFrame) -> DataFrame:
@@ -634,7 +662,7 @@ QUERIES = {
         dense_scores, l1_weights, capped_weights, process_weights, process_weights_all,
         emit_weights, weight_epochs, pack_sequences, token_budget, weighted_mix, batch_plan,
         data_stages, read_warc, read_jsonl, write_jsonl, write_removed, publish_dataset,
-        report_scores, commit_stream, score_stream, weight_stream, chunk_reassembly, chunk_stream,
+        report_scores, commit_stream, score_stream, score_restart, weight_stream, chunk_reassembly, chunk_stream,
         refine_stream,
     )
 }

@@ -4,57 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from winnow.functions.limits import DAY_BLOCKS, KEEP_SHARE, WEIGHT_EPOCH_BLOCKS
+from winnow.functions.limits import BLOCK_SECONDS, DAY_BLOCKS, KEEP_SHARE, WEIGHT_EPOCH_BLOCKS
 from winnow.operators import audit, scores
 from winnow.operators.commits import late_commits
+from winnow.operators.poller import START, Poll, replay
 from winnow.session import materialize
 from winnow.sources.files import report_scores
 
-EVENT_SCHEMA = "uid bigint, kind string, commit string, block bigint"
+EVENT_SCHEMA = "uid bigint, kind string, commit string, block bigint, commit_block bigint, seq bigint"
+LOG_SCHEMA = "uid bigint, seq bigint, block bigint, kind string, task_id bigint, score double, total double"
+EPOCH_SCHEMA = "epoch bigint, uid bigint, score double"
 
 
 class CommitProcessor(StatefulProcessor):
-    """Per uid: the commit accepted last and the block its timer runs from.
+    """Per uid: the commit taken last, the block its timer runs from, the number of events.
 
-    A recent commit that differs is accepted; otherwise, once the timer is older than a day of
-    blocks, the score decays and the timer restarts. Polls of a batch are replayed in block
-    order; between batches only the state row is kept.
+    Polls of a batch are replayed in block order by the rule of `poller`; between batches only
+    the state row is kept.
     """
 
     def __init__(self, max_age: int = DAY_BLOCKS):
         self.max_age = max_age
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "commit string, block bigint")
+        self.last = handle.getValueState("last", "commit string, block bigint, seq bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        commit, timer = self.last.get() if self.last.exists() else (None, 0)
-        polls = pd.concat(list(rows)).sort_values(["seen_block", "commit_block", "commit"])
+        commit, timer, seq = self.last.get() if self.last.exists() else (*START, 0)
+        frame = pd.concat(list(rows)).sort_values(["seen_block", "commit_block", "commit"])
+        columns = (frame[c].tolist() for c in ("commit", "commit_block", "seen_block"))
+        polls = [Poll(c, int(b), int(s)) for c, b, s in zip(*columns, strict=True)]
         out = []
-        for poll in polls.itertuples(index=False):
-            if poll.commit is None:
-                continue
-            if poll.seen_block - poll.commit_block < self.max_age and poll.commit != commit:
-                commit, timer = poll.commit, int(poll.commit_block)
-                out.append((key[0], "commit", commit, int(poll.seen_block)))
-            elif poll.seen_block - timer > self.max_age:
-                commit, timer = poll.commit, int(poll.seen_block)
-                out.append((key[0], "decay", commit, timer))
-        self.last.update((commit, timer))
-        yield pd.DataFrame(out, columns=["uid", "kind", "commit", "block"])
+        for i, kind, (commit, timer) in replay(polls, (commit, timer), self.max_age):
+            seq += 1
+            out.append((key[0], kind, commit, polls[i].seen_block, polls[i].commit_block, seq))
+        self.last.update((commit, timer, seq))
+        yield pd.DataFrame(out, columns=["uid", "kind", "commit", "block", "commit_block", "seq"])
 
     def close(self) -> None:
         pass
 
 
 def commit_stream(observed: DataFrame, max_age: int = DAY_BLOCKS) -> DataFrame:
-    """(uid, kind, commit, block) of accepted commits and decays, from polled commits."""
+    """(uid, kind, commit, block, commit_block, seq) of accepted commits and decays, from polls.
+
+    `block` is that of the poll, and `seq` counts the events of a uid. Polls without a uid, a
+    commit or a block say nothing.
+    """
     return (
         observed.select("uid", "commit", "commit_block", "seen_block")
+        .dropna()
         .groupBy("uid")
         .transformWithStateInPandas(
             CommitProcessor(max_age), EVENT_SCHEMA, outputMode="append", timeMode="none"
@@ -71,98 +75,175 @@ def _batch_path(path: str, table: str, batch_id: int) -> str:
     return f"{path}/{table}/batch={batch_id}"
 
 
-def _carried(spark, path: str, table: str, batch_id: int, schema: str) -> DataFrame:
-    """What the batch before left behind; empty at the start.
+class ScoreProcessor(StatefulProcessor):
+    """Per uid: the smoothed score, moved by scored commits and by decays in their one order."""
 
-    Every batch leaves its table, so a missing one is an error and not an empty state.
-    """
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(_batch_path(path, table, batch_id - 1))
+    def __init__(self, keep: float = KEEP_SHARE):
+        self.keep = keep
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", "score double")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.total.update((float(initialState["score"].iloc[0]),))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        total = self.total.get()[0] if self.total.exists() else 0.0
+        frame = pd.concat(list(rows)).sort_values("seq")
+        totals = []
+        for kind, score in zip(frame["kind"], frame["score"], strict=True):
+            total = self.keep * total if kind == "decay" else self.keep * total + (1 - self.keep) * score
+            totals.append(total)
+        self.total.update((total,))
+        frame["total"] = totals
+        yield frame[[c.split()[0] for c in LOG_SCHEMA.split(", ")]]
+
+    def close(self) -> None:
+        pass
 
 
-def score_batches(
-    tasks: DataFrame, path: str, keep: float = KEEP_SHARE
-) -> Callable[[DataFrame, int], None]:
-    """A batch step: join the task, score, report, and fold the scores into the score map.
+def scored_events(events: DataFrame, tasks: DataFrame, evaluations: DataFrame) -> DataFrame:
+    """Events of `commit_stream` with the score of each accepted commit; decays have none.
 
-    The smoothing of a batch is first summed per uid, and only that sum meets the score map, so
-    a busy uid is combined before any shuffle. Every batch writes its own folders: repeating it
-    after a failure changes nothing.
+    `tasks` (uid, task_id, request_block, gate) and `evaluations` (uid, commit, value, stderr)
+    have one row a key. A commit without its task or evaluation is skipped, as if it had not been
+    made: its uid's score stays.
+    """
+    known = events.join(tasks, "uid", "left").join(evaluations, ["uid", "commit"], "left")
+    elapsed = (F.col("commit_block") - F.col("request_block")) * BLOCK_SECONDS
+    score = audit.score_column(F.col("gate"), F.col("value"), F.col("stderr"), elapsed)
+    complete = F.col("request_block").isNotNull() & F.col("value").isNotNull()
+    is_commit = F.col("kind") == "commit"
+    return known.where(~is_commit | complete).select(
+        "uid", "seq", "block", "kind",
+        F.when(is_commit, F.col("task_id")).alias("task_id"),
+        F.when(is_commit, score).alias("score"),
+    )
+
+
+def score_stream(
+    observed: DataFrame,
+    tasks: DataFrame,
+    evaluations: DataFrame,
+    known: DataFrame | None = None,
+    keep: float = KEEP_SHARE,
+    max_age: int = DAY_BLOCKS,
+) -> DataFrame:
+    """The score loop: polls to accepted commits and decays, to scores, to smoothed scores.
+
+    Rows are the score log: (uid, seq, block, kind, task_id, score, total), `total` after the
+    event. A uid's score is state, and only the uids of a batch are touched. `known` (uid, score),
+    as `latest_score` reads it from a log, is where a new loop takes up another's scores.
     """
+    scored = scored_events(commit_stream(observed, max_age), tasks, evaluations)
+    return scored.groupBy("uid").transformWithStateInPandas(
+        ScoreProcessor(keep),
+        LOG_SCHEMA,
+        outputMode="append",
+        timeMode="none",
+        initialState=None if known is None else known.select("uid", "score").groupBy("uid"),
+    )
+
+
+def report_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """A batch step that writes the log and the reports of scored commits, each batch once."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        scored = materialize(
-            audit.submission_score(audit.elapsed_time(batch, tasks)).select(
-                "uid", "task_id", "step", "tie", "score"
-            ),
-            "scored",
-        )
-        report_scores(scored.drop("step"), path, batch_id)
-        before = _carried(batch.sparkSession, path, "scores", batch_id, "uid bigint, score double")
-        sums = scores.ema_score(scored, keep).withColumnRenamed("score", "_new")
-        counts = scored.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"))
-        zero = F.lit(0.0)
-        damped = F.coalesce("score", zero) * F.pow(F.lit(keep), F.coalesce("_n", F.lit(0)))
-        merged = before.join(sums.join(counts, "uid"), "uid", "full")
-        merged.select("uid", (damped + F.coalesce("_new", zero)).alias("score")).write.mode(
-            "overwrite"
-        ).parquet(_batch_path(path, "scores", batch_id))
+        log = materialize(batch, "score-log")
+        log.write.mode("overwrite").parquet(_batch_path(path, "totals", batch_id))
+        report_scores(log.where("kind = 'commit'"), path, batch_id)
 
     return step
 
 
-def window_scores(stream: DataFrame, delay: str = "20 minutes", blocks: int = WEIGHT_EPOCH_BLOCKS):
-    """(epoch, uid, score): last score of every uid per closed window of `blocks` blocks."""
-    window = F.window("ts", f"{blocks * 12} seconds")
-    return (
-        stream.withWatermark("ts", delay)
-        .groupBy(window.alias("w"), "uid")
-        .agg(F.max_by("score", F.struct("step", "tie")).alias("score"))
-        .select(
-            F.floor(F.unix_seconds(F.col("w.end")) / 12).alias("epoch"), "uid", "score"
-        )
+class MemberProcessor(StatefulProcessor):
+    """Per member: the score that holds, those of blocks to come, and the next epoch.
+
+    A timer of event time closes an epoch once the watermark has passed it, whether the member
+    has had an event or not, and gives the score that holds there; 0 for one never scored.
+    """
+
+    def __init__(self, start: int, width: int = WEIGHT_EPOCH_BLOCKS):
+        self.start, self.width = start, width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "score double, epoch bigint")
+        self.coming = handle.getListState("coming", "block bigint, seq bigint, total double")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.held.update((0.0, self.start))
+        self.handle.registerTimer(self.start * BLOCK_SECONDS * 1000)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self.held.exists():  # others are no members
+            for frame in rows:
+                columns = (frame[c].tolist() for c in ("block", "seq", "total"))
+                self.coming.appendList([(int(b), int(s), float(t)) for b, s, t in zip(*columns, strict=True)])
+        yield pd.DataFrame([], columns=["epoch", "uid", "score"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        score, epoch = self.held.get()
+        closed = timerValues.getCurrentWatermarkInMs() // (BLOCK_SECONDS * 1000)
+        epochs = np.arange(epoch, closed + 1, self.width)
+        coming = sorted(self.coming.get()) if self.coming.exists() else []
+        blocks = np.array([b for b, _, _ in coming], np.int64)
+        values = np.array([score] + [t for _, _, t in coming])
+        at = np.searchsorted(blocks, epochs, side="right")
+        if len(epochs):
+            rest = coming[at[-1] :]
+            self.coming.put(rest) if rest else self.coming.clear()
+            self.held.update((float(values[at[-1]]), int(epochs[-1]) + self.width))
+        self.handle.registerTimer(int(self.held.get()[1]) * BLOCK_SECONDS * 1000)
+        for first in range(0, len(epochs), 4096):
+            some = slice(first, first + 4096)
+            yield pd.DataFrame({"epoch": epochs[some], "uid": key[0], "score": values[at[some]]})
+
+    def close(self) -> None:
+        pass
+
+
+def member_epochs(
+    log: DataFrame,
+    members: DataFrame,
+    start: int,
+    ticks: DataFrame | None = None,
+    delay: str = "20 minutes",
+    width: int = WEIGHT_EPOCH_BLOCKS,
+) -> DataFrame:
+    """(epoch, uid, score) of every member at every block divisible by `width`, from `start` on.
+
+    `log` (uid, block, seq, total) is the score log as it comes, at most `delay` late. All
+    members are state from the beginning. An epoch closes for all of them in one batch, when the
+    log or `ticks` (block), a clock that need not say anything about scores, has passed it.
+    """
+    if start % width:
+        raise ValueError(f"the first epoch must be a multiple of {width}")
+    rows = log.select("uid", "block", "seq", "total")
+    if ticks is not None:
+        nothing = F.lit(None)
+        rows = rows.unionByName(
+            ticks.select(
+                F.lit(-1).cast("bigint").alias("uid"), "block",
+                nothing.cast("bigint").alias("seq"), nothing.cast("double").alias("total"),
+            )
+        )
+    timed = rows.withColumn("ts", block_time(F.col("block"))).withWatermark("ts", delay)
+    return timed.groupBy("uid").transformWithStateInPandas(
+        MemberProcessor(start, width),
+        EPOCH_SCHEMA,
+        outputMode="append",
+        timeMode="eventTime",
+        initialState=members.select("uid").groupBy("uid"),
     )
 
 
-def weight_batches(
-    path: str, min_allowed: int, limit: float, blocks: int = WEIGHT_EPOCH_BLOCKS
-) -> Callable[[DataFrame, int], None]:
-    """A batch step: weights at the end of every closed window, from the scores known by then."""
+def weight_batches(path: str, min_allowed: int, limit: float) -> Callable[[DataFrame, int], None]:
+    """A batch step: the weights of every epoch that the batch closes, each a whole vector."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        closed = materialize(batch.select("epoch", "uid", "score"), "closed")
-        before = _carried(
-            spark, path, "known", batch_id, "epoch bigint, uid bigint, score double, horizon bigint"
-        )
-        history = closed.withColumn("horizon", F.lit(None).cast("bigint")).unionByName(before)
-        # One row and three values, whatever the size of the batch.
-        bounds = history.agg(
-            F.max("epoch").alias("last"), F.max("horizon").alias("done")
-        ).first()
-        known = _batch_path(path, "known", batch_id)
-        if bounds["last"] is None:
-            before.write.mode("overwrite").parquet(known)
-            return
-        horizon = max(bounds["last"], bounds["done"] or 0)
-        newest = scores.latest_score(
-            history.select(F.col("epoch").alias("step"), "uid", "score")
-        )
-        newest.select(
-            F.lit(horizon).cast("bigint").alias("epoch"),
-            "uid",
-            "score",
-            F.lit(horizon).cast("bigint").alias("horizon"),
-        ).write.mode("overwrite").parquet(known)
-        filled = scores.weight_epochs(
-            history.select(
-                F.col("epoch").alias("step"), F.lit(0).alias("tie"), "uid", "score"
-            ),
-            blocks,
-        ).where(F.col("epoch") > (bounds["done"] or 0))
         group = ["epoch"]
-        vectors = materialize(filled, "vectors")
+        vectors = materialize(batch.select("epoch", "uid", "score"), "vectors")
         size = vectors.count()
         weights = materialize(
             scores.l1_weights(vectors, group, size).drop("score"), "weights"
