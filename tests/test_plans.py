@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from winnow.functions.html import page_text
 from winnow.operators import dedup, extract, language, pii, quality, url
 from winnow.plans import queries as q, refine
 
@@ -47,14 +48,48 @@ def test_a_rule_is_computed_once(spark):
     assert plan.count("ArrowEvalPython") == 1
 
 
-def test_references(spark):
+def test_references():
     cases = {
         "&eacute;&#233;&#xE9;&#128512;&#x1F600;": "éé\u00e9😀😀", "&amp;lt;": "&lt;", "&#38;amp;": "&amp;",
         "&bogus; &nbsp;x": "&bogus; \xa0x", "&#x80;&#0;&#xD800;&#99999999;": "€\ufffd\ufffd\ufffd",
         "a & b": "a & b", "&NotEqualTilde;": "≂̸",
     }
-    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", extract.unescape(F.col("t")))
-    assert {r[0]: r[1] for r in df.collect()} == cases
+    for written, read in cases.items():
+        text = f"these words are long enough to be a block {written}"
+        assert page_text(f"<p>{text}</p>") == text.replace(written, read)
+
+
+ONE, TWO = "The first paragraph of the article.", "The second paragraph of the article."
+
+
+@pytest.mark.parametrize("between", [
+    '<svg class="i"/>', "<svg><path/>", "<button>", "<nav>", "<aside><p>no</p><aside>inner</aside> its own tail</aside>",
+    "<svg><svg>x</svg> y </svg>", "<form><form></form>", "<!-- <nav> -->", "<script>if (a < b) '<nav>'</script>", "</nav></svg>",
+    "<template><template>a</template><p>not a paragraph of the article, this</p></template>", "<iframe/>", "<STYLE>p {}</Style >",
+])
+def test_silent_elements_take_their_own_content_alone(between):
+    body = f"<article><p>{ONE}</p>{between}<p>{TWO}</p></article>"
+    assert page_text(body) == f"{ONE}\n{TWO}"
+    assert page_text(f"<html><head><title>A title that is long enough</title><body>{body}") == f"{ONE}\n{TWO}"
+
+
+def test_links_and_zones():
+    link = "<a href='x'>A list of links that is nothing but links</a>"
+    assert page_text(f"<p>{ONE}</p><p>{link}</p><p>{TWO} {link[:40]}") == f"{ONE}\n{TWO} {link[12:40]}"
+    assert page_text(f"<p>{ONE}</p><main></main>") == ONE  # an empty zone is none
+    assert page_text(f"<p>{ONE}</p><main><p>{TWO}</p></main>") == TWO
+    assert page_text("") == page_text("<") == page_text("<<<>") == page_text("<p") == ""
+
+
+@pytest.mark.parametrize("page", [
+    "<a>" * 330_000, "<a " * 330_000, "<div>x" * 100_000, "<div>" * 100_000 + "</p>" * 100_000, "<nav>" * 100_000,
+    "<aside>" * 50_000 + "</aside>" * 50_000, "<!--" * 250_000, "<script>" * 100_000, "<style></script>" * 50_000,
+    "<" * 500_000 + ">", "&amp" * 250_000, "<p>" + "&" * 500_000,
+])
+def test_time_grows_with_the_page(page):
+    start = time.perf_counter()
+    page_text(page)
+    assert time.perf_counter() - start < 8  # under a second, on a machine of its own
 
 
 def test_a_bare_sign_is_no_tag(spark):

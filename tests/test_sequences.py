@@ -80,3 +80,26 @@ def test_weighted_mix(spark):
     assert counts == {"big": 30, "small": 31}
     small = mixed.where("source = 'small'").groupBy("id").count().collect()
     assert sorted(r["count"] for r in small) == [3] * 9 + [4]
+
+
+def test_pack_sequences_with_repeated_and_missing_ids(spark):
+    """Every token lies in one place: rows that share an id, a text or have no id follow each other."""
+    texts = [(1, "a b c d"), (1, "e f g h"), (2, "i j k l"), (2, "i j k l"), (None, "m n"), (None, "m n o p"),
+             (None, None), (3, ""), (3, None), (4, "q r s t u v w x y z")]
+    df = spark.createDataFrame(texts, "id long, text string").repartition(3)
+    for length in (1, 3, 4, 7):
+        blocks = sequences.pack_sequences(df, length).orderBy("block").collect()
+        assert [r.block for r in blocks] == list(range(sequences.block_count(df, length).first().blocks))
+        laid = " ".join(t for r in blocks for t in r.tokens)
+        whole = " ".join(t for r in sequences.pack_sequences(df, 1).orderBy("block").collect() for t in r.tokens)
+        assert whole.startswith(laid) and sorted(whole.split()) == sorted(w for _, t in texts for w in (t or "").split())
+    assert whole.endswith("i j k l i j k l q r s t u v w x y z") and {"m n m n o p", "m n o p m n"} & {whole[:11]}
+
+
+@pytest.mark.parametrize("n", [0, 1, 49, 50, 51, 80, 99, 100, 150])
+def test_samples_have_n_rows_with_missing_and_repeated_ids(spark, n):
+    df = spark.range(50).unionByName(spark.range(30)).unionByName(
+        spark.range(20).select(F.lit(None).cast("long").alias("id"))
+    )
+    found = sampling.smallest_hashes(df, n, 5, "id")
+    assert found.count() == min(n, 100)

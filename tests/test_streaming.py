@@ -260,3 +260,23 @@ def test_language(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     blank = spark.createDataFrame([("",), (None,), ("12 34",)], "text string")
     assert [r.language for r in language.with_language(blank, profiles).collect()] == [None] * 3
+
+
+def test_language_tables_of_any_size(spark):
+    """A joined table scores as one in every task does, with rare trigrams and many languages."""
+    draw = random.Random(2)
+    rows = [(f"l{i:03d}", "".join(draw.choice("abcdefghijklmnop") for _ in range(60)) + chr(0x4E00 + i) * 3) for i in range(300)]
+    counts = language.train_profiles(spark.createDataFrame(rows, "lang string, text string"))
+    texts = [(i, text[20:]) for i, (_, text) in enumerate(rows)] + [(900, ""), (901, None), (902, "12"), (903, "\u4e07\u4e07\u4e07")]
+    frame = spark.createDataFrame(texts, "id long, text string").selectExpr("*", "1 AS row", "2 AS code")
+    local = language.with_language(frame, language.Profiles(counts)).collect()
+    joined = language.with_language(frame, language.Profiles(counts, local_bytes=0)).collect()
+    one, other = ({r.id: r for r in rows_} for rows_ in (local, joined))
+    assert len(local) == len(joined) == len(texts) and set(local[0].asDict()) == set(joined[0].asDict())
+    for id in one:
+        assert one[id].language == other[id].language
+        assert one[id].language_score == pytest.approx(other[id].language_score)
+    assert all(one[i].language == f"l{i:03d}" for i in range(300))
+    assert [one[i].language for i in (900, 901, 902, 903)] == [None, None, None, "l007"]
+    with pytest.raises(ValueError):
+        language.Profiles(counts.limit(0))

@@ -2,128 +2,23 @@
 
 from __future__ import annotations
 
-from html.entities import html5
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
-from winnow.functions.text import computed, let, share
-
-# Whole elements that never hold main text; an unclosed one runs to the end of the page.
-SILENT = (
-    "script", "style", "noscript", "template", "head", "nav", "footer", "aside", "form",
-    "svg", "iframe", "button", "select",
-)
-BLOCKS = (
-    "p", "div", "br", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "table", "tr", "td",
-    "th", "section", "article", "main", "blockquote", "pre", "dl", "dt", "dd", "hr", "header",
-    "figure", "figcaption", "body", "html",
-)
-# All named references of HTML that end in a semicolon, from the standard library.
-NAMED = {name: text for name, text in html5.items() if name.endswith(";")}
-# What a reference to one of the code points 128 to 159 stands for.
-REMAPPED = {
-    code: bytes([code]).decode("cp1252") for code in range(128, 160)
-    if code not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)
-}
-MIN_BLOCK_CHARS = 25
-MAX_LINK_SHARE = 1 / 3
-
-SILENT_PATTERN = (
-    "(?is)<!--.*?(?:-->|\\z)|"
-    + "|".join(rf"<{tag}\b.*?(?:</{tag}\s*>|\z)" for tag in SILENT)
-)
-MAIN_PATTERN = r"(?is)<(?:article|main)\b[^>]*>(.*)</(?:article|main)\s*>"
-BLOCK_PATTERN = r"(?i)</?(?:" + "|".join(BLOCKS) + r")\b[^>]*>"
-ANCHOR_PATTERN = r"(?is)<a\b[^>]*>.*?</a\s*>"
-TAG_PATTERN = r"<[a-zA-Z/!?][^>]*>"
-SPACE_PATTERN = r"[ \t\n\r\f\x{a0}]+"
-REFERENCE_PATTERN = r"&(#[0-9]+;|#[xX][0-9a-fA-F]+;|[A-Za-z][A-Za-z0-9]*;)"
-
-
-def unescape(text: Column) -> Column:
-    """Named, decimal and hexadecimal character references, each decoded once.
-
-    Every distinct reference of the text is replaced; those that stand for an ampersand last,
-    since they could make a new one.
-    """
-    names = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE_PATTERN), F.lit(1)))
-    known = F.transform(
-        names, lambda n: F.struct(n.alias("name"), _referenced(n).alias("means"))
-    )
-    told = F.filter(known, lambda k: k["means"].isNotNull())
-    first = F.filter(told, lambda k: k["means"] != "&")
-    last = F.filter(told, lambda k: k["means"] == "&")
-    decoded = F.aggregate(
-        F.concat(first, last),
-        text,
-        lambda acc, k: F.replace(acc, F.concat(F.lit("&"), k["name"]), k["means"]),
-    )
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
-
-
-def _literal_map(items: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in items.items() for x in pair])
+from winnow.functions.html import page_text
+from winnow.functions.text import computed
 
 
-def _referenced(name: Column) -> Column:
-    """What a reference (without its ampersand) stands for; NULL for an unknown name."""
-    digits = F.regexp_extract(name, "([0-9a-fA-F]+);$", 1)
-    digits = F.regexp_replace(digits, "^0+(?=.)", "")
-    hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
-    code = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(
-        F.conv(digits, 16, 10).cast("long")
-    )
-    code = F.when(hexadecimal, code).otherwise(
-        F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(digits.try_cast("long"))
-    )
-
-    def character(code: Column) -> Column:
-        broken = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
-        plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.coalesce(
-            _literal_map(REMAPPED)[code.cast("int")],
-            F.when(broken, F.lit("\ufffd")).otherwise(plain),
-        )
-
-    return F.when(F.startswith(name, F.lit("#")), let(code, character)).otherwise(
-        _literal_map(NAMED)[name]
-    )
-
-
-def _plain(html: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(html, TAG_PATTERN, ""), SPACE_PATTERN, " "))
+@F.arrow_udf(StringType())
+def _page_texts(pages: pa.Array) -> pa.Array:
+    found = (None if page is None else page_text(page) for page in pages.to_pylist())
+    return pa.array(found, pa.string())
 
 
 def main_text(html: Column) -> Column:
-    """Blocks with enough text and few links, one per line."""
-    loud = F.regexp_replace(html, SILENT_PATTERN, " ")
-
-    def main_zone(page: Column) -> Column:
-        zone = F.regexp_extract(page, MAIN_PATTERN, 1)
-        return let(zone, lambda z: F.when(z != "", z).otherwise(page))
-
-    def blocks(zone: Column) -> Column:
-        measured = F.transform(
-            F.split(zone, BLOCK_PATTERN),
-            lambda b: F.struct(
-                _plain(b).alias("text"),
-                F.length(_plain(F.regexp_replace(b, ANCHOR_PATTERN, ""))).alias("unlinked"),
-            ),
-        )
-        kept = F.filter(
-            measured,
-            lambda m: (F.length(m.getField("text")) >= MIN_BLOCK_CHARS)
-            & (
-                share(
-                    F.length(m.getField("text")) - m.getField("unlinked"),
-                    F.length(m.getField("text")),
-                )
-                <= MAX_LINK_SHARE
-            ),
-        )
-        return F.array_join(F.transform(kept, lambda m: m.getField("text")), "\n")
-
-    return let(let(let(loud, main_zone), blocks), unescape)
+    """Blocks with enough text and few links, one per line; NULL for NULL."""
+    return _page_texts(html)
 
 
 def extract_main_text(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

@@ -1,4 +1,14 @@
-"""Language identification with character trigram profiles."""
+"""Language identification with character trigram profiles.
+
+A text's score for a language is that of naive Bayes over all trigrams that any language was trained
+with: the sum of ln((c + 1) / (t + k)) over the text's known trigrams, c being the trigram's count in
+the language, t the language's trigrams and k the number of different ones. Only trigrams that a
+language has need a row: the others add ln(1) less the same denominator. The table is thus sparse,
+with every trigram and any number of languages.
+
+Where the table is small in bytes, as counted before, every task has it and texts are scored where
+they are. Otherwise the texts' trigram counts meet the table in a join.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +16,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from winnow.functions.text import computed
 from winnow.functions.trigrams import text_chunks, trigram_codes
 from winnow.session import materialize
 
-PROFILE_SIZE = 2000
-MAX_LANGUAGES = 250
 MIN_SCORE = 0.65
+ENTRY_BYTES = 20  # of a trigram of a language: a code, a number, a logarithm
+LOCAL_BYTES = 64 << 20  # of the largest table that is sent to every task
+HOT_SHARE = 10_000  # a trigram with one of so many occurrences is split
+SALTS = 64
 
 
 def letters_only(text: Column) -> Column:
@@ -40,10 +52,8 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 )
 
 
-def train_profiles(
-    df: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE_SIZE
-) -> DataFrame:
-    """(lang, code, n, total): the most frequent trigrams of each language."""
+def train_profiles(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, code, n): how often each language has each trigram; written."""
     counts = (
         df.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
         .select(F.col(lang).alias("lang"), letters_only(F.col(text)).alias("text"))
@@ -51,64 +61,50 @@ def train_profiles(
         .groupBy("lang", "code")
         .agg(F.sum("n").alias("n"))
     )
-    # Written once, so that the texts are read once for both the totals and the ranking.
-    counts = materialize(counts, "trigrams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    # The rank filter runs as a group limit before the shuffle: no task sees a whole language.
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
-    top = counts.withColumn("_k", F.row_number().over(best)).where(F.col("_k") <= size).drop("_k")
-    return top.join(totals, "lang").select("lang", "code", "n", "total")
+    return materialize(counts, "trigrams")
 
 
 class Profiles:
-    """Log probabilities of the profile trigrams, small enough for every task."""
-
-    def __init__(self, rows: list):
-        self.languages = sorted({r["lang"] for r in rows})
-        self.codes = np.array(sorted({r["code"] for r in rows}), dtype=np.int64)
-        counts = np.zeros((len(self.codes), len(self.languages)))
-        totals = np.ones(len(self.languages))
-        for r in rows:
-            k = self.languages.index(r["lang"])
-            counts[np.searchsorted(self.codes, r["code"]), k] = r["n"]
-            totals[k] = r["total"]
-        self.logs = np.log((counts + 1.0) / (totals + len(self.codes)))
-
-    @classmethod
-    def collect(cls, profiles: DataFrame, size: int = PROFILE_SIZE) -> Profiles:
-        """At most `size` rows per language come to the driver, and few languages."""
-        limit = MAX_LANGUAGES * size
-        rows = profiles.limit(limit + 1).collect()
-        if not rows or len(rows) > limit:
-            raise ValueError(f"profiles must have 1 to {limit} rows")
-        return cls(rows)
-
-    def posterior(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(probability per text and language, number of known trigrams per text)."""
-        codes, owner = trigram_codes(texts)
-        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        known = self.codes[at] == codes
-        at, owner = at[known], owner[known]
-        sums = np.stack(
-            [
-                np.bincount(owner, weights=self.logs[at, k], minlength=len(texts))
-                for k in range(len(self.languages))
-            ],
-            axis=1,
-        )
-        odds = np.exp(sums - sums.max(axis=1, keepdims=True))
-        hits = np.bincount(owner, minlength=len(texts))
-        return odds / odds.sum(axis=1, keepdims=True), hits
+    """What `train_profiles` found, in every task if it is small, else as a table to join with."""
+
+    def __init__(self, counts: DataFrame, local_bytes: int = LOCAL_BYTES):
+        """`counts` (lang, code, n) is written."""
+        self.counts = counts
+        found = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("rows"))
+        found = materialize(found, "languages")
+        rows = found.agg(F.sum("rows")).first()[0]
+        if not rows:
+            raise ValueError("there is no text to train languages on")
+        known = counts.select("code").distinct().count()
+        self.languages = found.select("lang", F.ln(F.col("total") + known).alias("rest"))
+        self.shared = None
+        if rows * ENTRY_BYTES <= local_bytes:
+            self.shared = self._local()
+
+    def _local(self):
+        """The table as arrays, broadcast: its size has been checked."""
+        names = self.languages.orderBy("lang").toArrow()
+        table = self.counts.toArrow()
+        order = np.argsort(table["code"].to_numpy(), kind="stable")
+        codes = table["code"].to_numpy()[order]
+        number = {name: i for i, name in enumerate(names["lang"].to_pylist())}
+        languages = np.array([number[name] for name in table["lang"].to_pylist()], np.int32)[order]
+        logs = np.log(table["n"].to_numpy()[order] + 1.0)
+        known, first = np.unique(codes, return_index=True)
+        arrays = (list(number), names["rest"].to_numpy(), known, np.append(first, len(codes)), languages, logs)
+        return self.counts.sparkSession.sparkContext.broadcast(arrays)
 
     def column(self, text: Column) -> Column:
-        """struct(language, score); NULL for NULL."""
-        names = np.array(self.languages, dtype=object)
+        """struct(language, score) where the table is in every task; NULL, 0 for no known trigram."""
+        shared = self.shared
 
         @F.arrow_udf("language string, score double")
         def guess(texts: pa.Array) -> pa.Array:
+            names, rest, known, first, numbers, logs = shared.value
+            names = np.array(names, dtype=object)
             languages, scores = [], []
             for run in text_chunks(texts):
-                odds, hits = self.posterior(run)
+                odds, hits = posterior(run, rest, known, first, numbers, logs)
                 best = odds.argmax(axis=1)
                 found = hits > 0
                 languages += np.where(found, names[best], None).tolist()
@@ -120,9 +116,102 @@ class Profiles:
 
         return guess(letters_only(text))
 
+    def joined(self, df: DataFrame, text: str) -> DataFrame:
+        """`df` with struct `_guess` from a join of its trigrams with the table.
+
+        A hot trigram, which owns a ten-thousandth of all occurrences so that there are at most ten
+        thousand, is dealt to `SALTS` tasks by row. Sums are combined before they are shuffled.
+        """
+        rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "language-rows")
+        grams = rows.select("_row", letters_only(F.col(text)).alias("text")).mapInArrow(
+            _text_trigrams, "row bigint, code bigint, n bigint"
+        )
+        sizes = self.counts.groupBy("code").agg(F.sum("n").alias("_n"))
+        floor = self.counts.agg(F.sum("n") / HOT_SHARE).scalar()
+        hot = materialize(sizes.where(F.col("_n") >= floor).select("code", F.lit(True).alias("hot")), "hot-trigrams")
+        one = F.struct(F.lit(None).cast("string").alias("lang"), F.lit(1.0).alias("log"))  # counts the known
+        own = F.struct("lang", F.ln(F.col("n") + 1.0).alias("log"))
+        table = self.counts.groupBy("code").agg(F.collect_list(own).alias("logs"))
+        table = table.withColumn("logs", F.concat("logs", F.array(one)))
+        spread = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        salt = F.when(F.col("hot"), F.pmod(F.xxhash64("row"), F.lit(SALTS))).otherwise(0).cast("int")
+        few = F.broadcast(hot)
+        table = table.join(few, "code", "left").withColumn("salt", F.explode(spread)).drop("hot")
+        grams = grams.join(few, "code", "left").withColumn("salt", salt).drop("hot")
+        sums = (
+            grams.join(table, ["code", "salt"])
+            .select("row", "n", F.inline("logs"))
+            .groupBy("row", "lang")
+            .agg(F.sum(F.col("n") * F.col("log")).alias("s"))
+        )
+        # A row for each text: no more sums than languages, and one for the number of known trigrams.
+        texts = sums.groupBy("row").agg(
+            F.max(F.when(F.col("lang").isNull(), F.col("s"))).alias("hits"),
+            F.map_from_entries(F.collect_list(F.when(F.col("lang").isNotNull(), F.struct("lang", "s")))).alias("sums"),
+        )
+        texts = texts.withColumn("_all", self.languages.agg(F.collect_list(F.struct("lang", "rest"))).scalar())
+        scored = F.transform(
+            "_all",
+            lambda l: F.struct(
+                (F.col("hits") * l["rest"] - F.coalesce(F.col("sums")[l["lang"]], F.lit(0.0))).alias("cost"),
+                l["lang"].alias("lang"),
+            ),
+        )
+        texts = materialize(texts.select("row", scored.alias("costs")), "language-scores")
+        best = F.array_min("costs")
+        total = F.aggregate(
+            "costs", F.lit(0.0), lambda acc, c: acc + F.exp(F.array_min("costs")["cost"] - c["cost"])
+        )
+        guessed = texts.select(
+            F.col("row").alias("_at"), F.struct(best["lang"].alias("language"), (1 / total).alias("score")).alias("_guess")
+        )
+        nothing = F.struct(F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("score"))
+        together = rows.join(guessed, F.col("_row") == F.col("_at"), "left").drop("_row", "_at")
+        return together.withColumn("_guess", F.coalesce("_guess", nothing))
+
+
+def posterior(
+    texts: list[str], rest: np.ndarray, known: np.ndarray, first: np.ndarray, languages: np.ndarray, logs: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(probability per text and language, number of known trigrams per text)."""
+    codes, owner = trigram_codes(texts)
+    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+    there = known[at] == codes
+    at, owner = at[there], owner[there]
+    hits = np.bincount(owner, minlength=len(texts))
+    sizes = first[at + 1] - first[at]
+    entry = np.repeat(first[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    spot = np.repeat(owner, sizes) * len(rest) + languages[entry]
+    sums = np.bincount(spot, weights=logs[entry], minlength=len(texts) * len(rest))
+    sums = sums.reshape(len(texts), -1) - hits[:, None] * rest
+    odds = np.exp(sums - sums.max(axis=1, keepdims=True))
+    return odds / odds.sum(axis=1, keepdims=True), hits
+
+
+def _text_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts per row and trigram."""
+    for batch in batches:
+        rows, at = batch.column(0).to_numpy(), 0
+        for texts in text_chunks(batch.column(1)):
+            codes, owner = trigram_codes(texts)
+            order = np.lexsort([codes, owner])
+            codes, owner = codes[order], owner[order]
+            fresh = np.ones(len(codes), bool)
+            fresh[1:] = (codes[1:] != codes[:-1]) | (owner[1:] != owner[:-1])
+            start = np.flatnonzero(fresh)
+            counts = np.diff(np.append(start, len(codes)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[at + owner[start]]), pa.array(codes[start]), pa.array(counts)],
+                ["row", "code", "n"],
+            )
+            at += len(texts)
+
 
 def with_language(df: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
-    guessed = computed(df, "_guess", profiles.column(F.col(text)))
+    if profiles.shared is None:
+        guessed = profiles.joined(df, text)
+    else:
+        guessed = computed(df, "_guess", profiles.column(F.col(text)))
     return (
         guessed.withColumn("language", F.col("_guess.language"))
         .withColumn("language_score", F.col("_guess.score"))

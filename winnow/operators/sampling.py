@@ -49,13 +49,19 @@ def smallest_hashes(df: DataFrame, k: int, seed: int, id: str) -> DataFrame:
         .agg(F.max(F.struct("_h", id)).alias("m"))
         .first()["m"]
     )
-    h = _small_hash(F.col(id), seed)
-    same = (h == last["_h"]) & (F.col(id) == F.lit(last[id]))
-    before = (h < last["_h"]) | ((h == last["_h"]) & (F.col(id) < F.lit(last[id])))
-    here = F.col("_bucket") == edge["_bucket"]
-    first, tied = hashed.where(here).select(
-        F.count_if((F.col("_h") < last["_h"]) | ((F.col("_h") == last["_h"]) & (F.col(id) < F.lit(last[id])))),
-        F.count_if((F.col("_h") == last["_h"]) & (F.col(id) == F.lit(last[id]))),
+    h, own = _small_hash(F.col(id), seed), F.col(id)
+
+    # Rows without an id are one hash; like a sort, they come before others of that hash.
+    def split(hash: Column) -> tuple[Column, Column]:
+        same = (hash == last["_h"]) & own.eqNullSafe(F.lit(last[id]))
+        if last[id] is None:
+            return hash < last["_h"], same
+        smaller = own.isNull() | (own < F.lit(last[id]))
+        return (hash < last["_h"]) | ((hash == last["_h"]) & smaller), same
+
+    before, same = split(h)
+    first, tied = hashed.where(F.col("_bucket") == edge["_bucket"]).select(
+        *(F.count_if(c) for c in split(F.col("_h")))
     ).first()
     missing = k - edge["_before"] - first
     if missing == tied:

@@ -29,14 +29,24 @@ def pack_sequences(
 ) -> DataFrame:
     """(block, tokens): all token streams in id order, cut in blocks of `seq_len`; no short tail.
 
-    Token offsets come from a distributed running sum over (id, count). Each text is cut into
-    its pieces where it is, and pieces, not tokens, go to the block they belong to.
+    Token offsets come from a distributed running sum over the counts of texts. Each text is cut
+    into its pieces where it is, and pieces, not tokens, go to the block they belong to. Texts of
+    one id, and rows without one, which come first, follow each other by a hash of their text;
+    equal rows are one text that is laid down as often as it occurs.
     """
-    counted = df.select(id, count_tokens(F.col(text)).cast("long").alias("_n"))
+    known = df.select(
+        F.col(id).alias("_id"),
+        F.col(text).alias("_text"),
+        F.md5(F.concat_ws(":", F.col(id).isNull(), F.col(id), F.col(text))).alias("_key"),
+    )
+    counted = known.select("_id", "_key", count_tokens(F.col("_text")).cast("long").alias("_n"))
     # Written once: range partitioning reads its input twice, and that should not be the text.
-    counts = materialize(counted, "counts").where("_n > 0")
-    starts = ranked(counts, [], [F.col(id)], F.col("_n")).select(
-        id, "_n", F.col("_before").alias("_start")
+    counts = materialize(
+        counted.where("_n > 0").groupBy("_id", "_key").agg(F.max("_n").alias("_n"), F.count("*").alias("_times")),
+        "counts",
+    )
+    starts = ranked(counts, [], [F.col("_id"), F.col("_key")], F.col("_n") * F.col("_times")).select(
+        "_key", "_n", "_times", F.col("_before").alias("_first")
     )
 
     def piece(words: Column, block: Column) -> Column:
@@ -51,13 +61,18 @@ def pack_sequences(
     first_block = F.floor(F.col("_start") / seq_len)
     last_block = F.floor((F.col("_start") + F.col("_n") - 1) / seq_len)
     pieces = let(
-        tokens(F.col(text)),
+        tokens(F.col("_text")),
         lambda words: F.transform(
             F.sequence(first_block, last_block), lambda block: piece(words, block)
         ),
     )
-    # The cutting is the costly part: a merge join keeps it spread like the texts.
-    parts = df.join(starts.hint("merge"), id).select(F.inline(pieces))
+    # Grouped by what they are joined by, texts are moved once; copies are put together before.
+    texts = known.groupBy("_key").agg(F.first("_text").alias("_text"))
+    copies = F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)
+    placed = texts.join(starts.hint("merge"), "_key").select(
+        "_text", "_n", F.explode(F.transform(copies, lambda k: F.col("_first") + k * F.col("_n"))).alias("_start")
+    )
+    parts = placed.select(F.inline(pieces))
     # A block holds at most seq_len tokens, so the list per block is bounded.
     ordered = F.array_sort(F.collect_list(F.struct("at", "part")))
     return (

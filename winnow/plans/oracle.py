@@ -13,7 +13,7 @@ from winnow.functions.limits import (
 )
 from winnow.functions.text import TOKEN, WORD
 from winnow.operators import pii
-from winnow.operators.language import MIN_SCORE, PROFILE_SIZE
+from winnow.operators.language import MIN_SCORE
 from winnow.plans import oracle_text as t
 
 BLOCKED_DOMAINS = ["cheap-pills.example.com", "casino-win.example.org"]
@@ -39,10 +39,11 @@ ORACLE["url_filter_table"] = ORACLE["url_filter"]
 ORACLE["extract_main_text"] = f"SELECT page_id, {t.main_text('html')} AS text FROM pages"
 
 TRAIN = "train AS (SELECT doc_id AS id, text, lang FROM documents)"
-PROFILES = f"{TRAIN}, {t.language_profiles('train', PROFILE_SIZE)}"
+PROFILES = f"{TRAIN}, {t.language_profiles('train')}"
 ORACLE["language_filter"] = f"""WITH {DOCS}, {PROFILES}, {t.language('docs', 'r', 'en', MIN_SCORE)}
 SELECT id AS doc_id, language, round(score, 4) AS language_score, reason IS NULL AS keep,
        reason AS drop_reason FROM r"""
+ORACLE["language_filter_joined"] = ORACLE["language_filter"]
 
 REFINED = f"""{PROFILES},
   s1 AS (SELECT page_id AS id, {t.url_reason('url', BLOCKED_DOMAINS, BLOCKED_WORDS)} AS reason, html

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from winnow.functions import html
 from winnow.functions.limits import (
     LINE_END_PUNCTUATION,
     C4Quality,
@@ -191,7 +192,7 @@ def fineweb(src: str, out: str, limits: FineWebQuality = FineWebQuality()) -> st
     {out} AS (SELECT id, text, {case(rules)} AS reason FROM {out}_w)"""
 
 
-def language_profiles(src: str, size: int) -> str:
+def language_profiles(src: str) -> str:
     """CTEs `profile`(lang, gram, n, total) and `grams`(id, gram) of `src`(id, text, lang)."""
     return f"""
     train_grams AS (
@@ -201,10 +202,7 @@ def language_profiles(src: str, size: int) -> str:
           FROM {src}) WHERE len(c) >= 3)),
     gram_counts AS (SELECT lang, gram, count(*) AS n FROM train_grams GROUP BY ALL),
     profile AS (
-      SELECT lang, gram, n, total FROM (
-        SELECT *, sum(n) OVER (PARTITION BY lang) AS total,
-               row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS k FROM gram_counts)
-      WHERE k <= {size}),
+      SELECT lang, gram, n, sum(n) OVER (PARTITION BY lang) AS total FROM gram_counts WHERE lang IS NOT NULL),
     known AS (SELECT DISTINCT gram FROM profile),
     langs AS (SELECT DISTINCT lang, total FROM profile),
     logs AS (
@@ -235,30 +233,37 @@ def language(src: str, out: str, target: str, min_score: float) -> str:
       FROM {src} d LEFT JOIN {out}_b b ON b.id = d.id)"""
 
 
-def main_text(html: str) -> str:
-    from winnow.operators import extract as e
+# Patterns for the page table, whose elements are closed and not nested in their like.
+_SILENT = "(?is)<!--.*?(?:-->|\\z)|" + "|".join(rf"<{tag}\b.*?(?:</{tag}\s*>|\z)" for tag in sorted(html.SILENT))
+_MAIN = r"(?is)<(?:article|main)\b[^>]*>(.*)</(?:article|main)\s*>"
+_BLOCK = r"(?i)</?(?:" + "|".join(sorted(html.BLOCKS)) + r")\b[^>]*>"
+_ANCHOR = r"(?is)<a\b[^>]*>.*?</a\s*>"
+_TAG = r"<[a-zA-Z/!?][^>]*>"
+_SPACE = r"[ \t\n\r\f\x{a0}]+"
 
+
+def main_text(page: str) -> str:
     def sql(pattern: str) -> str:
         return "'" + pattern.replace("'", "''") + "'"
 
     def plain(x: str) -> str:
         return (
-            f"trim(regexp_replace(regexp_replace({x}, {sql(e.TAG_PATTERN)}, '', 'g'), "
-            f"{sql(e.SPACE_PATTERN)}, ' ', 'g'))"
+            f"trim(regexp_replace(regexp_replace({x}, {sql(_TAG)}, '', 'g'), "
+            f"{sql(_SPACE)}, ' ', 'g'))"
         )
 
-    loud = f"regexp_replace({html}, {sql(e.SILENT_PATTERN)}, ' ', 'g')"
-    zone = f"regexp_extract({loud}, {sql(e.MAIN_PATTERN)}, 1)"
+    loud = f"regexp_replace({page}, {sql(_SILENT)}, ' ', 'g')"
+    zone = f"regexp_extract({loud}, {sql(_MAIN)}, 1)"
     blocks = (
         f"regexp_split_to_array(CASE WHEN {zone} <> '' THEN {zone} ELSE {loud} END, "
-        f"{sql(e.BLOCK_PATTERN)})"
+        f"{sql(_BLOCK)})"
     )
-    unlinked = plain(f"regexp_replace(b, {sql(e.ANCHOR_PATTERN)}, '', 'g')")
+    unlinked = plain(f"regexp_replace(b, {sql(_ANCHOR)}, '', 'g')")
     text = (
         f"array_to_string(list_transform(list_filter({blocks}, lambda b: "
-        f"length({plain('b')}) >= {e.MIN_BLOCK_CHARS} AND "
+        f"length({plain('b')}) >= {html.MIN_BLOCK_CHARS} AND "
         f"{share(f'length({plain('b')}) - length({unlinked})', f'length({plain('b')})')}"
-        f" <= {e.MAX_LINK_SHARE!r}::DOUBLE), lambda b: {plain('b')}), chr(10))"
+        f" <= {html.MAX_LINK_SHARE!r}::DOUBLE), lambda b: {plain('b')}), chr(10))"
     )
     # The references that the page table has.
     for name, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·")):

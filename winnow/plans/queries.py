@@ -59,7 +59,7 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
 
 def profiles(spark: SparkSession, sf: str) -> language.Profiles:
     docs = spread(read_table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
-    return language.Profiles.collect(language.train_profiles(docs))
+    return language.Profiles(language.train_profiles(docs))
 
 
 def url_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -86,6 +86,14 @@ def language_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("doc_id", "language", score, "keep", "drop_reason")
 
 
+def language_filter_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with a table too large for every task."""
+    large = language.Profiles(profiles(spark, sf).counts, local_bytes=0)
+    judged = language.language_filter(documents(spark, sf), large)
+    score = F.round("language_score", 4).alias("language_score")
+    return judged.select("doc_id", "language", score, "keep", "drop_reason")
+
+
 def refined_pages(spark: SparkSession, sf: str) -> DataFrame:
     settings = refine.RefineSettings(domains=BLOCKED_DOMAINS, words=BLOCKED_WORDS)
     return refine.refine(pages(spark, sf), profiles(spark, sf), settings)
@@ -652,7 +660,7 @@ def refine_stream(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        url_filter, url_filter_table, extract_main_text, language_filter, gopher_repetition, gopher_quality,
+        url_filter, url_filter_table, extract_main_text, language_filter, language_filter_joined, gopher_repetition, gopher_quality,
         c4_quality, fineweb_quality, refine_corpus, stage_stats, pii_mask, token_count,
         token_totals, shingles, minhash_signature, lsh_candidates, dedup_clusters,
         dedup_cluster_sizes, minhash_dedup, sample_rows, sample_rows_by_source, lookup_sources,

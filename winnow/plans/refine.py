@@ -58,8 +58,9 @@ def refine(
         blocked = url.url_reason(F.col("url"), s.domains, s.words)
     url_verdict = _stage(nothing, STAGES[0], blocked)
     df = computed(pages, "_drop", url_verdict)
-    page_text = F.when(drop.isNull(), extract.main_text(F.col("html")))
-    df = computed(df, "text", page_text).drop("html")
+    # A page that is out is no text, hence no work.
+    page = F.when(drop.isNull(), F.col("html"))
+    df = computed(df, "text", extract.main_text(page)).drop("html")
 
     df = language.with_language(df, profiles)
     target = language.language_reason(s.target, s.min_score)
