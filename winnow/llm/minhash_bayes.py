@@ -35,6 +35,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from winnow.llm.ngram_join import overlaps
 from winnow.llm.periodic_runs import pair_hash, scrambled
 from winnow.llm.workers import give_back, lean, lean_group
 from winnow.operators.dedup import dedup_clusters
@@ -48,7 +49,6 @@ BATCH = 32  # hashes compared at once
 MISS = 1e-6  # chance, at most, that a pair that reaches the threshold is dropped by a batch
 TILE = 256
 SLAB = 1 << 17  # words hashed at once, unless one text has more
-CELLS = 1 << 24  # cells of an incidence matrix at once
 SLICE = 1 << 16  # pairs of one centre in a slice, about
 
 HASHES = BANDS * ROWS
@@ -407,31 +407,6 @@ def tile_items(torn_bands: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return materialize(grouped.withColumn("item", F.monotonically_increasing_id()), "items")
 
 
-def overlaps(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
-    """Shared shingles of each pair: single ones by merging, many by a product over column blocks."""
-    if len(pairs) <= 4 * len(sets):
-        return np.array(
-            [len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in pairs.tolist()], np.int64
-        )
-    values, column, counts = np.unique(
-        np.concatenate(sets), return_inverse=True, return_counts=True
-    )
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    shared = counts > 1
-    number = np.cumsum(shared) - 1
-    row, column = row[shared[column]], number[column[shared[column]]]
-    total = np.zeros((len(sets), len(sets)), np.float32)
-    width = max(1, CELLS // len(sets))
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    for first in range(0, int(shared.sum()), width):
-        a, b = np.searchsorted(column, [first, first + width])
-        block = np.zeros((len(sets), width), np.float32)
-        block[row[a:b], column[a:b] - first] = 1
-        total += block @ block.T
-    return total[pairs[:, 0], pairs[:, 1]].astype(np.int64)
-
-
 def item_links(sets: list[np.ndarray], components: list[int], pairs: np.ndarray, percent: int):
     """Verified pairs that join components of an item, at most one less than components."""
     root = {c: c for c in components}
