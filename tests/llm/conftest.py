@@ -42,3 +42,13 @@ def docs(spark):
 @pytest.fixture(scope="session")
 def plain_rows(docs):
     return [(r.doc_id, r.text or "") for r in docs.collect()]
+
+
+@pytest.fixture(scope="session")
+def alike_words():
+    """Pairs of words of two letters in Thue-Morse order, equal under any polynomial modulo 2**64."""
+    pairs = []
+    for size in (1024, 2048, 4096, 65536):
+        one = "".join("ab"[i.bit_count() & 1] for i in range(size))
+        pairs.append((one, one.translate({97: 98, 98: 97})))
+    return pairs

@@ -49,6 +49,22 @@ def test_every_code_point(reference, encoder):
     assert all(f.tolist() == reference.encode_ordinary(t) for f, t in zip(found, texts, strict=True))
 
 
+def test_words_that_a_polynomial_takes_as_equal(reference, alike_words):
+    encoder = bpe.Encoder(RANKS, vocabularies.PATTERN)
+    for one, other in alike_words:
+        for texts in ([one, other], [f"{other} {one} {one} x {other}"], [other, one]):
+            found = [x.tolist() for x in encoder.encode(texts)]
+            assert found == [reference.encode_ordinary(t) for t in texts]
+
+
+def test_tokens_of_one_hash(reference):
+    encoder = bpe.Encoder(RANKS, vocabularies.PATTERN)
+    encoder.up, encoder.down = (np.zeros(1 << 20, np.uint64) for _ in range(2))
+    for texts in (["one two one", " other  words"], ["two one other", "", " words 12 12\n\nx"]):
+        found = [x.tolist() for x in encoder.encode(texts)]
+        assert found == [reference.encode_ordinary(t) for t in texts]
+
+
 def digest(reference, text):
     ids = np.array(reference.encode_ordinary(text), "<u4")
     return (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(),

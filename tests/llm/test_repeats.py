@@ -134,3 +134,11 @@ def test_packed_records_survive():
     records["h"], records["p"] = np.arange(5), 7
     assert (repeats.from_bytes(repeats.to_bytes(records), repeats.ANCHOR) == records).all()
     assert hashlib.sha256(repeats.to_bytes(records[:0])).hexdigest()
+
+
+def test_words_that_a_polynomial_takes_as_equal(spark, alike_words):
+    common = " ".join(f"w{i}" for i in range(19))
+    rows = [(2 * i + k, f"{word} {common}{i}") for i, pair in enumerate(alike_words)
+            for k, word in enumerate(pair)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.n_removed for r in substring_dedup.remove_repeats(frame).collect()} == {0}

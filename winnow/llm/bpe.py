@@ -87,7 +87,11 @@ def token_starts(points: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts in slabs; pre-tokens met before come from a table of their hashes."""
+    """Encodes texts in slabs; pre-tokens met before come from a table of their hashes.
+
+    The table holds their characters too: a pre-token takes the ids of another one only if both
+    are equal character by character, whatever their hashes.
+    """
 
     def __init__(self, ranks_path: str, pattern: str):
         import tiktoken
@@ -108,6 +112,10 @@ class Encoder:
         self.length = np.zeros(CACHE, np.int64)
         self.pool = np.zeros(1 << 20, np.uint32)
         self.used = 0
+        self.origin = np.zeros(CACHE, np.int64)
+        self.size = np.zeros(CACHE, np.int64)
+        self.held = np.zeros(1 << 20, np.uint32)  # characters of the pre-tokens in the table
+        self.filled = 0
 
     def remember(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Merge new pre-tokens; (place of the ids in the pool, their number) for each.
@@ -139,9 +147,18 @@ class Encoder:
         self.used += held
         return at, length
 
+    def hold(self, points: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Keep the characters of pre-tokens; the place of each."""
+        total = np.cumsum(size)
+        at = self.filled + total - size
+        kept = points[np.repeat(starts - (total - size), size) + np.arange(total[-1])]
+        self.held[self.filled : self.filled + len(kept)] = kept
+        self.filled += len(kept)
+        return at
+
     def slab(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, end of each text's ids)."""
-        if self.used > 1 << 23:
+        if max(self.used, self.filled) > 1 << 23:
             self.clear()
         joined = "\0".join(texts) + "\0"
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -163,19 +180,37 @@ class Encoder:
         keys ^= keys >> np.uint64(29)
         keys |= np.uint64(1)  # zero marks a free slot
         slots = (keys >> np.uint64(20)).astype(np.int64) & (CACHE - 1)
-        known = self.keys[slots] == keys
+        size = stops - starts
+        # Room for the new pre-tokens, and for reading past the end where hashes collide.
+        room = self.filled + 2 * len(points) - len(self.held)
+        if room > 0:
+            grown = max(room, len(self.held))
+            self.held = np.concatenate([self.held, np.zeros(grown, np.uint32)])
+        known = (self.keys[slots] == keys) & (self.size[slots] == size)
         real = classes[starts] != END
         at = np.where(known, self.first[slots], 0)
         length = np.where(known & real, self.length[slots], 0)
+        origin = np.where(known, self.origin[slots], 0)
+        alike = known | ~real
         new = np.flatnonzero(~known & real)
         if len(new):
             distinct, where, back = np.unique(keys[new], return_index=True, return_inverse=True)
-            spans = zip(starts[new[where]].tolist(), stops[new[where]].tolist(), strict=True)
+            first = new[where]
+            spans = zip(starts[first].tolist(), stops[first].tolist(), strict=True)
             own_at, own_length = self.remember([joined[a:b] for a, b in spans])
+            own_origin = self.hold(points, starts[first], size[first])
             at[new], length[new] = own_at[back], own_length[back]
-            # Of two keys for a slot the last one stays, whole: all three are set in order.
+            origin[new] = own_origin[back]
+            alike[new] = size[new] == size[first][back]
+            # Of two keys for a slot the last one stays, whole: all five are set in order.
             slots = (distinct >> np.uint64(20)).astype(np.int64) & (CACHE - 1)
             self.keys[slots], self.first[slots], self.length[slots] = distinct, own_at, own_length
+            self.origin[slots], self.size[slots] = own_origin, size[first]
+        differs = self.held[np.repeat(origin - starts, size) + np.arange(len(points))] != points
+        other = np.flatnonzero(real & ~(alike & ~np.logical_or.reduceat(differs, starts)))
+        if len(other):
+            spans = zip(starts[other].tolist(), stops[other].tolist(), strict=True)
+            at[other], length[other] = self.remember([joined[a:b] for a, b in spans])
         total = np.cumsum(length)
         ids = self.pool[np.repeat(at - (total - length), length) + np.arange(total[-1])]
         return ids, total[np.searchsorted(starts, ends)]

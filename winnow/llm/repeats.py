@@ -14,6 +14,8 @@ keeps the first of equal stretches, so a passage in a third of all texts is one
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,6 +47,9 @@ NO_ID = (1 << 63) - 1
 PACKED = "kind string, bucket int, level int, data binary"
 SEPARATORS = np.zeros(256, bool)
 SEPARATORS[[32, 9, 10, 11, 12, 13]] = True
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+KEY = b"words of a text"  # of the word hash
+KEPT_WORD, KEPT_WORDS = 64, 1 << 18  # bytes of a word, and words, whose hashes a task keeps
 
 
 @dataclass(frozen=True)
@@ -69,9 +74,10 @@ BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 
 
 class Sums:
-    """Hashes of any run of units, from the prefix sums of a polynomial."""
+    """Hashes of words, and of any run of units from the prefix sums of a polynomial."""
 
     def __init__(self):
+        self.words = Words()
         self.up, self.down = powers(SLAB + 4096)
 
     def of(self, units: np.ndarray) -> np.ndarray:
@@ -85,18 +91,28 @@ class Sums:
         return (sums[end] - sums[start]) * self.down[start]
 
 
+class Words(dict):
+    """64-bit keyed hashes of words; those of short words are kept."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=KEY).digest(), "little")
+        if len(word) <= KEPT_WORD:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = value
+        return value
+
+
 def word_hashes(texts: list[bytes], sums: Sums) -> list[np.ndarray]:
-    """The hash of each word of each text; words are runs without ASCII white space."""
-    out: list[np.ndarray] = []
-    for group in byte_slabs(texts):
-        data = np.frombuffer(b" ".join(group) + b" ", np.uint8)
-        blank = SEPARATORS[data]
-        edges = np.flatnonzero(np.diff(blank, prepend=True, append=True))
-        starts, ends = edges[::2], edges[1::2]
-        prefix = sums.of(BYTES[data])
-        words = mixed(sums.run(prefix, starts, ends) + (ends - starts).astype(np.uint64))
-        stops = np.cumsum([len(t) + 1 for t in group])
-        out += np.split(words, np.searchsorted(starts, stops)[:-1])
+    """The hash of each word of each text; words are runs without ASCII white space.
+
+    A polynomial would give some long words the same hash (two letters in Thue-Morse order), so
+    words have a keyed hash that no text can aim at.
+    """
+    out = []
+    for text in texts:
+        words = text.split() if len(text) <= SLAB else (m[0] for m in WORD.finditer(text))
+        out.append(np.fromiter(map(sums.words.__getitem__, words), np.uint64))
     return out
 
 
