@@ -1,4 +1,5 @@
 import gzip
+import random
 from datetime import datetime, timezone
 
 import pytest
@@ -49,6 +50,65 @@ def test_read_warc(spark, tmp_path):
     assert warc.read_warc(spark, [str(members)], limit=1).count() == 1
 
 
+def read_in_ranges(path, split, limit=-1):
+    reader = warc.ArchiveReader({"path": str(path), "splitBytes": str(split), "limit": str(limit)})
+    parts = [[r for b in reader.read(p) for r in b.to_pylist()] for p in reader.partitions()]
+    return [r["id"] for part in parts for r in part], parts
+
+
+def many(draw, count, start=0):
+    bodies = [draw.randbytes(draw.randint(0, 3000)).hex().encode() for _ in range(count)]
+    return [record("response", f"<urn:{start + i}>", "http://a/", http(b)) for i, b in enumerate(bodies)]
+
+
+@pytest.mark.parametrize("split", [1, 700, 5000, 40_000, 10**9, 0])
+def test_ranges_of_an_archive_have_every_record_once(tmp_path, split):
+    draw = random.Random(split)
+    rows = many(draw, 60)
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(b"".join(gzip.compress(r) for r in rows) + b"\0" * 2000)
+    found, parts = read_in_ranges(path, split)
+    assert found == [f"<urn:{i}>" for i in range(60)]
+    assert (len(parts) > 1) == (0 < split < 10**9)
+    single = tmp_path / "b.warc.gz"
+    single.write_bytes(gzip.compress(b"".join(rows)))
+    assert read_in_ranges(single, split)[0] == found
+    assert all(len(p) <= 2 for p in read_in_ranges(path, split, limit=2)[1])
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_an_archive_within_a_record(tmp_path, level):
+    draw = random.Random(level)
+    inner = b"".join(gzip.compress(r) for r in many(draw, 20, start=1000))
+    rows = many(draw, 10) + [record("response", "<urn:10>", "http://a/", http(inner))] + many(draw, 10, 11)
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(b"".join(gzip.compress(r, level) for r in rows))
+    for split in range(len(inner) + 1000, len(inner) + 40_000, 3000):
+        assert read_in_ranges(path, split)[0] == [f"<urn:{i}>" for i in range(21)]
+    for split in (3000, 8000):  # shorter than the record: whole, or refused
+        try:
+            assert read_in_ranges(path, split)[0] == [f"<urn:{i}>" for i in range(21)]
+        except ValueError:
+            pass
+
+
+def test_an_archive_that_is_cut_off(tmp_path):
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(b"".join(gzip.compress(r) for r in many(random.Random(1), 30))[:-40])
+    for split in (0, 2000, 10**9):
+        with pytest.raises(EOFError):
+            read_in_ranges(path, split)
+
+
+def test_read_warc_in_ranges(spark, tmp_path):
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(b"".join(gzip.compress(r) for r in many(random.Random(2), 40)))
+    df = warc.read_warc(spark, [str(path)], split_bytes=10_000)
+    assert df.rdd.getNumPartitions() > 3
+    assert sorted(r.id for r in df.select("id").collect()) == sorted(f"<urn:{i}>" for i in range(40))
+    assert warc.read_warc(spark, [path.as_uri()], limit=5, split_bytes=10_000).count() == 5
+
+
 def test_cut_off_archive_fails(spark, tmp_path):
     path = tmp_path / "cut.warc"
     path.write_bytes(record("response", "<urn:1>", "http://a", http(b"0123456789"))[:-8])
