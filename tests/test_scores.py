@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -126,6 +127,27 @@ def test_weight_epochs(spark):
     }
 
 
+def test_weight_intervals_and_norms_equal_every_epoch(spark):
+    draw = random.Random(5)
+    rows = [(draw.randrange(6), draw.randrange(3000), i, draw.randrange(-50, 100) / 100) for i in range(200)]
+    rows.append((9, 2950, 200, 0.25))
+    df = spark.createDataFrame(rows, "uid int, step bigint, tie int, score double")
+    intervals = scores.weight_intervals(df)
+    held = intervals.collect()
+    assert len(held) <= len(rows) and all(r.epoch < r.until for r in held)
+    every = {(r.epoch, r.uid): r.score for r in scores.weight_epochs(df).collect()}
+    assert every == {(e, r.uid): r.score for r in held for e in range(r.epoch, r.until, 100)}
+    norms = scores.epoch_norms(intervals).collect()
+    found = {e: (r.members, round(r.norm, 9)) for r in norms for e in range(r.epoch, r.until, 100)}
+    epochs = {e for e, _ in every}
+    assert found == {
+        e: (len(own), round(sum(map(abs, own)), 9))
+        for e in epochs for own in [[v for (at, _), v in every.items() if at == e]]
+    }
+    none = scores.weight_intervals(df.limit(0))
+    assert none.count() == 0 and scores.epoch_norms(none).count() == 0
+
+
 def test_new_commits(spark):
     rows = [
         (1, "a", 1000, 8199), (1, "a", 1000, 8200), (1, "b", 9000, 9001), (1, "b", 9000, 16_200),
@@ -253,6 +275,41 @@ def test_audit_pairs_by_id(spark):
     assert {r.id: r.similarity for r in found} == {i: 50.0 for i in range(1, 5)}
 
 
+@pytest.mark.parametrize("n", [3, 40])
+def test_audit_of_many_submissions(spark, n):
+    # Submission 0 is much larger than the others, 2 repeats rows, 3 copies nothing, 4 is unknown.
+    rows = [(0, i, f"alpha w{i}") for i in range(300)]
+    rows += [(1, i, f"alpha beta w{i}") for i in range(10)]
+    rows += [(2, 5, "alpha"), (2, 5, "alpha"), (2, 6, None), (2, None, "alpha"), (None, 7, "alpha")]
+    rows += [(3, i, "other words here") for i in range(20)] + [(4, 900, "alpha")]
+    refined = spark.createDataFrame(rows, "uid int, id int, text string").repartition(5)
+    raw = spark.createDataFrame([(i, f"alpha w{i}") for i in range(300)], "id int, text string")
+    picked = audit.sampled_ids(refined, ["uid"], n, 7)
+
+    def key(i):
+        return hashlib.md5(f"7:{i}".encode()).hexdigest(), i
+
+    expected = set()
+    for uid in range(5):
+        ids = sorted({i for u, i, _ in rows if u == uid and i is not None}, key=key)
+        expected |= {(uid, i) for i in ids[:n]}
+    assert sorted((r.uid, r.id) for r in picked.collect()) == sorted(expected)
+    found = audit.audit_samples(picked, refined, raw, ["uid"])
+    share = {0: 100.0, 1: 50.0, 2: 100.0, 3: 0.0}
+    assert {(r.uid, r.id): r.similarity for r in found.collect()} == {
+        (u, i): 0.0 if (u, i) == (2, 6) else share[u] for u, i in expected if u != 4
+    }
+    tasks = spark.range(6).selectExpr("CAST(id AS int) AS uid")
+    gates = audit.similarity_gate(found, tasks, ["uid"]).collect()
+    assert {r.uid: r.gate for r in gates} == {0: 1, 1: 0, 2: 0, 3: 0, 4: 0, 5: 0}
+
+
+def test_audit_of_no_rows(spark):
+    nothing = spark.createDataFrame([], "uid int, id int, text string")
+    picked = audit.sampled_ids(nothing, ["uid"], 3, 7)
+    assert audit.audit_samples(picked, nothing, nothing.select("id", "text"), ["uid"]).count() == 0
+
+
 def test_sample_rows(spark):
     df = spark.range(100).selectExpr("id", "id % 3 as g")
     one = {r.id for r in audit.sample_rows(df, 10, 1).collect()}

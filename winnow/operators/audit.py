@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from winnow.functions.limits import (
     BLOCK_SECONDS,
@@ -24,6 +24,7 @@ from winnow.session import materialize
 
 WORD_LIKE = r"[\p{L}\p{N}-]+"
 LETTERS = r"^\p{L}+$"
+SAMPLE_SLICES = 64  # tasks over which a submission's ids are sampled
 
 
 def lookup_sources(sample: DataFrame, raw: DataFrame, id: str = "id") -> DataFrame:
@@ -92,6 +93,47 @@ def audit_corpus(
     return scored.withColumn("similarity", F.round("similarity", 2))
 
 
+def sampled_ids(
+    submitted: DataFrame,
+    by: list[str],
+    n: int = SAMPLE_ROWS,
+    seed: int = 0,
+    id: str = "id",
+    slices: int = SAMPLE_SLICES,
+) -> DataFrame:
+    """(*by, id): n random distinct ids of every submission, all of a smaller one.
+
+    Rows without an id or a submission are left out. The n smallest hashes of a submission are
+    those among the n smallest of its slices, so a submission of any size is many tasks, and
+    each hands on at most n rows. Only ids are read; the result is written, so that a join with
+    it knows its size.
+    """
+    order = [sample_key(F.col(id), seed), F.col(id)]
+    ids = submitted.select(*by, id).dropna().distinct()
+    sliced = ids.withColumn("_slice", F.pmod(F.xxhash64(id), F.lit(slices)))
+    for group in ([*by, "_slice"], by):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        sliced = sliced.withColumn("_k", place).where(F.col("_k") <= n).drop("_k")
+    return materialize(sliced.drop("_slice"), "sampled-ids")
+
+
+def audit_samples(
+    picked: DataFrame, refined: DataFrame, raw: DataFrame, by: list[str], id: str = "id"
+) -> DataFrame:
+    """(*by, id, similarity) of the sampled ids of every submission, to 2 decimals.
+
+    `refined` is (*by, id, text), `raw` is (id, text). Ids without a raw row are skipped; of
+    several texts of one id the smallest counts; a null text has no words.
+    """
+    key = [*by, id]
+    texts = refined.join(picked, key, "left_semi").groupBy(*key).agg(F.min("text").alias("refined"))
+    sources = lookup_sources(picked.select(id).distinct(), raw, id)
+    originals = sources.groupBy(id).agg(F.min("text").alias("original"))
+    pairs = texts.join(originals, id).select(F.struct(*key).alias("_pair"), "original", "refined")
+    scored = word_overlap(pairs, id="_pair")
+    return scored.select("_pair.*", F.round("similarity", 2).alias("similarity"))
+
+
 def similarity_gate(
     similarities: DataFrame,
     tasks: DataFrame,

@@ -211,12 +211,14 @@ def emit_weights(df: DataFrame, group: list[str], at_most: int | None = None) ->
     return emitted.where("w_u16 != 0").select(*group, "uid", "w_u16")
 
 
-def weight_epochs(
+def weight_intervals(
     scores: DataFrame, width: int = WEIGHT_EPOCH_BLOCKS, tie: str = "tie"
 ) -> DataFrame:
-    """(epoch, uid, score): the last score of every uid at every block divisible by `width`.
+    """(uid, epoch, until, score): the score of a uid from one block divisible by `width` to another.
 
-    A score holds from the first such block not before it until the next score takes over.
+    A score holds from the first such block not before it until the next score takes over, the
+    last one of each uid for the last epoch of all; `until` is excluded. There are at most as
+    many rows as scores, however many epochs they span.
     """
     at = F.ceil(F.col("step") / F.lit(width)) * width
     last = (
@@ -224,14 +226,40 @@ def weight_epochs(
         .groupBy("uid", "epoch")
         .agg(F.max_by("score", F.struct("step", tie)).alias("score"))
     )
-    horizon = scores.agg(F.max(at).alias("h")).scalar()
+    end = scores.agg(F.max(at) + width).scalar()
     following = F.lead("epoch").over(Window.partitionBy("uid").orderBy("epoch"))
-    return last.withColumn(
-        "_until", F.coalesce(following - width, horizon)
-    ).select(
-        F.explode(F.sequence(F.col("epoch"), F.col("_until"), F.lit(width).cast("long"))).alias(
-            "epoch"
-        ),
-        "uid",
-        "score",
+    return last.select("uid", "epoch", F.coalesce(following, end).alias("until"), "score")
+
+
+def epoch_norms(intervals: DataFrame) -> DataFrame:
+    """(epoch, until, members, norm): members with a score and the sum of |score|, while they hold.
+
+    A sweep over the epochs at which any score changes: each interval adds itself at its start
+    and takes itself away at its end, summed per epoch before the running sums, which hence see
+    no more rows than there are epochs.
+    """
+    size = F.abs("score").cast("double")
+    zero = F.lit(0.0)
+    start = F.struct(F.col("epoch").alias("at"), F.lit(1).alias("n"), size.alias("up"), zero.alias("down"))
+    stop = F.struct(F.col("until").alias("at"), F.lit(-1).alias("n"), zero.alias("up"), size.alias("down"))
+    changes = (
+        intervals.select(F.inline(F.array(start, stop)))
+        .groupBy("at")
+        .agg(F.sum("n").alias("n"), (F.sum("up") - F.sum("down")).alias("change"))
     )
+    order = Window.partitionBy(F.lit(0)).orderBy("at")
+    return changes.select(
+        F.col("at").alias("epoch"),
+        F.lead("at").over(order).alias("until"),
+        F.sum("n").over(order).alias("members"),
+        F.sum("change").over(order).alias("norm"),
+    ).where("until IS NOT NULL")
+
+
+def weight_epochs(
+    scores: DataFrame, width: int = WEIGHT_EPOCH_BLOCKS, tie: str = "tie"
+) -> DataFrame:
+    """(epoch, uid, score): `weight_intervals`, with a row for each uid and epoch."""
+    step = F.lit(width).cast("long")
+    every = F.sequence(F.col("epoch"), F.col("until") - step, step)
+    return weight_intervals(scores, width, tie).select(F.explode(every).alias("epoch"), "uid", "score")

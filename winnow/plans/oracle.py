@@ -197,6 +197,24 @@ SELECT page_id, round(similarity, 6) AS similarity FROM overlapping"""
 ORACLE["audit_corpus"] = f"""WITH {PAIRS} WHERE page_id IN ({SAMPLED})), {overlap('pairs')}
 SELECT page_id, round(similarity, 2) AS similarity FROM overlapping"""
 
+HANDED_IN = f"""handed_in AS (
+  SELECT DISTINCT unnest([page_id % 20, (page_id * 7 + 3) % 20]) AS uid, page_id FROM pages),
+picked AS (SELECT * FROM handed_in QUALIFY row_number() OVER (
+  PARTITION BY uid ORDER BY {_sample('page_id')}, page_id) <= 30),
+handed AS (
+  SELECT uid * 1000000000 + page_id AS page_id, html AS original,
+         CASE WHEN uid % 3 = 0 THEN reverse({t.main_text('html')}) ELSE {t.main_text('html')} END AS refined
+  FROM picked JOIN pages USING (page_id)), {overlap('handed')},
+samples AS (
+  SELECT page_id // 1000000000 AS uid, page_id % 1000000000 AS page_id,
+         round(similarity, 2) AS similarity FROM overlapping)"""
+ORACLE["audit_samples"] = f"WITH {HANDED_IN} SELECT uid, page_id, similarity FROM samples"
+ORACLE["audit_submissions"] = f"""WITH {HANDED_IN}
+SELECT n_nationkey AS uid,
+       CASE WHEN count(*) FILTER (WHERE similarity <= 70) >= 0.3::DOUBLE * count(similarity)
+            THEN 0 ELSE 1 END AS gate
+FROM nation LEFT JOIN samples ON uid = n_nationkey GROUP BY n_nationkey"""
+
 EVENTS = """ev AS (
   SELECT event_id, user_id AS uid, event_type,
          date_diff('second', TIMESTAMP '1970-01-01', ts) // 12 AS block,
@@ -274,6 +292,8 @@ OBSERVED = f"""{EVENTS}, seen AS (
          block - (event_id * 37) % 9000 AS commit_block FROM ev)"""
 ORACLE["late_commits"] = f"""WITH {OBSERVED}
 SELECT event_id, seen_block - commit_block >= 7200 AS late FROM seen"""
+ORACLE["recent_commits"] = f"""WITH {OBSERVED}
+SELECT event_id, uid, commit FROM seen WHERE seen_block - commit_block < 7200"""
 REPLAY = f"""{OBSERVED}, polls AS (
   SELECT *, row_number() OVER (PARTITION BY uid ORDER BY seen_block, commit_block, commit, event_id) AS k
   FROM seen WHERE commit IS NOT NULL),
@@ -382,6 +402,12 @@ spans AS (
                      (SELECT max(epoch) + 100 FROM last)) AS until FROM last)"""
 ORACLE["weight_epochs"] = f"""WITH {EVENTS}, {EPOCHS}
 SELECT unnest(range(epoch, until, 100)) AS epoch, uid, score FROM spans"""
+ORACLE["weight_intervals"] = f"WITH {EVENTS}, {EPOCHS} SELECT uid, epoch, until, score FROM spans"
+ORACLE["epoch_norms"] = f"""WITH {EVENTS}, {EPOCHS}, points AS (
+  SELECT DISTINCT epoch FROM last)
+SELECT p.epoch, coalesce(lead(p.epoch) OVER (ORDER BY p.epoch), max(max(s.until)) OVER ()) AS until,
+       count(*) AS members, round(sum(abs(score)), 6) AS norm
+FROM points p JOIN spans s ON s.epoch <= p.epoch AND p.epoch < s.until GROUP BY p.epoch"""
 
 # --- training sequences ----------------------------------------------------------
 

@@ -20,7 +20,7 @@ from winnow.operators import (
 )
 from winnow.operators.skew import lookup
 from winnow.plans import refine
-from winnow.session import materialize, scratch_path
+from winnow.session import materialize, read_back, scratch_path
 from winnow.sources import files, warc
 from winnow.sources.tables import read_table, spread
 from winnow.streaming import chunks, commits as commit_streams, refine as refine_streams, runner
@@ -191,10 +191,37 @@ def word_overlap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def audit_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    scored = audit.audit_corpus(extracted_text(spark, sf), html_text(spark, sf), 30, 7)
+    # The main text of the sampled pages alone is extracted.
+    sampled = audit.sample_rows(pages(spark, sf), 30, 7)
+    refined = extract.extract_main_text(sampled).select("id", "text")
+    scored = audit.audit_corpus(refined, html_text(spark, sf), 30, 7)
     return scored.withColumnRenamed("id", "page_id")
 
 
+def submitted_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Each page as submitted by one or two of 20 uids."""
+    uids = F.array_distinct(F.array(F.col("id") % 20, (F.col("id") * 7 + 3) % 20))
+    return pages(spark, sf).select(F.explode(uids).alias("uid"), "id", "html")
+
+
+def audit_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Samples of all submissions; every third uid handed in its texts backwards."""
+    submitted = submitted_pages(spark, sf)
+    picked = audit.sampled_ids(submitted, ["uid"], 30, 7)
+    sampled = submitted.join(picked, ["uid", "id"], "left_semi")
+    refined = extract.extract_main_text(sampled).select(
+        "uid", "id", F.when(F.col("uid") % 3 == 0, F.reverse("text")).otherwise(F.col("text")).alias("text")
+    )
+    scored = audit.audit_samples(picked, refined, html_text(spark, sf), ["uid"])
+    return scored.withColumnRenamed("id", "page_id")
+
+
+def audit_submissions(spark: SparkSession, sf: str) -> DataFrame:
+    """From samples to gates; a uid that has a task, here each nation, and no samples gets 0."""
+    tasks = read_table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("uid"))
+    return audit.similarity_gate(audit_samples(spark, sf), tasks, ["uid"])
+
+
 def events(spark: SparkSession, sf: str) -> DataFrame:
     """Events as submissions: uid, block of 12 seconds, commit, score in 0..1."""
     return event_columns(read_table(spark, sf, "events"))
@@ -338,6 +365,14 @@ def late_commits(spark: SparkSession, sf: str) -> DataFrame:
     return commits.late_commits(observations(spark, sf)).select("event_id", "late")
 
 
+def recent_commits(spark: SparkSession, sf: str) -> DataFrame:
+    """The age rule on a stream, with a watermark on the time at which a commit is seen."""
+    polled = observed_columns(event_stream(spark, sf))
+    timed = polled.withColumn("ts", F.timestamp_seconds(F.col("seen_block") * 12))
+    path = runner.run_available(commit_streams.recent_commits(timed), scratch_path(spark, "recent"))
+    return read_back(spark, f"{path}/rows", timed.schema).select("event_id", "uid", "commit")
+
+
 def new_commits(spark: SparkSession, sf: str) -> DataFrame:
     return commits.new_commits(observations(spark, sf))
 
@@ -423,6 +458,15 @@ def weight_epochs(spark: SparkSession, sf: str) -> DataFrame:
     return scores.weight_epochs(score_events(spark, sf))
 
 
+def weight_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    return scores.weight_intervals(score_events(spark, sf))
+
+
+def epoch_norms(spark: SparkSession, sf: str) -> DataFrame:
+    norms = scores.epoch_norms(scores.weight_intervals(score_events(spark, sf)))
+    return norms.withColumn("norm", F.round("norm", 6))
+
+
 # --- training sequences ----------------------------------------------------
 
 
@@ -664,11 +708,11 @@ QUERIES = {
         c4_quality, fineweb_quality, refine_corpus, stage_stats, pii_mask, token_count,
         token_totals, shingles, minhash_signature, lsh_candidates, dedup_clusters,
         dedup_cluster_sizes, minhash_dedup, sample_rows, sample_rows_by_source, lookup_sources,
-        content_words, word_overlap, audit_corpus, similarity_gate, parse_eval_log, eval_summary,
+        content_words, word_overlap, audit_corpus, audit_samples, audit_submissions, similarity_gate, parse_eval_log, eval_summary,
         corpus_quality_eval, elapsed_time, submission_score, commit_key, pair_hash,
-        eligible_submitters, late_commits, new_commits, stale_decay, ema_score, latest_score,
+        eligible_submitters, late_commits, recent_commits, new_commits, stale_decay, ema_score, latest_score,
         dense_scores, l1_weights, capped_weights, process_weights, process_weights_all,
-        emit_weights, weight_epochs, pack_sequences, token_budget, weighted_mix, batch_plan,
+        emit_weights, weight_epochs, weight_intervals, epoch_norms, pack_sequences, token_budget, weighted_mix, batch_plan,
         data_stages, read_warc, read_jsonl, write_jsonl, write_removed, publish_dataset,
         report_scores, commit_stream, score_stream, score_restart, weight_stream, chunk_reassembly, chunk_stream,
         refine_stream,
