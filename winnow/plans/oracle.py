@@ -520,6 +520,26 @@ ORACLE["chunk_stream"] = """
 SELECT conv_id, 0 AS at,
        md5(string_agg(replace(text, chr(10), ''), '' ORDER BY turn)) AS text_md5
 FROM conversations GROUP BY conv_id HAVING sum(length(replace(text, chr(10), ''))) > 0"""
+_UNIQUE = f"""{REFINED},
+kept AS (SELECT id AS doc_id, text, language FROM refined WHERE drop_stage IS NULL),
+{clustered('kept')},
+distinct_docs AS (SELECT doc_id, text, language FROM kept
+                  WHERE doc_id NOT IN (SELECT id FROM clusters WHERE id <> component))"""
+ORACLE["publish_corpus"] = f"""WITH RECURSIVE {_UNIQUE},
+{masked('distinct_docs')}
+SELECT m.doc_id AS page_id, d.language, len(regexp_extract_all(d.text, '{TOKEN}')) AS token_count,
+       md5(m.text) AS text_md5, 'train' AS split
+FROM masked m JOIN distinct_docs d ON d.doc_id = m.doc_id"""
+ORACLE["publish_stats"] = f"""WITH RECURSIVE {_UNIQUE},
+stages(stage) AS (VALUES ('1_url'), ('2_non_english'), ('3_gopher_rep'), ('4_gopher_qual'),
+  ('5_c4'), ('6_fineweb_qual'), ('7_duplicates'), ('kept')),
+ends AS (SELECT r.id, r.text, CASE WHEN drop_stage IS NOT NULL THEN drop_stage
+           WHEN EXISTS (SELECT 1 FROM distinct_docs u WHERE u.doc_id = r.id) THEN 'kept'
+           ELSE '7_duplicates' END AS at_stage FROM refined r),
+d AS (SELECT stage, count(id) AS documents, coalesce(sum(length(text)), 0)::BIGINT AS chars
+      FROM stages LEFT JOIN ends ON stage = at_stage GROUP BY stage),
+i AS (SELECT *, (sum(documents) OVER (ORDER BY stage DESC))::BIGINT AS documents_in FROM d)
+SELECT *, documents_in - CASE WHEN stage <> 'kept' THEN documents ELSE 0 END AS documents_left FROM i"""
 ORACLE["refine_stream"] = f"""WITH RECURSIVE {REFINED},
 kept AS (SELECT id AS doc_id, text FROM refined WHERE drop_stage IS NULL),
 {clustered('kept')},

@@ -19,7 +19,7 @@ from winnow.operators import (
     url,
 )
 from winnow.operators.skew import lookup
-from winnow.plans import refine
+from winnow.plans import publish, refine
 from winnow.session import materialize, read_back, scratch_path
 from winnow.sources import files, warc
 from winnow.sources.tables import read_table, spread
@@ -579,6 +579,27 @@ def publish_dataset(spark: SparkSession, sf: str) -> DataFrame:
     return published.select("doc_id", F.md5("text").alias("text_md5"), "source", "split")
 
 
+def published_corpus(spark: SparkSession, sf: str) -> publish.Published:
+    settings = refine.RefineSettings(domains=BLOCKED_DOMAINS, words=BLOCKED_WORDS)
+    return publish.publish_corpus(
+        pages(spark, sf), profiles(spark, sf), scratch_path(spark, "published"), "corpus",
+        datetime(2024, 10, 9, 21), settings,
+    )
+
+
+def publish_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """From pages to the published corpus, read back."""
+    return spark.read.parquet(published_corpus(spark, sf).path).select(
+        F.col("id").alias("page_id"), "language", "token_count", F.md5("text").alias("text_md5"),
+        "split",
+    )
+
+
+def publish_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """What each stage dropped, as observed while publishing."""
+    return published_corpus(spark, sf).stats
+
+
 def report_scores(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "reports")
     rows = score_events(spark, sf).select(F.col("tie").alias("task_id"), "uid", "score")
@@ -714,7 +735,7 @@ QUERIES = {
         dense_scores, l1_weights, capped_weights, process_weights, process_weights_all,
         emit_weights, weight_epochs, weight_intervals, epoch_norms, pack_sequences, token_budget, weighted_mix, batch_plan,
         data_stages, read_warc, read_jsonl, write_jsonl, write_removed, publish_dataset,
-        report_scores, commit_stream, score_stream, score_restart, weight_stream, chunk_reassembly, chunk_stream,
+        publish_corpus, publish_stats, report_scores, commit_stream, score_stream, score_restart, weight_stream, chunk_reassembly, chunk_stream,
         refine_stream,
     )
 }

@@ -6,9 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
 
 def build_session(app: str = "winnow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are tuned for; `conf` overrides."""
@@ -57,6 +60,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     to choose join strategies from.
     """
     path = scratch_path(df.sparkSession, label)
+    if (owned := _owned.get()) is not None:
+        owned.append(path)
     with shuffles_dropped(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -85,6 +90,22 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def scratch_owned(spark: SparkSession) -> Iterator[None]:
+    """Discard at the end every table that `materialize` wrote within.
+
+    For jobs whose result is written elsewhere: no frame made within may be used afterwards.
+    """
+    paths: list[str] = []
+    token = _owned.set(paths)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        for path in paths:
+            discard(spark, path)
+
+
 @contextmanager
 def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     """Let Spark remove the shuffle files of a write as soon as it has ended.

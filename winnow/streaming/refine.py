@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from winnow.operators import dedup, language, pii
 from winnow.plans.refine import RefineSettings, kept, refine
-from winnow.session import materialize
+from winnow.session import materialize, scratch_owned
 
 
 def refine_batches(
@@ -23,26 +23,27 @@ def refine_batches(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = pii.token_count(kept(refine(batch, profiles, settings)))
-        fresh = materialize(fresh, "refined")
-        bands = materialize(dedup.band_keys(dedup.minhash_signature(fresh)), "bands")
-        if batch_id == 0:
-            seen = spark.createDataFrame([], "band int, key binary")
-        else:
-            seen = spark.read.schema("band int, key binary, batch bigint").parquet(f"{path}/bands")
-            seen = seen.where(F.col("batch") < batch_id).select("band", "key")
-        known = bands.join(seen, ["band", "key"], "left_semi").select("id").distinct()
-        clusters = dedup.dedup_clusters(dedup.star_edges(bands))
-        # A copy of an earlier text takes its whole cluster with it.
-        spoiled = clusters.join(known, "id", "left_semi").select("component").distinct()
-        again = clusters.join(spoiled, "component", "left_semi").select("id")
-        unique = dedup.drop_duplicates(fresh, clusters).join(
-            known.unionByName(again).distinct(), "id", "left_anti"
-        )
-        unique = materialize(unique, "unique")
-        bands.select("band", "key").distinct().write.mode("overwrite").parquet(
-            f"{path}/bands/batch={batch_id}"
-        )
-        pii.pii_mask(unique).write.mode("overwrite").parquet(f"{path}/corpus/batch={batch_id}")
+        with scratch_owned(spark):
+            fresh = pii.token_count(kept(refine(batch, profiles, settings)))
+            fresh = materialize(fresh, "refined")
+            bands = materialize(dedup.band_keys(dedup.minhash_signature(fresh)), "bands")
+            if batch_id == 0:
+                seen = spark.createDataFrame([], "band int, key binary")
+            else:
+                seen = spark.read.schema("band int, key binary, batch bigint").parquet(f"{path}/bands")
+                seen = seen.where(F.col("batch") < batch_id).select("band", "key")
+            known = bands.join(seen, ["band", "key"], "left_semi").select("id").distinct()
+            clusters = dedup.dedup_clusters(dedup.star_edges(bands))
+            # A copy of an earlier text takes its whole cluster with it.
+            spoiled = clusters.join(known, "id", "left_semi").select("component").distinct()
+            again = clusters.join(spoiled, "component", "left_semi").select("id")
+            unique = dedup.drop_duplicates(fresh, clusters).join(
+                known.unionByName(again).distinct(), "id", "left_anti"
+            )
+            unique = materialize(unique, "unique")
+            bands.select("band", "key").distinct().write.mode("overwrite").parquet(
+                f"{path}/bands/batch={batch_id}"
+            )
+            pii.pii_mask(unique).write.mode("overwrite").parquet(f"{path}/corpus/batch={batch_id}")
 
     return step
