@@ -1,8 +1,11 @@
 """The plan from pages to a published corpus, and who owns intermediate tables."""
 
 import os
+import subprocess
+import sys
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from winnow.operators import dedup
@@ -68,3 +71,13 @@ def test_owned_tables_go_also_after_a_failure(spark):
     assert tables(spark) == before
     kept = materialize(spark.range(5), "kept")
     assert kept.count() == 5 and len(tables(spark) - before) == 1
+
+
+@pytest.mark.parametrize("missing", ["winnow.llm.queries", "public_tokenizers", "corpus_pipeline"])
+def test_entry_without_the_removable_part(missing):
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(*e.queries())"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shown = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert set(shown.stdout.split()) == set(q.QUERIES)
+    if missing != "public_tokenizers":  # the part itself may be gone, which is no fault
+        assert "without the training-data" not in shown.stderr
