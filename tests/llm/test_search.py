@@ -52,3 +52,12 @@ def test_without_queries_or_rows(spark):
     frame = spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<double>")
     assert mtree.top_k(frame, F.col("vec_id") % 20 == 0).count() == 0
     assert mtree.top_k(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_functions_that_travel_are_free_of_the_session(spark):
+    """The index is built where the package travels with the job, as in a registered query."""
+    rows = [(i, [float(i % 3), 1.0]) for i in range(40)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select(
+        "vec_id", mtree.whole(F.col("embedding"), 64).alias("v")
+    )
+    assert mtree.Index(vectors, 2.0 * 128**2, 2).subtrees.agg(F.sum("n")).first()[0] == 40

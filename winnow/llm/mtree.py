@@ -79,6 +79,19 @@ def slack(top: float) -> float:
     return 1e-5 * (1 + np.sqrt(top))
 
 
+def apart(points: np.ndarray, wanted: int) -> list[int]:
+    """Pivots far from each other: each next one is the farthest from those before."""
+    chosen = [0]
+    nearest = distances(points, points[:1])[:, 0]
+    while len(chosen) < wanted:
+        far = int(nearest.argmax())
+        if nearest[far] <= 0:
+            break
+        chosen.append(far)
+        nearest = np.minimum(nearest, distances(points, points[far : far + 1])[:, 0])
+    return chosen
+
+
 class Index:
     """Subtrees of the tree as rows of a written table, and what routes to them."""
 
@@ -92,7 +105,7 @@ class Index:
             for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(SAMPLE, 64 * wanted)).collect()
         ]
         points = lifted(matrix(sample, width), top)
-        pivots = points[self._apart(points, wanted)]
+        pivots = points[apart(points, wanted)]
         self.subtrees = self._build(vectors, pivots)
         self.routes = (
             self.subtrees.groupBy("node", "part")
@@ -101,19 +114,6 @@ class Index:
         )
         self.pivots = pivots
 
-    @staticmethod
-    def _apart(points: np.ndarray, wanted: int) -> list[int]:
-        """Pivots far from each other: each next one is the farthest from those before."""
-        chosen = [0]
-        nearest = distances(points, points[:1])[:, 0]
-        while len(chosen) < wanted:
-            far = int(nearest.argmax())
-            if nearest[far] <= 0:
-                break
-            chosen.append(far)
-            nearest = np.minimum(nearest, distances(points, points[far : far + 1])[:, 0])
-        return chosen
-
     def _build(self, vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
         top, width = self.top, self.width
 
@@ -138,7 +138,7 @@ class Index:
             points = lifted(vectors, top)
             wanted = -(-len(frame) // PAGE)
             step = np.arange(len(frame))[:: max(1, len(frame) // min(len(frame), 8 * wanted))]
-            centres = points[step[Index._apart(points[step], wanted)]]
+            centres = points[step[apart(points[step], wanted)]]
             far = distances(points, centres)
             nearest, far = far.argmin(1), far.min(1)
             rows = []
