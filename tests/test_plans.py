@@ -59,6 +59,12 @@ def test_references():
         assert page_text(f"<p>{text}</p>") == text.replace(written, read)
 
 
+def test_a_reference_that_is_cut_is_text():
+    cut = "A title that was cut inside the&amp;&amp\nA title, and &ampx; &copy &#65 &quo stay"
+    page = "".join(f"<h1>{line}</h1>" for line in cut.split("\n"))
+    assert page_text(page) == cut.replace("&amp;", "&")
+
+
 ONE, TWO = "The first paragraph of the article.", "The second paragraph of the article."
 
 
