@@ -280,3 +280,19 @@ def test_language_tables_of_any_size(spark):
     assert [one[i].language for i in (900, 901, 902, 903)] == [None, None, None, "l007"]
     with pytest.raises(ValueError):
         language.Profiles(counts.limit(0))
+
+
+def test_chunk_stream_of_a_folder_of_files(spark, tmp_path, monkeypatch):
+    """A table may be a folder, and a conversation in files of several batches is one row."""
+    rows = [(c, t, f"{c}a\nb{t}" if (c + t) % 5 else None) for t in range(6) for c in range(8)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, text string")
+    for part in range(3):
+        some = table.where(F.col("turn") % 3 == part).coalesce(1)
+        some.write.mode("append").parquet(f"{tmp_path}/conversations.parquet")
+    one_file = runner.file_stream
+    monkeypatch.setattr(
+        runner, "file_stream", lambda *args: one_file(*args, files_per_batch=1)
+    )
+    found = {tuple(r) for r in q.chunk_stream(spark, str(tmp_path)).collect()}
+    whole = {(r.conv_id, 0, r.completion_md5) for r in q.chunk_reassembly(spark, str(tmp_path)).collect()}
+    assert found == whole and len(found) == 8

@@ -34,15 +34,25 @@ class ChunkProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         seq, chars = self.place.get() if self.place.exists() else (0, 0)
+        fresh = {}
         for frame in rows:
-            for number, chunk in zip(frame["seq"], frame["chunk"]):
+            for number, chunk in zip(frame["seq"].tolist(), frame["chunk"].tolist(), strict=True):
                 if number >= seq:
-                    self.early.updateValue((int(number),), (chunk,))
+                    fresh[number] = chunk or ""
+        # Only chunks that stay ahead of their turn go through the state.
+        waiting = self.early.exists()
         ready = []
-        while self.early.containsKey((seq,)):
-            ready.append(self.early.getValue((seq,))[0].replace("\n", ""))
-            self.early.removeKey((seq,))
+        while True:
+            held = waiting and self.early.containsKey((seq,))
+            if seq not in fresh and not held:
+                break
+            chunk = fresh.pop(seq) if seq in fresh else self.early.getValue((seq,))[0]
+            if held:
+                self.early.removeKey((seq,))
+            ready.append(chunk.replace("\n", ""))
             seq += 1
+        for number, chunk in fresh.items():
+            self.early.updateValue((number,), (chunk,))
         text = "".join(ready)
         self.place.update((seq, chars + len(text)))
         if text:
