@@ -125,3 +125,14 @@ def test_words_that_a_polynomial_takes_as_equal(spark, alike_words):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     found = ngram_join.join(frame, size=3, percent=90)
     assert {(r.doc_id, r.component_id) for r in found.collect()} == {(i, i) for i, _ in rows}
+
+
+@pytest.mark.parametrize("seed", [5])
+def test_partners_in_different_blocks_of_two(spark, seed):
+    """The longest text links with both others, in blocks that hold no third text."""
+    draw = random.Random(seed)
+    words = [f"w{draw.randrange(10**6)}" for _ in range(62)]
+    texts = [words[6:], words[:-6], words]
+    rows = [(i + 1, " ".join(t)) for i, t in enumerate(texts)]
+    found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.component_id for r in found] == [1, 1, 1]

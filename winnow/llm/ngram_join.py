@@ -12,7 +12,7 @@ A block's documents are not paired with each other: each is paired with the smal
 ids of its blocks. Where the
 links so found leave a block in several components, the documents outside its largest one are
 paired with one of that; when this finds no more links, all documents of different components
-that are still in one block are paired. So every link lies within a component, and a group of near copies costs
+that are still in one block are paired, blocks of two included. So every link lies within a component, and a group of near copies costs
 about one pair for each copy.
 
 Before the overlap of a pair is counted, parity sketches discard it if they differ in more bits
@@ -438,6 +438,14 @@ def across(torn: DataFrame, tried: DataFrame, percent: int, every: bool) -> Data
     return materialize(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
 
 
+def apart(pairs: DataFrame, groups: DataFrame, tried: DataFrame) -> DataFrame:
+    """The pairs (a, b) not tried yet whose documents are in different components."""
+    one = groups.select(F.col("id").alias("a"), F.col("component").alias("_x"))
+    other = groups.select(F.col("id").alias("b"), F.col("component").alias("_y"))
+    left = pairs.join(tried, ["a", "b"], "left_anti").join(one, "a", "left").join(other, "b", "left")
+    return left.where(F.coalesce("_x", "a") != F.coalesce("_y", "b")).select("a", "b")
+
+
 def join(
     docs: DataFrame,
     size: int = SHINGLE,
@@ -473,6 +481,7 @@ def join(
     own = own.select(F.col("rep").alias("a"), F.col("doc").alias("b")).distinct()
     members = unpacked(of("member"), MEMBER).select("h", "doc")
     pairs = plausible(unpacked(of("pair"), PAIR).distinct(), sketches, percent)
+    pairs = materialize(pairs, "plausible")
     # One centre each at first; most links are found with it, and torn blocks show what is missing.
     tried = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
     links = materialize(linked(docs, tried, size, percent).unionByName(own), "links")
@@ -481,6 +490,9 @@ def join(
         while True:
             torn = torn_blocks(members, groups, sketches)
             more = across(torn, tried, percent, every)
+            if every:
+                # Two documents that are a block of their own are in no torn block.
+                more = materialize(more.unionByName(apart(pairs, groups, tried)).distinct(), "pairs")
             new = materialize(linked(docs, more, size, percent), "links")
             tried = tried.unionByName(more)
             if new.isEmpty():
