@@ -296,3 +296,13 @@ def test_chunk_stream_of_a_folder_of_files(spark, tmp_path, monkeypatch):
     found = {tuple(r) for r in q.chunk_stream(spark, str(tmp_path)).collect()}
     whole = {(r.conv_id, 0, r.completion_md5) for r in q.chunk_reassembly(spark, str(tmp_path)).collect()}
     assert found == whole and len(found) == 8
+
+
+def test_uids_that_share_a_call_keep_their_own_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "BUCKETS", 2)
+    polls = q.observations(spark, SF).where("commit is not null")
+    stream = in_files(spark, polls, str(tmp_path / "in"), "seen_block", 2)
+    path = runner.run_available(commits.commit_stream(stream), str(tmp_path / "out"))
+    found = spark.read.parquet(f"{path}/rows").where("kind = 'commit'")
+    accepted = {(r.uid, r.commit, r.seen_block) for r in q.new_commits(spark, SF).collect()}
+    assert accepted == {(r.uid, r.commit, r.block) for r in found.collect()}

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from winnow.functions.limits import BLOCK_SECONDS, DAY_BLOCKS, KEEP_SHARE, WEIGHT_EPOCH_BLOCKS
@@ -21,29 +23,38 @@ LOG_SCHEMA = "uid bigint, seq bigint, block bigint, kind string, task_id bigint,
 EPOCH_SCHEMA = "epoch bigint, uid bigint, score double"
 
 
+BUCKETS = 1024  # uids share a call of a processor, not their state; fixed for a stream's life
+
+
+def by_bucket(rows: DataFrame) -> GroupedData:
+    """Rows grouped into the parts of all uids that a processor is called for at once."""
+    return rows.withColumn("_bucket", F.pmod(F.xxhash64("uid"), F.lit(BUCKETS))).groupBy("_bucket")
+
+
 class CommitProcessor(StatefulProcessor):
     """Per uid: the commit taken last, the block its timer runs from, the number of events.
 
     Polls of a batch are replayed in block order by the rule of `poller`; between batches only
-    the state row is kept.
+    the state row is kept. A call takes a bucket of uids, and touches those with polls alone.
     """
 
     def __init__(self, max_age: int = DAY_BLOCKS):
         self.max_age = max_age
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "commit string, block bigint, seq bigint")
+        self.last = handle.getMapState("last", "uid bigint", "commit string, block bigint, seq bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        commit, timer, seq = self.last.get() if self.last.exists() else (*START, 0)
-        frame = pd.concat(list(rows)).sort_values(["seen_block", "commit_block", "commit"])
-        columns = (frame[c].tolist() for c in ("commit", "commit_block", "seen_block"))
-        polls = [Poll(c, int(b), int(s)) for c, b, s in zip(*columns, strict=True)]
+        frame = pd.concat(list(rows)).sort_values(["uid", "seen_block", "commit_block", "commit"])
+        columns = (frame[c].tolist() for c in ("uid", "commit", "commit_block", "seen_block"))
         out = []
-        for i, kind, (commit, timer) in replay(polls, (commit, timer), self.max_age):
-            seq += 1
-            out.append((key[0], kind, commit, polls[i].seen_block, polls[i].commit_block, seq))
-        self.last.update((commit, timer, seq))
+        for uid, own in groupby(zip(*columns, strict=True), itemgetter(0)):
+            polls = [Poll(*poll) for _, *poll in own]
+            commit, timer, seq = self.last.getValue((uid,)) or (*START, 0)
+            for i, kind, (commit, timer) in replay(polls, (commit, timer), self.max_age):
+                seq += 1
+                out.append((uid, kind, commit, polls[i].seen_block, polls[i].commit_block, seq))
+            self.last.updateValue((uid,), (commit, timer, seq))
         yield pd.DataFrame(out, columns=["uid", "kind", "commit", "block", "commit_block", "seq"])
 
     def close(self) -> None:
@@ -56,13 +67,9 @@ def commit_stream(observed: DataFrame, max_age: int = DAY_BLOCKS) -> DataFrame:
     `block` is that of the poll, and `seq` counts the events of a uid. Polls without a uid, a
     commit or a block say nothing.
     """
-    return (
-        observed.select("uid", "commit", "commit_block", "seen_block")
-        .dropna()
-        .groupBy("uid")
-        .transformWithStateInPandas(
-            CommitProcessor(max_age), EVENT_SCHEMA, outputMode="append", timeMode="none"
-        )
+    polls = observed.select("uid", "commit", "commit_block", "seen_block").dropna()
+    return by_bucket(polls).transformWithStateInPandas(
+        CommitProcessor(max_age), EVENT_SCHEMA, outputMode="append", timeMode="none"
     )
 
 
@@ -82,19 +89,22 @@ class ScoreProcessor(StatefulProcessor):
         self.keep = keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "score double")
+        self.total = handle.getMapState("total", "uid bigint", "score double")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.total.update((float(initialState["score"].iloc[0]),))
+        for uid, score in zip(initialState["uid"].tolist(), initialState["score"].tolist(), strict=True):
+            self.total.updateValue((uid,), (score,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        total = self.total.get()[0] if self.total.exists() else 0.0
-        frame = pd.concat(list(rows)).sort_values("seq")
+        frame = pd.concat(list(rows)).sort_values(["uid", "seq"])
+        columns = (frame[c].tolist() for c in ("uid", "kind", "score"))
         totals = []
-        for kind, score in zip(frame["kind"], frame["score"], strict=True):
-            total = self.keep * total if kind == "decay" else self.keep * total + (1 - self.keep) * score
-            totals.append(total)
-        self.total.update((total,))
+        for uid, own in groupby(zip(*columns, strict=True), itemgetter(0)):
+            total = (self.total.getValue((uid,)) or (0.0,))[0]
+            for _, kind, score in own:
+                total = self.keep * total if kind == "decay" else self.keep * total + (1 - self.keep) * score
+                totals.append(total)
+            self.total.updateValue((uid,), (total,))
         frame["total"] = totals
         yield frame[[c.split()[0] for c in LOG_SCHEMA.split(", ")]]
 
@@ -136,12 +146,12 @@ def score_stream(
     as `latest_score` reads it from a log, is where a new loop takes up another's scores.
     """
     scored = scored_events(commit_stream(observed, max_age), tasks, evaluations)
-    return scored.groupBy("uid").transformWithStateInPandas(
+    return by_bucket(scored).transformWithStateInPandas(
         ScoreProcessor(keep),
         LOG_SCHEMA,
         outputMode="append",
         timeMode="none",
-        initialState=None if known is None else known.select("uid", "score").groupBy("uid"),
+        initialState=None if known is None else by_bucket(known.select("uid", "score")),
     )
 
 
