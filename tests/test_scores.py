@@ -117,6 +117,14 @@ def test_emit(spark):
         scores.emit_weights(group(spark, [1, -1]), G).collect()
 
 
+def test_emit_does_not_depend_on_the_last_bits_of_a_sum(spark):
+    norms = [1_000_000.7 + 0.37 * i for i in range(60)]
+    rows = [(i, uid, score / norm) for i, norm in enumerate(norms) for uid, score in ((0, 256.0), (1, 25.6))]
+    df = spark.createDataFrame(rows, "epoch int, uid int, weight double")
+    emitted = scores.emit_weights(df, ["epoch"]).where("uid = 1").collect()
+    assert [r.w_u16 for r in emitted] == [6554] * 60  # 65535 / 10 is a half
+
+
 def test_weight_epochs(spark):
     rows = [(1, 100, 0, 0.5), (1, 150, 0, 0.6), (1, 401, 0, 0.7), (2, 300, 0, 0.1)]
     df = spark.createDataFrame(rows, "uid int, step bigint, tie int, score double")

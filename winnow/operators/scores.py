@@ -17,6 +17,8 @@ from winnow.functions.limits import (
 from winnow.operators.skew import join_totals, ranked, with_totals
 from winnow.session import materialize
 
+HALF_DIGITS = 9  # of a number up to 65535, whose own error is below 1e-10
+
 
 def ema_score(
     events: DataFrame, keep: float = KEEP_SHARE, width: int = DAY_BLOCKS, tie: str = "tie"
@@ -198,14 +200,16 @@ def process_weights(
 def emit_weights(df: DataFrame, group: list[str], at_most: int | None = None) -> DataFrame:
     """(group, uid, w_u16): weights with the largest scaled to 65535, zeros left out.
 
-    A negative weight or uid fails the job. A group without weight gives no rows.
+    A negative weight or uid fails the job. A group without weight gives no rows. Halves go to the
+    even number. A ratio of weights can be a half exactly, and its last bits then depend on the order
+    in which the group was summed: within `HALF_DIGITS` decimals of a half it counts as one.
     """
     scaled = with_totals(df, group, at_most, _top=F.max("weight"))
     checked = F.when(
         F.col("weight") < 0, F.raise_error(F.lit("negative weight")).cast("double")
     ).when(F.col("uid") < 0, F.raise_error(F.lit("negative uid")).cast("double"))
     value = checked.when(F.col("_top") == 0, F.lit(0.0)).otherwise(
-        F.bround(F.col("weight") / F.col("_top") * U16_MAX)
+        F.bround(F.round(F.col("weight") / F.col("_top") * U16_MAX, HALF_DIGITS))
     )
     emitted = scaled.withColumn("w_u16", value.cast("int"))
     return emitted.where("w_u16 != 0").select(*group, "uid", "w_u16")
