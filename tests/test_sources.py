@@ -144,3 +144,13 @@ def test_publish(spark, tmp_path):
     published = spark.read.parquet(path)
     assert published.count() == 5
     assert {r.split for r in published.collect()} == {"train"}
+
+
+def test_archive_batches(tmp_path):
+    path = tmp_path / "a.warc.gz"
+    page = b"x" * 1_000_000
+    record = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n%s\r\n" % (len(page), page)
+    path.write_bytes(gzip.compress(record, 1) * 12)
+    batches = list(warc.ArchiveReader({"paths": str(path)}).read(warc.ArchiveRange(str(path), 0, None)))
+    assert sum(b.num_rows for b in batches) == 12
+    assert max(b.nbytes for b in batches) < 5_000_000

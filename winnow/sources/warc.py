@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "id string, url string, date timestamp, file_path string, html string"
-BATCH_BYTES = 16_000_000
+BATCH_BYTES = 2 << 20
 
 
 SPLIT_BYTES = 128 << 20
-READ_BYTES = 4 << 20
+READ_BYTES = 1 << 20
 MEMBER = b"\x1f\x8b\x08"
 
 
