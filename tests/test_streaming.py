@@ -2,6 +2,10 @@
 
 import random
 
+import random
+
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Window, functions as F
 
@@ -153,6 +157,56 @@ def test_weight_stream_has_all_members_and_last_epochs(spark, tmp_path):
         commits.member_epochs(stream, members, 150)
 
 
+class Held:
+    """A state of a processor, and its handle, in memory."""
+
+    def __init__(self):
+        self.rows, self.timers = [], []
+        self.get = lambda: iter(self.rows) if self.many else self.rows
+        self.exists = lambda: bool(self.rows)
+        self.appendList = lambda rows: self.rows.extend(rows)
+        self.clear = lambda: self.put([])
+
+    def put(self, rows):
+        self.rows = rows
+
+    update = put
+
+    def of(self, many):
+        state = Held()
+        state.many = many
+        return state
+
+    getValueState = lambda self, name, schema: self.of(False)
+    getListState = lambda self, name, schema: self.of(True)
+    registerTimer = lambda self, at: self.timers.append(at)
+    getCurrentWatermarkInMs = lambda self: self.watermark
+
+
+def test_one_timer_closes_epochs_of_all_members_of_a_bucket(monkeypatch):
+    monkeypatch.setattr(commits, "CELLS", 100)  # three epochs at once
+    rng = np.random.default_rng(5)
+    log = pd.DataFrame({"uid": rng.integers(0, 40, 400), "block": rng.integers(0, 3000, 400) // 50 * 50})
+    log["seq"], log["total"] = np.arange(400), rng.random(400)
+    handle = Held()
+    one = commits.MemberProcessor(100)
+    one.init(handle)
+    one.handleInitialState((0,), pd.DataFrame({"uid": range(30)}), None)
+    found = {}
+    for first, until, closed in ((0, 1500, 1250), (1500, 3000, 2900)):
+        part = log[(log["block"] >= first) & (log["block"] < until)]
+        list(one.handleInputRows((0,), iter([part]), None))
+        handle.watermark = closed * commits.BLOCK_SECONDS * 1000
+        for frame in one.handleExpiredTimer((0,), handle, None):
+            found |= {(e, u): s for e, u, s in frame.itertuples(index=False)}
+    assert handle.timers[-1] == 3000 * commits.BLOCK_SECONDS * 1000 and len(handle.timers) == 3
+    for uid in range(30):
+        for epoch in range(100, 3000, 100):
+            before = log[(log["uid"] == uid) & (log["block"] <= epoch)].sort_values(["block", "seq"])
+            assert found.pop((epoch, uid)) == (before["total"].iloc[-1] if len(before) else 0.0)
+    assert not found
+
+
 def test_weights_of_a_closed_epoch(spark, tmp_path):
     rows = [(100, u, 0.1 * u) for u in range(12)] + [(200, u, 0.0) for u in range(12)]
     frame = spark.createDataFrame(rows, "epoch bigint, uid bigint, score double")
@@ -193,6 +247,12 @@ def test_chunk_stream_out_of_order(spark, tmp_path):
     assert [p.text for p in pieces if p.conv_id == 2] == ["z"]
 
 
+def test_batch_of_one_file_is_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    one = refine_streams.spread_batch(spark.range(100).coalesce(1))
+    assert one.rdd.getNumPartitions() == cores and one.count() == 100
+
+
 def test_refine_stream_over_batches(spark, tmp_path):
     profiles = q.profiles(spark, SF)
     pages = q.pages(spark, SF).select("id", "url", "html")

@@ -23,6 +23,8 @@ LOG_SCHEMA = "uid bigint, seq bigint, block bigint, kind string, task_id bigint,
 EPOCH_SCHEMA = "epoch bigint, uid bigint, score double"
 
 
+CELLS = 1 << 18  # members times epochs that are worked on at once
+NO_UID = -(1 << 63)  # of a member without one
 BUCKETS = 1024  # uids share a call of a processor, not their state; fixed for a stream's life
 
 
@@ -167,10 +169,10 @@ def report_batches(path: str) -> Callable[[DataFrame, int], None]:
 
 
 class MemberProcessor(StatefulProcessor):
-    """Per member: the score that holds, those of blocks to come, and the next epoch.
+    """Per bucket of members: the scores that hold, those of blocks to come, and the next epoch.
 
-    A timer of event time closes an epoch once the watermark has passed it, whether the member
-    has had an event or not, and gives the score that holds there; 0 for one never scored.
+    A timer of event time closes an epoch once the watermark has passed it, whether a member
+    has had an event or not, and gives the scores that hold there; 0 for one never scored.
     """
 
     def __init__(self, start: int, width: int = WEIGHT_EPOCH_BLOCKS):
@@ -178,36 +180,64 @@ class MemberProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", "score double, epoch bigint")
-        self.coming = handle.getListState("coming", "block bigint, seq bigint, total double")
+        self.epoch = handle.getValueState("epoch", "epoch bigint")
+        self.held = handle.getListState("held", "uid bigint, score double")
+        self.coming = handle.getListState("coming", "uid bigint, block bigint, seq bigint, total double")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.held.update((0.0, self.start))
+        self.held.appendList([(uid, 0.0) for uid in initialState["uid"].tolist()])
+        self.epoch.update((self.start,))
         self.handle.registerTimer(self.start * BLOCK_SECONDS * 1000)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self.held.exists():  # others are no members
+        if self.epoch.exists():  # other buckets have no members
             for frame in rows:
-                columns = (frame[c].tolist() for c in ("block", "seq", "total"))
-                self.coming.appendList([(int(b), int(s), float(t)) for b, s, t in zip(*columns, strict=True)])
+                frame = frame.dropna()  # ticks
+                if len(frame):
+                    columns = (frame[c].tolist() for c in ("uid", "block", "seq", "total"))
+                    events = zip(*columns, strict=True)
+                    self.coming.appendList([(u, int(b), int(s), float(t)) for u, b, s, t in events])
         yield pd.DataFrame([], columns=["epoch", "uid", "score"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        score, epoch = self.held.get()
+        (epoch,) = self.epoch.get()
         closed = timerValues.getCurrentWatermarkInMs() // (BLOCK_SECONDS * 1000)
         epochs = np.arange(epoch, closed + 1, self.width)
+        if not len(epochs):
+            self.handle.registerTimer(int(epoch) * BLOCK_SECONDS * 1000)
+            return
+        held = np.array(list(self.held.get()), [("uid", "<i8"), ("score", "<f8")])
+        uids, first = np.unique(held["uid"], return_index=True)
+        score = held["score"][first]
         coming = sorted(self.coming.get()) if self.coming.exists() else []
-        blocks = np.array([b for b, _, _ in coming], np.int64)
-        values = np.array([score] + [t for _, _, t in coming])
-        at = np.searchsorted(blocks, epochs, side="right")
-        if len(epochs):
-            rest = coming[at[-1] :]
-            self.coming.put(rest) if rest else self.coming.clear()
-            self.held.update((float(values[at[-1]]), int(epochs[-1]) + self.width))
-        self.handle.registerTimer(int(self.held.get()[1]) * BLOCK_SECONDS * 1000)
-        for first in range(0, len(epochs), 4096):
-            some = slice(first, first + 4096)
-            yield pd.DataFrame({"epoch": epochs[some], "uid": key[0], "score": values[at[some]]})
+        events = np.array(coming, [("uid", "<i8"), ("block", "<i8"), ("seq", "<i8"), ("total", "<f8")])
+        member = np.minimum(np.searchsorted(uids, events["uid"]), len(uids) - 1)
+        events, member = events[uids[member] == events["uid"]], member[uids[member] == events["uid"]]
+        late = events["block"] > epochs[-1]
+        rest, events, member = events[late].tolist(), events[~late], member[~late]
+        at = np.searchsorted(epochs, events["block"])  # the first epoch that an event holds for
+        last = np.ones(len(events), bool)  # of a member and epoch
+        last[:-1] = (member[1:] != member[:-1]) | (at[1:] != at[:-1])
+        member, at, total = member[last], at[last], events["total"][last]
+        wide = max(1, CELLS // len(uids))
+        for begin in range(0, len(epochs), wide):
+            some = epochs[begin : begin + wide]
+            here = (at >= begin) & (at < begin + wide)
+            values = np.concatenate([score, total[here]])
+            spot = np.zeros((len(uids), len(some)), np.int64)
+            spot[:, 0] = np.arange(len(uids))
+            spot[member[here], at[here] - begin] = np.arange(len(uids), len(values))
+            # Values are in order of time for each member, after the one that held before.
+            found = values[np.maximum.accumulate(spot, axis=1)]
+            score = found[:, -1]
+            yield pd.DataFrame(
+                {"epoch": np.tile(some, len(uids)), "uid": np.repeat(uids, len(some)), "score": found.ravel()}
+            )
+        self.coming.put(rest) if rest else self.coming.clear()
+        self.held.put(list(zip(uids.tolist(), score.tolist(), strict=True)))
+        following = int(epochs[-1]) + self.width
+        self.epoch.update((following,))
+        self.handle.registerTimer(following * BLOCK_SECONDS * 1000)
 
     def close(self) -> None:
         pass
@@ -239,13 +269,15 @@ def member_epochs(
             )
         )
     timed = rows.withColumn("ts", block_time(F.col("block"))).withWatermark("ts", delay)
-    return timed.groupBy("uid").transformWithStateInPandas(
+    uid = F.coalesce("uid", F.lit(NO_UID)).alias("uid")
+    closed = by_bucket(timed.where("uid is not null")).transformWithStateInPandas(
         MemberProcessor(start, width),
         EPOCH_SCHEMA,
         outputMode="append",
         timeMode="eventTime",
-        initialState=members.select("uid").groupBy("uid"),
+        initialState=by_bucket(members.select(uid)),
     )
+    return closed.withColumn("uid", F.when(F.col("uid") != NO_UID, F.col("uid")))
 
 
 def weight_batches(path: str, min_allowed: int, limit: float) -> Callable[[DataFrame, int], None]:
