@@ -2,8 +2,6 @@
 
 import random
 
-import random
-
 import numpy as np
 import pandas as pd
 import pytest
