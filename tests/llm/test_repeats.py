@@ -142,3 +142,16 @@ def test_words_that_a_polynomial_takes_as_equal(spark, alike_words):
             for k, word in enumerate(pair)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.n_removed for r in substring_dedup.remove_repeats(frame).collect()} == {0}
+
+
+@pytest.mark.parametrize(("units", "length", "seed"), [("bytes", 100, 40), ("words", 20, 10)])
+def test_anchors_are_dealt_evenly(spark, units, length, seed):
+    """An anchor's hash is the smallest of a window: buckets by the hash itself are very uneven."""
+    draw = random.Random(6)
+    rows = [(i, " ".join(f"{draw.randrange(10**6)}" for _ in range(2000))) for i in range(40)]
+    docs = repeats.plain(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = repeats.anchor_rows(docs, repeats.Shape(units, length, seed, 20)).where("kind = 'anchor'")
+    held = dict.fromkeys(range(20), 0)
+    for r in found.collect():
+        held[r.bucket] += len(repeats.from_bytes(r.data, repeats.ANCHOR))
+    assert max(held.values()) < 1.5 * sum(held.values()) / 20

@@ -221,6 +221,12 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
 
 
+def anchor_buckets(records: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of anchors. Their hash is the smallest of a window, so it says nothing until mixed:
+    by the hash itself a quarter of all anchors would be in the first of a hundred buckets."""
+    return bucket_of(mixed(records["h"]), buckets).astype(np.int64)
+
+
 def in_order(records: np.ndarray, *fields: str) -> np.ndarray:
     return records[np.lexsort([records[f] for f in reversed(fields)])]
 
@@ -336,7 +342,7 @@ def anchor_rows(docs: DataFrame, shape: Shape) -> DataFrame:
         several = (np.bincount(kind) > 1)[kind]
         nth = np.arange(len(records)) - np.flatnonzero(new)[kind]
         sent = records[nth < 2]
-        rows = packed("anchor", sent, bucket_of(sent["h"], shape.buckets).astype(np.int64))
+        rows = packed("anchor", sent, anchor_buckets(sent, shape.buckets))
         rows += by_document("run", runs_of(again, again["n"]), shape.buckets)
         rows += by_document("edge", edges_of(records[several]), shape.buckets)
         yield from row_batches(rows)
@@ -392,8 +398,7 @@ def resolve(shape: Shape, merged: int, target: int):
         out += by_document("edge", edges, shape.buckets)
         if target >= 0:
             found = records[first[level[first] < merged]]
-            bucket = bucket_of(found["h"], shape.buckets).astype(np.int64)
-            out += packed("level", found, bucket, target)
+            out += packed("level", found, anchor_buckets(found, shape.buckets), target)
         return pd.DataFrame(out, columns=["kind", "bucket", "level", "data"])
 
     return run
