@@ -136,3 +136,44 @@ def test_partners_in_different_blocks_of_two(spark, seed):
     rows = [(i + 1, " ".join(t)) for i, t in enumerate(texts)]
     found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert [r.component_id for r in found] == [1, 1, 1]
+
+
+def edited(draw, words, share):
+    """The words with a share of them replaced, hence about five times that of their 5-word shingles."""
+    return [f"n{draw.randrange(10**6)}" if draw.random() < share else w for w in words]
+
+
+def test_sketches_of_long_sets_differ_in_no_more_bits_than_shingles():
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.integers(0, 1 << 62, n).astype(np.uint64)) for n in (1500, 1500, 2100, 9000)]
+    sets.append(np.concatenate([sets[2][:2000], sets[0][:40]]))
+    bits = [ngram_join.long_sketch(np.sort(s)) for s in sets]
+    assert len({len(b) for b in bits}) == 3
+    pairs = np.array([(a, b) for a in range(5) for b in range(5)])
+    for (a, b), found in zip(pairs, ngram_join.differing(bits, pairs), strict=True):
+        least = len(np.setxor1d(sets[a], sets[b]))
+        assert found <= least and found % 2 == least % 2
+    assert ngram_join.differing(bits, np.array([(2, 4)]))[0] > 130  # of 140
+
+
+def test_whole_sets_are_sent_for_near_pairs_only(spark, monkeypatch):
+    """Long texts of one template share blocks, but are not near: their sketches tell that."""
+    draw = random.Random(9)
+    template = [f"w{draw.randrange(10**6)}" for _ in range(3000)]
+    texts = [edited(draw, template, 0.05) for _ in range(12)]
+    texts += [edited(draw, texts[0], 0.005), edited(draw, texts[5], 0.01), texts[7][:300]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rows += [(40, rows[3][1]), (40, "short"), (41, " ".join(edited(draw, texts[3], 0.005)))]
+    sent = []
+    left = ngram_join.possible
+
+    def seen(pairs, bits, percent):
+        out = left(pairs, bits, percent)
+        sent.extend((r.a, r.b) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(ngram_join, "possible", seen)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = ngram_join.join(frame, 5, 80).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute(rows, 5, 80)
+    assert {(0, 12), (5, 13)} <= set(sent) and len(sent) < 12

@@ -16,7 +16,9 @@ that are still in one block are paired, blocks of two included. So every link li
 about one pair for each copy.
 
 Before the overlap of a pair is counted, parity sketches discard it if they differ in more bits
-than the bound allows shingles: every differing shingle changes one bit, so no link is lost.
+than the bound allows shingles: every differing shingle changes one bit, so no link is lost. The
+sketch of a set of more than `LONG` shingles would be full; a second one, of two to four bits a
+shingle, is compared then, so that whole sets are sent only for pairs that are linked or nearly so.
 
 Words are runs without ASCII white space; A-Z is lower-cased. A document with fewer words than a shingle has is one
 shingle, one without words has none and is linked with nothing. Rows without an id take no part in
@@ -54,7 +56,7 @@ from winnow.llm.repeats import (
 from winnow.operators.dedup import dedup_clusters
 from winnow.llm.workers import give_back, lean, lean_group, write_kinds
 from winnow.operators.skew import ranked
-from winnow.session import materialize, read_back
+from winnow.session import materialize, read_back, written
 
 SHINGLE = 3
 PERCENT = 90
@@ -64,6 +66,8 @@ SKETCH = [f"k{i}" for i in range(32)]  # 64 bits each
 DOC = np.dtype(
     [("doc", "<i8"), ("n", "<i8"), ("s1", "<i8"), ("s2", "<i8")] + [(k, "<i8") for k in SKETCH]
 )
+LONG = 32 * len(SKETCH)  # shingles from which a sketch is too full to tell sets apart
+BITS = np.dtype([("doc", "<i8"), ("n", "<i8")])  # before the sketch of a long set
 SET = np.dtype([("s1", "<i8"), ("s2", "<i8"), ("doc", "<i8"), ("count", "<i8")])
 KEY = np.dtype([("h", "<u8"), ("s", "<u8"), ("doc", "<i8"), ("n", "<u4")])
 MEMBER = np.dtype([("h", "<i8"), ("doc", "<i8"), ("n", "<i8")])
@@ -75,7 +79,9 @@ LOWER = LOWER.tobytes()
 
 FLUSH = 1 << 18
 TILE = 512  # documents on a side of a cell of the product
+SKETCH_TILE = 1024  # of sketches of long sets
 CELLS = 1 << 23  # cells of a block of columns
+COMPARED = 8 << 20  # bytes of sketches compared at once
 
 
 class Sizes:
@@ -158,12 +164,35 @@ def block_keys(
     return whose, mixed(mixed(signature + np.uint64(MIX_B)) + tag * np.uint64(BASE))
 
 
+def long_sketch(hashes: np.ndarray) -> bytes:
+    """Parities of the shingles that fall on each of two to four bits a shingle.
+
+    There are a power of two of them, so a longer sketch folds to any shorter one.
+    """
+    bits = 1 << (2 * len(hashes) - 1).bit_length()
+    odd = np.zeros(bits, np.uint8)
+    np.bitwise_xor.at(odd, mixed(hashes ^ np.uint64(MIX_B)) & np.uint64(bits - 1), np.uint8(1))
+    return np.packbits(odd).tobytes()
+
+
+def long_rows(ids: np.ndarray, owner: np.ndarray, hashes: np.ndarray, n: np.ndarray, buckets: int) -> list[dict]:
+    """A packed row `bits` of each long set."""
+    ends, rows = np.cumsum(n), []
+    for at in np.flatnonzero((n > LONG) & (ids != NO_ID)):
+        head = np.array([(ids[at], n[at])], BITS)
+        bucket = bucket_of(mixed(head["doc"].astype(np.uint64)), buckets)[0]
+        data = head.tobytes() + long_sketch(hashes[ends[at] - n[at] : ends[at]])
+        rows.append({"kind": "bits", "bucket": int(bucket), "level": -1, "data": data})
+    return rows
+
+
 def matrix_rows(docs: DataFrame, size: int, sizes: Sizes, buckets: int) -> DataFrame:
-    """Packed rows: `doc` by document, `set` by set, `key` by column block of a set."""
+    """Packed rows: `doc`, `bits` by document, `set` by set, `key` by column block of a set."""
 
-    def flushed(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def flushed(held: list[list]) -> Iterator[pa.RecordBatch]:
         docs_, sets, keys = (np.concatenate([h[i] for h in held]) for i in range(3))
         rows = by_document("doc", docs_, buckets)
+        rows += [row for h in held for row in h[3]]
         sets = in_order(sets, "s1", "s2", "doc")
         first = np.flatnonzero(new_values(sets, "s1", "s2"))
         counts = np.diff(np.append(first, len(sets)))
@@ -175,7 +204,7 @@ def matrix_rows(docs: DataFrame, size: int, sizes: Sizes, buckets: int) -> DataF
         rows += packed("key", keys, bucket_of(keys["h"], buckets).astype(np.int64))
         yield from row_batches(rows)
 
-    def slab(ids: np.ndarray, texts: list[bytes], sums: Sums) -> list[np.ndarray]:
+    def slab(ids: np.ndarray, texts: list[bytes], sums: Sums) -> list:
         owner, hashes = shingle_sets(texts, size, sums)
         n = np.bincount(owner, minlength=len(texts))
         docs_ = np.empty(len(texts), DOC)
@@ -202,7 +231,7 @@ def matrix_rows(docs: DataFrame, size: int, sizes: Sizes, buckets: int) -> DataF
             out["h"], out["doc"], out["n"] = key, ids[whose], n[whose]
             out["s"] = docs_["s1"][whose].view(np.uint64)
             keys.append(out)
-        return [docs_, sets, np.concatenate(keys)]
+        return [docs_, sets, np.concatenate(keys), long_rows(ids, owner, hashes, n, buckets)]
 
     def run(batches):
         sums, held, taken = Sums(), [], 0
@@ -259,7 +288,7 @@ def gathered(buckets: int, percent: int):
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         kind, data = rows["kind"].iloc[0], list(rows["data"])
-        if kind == "doc":
+        if kind in ("doc", "bits"):
             return rows[["kind", "bucket", "level", "data"]]
         out = shared(data) if kind == "set" else candidates(data)
         return pd.DataFrame(out, columns=["kind", "bucket", "level", "data"])
@@ -281,6 +310,24 @@ def unpacked(rows: DataFrame, kind: np.dtype) -> DataFrame:
     return rows.select("data").mapInArrow(run, schema)
 
 
+def long_sketches(rows: DataFrame, each: DataFrame) -> DataFrame:
+    """(doc, n, bits) of the long sets, from packed rows; not of ids with several texts, as one of
+    these may be short. `each` has a row (doc, n) of each text."""
+
+    def run(batches):
+        for batch in batches:
+            data = batch.column("data").to_pylist()
+            heads = np.frombuffer(b"".join(d[: BITS.itemsize] for d in data), BITS)
+            columns = [pa.array(heads[f].astype(np.int64)) for f in BITS.names]
+            columns.append(pa.array([d[BITS.itemsize :] for d in data], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "bits"])
+
+    one = each.groupBy("doc").agg(F.count("*").alias("texts"), F.max("n").alias("n"))
+    one = one.where((F.col("texts") == 1) & (F.col("n") > LONG)).select("doc")
+    found = rows.select("data").mapInArrow(lean(run), "doc long, n long, bits binary")
+    return materialize(found.join(one, "doc", "left_semi"), "long-sketches")
+
+
 def overlaps(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
     """Shared shingles of pairs of rows of a tile of the matrix.
 
@@ -308,11 +355,11 @@ def overlaps(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
     return total[pairs[:, 0], pairs[:, 1]].astype(np.int64)
 
 
-def tiles(pairs: DataFrame) -> DataFrame:
+def tiles(pairs: DataFrame, size: int = TILE) -> DataFrame:
     """(i, j, a, b): the cell of the matrix product that each written pair lies in.
 
     Documents are numbered in order of the smallest document that they are paired with, so those of
-    one group are in few tiles of `TILE` documents, and a row of the matrix goes to few cells.
+    one group are in few tiles of `size` documents, and a row of the matrix goes to few cells.
     """
     both = pairs.select(F.col("a").alias("doc"), F.col("b").alias("other")).unionByName(
         pairs.select(F.col("b").alias("doc"), F.col("a").alias("other"))
@@ -320,18 +367,63 @@ def tiles(pairs: DataFrame) -> DataFrame:
     nodes = both.groupBy("doc").agg(F.min("other").alias("least"))
     nodes = nodes.withColumn("least", F.least("least", "doc"))
     placed = ranked(nodes, [], [F.col("least"), F.col("doc")])
-    placed = materialize(placed.select("doc", F.floor((F.col("_rank") - 1) / TILE).alias("tile")), "tiles")
+    placed = materialize(placed.select("doc", F.floor((F.col("_rank") - 1) / size).alias("tile")), "tiles")
     one = placed.select(F.col("doc").alias("a"), F.col("tile").alias("i"))
     other = placed.select(F.col("doc").alias("b"), F.col("tile").alias("j"))
     return materialize(pairs.join(other, "b").join(one, "a").select("i", "j", "a", "b"), "cells")
 
 
-def linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+def asked_of(cells: DataFrame) -> DataFrame:
+    """(_i, _j, _doc): the documents of the pairs of each cell."""
+    ends = [cells.select(F.col("i").alias("_i"), F.col("j").alias("_j"), F.col(c).alias("_doc")) for c in "ab"]
+    return ends[0].unionByName(ends[1]).distinct()
+
+
+def differing(bits: list[bytes], pairs: np.ndarray) -> np.ndarray:
+    """How many bits differ in each pair of sketches, the longer one folded to the shorter."""
+    sizes = np.array([len(b) for b in bits])
+    least, out = sizes[pairs].min(1), np.zeros(len(pairs), np.int64)
+    for width in np.unique(least):
+        where = np.flatnonzero(least == width)
+        used, spots = np.unique(pairs[where], return_inverse=True)
+        spots = spots.reshape(-1, 2)
+        folded = [np.bitwise_xor.reduce(np.frombuffer(bits[u], np.uint64).reshape(-1, width // 8), 0) for u in used]
+        folded, step = np.stack(folded), max(1, COMPARED // int(width))
+        for at in range(0, len(where), step):
+            a, b = spots[at : at + step].T
+            out[where[at : at + step]] = np.bitwise_count(folded[a] ^ folded[b]).sum(1, dtype=np.int64)
+    return out
+
+
+def possible(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the sketches of long sets, `bits` (doc, n, bits), leave; `pairs` is written."""
+    ids = bits.select("doc")
+    long = pairs.join(ids.select(F.col("doc").alias("a")), "a", "left_semi")
+    long = materialize(long.join(ids.select(F.col("doc").alias("b")), "b", "left_semi").select("a", "b"), "long-pairs")
+    if long.isEmpty():
+        return pairs
+    cells = tiles(long, SKETCH_TILE)
+    wanted = asked_of(cells).join(bits.withColumnRenamed("doc", "_doc"), "_doc")
+
+    def told_apart(pairs: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        place = pd.Index(rows["_doc"])
+        spots = np.stack([place.get_indexer(pairs[c]) for c in "ab"], 1)
+        sizes = rows["n"].to_numpy()[spots].sum(1)
+        far = differing(list(rows["bits"]), spots) * (100 + percent) > sizes * (100 - percent)
+        give_back()
+        return pairs.loc[far, ["a", "b"]]
+
+    far = cells.groupBy("i", "j").cogroup(wanted.groupBy("_i", "_j")).applyInPandas(told_apart, "a long, b long")
+    return materialize(pairs.join(far, ["a", "b"], "left_anti"), "possible")
+
+
+def linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int, bits: DataFrame) -> DataFrame:
     """The pairs whose overlap reaches the threshold. `pairs` (a, b) is written.
 
     The product is computed cell by cell: a row of the matrix goes once to each cell that it has a
     pair in, however many pairs those are.
     """
+    pairs = possible(pairs, bits, percent)
     ends = pairs.select(F.col("a").alias("_end")).unionByName(pairs.select(F.col("b").alias("_end")))
 
     def sets(batches):
@@ -349,10 +441,7 @@ def linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
     asked = docs.join(ends.distinct(), docs["_doc"] == F.col("_end"), "left_semi")
     rows = asked.select("_doc", "text").mapInArrow(lean(sets), "_doc long, set binary")
     cells = tiles(pairs)
-    wanted = cells.select(F.col("i").alias("_i"), F.col("j").alias("_j"), F.col("a").alias("_doc")).unionByName(
-        cells.select(F.col("i").alias("_i"), F.col("j").alias("_j"), F.col("b").alias("_doc"))
-    )
-    wanted = wanted.distinct().join(rows, "_doc")
+    wanted = asked_of(cells).join(rows, "_doc")
 
     def product(pairs: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         held = [np.frombuffer(s, np.uint64) for s in rows["set"]]
@@ -416,7 +505,7 @@ def torn_blocks(members: DataFrame, groups: DataFrame, sketches: DataFrame) -> D
         .where("kinds > 1")
         .select("h", F.col("top.component").alias("home"))
     )
-    return materialize(known.join(largest, "h").join(sketches, "doc"), "torn-blocks")
+    return known.join(largest, "h").join(sketches, "doc")
 
 
 def across(torn: DataFrame, tried: DataFrame, percent: int, every: bool) -> DataFrame:
@@ -483,17 +572,18 @@ def join(
     pairs = plausible(unpacked(of("pair"), PAIR).distinct(), sketches, percent)
     pairs = materialize(pairs, "plausible")
     # One centre each at first; most links are found with it, and torn blocks show what is missing.
+    bits = long_sketches(of("bits"), each)
     tried = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
-    links = materialize(linked(docs, tried, size, percent).unionByName(own), "links")
+    links = materialize(linked(docs, tried, size, percent, bits).unionByName(own), "links")
     groups = components(links)
     for every in (False, True):
         while True:
-            torn = torn_blocks(members, groups, sketches)
-            more = across(torn, tried, percent, every)
+            with written(torn_blocks(members, groups, sketches), "torn-blocks") as torn:
+                more = across(torn, tried, percent, every)
             if every:
                 # Two documents that are a block of their own are in no torn block.
                 more = materialize(more.unionByName(apart(pairs, groups, tried)).distinct(), "pairs")
-            new = materialize(linked(docs, more, size, percent), "links")
+            new = materialize(linked(docs, more, size, percent, bits), "links")
             tried = tried.unionByName(more)
             if new.isEmpty():
                 break
