@@ -56,7 +56,7 @@ from winnow.llm.repeats import (
 from winnow.operators.dedup import dedup_clusters
 from winnow.llm.workers import give_back, lean, lean_group, write_kinds
 from winnow.operators.skew import ranked
-from winnow.session import materialize, read_back, written
+from winnow.session import discard, materialize, read_back, written
 
 SHINGLE = 3
 PERCENT = 90
@@ -591,6 +591,7 @@ def join(
             groups = components(links)
             if every:  # all that could be linked have met
                 break
+    discard(spark, path)  # what follows reads the tables made of it
 
     named = each.join(groups, each["rep"] == groups["id"], "left")
     known = F.col("doc") != NO_ID
