@@ -138,6 +138,44 @@ def test_partners_in_different_blocks_of_two(spark, seed):
     assert [r.component_id for r in found] == [1, 1, 1]
 
 
+def shown(sets, kinds, sizes):
+    """The keys of the blocks that each set shows."""
+    n = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), n)
+    whose, keys = ngram_join.block_keys(owner, np.concatenate(sets), n, np.array(kinds), sizes)
+    return [set(keys[whose == i].tolist()) for i in range(len(sets))]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_unrelated_sets_show_no_common_block(percent):
+    """Blocks without a shingle are the same in all sets; a few shingles in common are few blocks."""
+    draw = np.random.default_rng(percent)
+    sizes = ngram_join.Sizes(percent)
+    passage = draw.integers(0, 1 << 62, 40)
+    sets = [np.unique(np.append(passage, draw.integers(0, 1 << 62, 4960 + 8 * i))).astype(np.uint64) for i in range(40)]
+    kinds = sizes.of(np.array([len(s) for s in sets]))
+    for lower in (0, 1):
+        keys = Counter(key for own in shown(sets, kinds - lower, sizes) for key in own)
+        pairs = sum(count * (count - 1) // 2 for count in keys.values())
+        assert pairs < 40  # of 780
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90, 99])
+def test_linked_sets_show_a_common_block(percent):
+    draw = np.random.default_rng(percent)
+    sizes = ngram_join.Sizes(percent)
+    for n in (int(sizes.bounds[0]), 7, 12, 40, 41, 150, 700, 1500):
+        for m in {n, (n + n * 100 // percent) // 2, n * 100 // percent}:
+            if sizes.of(np.array([n]))[0] < 0:
+                continue
+            for _ in range(20):
+                both = -(-percent * (n + m) // (100 + percent))
+                own = draw.integers(0, 1 << 62, n + m - both).astype(np.uint64)
+                sets = [np.sort(own[:n]), np.sort(own[n - both :])]
+                kind = sizes.of(np.array([n]))[0]
+                assert set.intersection(*shown(sets, [kind, kind], sizes)), (n, m)
+
+
 def edited(draw, words, share):
     """The words with a share of them replaced, hence about five times that of their 5-word shingles."""
     return [f"n{draw.randrange(10**6)}" if draw.random() < share else w for w in words]

@@ -4,8 +4,11 @@ The join is the product of the document by shingle matrix with its transpose, of
 cells at or above the threshold are wanted. Equal rows of the matrix, documents with equal sets, are
 one row first. The columns are cut into blocks by a hash, so many that the size bound decides: two
 sets of sizes a and b that reach the threshold differ in at most (a + b) / 19 shingles (for 0.9), so
-with one block more than that they agree in a whole block. Documents that agree in a block of
-shingles, some eight of them at once, are the only pairs looked at; common shingles alone make none.
+in at most as many blocks. Each set shows one block more than that, its fullest ones: of the blocks
+that two linked sets share, the fullest has at most as many before it in either as they differ in,
+so both show it. There are half as many blocks again as a set shows; so empty ones, which unrelated
+sets have in common, are not shown, and those of a single shingle hardly ever. Documents that agree
+in a block that both show are the only pairs looked at.
 For these pairs the overlaps are accumulated over all shingles and compared with the exact bound.
 
 A block's documents are not paired with each other: each is paired with the smallest of the smallest
@@ -60,7 +63,8 @@ from winnow.session import discard, materialize, read_back, written
 
 SHINGLE = 3
 PERCENT = 90
-SPARE = 2  # blocks beyond those that the bound asks for, as some have no shingles
+ROOM = 1.5  # blocks for each that the bound asks for, as some have no or few shingles
+SPARE = 2  # blocks beyond those
 
 SKETCH = [f"k{i}" for i in range(32)]  # 64 bits each
 DOC = np.dtype(
@@ -99,6 +103,7 @@ class Sizes:
         # a + b - 2 * overlap, with overlap >= t / (1 + t) * (a + b) and b <= a / t.
         share = (100 - percent) / (100 + percent) * (1 + 100 / percent)
         self.most = np.floor(top * share + 1e-6).astype(np.int64)  # shingles that may differ
+        self.blocks = np.floor(ROOM * self.most).astype(np.int64) + 1 + SPARE
 
     def of(self, n: np.ndarray) -> np.ndarray:
         """The class of each size, -1 for those that only equal sets can match."""
@@ -145,23 +150,27 @@ def summed(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
 def block_keys(
     owner: np.ndarray, hashes: np.ndarray, n: np.ndarray, kind: np.ndarray, sizes: Sizes
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(owner, key) of the column blocks of each set, cut as its size class `kind` asks for."""
+    """(owner, key) of the column blocks that each set shows, cut as its size class `kind` asks for."""
     take = kind[owner] >= 0
     owner, hashes = owner[take], hashes[take]
-    blocks = np.where(kind >= 0, sizes.most[np.maximum(kind, 0)] + 1 + SPARE, 0)
+    most = sizes.most[np.maximum(kind, 0)]
+    blocks = np.where(kind >= 0, sizes.blocks[np.maximum(kind, 0)], 0)
     first = np.cumsum(blocks) - blocks
     block = (mixed(hashes + np.uint64(BASE)) >> np.uint64(32)).astype(np.int64) % blocks[owner]
     at, total = first[owner] + block, int(blocks.sum())
     signature = summed(at, mixed(hashes ^ np.uint64(MIX_A)), total)
-    filled = np.bincount(at, minlength=total) > 0
+    held = np.bincount(at, minlength=total)
     whose = np.repeat(np.arange(len(n)), blocks)
     number = np.arange(total) - first[whose]
-    # A set with too few filled blocks for the bound shows its empty ones as well.
-    few = np.bincount(whose[filled], minlength=len(n)) <= sizes.most[np.maximum(kind, 0)]
-    shown = filled | few[whose]
-    whose, number, signature = whose[shown], number[shown], signature[shown]
     tag = kind[whose].astype(np.uint64) << np.uint64(32) | number.astype(np.uint64)
-    return whose, mixed(mixed(signature + np.uint64(MIX_B)) + tag * np.uint64(BASE))
+    key = mixed(mixed(signature + np.uint64(MIX_B)) + tag * np.uint64(BASE))
+    # The order is one of keys, the same in all sets: equal blocks are equally full.
+    place = np.empty(total, np.int64)
+    place[np.lexsort([key, -held, whose])] = number
+    # A set with too few filled blocks for the bound shows all, its empty ones as well.
+    few = np.bincount(whose[held > 0], minlength=len(n)) <= most
+    shown = few[whose] | (place <= most[whose])
+    return whose[shown], key[shown]
 
 
 def long_sketch(hashes: np.ndarray) -> bytes:
