@@ -14,6 +14,12 @@ from winnow.sources.tables import read_table
 _rows_of_last: list[str] = []
 
 
+def discard_last(spark: SparkSession) -> None:
+    """Discard the rows that an earlier stage wrote for itself, once its result has been read."""
+    while _rows_of_last:
+        discard(spark, _rows_of_last.pop())
+
+
 def keyed(docs: DataFrame, label: str) -> DataFrame:
     """`docs` written with a key `_key` of each row, in the order of the ids; those without one last.
 
@@ -25,8 +31,7 @@ def keyed(docs: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     with shuffles_dropped(spark):
         order.write.parquet(path)
-    while _rows_of_last:
-        discard(spark, _rows_of_last.pop())
+    discard_last(spark)
     _rows_of_last.append(path)
     return read_back(spark, path, order.schema)
 
@@ -75,7 +80,7 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every kept document in windows of 1024 tokens: the ids of each piece beside its place."""
-    return packed(docs, keep_ids=True)
+    return packed(docs, keep_ids=True, after_read=lambda: discard_last(spark))
 
 
 STAGES = [

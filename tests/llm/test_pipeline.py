@@ -1,4 +1,5 @@
 import re
+from pathlib import Path
 
 import pytest
 
@@ -64,6 +65,21 @@ def test_rows_are_told_apart_without_ids(spark):
     assert sorted(r.text.split()[30][0] for r in left) == list("abcde")
 
 
+def test_packing_leaves_one_copy_of_its_pieces(spark):
+    """The rows of the stage before and the unordered pieces go before the result is written."""
+    import corpus_pipeline
+    from winnow.session import materialize, scratch_root
+
+    folder = Path(re.sub("^file:(//)?", "", scratch_root(spark))) / "winnow"
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    before = {p.name for p in folder.glob("*")}
+    cut = materialize(corpus_pipeline.cut_passages(spark, docs, SF), "stage")
+    pieces = corpus_pipeline.pack_sequences(spark, cut, SF)
+    left = [p.name.rpartition("-")[0] for p in folder.iterdir() if p.name not in before]
+    assert "ranked" in left and not {"passage-rows", "tokenised"} & set(left)
+    assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in cut.collect()}
+
+
 def test_sequences_can_be_built_from_the_result(spark):
     import zlib
 

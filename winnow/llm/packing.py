@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from winnow.llm.bpe import Encoder
 from winnow.llm.workers import lean
 from winnow.operators.skew import ranked
-from winnow.session import materialize, small_batches
+from winnow.session import small_batches, written
 
 WINDOW = 1024
 
@@ -159,22 +160,25 @@ def tokenised(
     return plain.mapInArrow(lean(run), schema)
 
 
-def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
+def pack(cut: DataFrame, window: int = WINDOW, after_read: Callable[[], None] | None = None) -> DataFrame:
     """(doc_id, start, length, crc32, ids, doc_tokens, sequence_id, offset) of every piece.
 
     `cut` comes from `tokenised`. Remainders fill the first sequences, full windows follow.
+    `after_read` is called once the texts have been read for the last time.
     """
     spark = cut.sparkSession
-    cut = materialize(
-        cut.withColumn("_rest", F.col("doc_tokens") % window).withColumn(
-            "_full", F.floor(F.col("doc_tokens") / window)
-        ),
-        "tokenised",
-    )
-    # At most `window` rows.
-    classes = (
-        cut.groupBy("_rest").agg(F.count(F.lit(1)).alias("n"), F.sum("_full").alias("full")).collect()
+    cut = cut.withColumn("_rest", F.col("doc_tokens") % window).withColumn(
+        "_full", F.floor(F.col("doc_tokens") / window)
     )
+    order = [F.col("doc_id").asc_nulls_last(), F.col("doc_tokens"), F.xxhash64("pieces.crc32")]
+    with written(cut, "tokenised") as cut:
+        if after_read is not None:
+            after_read()
+        # At most `window` rows.
+        classes = (
+            cut.groupBy("_rest").agg(F.count(F.lit(1)).alias("n"), F.sum("_full").alias("full")).collect()
+        )
+        ranks = ranked(cut, ["_rest"], order, F.col("_full"))  # writes the pieces again, in order
     placements, used = best_fit({r["_rest"]: r["n"] for r in classes if r["_rest"]}, window)
     base, bases = used, []
     for row in classes:
@@ -184,8 +188,7 @@ def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
     plan = spark.createDataFrame(
         placements, "_rest long, _first long, _last long, _k long, _seq long, _offset long"
     )
-    order = [F.col("doc_id").asc_nulls_last(), F.col("doc_tokens"), F.xxhash64("pieces.crc32")]
-    placed = ranked(cut, ["_rest"], order, F.col("_full")).join(F.broadcast(bases), "_rest")
+    placed = ranks.join(F.broadcast(bases), "_rest")
     rank = F.col("_rank") - 1
     placed = placed.withColumn("_r", rank).join(
         F.broadcast(plan.withColumnRenamed("_rest", "_size")),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
@@ -93,7 +95,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-def packed(docs: DataFrame, keep_ids: bool = False) -> DataFrame:
+def packed(
+    docs: DataFrame, keep_ids: bool = False, after_read: Callable[[], None] | None = None
+) -> DataFrame:
     cut = packing.tokenised(
         docs,
         public_tokenizers.path(RANKS),
@@ -101,7 +105,7 @@ def packed(docs: DataFrame, keep_ids: bool = False) -> DataFrame:
         public_tokenizers.PATTERN,
         keep_ids=keep_ids,
     )
-    pieces = packing.pack(cut)
+    pieces = packing.pack(cut, after_read=after_read)
     return pieces if keep_ids else pieces.drop("ids")
 
 
