@@ -10,14 +10,24 @@ from winnow.session import discard, materialize, read_back, scratch_path, shuffl
 from winnow.sources.tables import read_table
 
 
-#: The keyed rows of the last stage. The next stage reads that one's written result.
+#: What the last stage wrote for itself. The next stage reads that one's written result.
 _rows_of_last: list[str] = []
 
 
-def discard_last(spark: SparkSession) -> None:
-    """Discard the rows that an earlier stage wrote for itself, once its result has been read."""
-    while _rows_of_last:
-        discard(spark, _rows_of_last.pop())
+def until_next(rows: DataFrame, label: str) -> DataFrame:
+    """`rows` as a written table that the next stage discards."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, label)
+    with shuffles_dropped(spark):
+        rows.write.parquet(path)
+    _rows_of_last.append(path)
+    return read_back(spark, path, rows.schema)
+
+
+def discard_last(spark: SparkSession, but: int = 0) -> None:
+    """Discard what an earlier stage wrote for itself, once its result has been read; `but` the latest."""
+    while len(_rows_of_last) > but:
+        discard(spark, _rows_of_last.pop(0))
 
 
 def keyed(docs: DataFrame, label: str) -> DataFrame:
@@ -25,15 +35,11 @@ def keyed(docs: DataFrame, label: str) -> DataFrame:
 
     The rows that an earlier stage wrote for itself are discarded then: its result is a table.
     """
-    spark = docs.sparkSession
     order = docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
     order = order.withColumn("_key", F.monotonically_increasing_id())
-    path = scratch_path(spark, label)
-    with shuffles_dropped(spark):
-        order.write.parquet(path)
-    discard_last(spark)
-    _rows_of_last.append(path)
-    return read_back(spark, path, order.schema)
+    rows = until_next(order, label)
+    discard_last(docs.sparkSession, but=1)
+    return rows
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,12 +67,13 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take out words of passages of 20 words that start earlier too; drop what is left empty.
 
-    Texts without such a passage stay as they are.
+    Texts without such a passage stay as they are. The others are written first, so that the
+    shuffles which find them are gone when whole texts are joined again.
     """
     rows = keyed(docs, "passage-rows")
     cut = substring_dedup.remove_repeats(rows, id="_key").where("n_removed > 0")
     cut = cut.select(F.col("doc_id").alias("_key"), F.col("kept").alias("_kept"))
-    joined = rows.join(cut, "_key", "left")
+    joined = rows.join(until_next(cut, "cut-texts"), "_key", "left")
     text = F.coalesce("_kept", "text")
     return (
         joined.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(

@@ -80,6 +80,19 @@ def test_packing_leaves_one_copy_of_its_pieces(spark):
     assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in cut.collect()}
 
 
+def test_texts_are_cut_before_they_are_joined_again(spark, docs):
+    """The result reads two written tables; what finds the passages is done with, and goes next."""
+    import corpus_pipeline
+
+    cut = corpus_pipeline.cut_passages(spark, docs.drop("spans", "kept", "slot", "_slice"), SF)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "MapInArrow" not in plan
+    own = [Path(re.sub("^file:(//)?", "", p)) for p in corpus_pipeline._rows_of_last]
+    assert [p.name.rpartition("-")[0] for p in own] == ["passage-rows", "cut-texts"]
+    corpus_pipeline.pack_sequences(spark, cut, SF)
+    assert corpus_pipeline._rows_of_last == [] and not any(p.exists() for p in own)
+
+
 def test_sequences_can_be_built_from_the_result(spark):
     import zlib
 
